@@ -1,0 +1 @@
+"""Intentionally empty: every job is a batch re-run over the rows still open."""
