@@ -24,7 +24,7 @@ def _guard(df: DataFrame, names: list[str]) -> Column:
     # int and bigint hash differently, so integral keys are widened first
     fields = {f.name: f.dataType for f in df.schema.fields}
     keys = [F.col(n).cast("bigint") if isinstance(fields[n], T.IntegralType) else F.col(n) for n in names]
-    return F.pmod(F.xxhash64(*keys), F.lit(65521)).cast("int")
+    return F.xxhash64(*keys).bitwiseAND(F.lit(0xFFFF))
 
 
 def guarded_join(

@@ -7,7 +7,7 @@ summary read it back instead of repeating the joins.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from amendry.functions.money import net_amount, tax_amount, tax_factor
 from amendry.operators import change
 from amendry.operators.asof import asof_lookup
-from amendry.operators.joins import guarded_join, having_match, without_match
+from amendry.operators.joins import guarded_join, having_match
 from amendry.operators.lookup import OK, one_per_key
 from amendry.operators.order import ALL, ascending, mark_first
 from amendry.operators.rejects import Reason, rejects, run_summary, updated_per_key
@@ -32,12 +32,8 @@ HISTORY_LOAN = Reason("000303", "Erreur - Pret - wh43kmv = {h43kmv}")
 TIER_LOAN = Reason("000480", "Erreur - Pret - wpackro = {packro}")
 HISTORY_BANK = Reason("000325", "Erreur - prtban - {prtban}")
 TIER_BANK = Reason("000502", "Erreur - prtban - {prtban}")
-HISTORY_RATE = Reason(
-    "000376", "Erreur - calcul taux de taxe - {h43ggi}/{bqeptx}/{prtcie}"
-)
-TIER_RATE = Reason(
-    "000553", "Erreur - calcul taux de taxe - {pacggi}/{bqeptx}/{prtcie}"
-)
+HISTORY_RATE = Reason("000376", "Erreur - calcul taux de taxe - {h43ggi}/{bqeptx}/{prtcie}")
+TIER_RATE = Reason("000553", "Erreur - calcul taux de taxe - {pacggi}/{bqeptx}/{prtcie}")
 SPLIT_AMOUNT = Reason("000379", "montant palier absent, pret {packro}")
 SPLIT_LOAN = Reason("000419", "erreur recherche infos pret, {packro}", "*SQL")
 SPLIT_RATE = Reason("000458", "erreur recherche taux de taxe pour le pret, {packro}")
@@ -67,14 +63,83 @@ SPLIT_REASONS = {
 }
 
 
-@dataclass(frozen=True)
 class JobResult:
-    resolved: DataFrame
-    table: DataFrame
-    rejects: DataFrame
-    summary: DataFrame
-    worklist: DataFrame | None = None
-    per_loan: DataFrame | None = None
+    """The handled rows with their status, and what follows from them, each built on first use."""
+
+    step: str
+    key: str
+    reasons: dict[str, Reason]
+
+    def __init__(self, resolved: DataFrame, untouched: DataFrame, columns: list[str]):
+        self.resolved, self.untouched, self.columns = resolved, untouched, columns
+
+    def updated(self) -> DataFrame:
+        raise NotImplementedError
+
+    @cached_property
+    def table(self) -> DataFrame:
+        """The whole table after the job."""
+        return self.untouched.unionByName(self.updated().select(*self.columns))
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return rejects(self.resolved, self.step, self.key, self.reasons)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return run_summary(self.resolved)
+
+
+class HistoryBackfill(JobResult):
+    step, key, reasons = "backfill_history", "h43kmv", HISTORY_REASONS
+
+    def updated(self) -> DataFrame:
+        return change.fill_null(self.resolved, "h43tau", F.col("tau"))
+
+
+class PriorityBackfill(JobResult):
+    step, key, reasons = "backfill_priority", "packro", TIER_REASONS
+
+    def __init__(self, looked: DataFrame, untouched, columns, priority: DataFrame, only_if_clean: bool):
+        super().__init__(looked.filter("_open"), untouched, columns)
+        self.looked, self.priority, self.only_if_clean = looked, priority, only_if_clean
+
+    def updated(self) -> DataFrame:
+        # tiers of other loans are among these rows; having no context, they keep their NULL
+        return change.fill_null(self.looked, "pactau", F.col("tau"))
+
+    @cached_property
+    def worklist(self) -> DataFrame:
+        """The worklist with handled loans flagged O."""
+        if not self.only_if_clean:
+            return change.mark_processed(self.priority, "traite")
+        failed = self.resolved.filter(F.col("status") != OK).select("packro").distinct()
+        failed = failed.withColumn("_failed", F.lit(True))
+        flagged = guarded_join(self.priority, failed, [("idpret", "packro")], "left")
+        return change.mark_processed(flagged, "traite", F.col("_failed").isNull()).drop("_failed")
+
+    @cached_property
+    def per_loan(self) -> DataFrame:
+        return updated_per_key(self.resolved, "packro")
+
+
+class NetTaxSplit(JobResult):
+    step, key, reasons = "split_net_tax", "packro", SPLIT_REASONS
+
+    def __init__(self, resolved: DataFrame, untouched, columns, profile: str):
+        super().__init__(resolved, untouched, columns)
+        self.profile = profile
+
+    def updated(self) -> DataFrame:
+        done = F.col("status") == OK
+        tax = tax_amount(F.col("pacmpa"), F.col("_net"))
+        return self.resolved.withColumns(
+            {
+                "pacmht": F.col("_net"),
+                "pacmtx": F.when(done, tax).otherwise(F.col("pacmtx")),
+                "pacpro": F.when(done, F.lit(self.profile)).otherwise(F.col("pacpro")),
+            }
+        )
 
 
 def loan_context(loan: DataFrame, bank: DataFrame) -> DataFrame:
@@ -88,10 +153,9 @@ def loan_context(loan: DataFrame, bank: DataFrame) -> DataFrame:
 
 
 def movement_loans(movement: DataFrame, loans: DataFrame, cols: list[str]) -> DataFrame:
-    """Per movement: the loan it belongs to. Copies are merged into counts, never paired up."""
-    merged = movement.groupBy("madkmv", "madkro").agg(F.count(F.lit(1)).alias("copies"))
-    joined = guarded_join(merged, loans, [("madkro", "prtkro")], "inner")
-    return one_per_key(joined, ["madkmv"], cols, "loan_n", weight=F.col("copies") * F.col("loan_n"))
+    """Per movement: the loan it belongs to. Loan copies arrive as a count, so rows are never paired up."""
+    joined = guarded_join(movement, loans, [("madkro", "prtkro")], "inner")
+    return one_per_key(joined, ["madkmv"], cols, "loan_n", weight=F.col("loan_n"))
 
 
 def movement_context(movement: DataFrame, loan: DataFrame, bank: DataFrame) -> DataFrame:
@@ -127,7 +191,7 @@ def backfill_history(
     rate: DataFrame,
     limit: int | str = ALL,
     work: Workspace | None = None,
-) -> JobResult:
+) -> HistoryBackfill:
     """Fill the tax rate of history rows that have none: movement -> loan -> bank -> dated rate."""
     columns = history.columns
     worklist = history.filter(F.col("h43tau").isNull())
@@ -141,13 +205,7 @@ def backfill_history(
     resolved = with_rate(guarded_join(worklist, context, [("h43kmv", "madkmv")], "left"), rate, "h43ggi")
     if work is not None:
         resolved = work.stage(resolved, "backfill_history")
-    filled = change.fill_null(resolved, "h43tau", F.col("tau"))
-    return JobResult(
-        resolved=resolved,
-        table=untouched.unionByName(filled.select(*columns)),
-        rejects=rejects(resolved, "backfill_history", "h43kmv", HISTORY_REASONS),
-        summary=run_summary(resolved),
-    )
+    return HistoryBackfill(resolved, untouched, columns)
 
 
 def backfill_priority(
@@ -158,7 +216,7 @@ def backfill_priority(
     rate: DataFrame,
     only_if_clean: bool = False,
     work: Workspace | None = None,
-) -> JobResult:
+) -> PriorityBackfill:
     """Fill the tax rate of tiers of the loans flagged N, then flag those loans O.
 
     With only_if_clean, loans keep N when one of their tiers was rejected.
@@ -167,27 +225,13 @@ def backfill_priority(
     open_loans = priority.filter(F.col("traite") == "N").select(F.col("idpret").alias("_loan")).distinct()
     # both sides hold one row per loan; tiers then meet them in a single join
     context = open_loans.join(loan_context(loan, bank), F.col("_loan") == F.col("prtkro"), "left").drop("prtkro")
-    todo = tier.filter(F.col("pactau").isNull())
-    resolved = with_rate(guarded_join(todo, context, [("packro", "_loan")], "inner"), rate, "pacggi")
+    context = context.withColumn("_open", F.lit(True))
+    todo = guarded_join(tier.filter(F.col("pactau").isNull()), context, [("packro", "_loan")], "left")
+    looked = with_rate(todo, rate, "pacggi")
     if work is not None:
-        resolved = work.stage(resolved, "backfill_priority")
-    filled = change.fill_null(resolved, "pactau", F.col("tau")).select(*columns)
-    keys = [("packro", "_loan")]
-    untouched = tier.filter(F.col("pactau").isNotNull()).unionByName(without_match(todo, open_loans, keys))
-    if only_if_clean:
-        failed = resolved.filter(F.col("status") != OK).select("packro").distinct().withColumn("_failed", F.lit(True))
-        flagged = guarded_join(priority, failed, [("idpret", "packro")], "left")
-        flagged = change.mark_processed(flagged, "traite", F.col("_failed").isNull()).drop("_failed")
-    else:
-        flagged = change.mark_processed(priority, "traite")
-    return JobResult(
-        resolved=resolved,
-        table=untouched.unionByName(filled),
-        rejects=rejects(resolved, "backfill_priority", "packro", TIER_REASONS),
-        summary=run_summary(resolved),
-        worklist=flagged,
-        per_loan=updated_per_key(resolved, "packro"),
-    )
+        looked = work.stage(looked, "backfill_priority")
+    untouched = tier.filter(F.col("pactau").isNotNull())
+    return PriorityBackfill(looked, untouched, columns, priority, only_if_clean)
 
 
 def worklist_detail(tier: DataFrame, priority: DataFrame) -> DataFrame:
@@ -199,10 +243,9 @@ def worklist_detail(tier: DataFrame, priority: DataFrame) -> DataFrame:
 def bank_loan_context(loan: DataFrame, bank: DataFrame) -> DataFrame:
     """Per loan, the rows of bank joined to loan: their number and, when single, their columns."""
     banks = one_per_key(bank, ["bqeban"], ["bqeptx"], "bank_n")
-    loans = loan.groupBy("prtkro", "prtcie", "prtdrt", "prtban").agg(F.count(F.lit(1)).alias("copies"))
+    loans = loan.select("prtkro", "prtcie", "prtdrt", "prtban")
     joined = guarded_join(loans, banks, [("prtban", "bqeban")], "inner")
-    weight = F.col("copies") * F.col("bank_n")
-    return one_per_key(joined, ["prtkro"], ["prtcie", "prtdrt", "bqeptx"], "loan_n", weight)
+    return one_per_key(joined, ["prtkro"], ["prtcie", "prtdrt", "bqeptx"], "loan_n", weight=F.col("bank_n"))
 
 
 def split_net_tax(
@@ -212,7 +255,7 @@ def split_net_tax(
     rate: DataFrame,
     profile: str = PROFILE,
     work: Workspace | None = None,
-) -> JobResult:
+) -> NetTaxSplit:
     """Split the gross amount into net and tax on tiers that have no net amount."""
     columns = tier.columns
     todo = guarded_join(
@@ -225,17 +268,4 @@ def split_net_tax(
     resolved = resolved.withColumn("status", status).withColumn("_net", net)
     if work is not None:
         resolved = work.stage(resolved, "split_net_tax")
-    done = F.col("status") == OK
-    split = resolved.withColumns(
-        {
-            "pacmht": F.col("_net"),
-            "pacmtx": F.when(done, tax_amount(F.col("pacmpa"), F.col("_net"))).otherwise(F.col("pacmtx")),
-            "pacpro": F.when(done, F.lit(profile)).otherwise(F.col("pacpro")),
-        }
-    )
-    return JobResult(
-        resolved=resolved,
-        table=tier.filter(F.col("pacmht").isNotNull()).unionByName(split.select(*columns)),
-        rejects=rejects(resolved, "split_net_tax", "packro", SPLIT_REASONS),
-        summary=run_summary(resolved),
-    )
+    return NetTaxSplit(resolved, tier.filter(F.col("pacmht").isNotNull()), columns, profile)
