@@ -20,7 +20,7 @@ def asof_lookup(
 ) -> DataFrame:
     """df + value in force on `day` + rc: 0 found, 100 none, -811 several for the same start."""
     spans = validity_intervals(ref, [k for _, k in keys], start, value)
-    in_force = (F.col(day) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(day) < F.col("_to")))
+    in_force = f"`{day}` >= _from and (_to is null or `{day}` < _to)"
     joined = guarded_join(df, spans, keys, "left", in_force)
     code = F.when(F.col("_n").isNull(), 100).when(F.col("_n") > 1, -811).otherwise(0)
     return (

@@ -11,38 +11,35 @@ its estimated or measured size is below `spark.sql.autoBroadcastJoinThreshold`.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Keys = list[tuple[str, str]]
 
 
-def _guard(df: DataFrame, names: list[str]) -> Column:
+def _guard(df: DataFrame, names: list[str]) -> str:
     # int and bigint hash differently, so integral keys are widened first
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    keys = [F.col(n).cast("bigint") if isinstance(fields[n], T.IntegralType) else F.col(n) for n in names]
-    return F.xxhash64(*keys).bitwiseAND(F.lit(0xFFFF))
+    wide = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    keys = ", ".join(f"cast(`{n}` as bigint)" if n in wide else f"`{n}`" for n in names)
+    return f"xxhash64({keys}) & 65535"
 
 
 def guarded_join(
-    left: DataFrame, right: DataFrame, keys: Keys, how: str = "left", condition: Column | None = None
+    left: DataFrame, right: DataFrame, keys: Keys, how: str = "left", condition: str | None = None
 ) -> DataFrame:
     """Join left to a right side holding few rows per key; right key columns are dropped."""
     lkeys, rkeys = [k for k, _ in keys], [k for _, k in keys]
-    l = left.withColumn("_left_guard", _guard(left, lkeys))
-    r = right.select(
-        _guard(right, rkeys).alias("_right_guard"),
-        *[F.col(k).alias(f"_right_{i}") for i, k in enumerate(rkeys)],
-        *[F.col(c) for c in right.columns if c not in rkeys],
+    l = left.withColumn("_left_guard", F.expr(_guard(left, lkeys)))
+    r = right.selectExpr(
+        f"{_guard(right, rkeys)} as _right_guard",
+        *[f"`{k}` as _right_{i}" for i, k in enumerate(rkeys)],
+        *[f"`{c}`" for c in right.columns if c not in rkeys],
     )
-    tests = [F.col(k) == F.col(f"_right_{i}") for i, k in enumerate(lkeys)]
-    tests.append(F.col("_left_guard") == F.col("_right_guard"))
+    tests = [f"`{k}` = _right_{i}" for i, k in enumerate(lkeys)] + ["_left_guard = _right_guard"]
     if condition is not None:
-        tests.append(condition)
-    joined = l.join(r, reduce(lambda a, b: a & b, tests), how)
+        tests.append(f"({condition})")
+    joined = l.join(r, F.expr(" and ".join(tests)), how)
     return joined.drop("_left_guard", "_right_guard", *[f"_right_{i}" for i in range(len(keys))])
 
 

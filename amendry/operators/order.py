@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from amendry.sources.workspace import Workspace
 
-ALL = "*all"
+ALL = "*all"  # fixed value: no limit
+HEAP_ROWS = 100_000
 
 
 def ascending(*names: str) -> list[Column]:
@@ -28,10 +29,24 @@ def parse_quantity(quantity: int | str) -> int | None:
     return int(text)
 
 
+def sorted_rows(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Global sort. Scan position closes the order, so rows with equal keys can span partitions."""
+    return df.withColumn("_scan", F.monotonically_increasing_id()).orderBy(*order, "_scan").drop("_scan")
+
+
 def first_rows(df: DataFrame, quantity: int | str, order: list[Column]) -> DataFrame:
-    """First N rows of a total order as a report: one bounded heap per task, then a merge."""
+    """First N rows of a total order, as a report.
+
+    Up to HEAP_ROWS they are kept in one heap per task and merged; a larger N is cut off
+    by position in a staged range sort, so that it never passes through a single task.
+    """
     n = parse_quantity(quantity)
-    return df.orderBy(*order) if n is None else df.orderBy(*order).limit(n)
+    if n is None:
+        return sorted_rows(df, order)
+    if n <= HEAP_ROWS:
+        return df.orderBy(*order).limit(n)
+    marked = mark_first(df, n, order, "_first", Workspace(df.sparkSession))
+    return sorted_rows(marked.filter("_first").drop("_first"), order)
 
 
 def mark_first(df: DataFrame, quantity: int | str, order: list[Column], name: str, work: Workspace) -> DataFrame:
@@ -39,14 +54,12 @@ def mark_first(df: DataFrame, quantity: int | str, order: list[Column], name: st
 
     Rows are range-sorted once into a staged table together with an ascending id
     (partition number in the high bits). The N-th id follows from the row count of each
-    partition, the only thing the driver sees. The scan id closes the order, so that
-    equal rows can be spread over several partitions.
+    partition, the only thing the driver sees.
     """
     n = parse_quantity(quantity)
     if n is None:
         return df.withColumn(name, F.lit(True))
-    scanned = df.withColumn("_scan", F.monotonically_increasing_id())
-    ranked = scanned.orderBy(*order, "_scan").drop("_scan").withColumn("_id", F.monotonically_increasing_id())
+    ranked = sorted_rows(df, order).withColumn("_id", F.monotonically_increasing_id())
     ranked = work.stage(ranked, "ranked")
     sizes = ranked.groupBy(F.shiftright("_id", 33).alias("part")).count().orderBy("part").collect()
     end, left = 0, n

@@ -16,7 +16,7 @@ from amendry.functions.text import is_blank, message, to_decimal, to_id
 from amendry.operators import change
 from amendry.operators.checks import exactly_one
 from amendry.operators.collect import fixed_lists, group_flags, pivot_ordinals
-from amendry.operators.joins import group_max, guarded_join, having_match, latest_batch_rows
+from amendry.operators.joins import group_max, guarded_join, having_match
 from amendry.operators.lookup import AMBIGUOUS, NOT_FOUND, OK, checked_lookup
 from amendry.operators.order import ALL, ascending, mark_first, parse_quantity
 from amendry.operators.rejects import Reason, rejects
@@ -93,8 +93,8 @@ def list_members(
 
 def latest_decisions(members: DataFrame, decision: DataFrame) -> DataFrame:
     """Latest decision batch of each listed member."""
-    held = having_match(decision, members, [("gdekro", "kronoAdh")])
-    return group_max(held, "gdekro", "gdekrh", "derkroDec").withColumnRenamed("gdekro", "derkroAdh")
+    top = group_max(decision, "gdekro", "gdekrh", "derkroDec").withColumnRenamed("gdekro", "derkroAdh")
+    return having_match(top, members, [("derkroAdh", "kronoAdh")])
 
 
 def source_latest(pointer: DataFrame, decision: DataFrame) -> DataFrame:
@@ -106,11 +106,12 @@ def source_latest(pointer: DataFrame, decision: DataFrame) -> DataFrame:
 
 def compared_decisions(members: DataFrame, decision: DataFrame, pointer: DataFrame, source: DataFrame) -> DataFrame:
     """Each member's latest covers beside the reference system's decision for that OB and cover."""
+    top = group_max(decision, "gdekro", "gdekrh", "_top")
     todo = members.select("kronoAdh", "numObaSR").distinct()
-    held = guarded_join(
-        decision.select("gdekro", "gdekrh", "gdegar", "gdecdc"), todo, [("gdekro", "kronoAdh")], "inner"
-    )
-    latest = latest_batch_rows(held, "gdekro", "gdekrh")
+    # members meet their latest batch first, so that decision rows are joined only once
+    batch = todo.join(top, F.col("kronoAdh") == F.col("gdekro"), "inner").drop("gdekro")
+    rows = decision.select("gdekro", "gdekrh", "gdegar", "gdecdc")
+    latest = guarded_join(rows, batch, [("gdekro", "kronoAdh"), ("gdekrh", "_top")], "inner")
     cols = ["decdec", "decdat", "dectdp"]
     keys = [("numObaSR", "decoba"), ("gdegar", "decgar")]
     looked = checked_lookup(latest, source_latest(pointer, source), keys, cols, "found", weight=F.col("copies"))

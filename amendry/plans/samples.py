@@ -11,7 +11,7 @@ from amendry.functions.dates import is_open
 from amendry.functions.text import message
 from amendry.operators.change import update_from_table
 from amendry.operators.joins import having_match, without_match
-from amendry.operators.order import ascending, descending
+from amendry.operators.order import ascending, descending, first_rows, sorted_rows
 
 # Kind of letter, labels and width of the report line.
 LETTER_KIND = 250
@@ -24,16 +24,14 @@ def open_letters(letter: DataFrame, followup: DataFrame, loan: DataFrame, day: d
     waiting = letter.filter((F.col("cornat") == LETTER_KIND) & is_open(F.col("cordte")) & (F.col("cordat") == F.lit(day)))
     unanswered = without_match(waiting, followup, [("corkro", "csukro")])
     same_loan = (F.col("cornum") == F.col("prtnum")) & (F.col("corord") == F.col("prtord"))
-    return (
-        unanswered.join(loan, same_loan, "inner")
-        .select("corkro", "cornum", "corord", "cordat", "prtkro", "prtres", "prtmot")
-        .orderBy(*ascending("cornum", "corord", "corkro", "prtkro"))
-    )
+    found = unanswered.join(loan, same_loan, "inner")
+    found = found.select("corkro", "cornum", "corord", "cordat", "prtkro", "prtres", "prtmot")
+    return sorted_rows(found, ascending("cornum", "corord"))
 
 
 def youngest(employee: DataFrame, n: int) -> DataFrame:
     """First n employees by birth date, latest first (an unknown date ranks highest)."""
-    return employee.orderBy(*descending("birthdate"), *ascending("empno")).limit(n)
+    return first_rows(employee, n, descending("birthdate") + ascending("empno"))
 
 
 def sync_salary(employee: DataFrame, wage: DataFrame, n: int) -> DataFrame:

@@ -293,17 +293,17 @@ def updates_per_loan(v):
 @query
 def sort_single(v):
     todo = v.history().filter(F.col("h43tau").isNull()).select("h43ggi", "h43kmv")
-    return todo.orderBy(*order.ascending("h43kmv", "h43ggi"))
+    return order.sorted_rows(todo, order.ascending("h43kmv"))
 
 
 @query
 def sort_multi(v):
-    return v.tier().select("packro", "pacdep", "pacggi").orderBy(*order.ascending("packro", "pacdep", "pacggi"))
+    return order.sorted_rows(v.tier().select("packro", "pacdep", "pacggi"), order.ascending("packro", "pacdep"))
 
 
 @query
 def sort_desc(v):
-    return v.employee().select("empno", "birthdate").orderBy(*order.descending("birthdate"), *order.ascending("empno"))
+    return order.sorted_rows(v.employee().select("empno", "birthdate"), order.descending("birthdate"))
 
 
 @query

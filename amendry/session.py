@@ -14,6 +14,7 @@ def local_session(name: str = "amendry", cores: str | None = None) -> SparkSessi
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")

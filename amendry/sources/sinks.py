@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amendry.functions.dates import on_day
+from amendry.operators.order import descending, sorted_rows
 from amendry.operators.rejects import COLUMNS
 
 
@@ -54,4 +55,4 @@ def read_log(spark: SparkSession, path: str, day: date) -> DataFrame:
 
 def log_of_day(log: DataFrame, stamp: str, day: date) -> DataFrame:
     """Log rows of a day, latest first."""
-    return log.filter(on_day(F.col(stamp), day)).orderBy(F.col(stamp).desc_nulls_first())
+    return sorted_rows(log.filter(on_day(F.col(stamp), day)), descending(stamp))
