@@ -1,0 +1,192 @@
+"""Operators on small hand-made rows and against brute force."""
+
+import random
+from collections import defaultdict
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from amendry.operators import change, checks, collect, joins, order, rejects
+from amendry.operators.asof import asof_lookup
+from amendry.operators.lookup import checked_lookup
+from amendry.sources.workspace import Workspace
+from tests.conftest import rows
+
+
+def test_checked_lookup_counts_matches(spark):
+    facts = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    ref = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "z")], "r bigint, v string")
+    got = rows(checked_lookup(facts, ref, [("k", "r")], ["v"]))
+    assert got == [
+        (None, None, "NOT_FOUND"),
+        (1, "a", "OK"),
+        (2, None, "AMBIGUOUS"),
+        (3, None, "NOT_FOUND"),
+    ]
+
+
+def test_lookup_finds_a_row_whose_value_is_null(spark):
+    facts = spark.createDataFrame([(1,)], "k int")
+    ref = spark.createDataFrame([(1, None)], "r int, v string")
+    assert rows(checked_lookup(facts, ref, [("k", "r")], ["v"])) == [(1, None, "OK")]
+
+
+def test_exists_and_anti_keep_left_rows_once(spark):
+    left = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, v string")
+    right = spark.createDataFrame([(1,), (1,), (None,)], "r int")
+    assert rows(joins.having_match(left, right, [("k", "r")])) == [(1, "x"), (1, "y")]
+    assert rows(joins.without_match(left, right, [("k", "r")])) == [(None, "n"), (2, "z")]
+
+
+def test_latest_batch_keeps_ties(spark):
+    df = spark.createDataFrame([(1, 10, "a"), (1, 20, "b"), (1, 20, "c"), (2, 10, "d")], "g int, b int, v string")
+    assert rows(joins.latest_batch_rows(df, "g", "b")) == [(1, 20, "b"), (1, 20, "c"), (2, 10, "d")]
+
+
+def test_asof_against_brute_force(spark):
+    rng = random.Random(5)
+    start = date(2000, 1, 1).toordinal()
+    day = lambda: date.fromordinal(start + rng.randrange(400))
+    rates = [(rng.randrange(4), day(), Decimal(rng.randrange(9999)) / 1000) for _ in range(60)]
+    facts = [(i, rng.choice([0, 1, 2, 3, 9, None]), rng.choice([day(), None])) for i in range(500)]
+    got = asof_lookup(
+        spark.createDataFrame(facts, "id int, k int, d date"),
+        spark.createDataFrame(rates, "rk int, valid_from date, tau decimal(5,3)"),
+        [("k", "rk")],
+        "d",
+        "valid_from",
+        "tau",
+    )
+    expected = []
+    for i, k, d in facts:
+        known = [r for r in rates if r[0] == k and d is not None and r[1] <= d]
+        last = [r for r in known if r[1] == max(x[1] for x in known)]
+        rc = 100 if not last else 0 if len(last) == 1 else -811
+        expected.append((i, last[0][2] if rc == 0 else None, rc))
+    assert rows(got.select("id", "tau", "rc")) == expected
+
+
+def test_fixed_lists_against_brute_force(spark):
+    rng = random.Random(7)
+    data = [(rng.choice([1, 1, 1, 2, 3]), rng.randrange(120), rng.choice([None, 0, 3, 21])) for _ in range(400)]
+    df = spark.createDataFrame(data, "k int, gar int, dec int")
+    items = {
+        "gars": F.col("gar").cast("string"),
+        "decs": F.coalesce(F.col("dec").cast("string"), F.lit("-")),
+    }
+    groups = defaultdict(list)
+    for k, gar, dec in data:
+        groups[k].append((gar, dec is None, dec or 0, dec))
+    expected = []
+    for k in sorted(groups):
+        chosen = sorted(groups[k], key=lambda r: r[:3])
+        gars = "".join(f"{r[0]}/" for r in chosen)[:20]
+        decs = "".join(f"{'-' if r[3] is None else r[3]}/" for r in chosen)[:20]
+        expected.append((k, gars, decs))
+    assert rows(collect.fixed_lists(df, ["k"], items, order.ascending("gar", "dec"))) == expected
+
+
+def test_fixed_lists_limit_groups_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    lists = collect.fixed_lists(df, ["k"], {"l": F.col("v").cast("string")}, order.ascending("v"))
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")  # WindowGroupLimit
+
+
+def test_pivot_and_flags(spark):
+    df = spark.createDataFrame([(1, 1, 5), (1, 1, 7), (1, 3, 2), (2, 4, 9)], "k int, o int, c int")
+    assert rows(collect.pivot_ordinals(df, ["k"], "o", "c", ["n1", "n2", "n3"])) == [(1, 7, 0, 2), (2, 0, 0, 0)]
+    flags = collect.group_flags(df, ["k"], {"big": F.col("c") > 8, "unknown": F.lit(None).cast("boolean")})
+    assert rows(flags) == [(1, False, False), (2, True, False)]
+
+
+@pytest.mark.parametrize("quantity", [0, 1, 7, 150, 299, 300, 5000, "*all"])
+def test_mark_first_marks_exactly_n(spark, quantity):
+    rng = random.Random(11)
+    keys = [rng.choice([1, 1, 2, 3, None]) for _ in range(300)]  # many equal rows
+    df = spark.createDataFrame([(k,) for k in keys], "k int").repartition(5)
+    marked = order.mark_first(df, quantity, order.ascending("k"), "first", Workspace(spark))
+    got = marked.collect()
+    n = 300 if quantity == "*all" else min(quantity, 300)
+    ordered = sorted(keys, key=lambda k: (k is None, k or 0))
+    assert len(got) == 300
+    assert sorted((r.k for r in got if r.first), key=lambda k: (k is None, k or 0)) == ordered[:n]
+
+
+def test_first_rows_beyond_the_heap(spark, monkeypatch):
+    monkeypatch.setattr(order, "HEAP_ROWS", 10)
+    df = spark.range(200).select((F.lit(199) - F.col("id")).alias("v")).repartition(4)
+    assert [r.v for r in order.first_rows(df, "25", order.ascending("v")).collect()] == list(range(25))
+
+
+def test_quantity_is_checked():
+    assert order.parse_quantity(" 12 ") == 12 and order.parse_quantity("*all") is None
+    for bad in ("", "12x", "-3", "123456789"):
+        with pytest.raises(ValueError):
+            order.parse_quantity(bad)
+
+
+def test_null_ranks_highest(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "v int")
+    assert [r.v for r in order.sorted_rows(df, order.ascending("v")).collect()] == [1, 2, None]
+    assert [r.v for r in order.sorted_rows(df, order.descending("v")).collect()] == [None, 2, 1]
+
+
+def test_update_keyed_skips_conflicts(spark):
+    table = spark.createDataFrame([(1, "a", 0), (1, "b", 0), (2, "a", 5), (3, "c", 6)], "k int, t string, v int")
+    changes = spark.createDataFrame([(1, 9), (1, 9), (2, 1), (2, None), (4, 4)], "k int, v int")
+    assert rows(change.update_keyed(table, changes, ["k"], ["v"])) == [(1, "a", 9), (1, "b", 9), (2, "a", 5), (3, "c", 6)]
+    assert rows(change.conflicting_changes(changes, ["k"], ["v"])) == [(2,)]
+
+
+def test_update_keyed_can_set_null(spark):
+    table = spark.createDataFrame([(1, 5)], "k int, v int")
+    changes = spark.createDataFrame([(1, None)], "k int, v int")
+    assert rows(change.update_keyed(table, changes, ["k"], ["v"])) == [(1, None)]
+
+
+def test_small_changes(spark):
+    df = spark.createDataFrame([(1, None, "N"), (2, 4, "O")], "k int, v int, f string")
+    assert rows(change.fill_null(df, "v", F.lit(7)))[0][1] == 7
+    assert rows(change.reset_null(df, "v"))[1][1] is None
+    assert rows(change.set_constant(df, "v", 99))[1][1] == 99
+    assert rows(change.copy_column(df, "k", "v"))[1][1] == 2
+    assert [r[2] for r in rows(change.mark_processed(df, "f"))] == ["O", "O"]
+    assert [r[2] for r in rows(change.mark_processed(df, "f", F.lit(False)))] == ["N", "O"]
+
+
+def test_update_from_table_leaves_unmatched_and_repeated(spark):
+    table = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "k int, v int")
+    src = spark.createDataFrame([(1, 8), (2, 8), (2, 9)], "k int, w int")
+    assert rows(change.update_from_table(table, src, [("k", "k")], "v", "w")) == [(1, 8), (2, 5), (3, 5)]
+
+
+def test_touch_changed(spark):
+    df = spark.createDataFrame([(1, datetime(2000, 1, 1)), (2, datetime(2000, 1, 1))], "k int, ts timestamp_ntz")
+    now = datetime(2020, 6, 3, 12)
+    got = rows(change.touch_changed(df, F.col("k") == 1, "ts", now))
+    assert got == [(1, now), (2, datetime(2000, 1, 1))]
+    assert change.touch_changed(df, F.lit(True), "ts").schema["ts"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_checks(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, None), (3, 9)], "k int, f int")
+    ref = spark.createDataFrame([(1,), (2,)], "r int")
+    assert rows(checks.repeated_keys(df, ["k"])) == [(1, 2)]
+    assert rows(checks.orphans(df, ref, [("f", "r")])) == [(3, 9)]
+    assert rows(checks.null_counts(df, ["k", "f"])) == [("f", 1), ("k", 0)]
+    assert rows(checks.exactly_one(df, F.col("f") == 1, ["k"])) == [(1, 1, True), (2, 0, False), (3, 0, False)]
+
+
+def test_summary_and_rejects(spark):
+    df = spark.createDataFrame([(1, "OK"), (2, "NO_LOAN"), (3, "AMBIGUOUS_LOAN")], "k int, status string")
+    assert rows(rejects.run_summary(df)) == [(3, 1, 2, "01")]
+    assert rows(rejects.run_summary(df.filter("k = 1"))) == [(1, 1, 0, "00")]
+    assert rows(rejects.run_summary(df.filter("k = 9"))) == [(0, 0, 0, "00")]
+    reasons = {"NO_LOAN": rejects.Reason("1", "row {k}!"), "AMBIGUOUS_LOAN": rejects.Reason("2", "row {k}", level="WARN")}
+    assert rows(rejects.rejects(df, "s", "k", reasons)) == [
+        ("s", "1", "*Other", "INFO", 2, "NO_LOAN: row 2!", 100),
+        ("s", "2", "*Other", "WARN", 3, "AMBIGUOUS_LOAN: row 3", -811),
+    ]
