@@ -68,5 +68,19 @@ def run_summary(df: DataFrame, status: str = "status") -> DataFrame:
     )
 
 
+def end_message(summary: DataFrame, step: str, code: str) -> DataFrame:
+    """The run's last log row: rows updated out of rows read, and 0 or 1 for a clean run or not."""
+    text = F.concat(F.lit("Nb de lignes MAJ = "), F.col("n_updated"), F.lit(" / "), F.col("n_read"))
+    return summary.select(
+        F.lit(step).alias("step"),
+        F.lit(code).alias("code"),
+        F.lit("*Other").alias("kind"),
+        F.lit("INFO").alias("level"),
+        F.lit(None).cast("bigint").alias("key"),
+        text.alias("message"),
+        F.col("level").cast("int").alias("rc"),
+    )
+
+
 def updated_per_key(df: DataFrame, key: str, status: str = "status") -> DataFrame:
     return df.groupBy(key).agg(F.count_if(F.col(status) == OK).alias("n_updated"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from amendry.sources.workspace import Workspace
@@ -32,21 +32,38 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST)
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], checks: dict[str, Check]) -> int:
-    """Write the tables, run the checks on what was written, then switch to them together."""
+def _locations(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Folders that make up the latest version of a table."""
+    named = _manifest(spark, root).filter(F.col("table_name") == table)
+    latest = named.withColumn("last", F.max("version").over(Window.partitionBy("table_name")))
+    return [r["location"] for r in latest.filter("version = last").orderBy("location").collect()]
+
+
+def publish(
+    spark: SparkSession,
+    root: str,
+    tables: dict[str, DataFrame],
+    checks: dict[str, Check],
+    added: dict[str, DataFrame] | None = None,
+) -> int:
+    """Write the tables, run the checks on what was written, then switch to them together.
+
+    `added` holds rows that join those already published instead of replacing them.
+    """
+    added = added or {}
     version = (_manifest(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     work = Workspace(spark, f"{root}/data")
-    written = {name: work.stage(df, name) for name, df in tables.items()}
+    written = {name: work.stage(df, name) for name, df in {**tables, **added}.items()}
     failed = [name for name, check in checks.items() if not check(written)]
     if failed:
         raise CheckFailed(f"version {version} not published: {', '.join(failed)}")
-    rows = [(name, work.path(name), version) for name in tables]
+    rows = [(name, work.path(name), version) for name in written]
+    rows += [(name, location, version) for name in added for location in _locations(spark, root, name)]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     return version
 
 
 def published(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The latest published version of a table, or None before the first."""
-    rows = _manifest(spark, root).filter(F.col("table_name") == table)
-    last = rows.orderBy(F.col("version").desc()).first()
-    return None if last is None else spark.read.parquet(last["location"])
+    locations = _locations(spark, root, table)
+    return spark.read.parquet(*locations) if locations else None

@@ -32,7 +32,6 @@ PREMIUM_TIER = [
     ("pacpro", "F_profil", "string", False, "Id utilisateur -> UserProfil (T4PUSR52)"),
 ]
 LAYOUTS = {"adh1h43pf": PREMIUM_HISTORY, "adh1pacpf": PREMIUM_TIER}
-TABLE_LABELS = {"adh1h43pf": "Historique chgt palier cotisation", "adh1pacpf": "Palier de cotisation"}
 
 # Long names known for columns of other tables.
 LONG_NAMES = {
@@ -44,12 +43,11 @@ LONG_NAMES = {
     "bqeptx": "F_idPays_Taxe",
 }
 
-# The work tables of the reconciliation.
+# The member table of the reconciliation.
 MEMBERS = (
     "compagnie int, kronoAdh bigint, numDemSR bigint, numObaSR bigint, garantie string, decisionSR string, "
     "decisionGDE string, rechercheAno string, correctionAno string, dateModif timestamp_ntz"
 )
-LATEST_DECISION = "derkroAdh bigint, derkroDec bigint"
 
 PROFILE_WIDTH = 10  # fixed value: CHAR(10)
 

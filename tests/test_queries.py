@@ -5,6 +5,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from amendry.plans import premium, reconcile
+from amendry.sources.views import Views
 from tests.compare import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -29,3 +31,21 @@ def test_entry_returns_rows(spark):
 def test_query_equals_sql(spark, con, name):
     problem = difference(spark, con, name, queries()[name], oracle_sql()[name], SF_DIR)
     assert problem is None or problem == f"{name}: no rows", problem
+
+
+def test_branches_reached_at_a_known_scale(spark):
+    """Row counts obtained independently in SQL for the test tables at scale 0.01."""
+    v = Views(spark, "/root/testdata/sf0.01")
+    job = premium.backfill_history(v.history(), v.movement(), v.loan(), v.bank(), v.rate())
+    assert dict(map(tuple, job.resolved.groupBy("status").count().collect())) == {
+        "OK": 15442, "NO_RATE": 3304, "NO_BANK": 489, "AMBIGUOUS_LOAN": 411, "NO_LOAN": 400
+    }
+    members = reconcile.list_members(v.member(), v.reference(), v.decision(), with_decision_only=False)
+    once = v.latest_pointer().distinct()
+    searched, _ = reconcile.find_anomalies(members, v.decision(), once, v.source_decision())
+    counts = searched.selectExpr(
+        "count(*)", "count_if(garantie is not null)", "count_if(correctionAno = 'N')",
+        "count_if(decisionSR = 'not found')", "count_if(decisionGDE = 'not found')",
+    )
+    assert tuple(counts.first()) == (1198, 640, 351, 146, 61)
+    assert premium.worklist_detail(v.tier(), v.priority()).count() == 3882
