@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amendry.operators.joins import Keys, guarded_join
@@ -10,9 +10,9 @@ from amendry.operators.joins import Keys, guarded_join
 
 def validity_intervals(ref: DataFrame, keys: list[str], start: str, value: str) -> DataFrame:
     """Half-open intervals [start, next start) per key; repeated (key, start) rows are counted."""
-    dated = ref.groupBy(*keys, start).agg(F.count(F.lit(1)).alias("_n"), F.max(value).alias(value))
-    following = F.lead(start).over(Window.partitionBy(*keys).orderBy(start))
-    return dated.select(*keys, F.col(start).alias("_from"), following.alias("_to"), "_n", value)
+    dated = ref.groupBy(*keys, start).agg(F.expr("count(1) as _n"), F.expr(f"max({value}) as {value}"))
+    following = f"lead({start}) over (partition by {', '.join(keys)} order by {start})"
+    return dated.selectExpr(*keys, f"{start} as _from", f"{following} as _to", "_n", value)
 
 
 def asof_lookup(
@@ -22,9 +22,9 @@ def asof_lookup(
     spans = validity_intervals(ref, [k for _, k in keys], start, value)
     in_force = f"`{day}` >= _from and (_to is null or `{day}` < _to)"
     joined = guarded_join(df, spans, keys, "left", in_force)
-    code = F.when(F.col("_n").isNull(), 100).when(F.col("_n") > 1, -811).otherwise(0)
-    return (
-        joined.withColumn(rc, code)
-        .withColumn(value, F.when(F.col(rc) == 0, F.col(value)))
-        .drop("_from", "_to", "_n")
-    )
+    return joined.withColumns(
+        {
+            rc: F.expr("case when _n is null then 100 when _n > 1 then -811 else 0 end"),
+            value: F.expr(f"case when _n = 1 then {value} end"),
+        }
+    ).drop("_from", "_to", "_n")

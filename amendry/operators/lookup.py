@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amendry.operators.joins import Keys, guarded_join
@@ -10,22 +10,14 @@ from amendry.operators.joins import Keys, guarded_join
 OK, NOT_FOUND, AMBIGUOUS = "OK", "NOT_FOUND", "AMBIGUOUS"
 
 
-def one_per_key(
-    ref: DataFrame, keys: list[str], cols: list[str], count: str, weight: Column | None = None
-) -> DataFrame:
+def one_per_key(ref: DataFrame, keys: list[str], cols: list[str], count: str, weight: str | None = None) -> DataFrame:
     """One row per key: how many rows carry it and, when exactly one does, its columns.
 
-    `weight` counts a row as several, for inputs whose copies were merged beforehand.
+    `weight` names a column that counts a row as several, for copies merged beforehand.
     """
-    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    grouped = ref.groupBy(*keys).agg(n.alias(count), *[F.max(c).alias(c) for c in cols])
-    unique = F.col(count) == 1
-    return grouped.select(*keys, count, *[F.when(unique, F.col(c)).alias(c) for c in cols])
-
-
-def lookup_status(count: Column) -> Column:
-    """Status of a lookup from the number of rows found (NULL means none)."""
-    return F.when(count.isNull() | (count == 0), NOT_FOUND).when(count > 1, AMBIGUOUS).otherwise(OK)
+    n = F.expr("count(1)" if weight is None else f"sum({weight})")
+    grouped = ref.groupBy(*keys).agg(n.alias(count), *[F.expr(f"max({c}) as {c}") for c in cols])
+    return grouped.selectExpr(*keys, count, *[f"case when {count} = 1 then {c} end as {c}" for c in cols])
 
 
 def checked_lookup(
@@ -34,9 +26,10 @@ def checked_lookup(
     keys: Keys,
     cols: list[str],
     status: str = "status",
-    weight: Column | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """df + cols + status: OK for one matching row, NOT_FOUND for none, AMBIGUOUS for more."""
     single = one_per_key(ref, [k for _, k in keys], cols, "_n", weight)
     joined = guarded_join(df, single, keys, "left")
-    return joined.withColumn(status, lookup_status(F.col("_n"))).drop("_n")
+    found = f"case when _n is null or _n = 0 then '{NOT_FOUND}' when _n > 1 then '{AMBIGUOUS}' else '{OK}' end"
+    return joined.withColumn(status, F.expr(found)).drop("_n")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amendry.functions.money import net_amount, tax_amount, tax_factor
@@ -155,7 +155,7 @@ def loan_context(loan: DataFrame, bank: DataFrame) -> DataFrame:
 def movement_loans(movement: DataFrame, loans: DataFrame, cols: list[str]) -> DataFrame:
     """Per movement: the loan it belongs to. Loan copies arrive as a count, so rows are never paired up."""
     joined = guarded_join(movement, loans, [("madkro", "prtkro")], "inner")
-    return one_per_key(joined, ["madkmv"], cols, "loan_n", weight=F.col("loan_n"))
+    return one_per_key(joined, ["madkmv"], cols, "loan_n", weight="loan_n")
 
 
 def movement_context(movement: DataFrame, loan: DataFrame, bank: DataFrame) -> DataFrame:
@@ -163,24 +163,22 @@ def movement_context(movement: DataFrame, loan: DataFrame, bank: DataFrame) -> D
     return movement_loans(movement, loan_context(loan, bank), ["prtcie", "prtdrt", "prtban", "bqeptx", "bank_n"])
 
 
-def rate_status() -> Column:
-    """First lookup of the chain loan -> bank -> rate that failed, or OK."""
-    return (
-        F.when(F.col("loan_n").isNull() | (F.col("loan_n") == 0), NO_LOAN)
-        .when(F.col("loan_n") > 1, AMBIGUOUS_LOAN)
-        .when(F.col("bank_n").isNull(), NO_BANK)
-        .when(F.col("bank_n") > 1, AMBIGUOUS_BANK)
-        .when(F.col("rc") == 100, NO_RATE)
-        .when(F.col("rc") != 0, AMBIGUOUS_RATE)
-        .otherwise(OK)
-    )
+# first lookup of the chain loan -> bank -> rate that failed, or OK
+RATE_STATUS = f"""case
+    when loan_n is null or loan_n = 0 then '{NO_LOAN}'
+    when loan_n > 1 then '{AMBIGUOUS_LOAN}'
+    when bank_n is null then '{NO_BANK}'
+    when bank_n > 1 then '{AMBIGUOUS_BANK}'
+    when rc = 100 then '{NO_RATE}'
+    when rc <> 0 then '{AMBIGUOUS_RATE}'
+    else '{OK}' end"""
 
 
 def with_rate(rows: DataFrame, rate: DataFrame, cover: str) -> DataFrame:
     """Add the tax rate in force on the loan's rate date, and the status of the whole chain."""
     keys = [("prtcie", "x_ciecode"), ("bqeptx", "f_idpays"), (cover, "taxgar")]
     rated = asof_lookup(rows, rate, keys, "prtdrt", "valid_from", "tau")
-    return rated.withColumn("status", rate_status())
+    return rated.withColumn("status", F.expr(RATE_STATUS))
 
 
 def backfill_history(
@@ -245,7 +243,7 @@ def bank_loan_context(loan: DataFrame, bank: DataFrame) -> DataFrame:
     banks = one_per_key(bank, ["bqeban"], ["bqeptx"], "bank_n")
     loans = loan.select("prtkro", "prtcie", "prtdrt", "prtban")
     joined = guarded_join(loans, banks, [("prtban", "bqeban")], "inner")
-    return one_per_key(joined, ["prtkro"], ["prtcie", "prtdrt", "bqeptx"], "loan_n", weight=F.col("bank_n"))
+    return one_per_key(joined, ["prtkro"], ["prtcie", "prtdrt", "bqeptx"], "loan_n", weight="bank_n")
 
 
 def split_net_tax(

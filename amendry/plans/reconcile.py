@@ -114,7 +114,7 @@ def compared_decisions(members: DataFrame, decision: DataFrame, pointer: DataFra
     latest = guarded_join(rows, batch, [("gdekro", "kronoAdh"), ("gdekrh", "_top")], "inner")
     cols = ["decdec", "decdat", "dectdp"]
     keys = [("numObaSR", "decoba"), ("gdegar", "decgar")]
-    looked = checked_lookup(latest, source_latest(pointer, source), keys, cols, "found", weight=F.col("copies"))
+    looked = checked_lookup(latest, source_latest(pointer, source), keys, cols, "found", weight="copies")
     gde, sr = F.coalesce("gdecdc", F.lit(0)), F.coalesce("dectdp", F.lit(0))
     return looked.withColumns(
         {

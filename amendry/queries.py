@@ -136,7 +136,7 @@ def decision_diff(v):
     """Decisions that differ from the OB's latest one in the reference system, NULL counting as 0."""
     source = reconcile.source_latest(v.latest_pointer(), v.source_decision())
     rows = v.decision().withColumn("oba", F.col("gdekro") + 3_000_000)
-    looked = checked_lookup(rows, source, [("oba", "decoba"), ("gdegar", "decgar")], ["dectdp"], weight=F.col("copies"))
+    looked = checked_lookup(rows, source, [("oba", "decoba"), ("gdegar", "decgar")], ["dectdp"], weight="copies")
     gde, sr = F.coalesce("gdecdc", F.lit(0)), F.coalesce("dectdp", F.lit(0))
     return looked.filter((F.col("status") == "OK") & (gde != sr)).select("gdekro", "gdekrh", "gdegar", "gdecdc", "dectdp")
 
@@ -200,7 +200,7 @@ def lookup_checked(v):
     todo = v.history().filter(F.col("h43tau").isNull()).select("h43kmv", "h43ggi")
     cols = ["prtcie", "prtban", "prtdrt"]
     loans = premium.movement_loans(v.movement(), one_per_key(v.loan(), ["prtkro"], cols, "loan_n"), cols)
-    return checked_lookup(todo, loans, [("h43kmv", "madkmv")], cols, weight=F.col("loan_n"))
+    return checked_lookup(todo, loans, [("h43kmv", "madkmv")], cols, weight="loan_n")
 
 
 @query

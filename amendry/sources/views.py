@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -20,14 +19,6 @@ OB_OFFSET = 3_000_000
 REQUEST_OFFSET = 2_000_000
 
 
-def _int(expr: str) -> Column:
-    return F.expr(f"cast({expr} as int)")
-
-
-def _money(name: str) -> Column:
-    return F.col(name).cast("decimal(11,2)")
-
-
 class Views:
     """Each method is one input table over the whole of its source tables."""
 
@@ -38,118 +29,110 @@ class Views:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def loan(self) -> DataFrame:
-        return self.source("orders").select(
-            F.col("o_orderkey").alias("prtkro"),
-            _int("o_custkey % 5").alias("prtcie"),
-            F.col("o_custkey").alias("prtban"),
-            F.to_date("o_orderdate").alias("prtdrt"),
-            F.expr("o_orderkey div 10").alias("prtnum"),
-            F.expr("o_orderkey % 10").alias("prtord"),
-            F.col("o_orderstatus").alias("prtres"),
-            F.col("o_orderpriority").alias("prtmot"),
+        return self.source("orders").selectExpr(
+            "o_orderkey as prtkro",
+            "cast(o_custkey % 5 as int) as prtcie",
+            "o_custkey as prtban",
+            "cast(o_orderdate as date) as prtdrt",
+            "o_orderkey div 10 as prtnum",
+            "o_orderkey % 10 as prtord",
+            "o_orderstatus as prtres",
+            "o_orderpriority as prtmot",
         )
 
     def bank(self) -> DataFrame:
+        """Every 40th bank is missing."""
         present = self.source("customer").filter("c_custkey % 40 <> 0")
-        return present.select(F.col("c_custkey").alias("bqeban"), F.col("c_nationkey").alias("bqeptx"))
+        return present.selectExpr("c_custkey as bqeban", "c_nationkey as bqeptx")
 
     def movement(self) -> DataFrame:
         """Some movements are missing, some occur twice."""
-        copies = F.expr("explode(case when o_orderkey % 50 = 1 then array(1, 2) else array(1) end)")
-        return (
-            self.source("orders")
-            .filter("o_orderkey % 50 <> 0")
-            .select("o_orderkey", copies.alias("copy"))
-            .select((F.col("o_orderkey") * 2).alias("madkmv"), F.col("o_orderkey").alias("madkro"))
+        copies = self.source("orders").selectExpr(
+            "o_orderkey", "explode(case when o_orderkey % 50 = 1 then array(1, 2) else array(1) end) as copy"
         )
+        return copies.filter("o_orderkey % 50 <> 0").selectExpr("o_orderkey * 2 as madkmv", "o_orderkey as madkro")
 
     def rate(self) -> DataFrame:
-        return (
+        """Three start dates per company, country and cover; cover 7 is missing for some countries."""
+        keys = (
             self.source("nation")
-            .select("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("cie"))
-            .select("*", F.explode(F.sequence(F.lit(1), F.lit(7))).alias("gar"))
+            .selectExpr("n_nationkey", "explode(sequence(0, 4)) as cie")
+            .selectExpr("*", "explode(sequence(1, 7)) as gar")
+            .selectExpr("*", "explode(sequence(1, 3)) as k")
             .filter("not (gar = 7 and n_nationkey % 5 = 0)")
-            .select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("k"))
-            .select(
-                F.col("cie").alias("x_ciecode"),
-                F.col("n_nationkey").alias("f_idpays"),
-                F.col("gar").alias("taxgar"),
-                F.expr("make_date(1994 + 2 * k, 1, 1)").alias("valid_from"),
-                F.expr("cast(((cie * 37 + n_nationkey * 61 + gar * 17 + k * 13) % 160) * 0.125 as decimal(5,3))").alias(
-                    "tau"
-                ),
-            )
+        )
+        return keys.selectExpr(
+            "cie as x_ciecode",
+            "n_nationkey as f_idpays",
+            "gar as taxgar",
+            "make_date(1994 + 2 * k, 1, 1) as valid_from",
+            "cast(((cie * 37 + n_nationkey * 61 + gar * 17 + k * 13) % 160) * 0.125 as decimal(5,3)) as tau",
         )
 
     def history(self) -> DataFrame:
-        return self.source("lineitem").select(
-            F.col("l_shipdate").alias("h43dmo"),
-            _money("l_extendedprice").alias("h43mpb"),
-            F.to_date("l_shipdate").alias("h43deb"),
-            F.col("l_linenumber").alias("h43nli"),
-            (F.col("l_orderkey") * 2).alias("h43kmv"),
-            F.col("l_linenumber").alias("h43ggi"),
-            F.expr("case when l_returnflag = 'R' then null else cast(l_tax * 100 as decimal(5,3)) end").alias("h43tau"),
-            F.expr("case when l_linestatus = 'O' then null else cast(l_quantity as decimal(11,2)) end").alias("h43mtx"),
-            _money("l_extendedprice").alias("h43mht"),
-            F.col("l_returnflag").alias("h43pro"),
+        return self.source("lineitem").selectExpr(
+            "l_shipdate as h43dmo",
+            "cast(l_extendedprice as decimal(11,2)) as h43mpb",
+            "cast(l_shipdate as date) as h43deb",
+            "l_linenumber as h43nli",
+            "l_orderkey * 2 as h43kmv",
+            "l_linenumber as h43ggi",
+            "case when l_returnflag = 'R' then null else cast(l_tax * 100 as decimal(5,3)) end as h43tau",
+            "case when l_linestatus = 'O' then null else cast(l_quantity as decimal(11,2)) end as h43mtx",
+            "cast(l_extendedprice as decimal(11,2)) as h43mht",
+            "l_returnflag as h43pro",
         )
 
     def tier(self) -> DataFrame:
         """Every 29th order's last covers have no amount."""
-        return self.source("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pacpac"),
-            F.expr(
-                "case when l_orderkey % 29 = 0 and l_linenumber >= 5 then null "
-                "else cast(l_extendedprice as decimal(11,2)) end"
-            ).alias("pacmpa"),
-            F.to_date("l_shipdate").alias("pacdep"),
-            F.col("l_shipdate").alias("pacdmo"),
-            F.col("l_orderkey").alias("packro"),
-            F.col("l_linenumber").alias("pacggi"),
-            F.expr("case when l_returnflag = 'R' then null else cast(l_tax * 100 as decimal(5,3)) end").alias("pactau"),
-            F.lit(None).cast("decimal(11,2)").alias("pacmtx"),
-            F.expr("case when l_linestatus = 'O' then null else cast(l_extendedprice as decimal(11,2)) end").alias(
-                "pacmht"
-            ),
-            F.col("l_returnflag").alias("pacpro"),
+        return self.source("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber as pacpac",
+            "case when l_orderkey % 29 = 0 and l_linenumber >= 5 then null "
+            "else cast(l_extendedprice as decimal(11,2)) end as pacmpa",
+            "cast(l_shipdate as date) as pacdep",
+            "l_shipdate as pacdmo",
+            "l_orderkey as packro",
+            "l_linenumber as pacggi",
+            "case when l_returnflag = 'R' then null else cast(l_tax * 100 as decimal(5,3)) end as pactau",
+            "cast(null as decimal(11,2)) as pacmtx",
+            "case when l_linestatus = 'O' then null else cast(l_extendedprice as decimal(11,2)) end as pacmht",
+            "l_returnflag as pacpro",
         )
 
     def priority(self) -> DataFrame:
         urgent = self.source("orders").filter("o_orderpriority in ('1-URGENT', '2-HIGH')")
-        return urgent.select(
-            F.col("o_orderkey").alias("idpret"),
-            F.expr("case when o_orderpriority = '1-URGENT' then 'N' else 'O' end").alias("traite"),
+        return urgent.selectExpr(
+            "o_orderkey as idpret", "case when o_orderpriority = '1-URGENT' then 'N' else 'O' end as traite"
         )
 
     def member(self) -> DataFrame:
-        return self.source("customer").select(
-            F.col("c_custkey").alias("adhkro"),
-            F.expr("c_nationkey % 3").alias("adhcie"),
-            F.expr("case when c_mktsegment = 'BUILDING' then 1 else 4 end").alias("adhcor"),
+        return self.source("customer").selectExpr(
+            "c_custkey as adhkro",
+            "c_nationkey % 3 as adhcie",
+            "case when c_mktsegment = 'BUILDING' then 1 else 4 end as adhcor",
         )
 
     def reference(self) -> DataFrame:
         """External reference text: request number, then the OB number or blanks; some have two."""
-        text = (
-            f"lpad(cast(c_custkey + {REQUEST_OFFSET} as string), 11, '0') || case when c_custkey % 33 = 0 then repeat(' ', 12) "
-            f"else ' ' || lpad(cast(c_custkey + {OB_OFFSET} as string), 11, '0') end || "
-            f"case when c_custkey % 47 = 5 then ' ' || lpad(cast(c_custkey + {OB_OFFSET} as string), 11, '0') else '' end"
+        ob = f"' ' || lpad(cast(c_custkey + {OB_OFFSET} as string), 11, '0')"
+        return self.source("customer").selectExpr(
+            "c_custkey as laekro",
+            f"lpad(cast(c_custkey + {REQUEST_OFFSET} as string), 11, '0') "
+            f"|| case when c_custkey % 33 = 0 then repeat(' ', 12) else {ob} end "
+            f"|| case when c_custkey % 47 = 5 then {ob} else '' end as laeref",
         )
-        return self.source("customer").select(F.col("c_custkey").alias("laekro"), F.expr(text).alias("laeref"))
 
     def decision(self) -> DataFrame:
         """Decisions of the corrected system: ties on the latest batch, some NULL."""
-        rows = self.source("orders").filter("o_custkey % 20 <> 0")
-        return rows.select(
-            F.col("o_custkey").alias("gdekro"),
-            (F.col("o_custkey") * 10000 + F.year("o_orderdate")).alias("gdekrh"),
-            _int("o_orderkey % 5").alias("gdegar"),
-            F.expr("case when o_orderkey % 7 = 0 then null else cast(o_orderkey % 4 as int) end").alias("gdecdc"),
-            F.expr("cast(date_format(o_orderdate, 'yyyyMMdd') as int)").alias("gdedec"),
-            _int("o_orderkey % 3").alias("gdecn1"),
-            F.lit(0).alias("gdecn2"),
-            F.lit(0).alias("gdecn3"),
+        return self.source("orders").filter("o_custkey % 20 <> 0").selectExpr(
+            "o_custkey as gdekro",
+            "o_custkey * 10000 + year(o_orderdate) as gdekrh",
+            "cast(o_orderkey % 5 as int) as gdegar",
+            "case when o_orderkey % 7 = 0 then null else cast(o_orderkey % 4 as int) end as gdecdc",
+            "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) as gdedec",
+            "cast(o_orderkey % 3 as int) as gdecn1",
+            "0 as gdecn2",
+            "0 as gdecn3",
         )
 
     def _source_decisions(self) -> DataFrame:
@@ -157,96 +140,85 @@ class Views:
 
     def source_decision(self) -> DataFrame:
         """Decisions of the reference system."""
-        return self._source_decisions().select(
-            F.col("o_orderkey").alias("decdec"),
-            (F.col("o_custkey") + OB_OFFSET).alias("decoba"),
-            _int("o_orderkey % 5").alias("decgar"),
-            F.expr("case when o_orderkey % 11 = 0 then null else cast(o_orderdate as date) end").alias("decdat"),
-            F.expr("case when o_orderkey % 9 = 0 then null else cast(o_orderkey % 4 as int) end").alias("dectdp"),
+        return self._source_decisions().selectExpr(
+            "o_orderkey as decdec",
+            f"o_custkey + {OB_OFFSET} as decoba",
+            "cast(o_orderkey % 5 as int) as decgar",
+            "case when o_orderkey % 11 = 0 then null else cast(o_orderdate as date) end as decdat",
+            "case when o_orderkey % 9 = 0 then null else cast(o_orderkey % 4 as int) end as dectdp",
         )
 
     def latest_pointer(self) -> DataFrame:
         """Latest decision per OB and cover; some pointers occur twice."""
-        latest = (
-            self._source_decisions()
-            .groupBy((F.col("o_custkey") + OB_OFFSET).alias("ddooba"), (F.col("o_orderkey") % 5).alias("gar"))
-            .agg(F.max("o_orderkey").alias("ddodec"))
+        orders = self._source_decisions().selectExpr(
+            "o_orderkey", f"o_custkey + {OB_OFFSET} as ddooba", "o_orderkey % 5 as gar"
+        )
+        latest = orders.groupBy("ddooba", "gar").max("o_orderkey").withColumnRenamed("max(o_orderkey)", "ddodec")
+        copies = latest.selectExpr(
+            "ddodec", "ddooba", "explode(case when ddodec % 97 = 0 then array(1, 2) else array(1) end) as copy"
         )
-        copies = F.expr("explode(case when ddodec % 97 = 0 then array(1, 2) else array(1) end)")
-        return latest.select("ddodec", "ddooba", copies.alias("copy")).drop("copy")
+        return copies.drop("copy")
 
     def exclusion(self) -> DataFrame:
-        joined = self.source("lineitem").join(self.source("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return joined.select(
-            F.col("l_orderkey").alias("excdec"),
-            _int("l_orderkey % 5").alias("excgar"),
-            (F.col("o_custkey") + OB_OFFSET).alias("excoba"),
-            F.col("l_linenumber").alias("excord"),
-            _int("l_partkey % 100").alias("exccod"),
+        orders = self.source("orders").selectExpr("o_orderkey as l_orderkey", "o_custkey")
+        return self.source("lineitem").join(orders, "l_orderkey").selectExpr(
+            "l_orderkey as excdec",
+            "cast(l_orderkey % 5 as int) as excgar",
+            f"o_custkey + {OB_OFFSET} as excoba",
+            "l_linenumber as excord",
+            "cast(l_partkey % 100 as int) as exccod",
         )
 
     def letter(self) -> DataFrame:
-        return self.source("orders").select(
-            F.col("o_orderkey").alias("corkro"),
-            F.expr("o_orderkey div 10").alias("cornum"),
-            F.expr("o_orderkey % 10").alias("corord"),
-            F.expr("case when o_orderpriority = '1-URGENT' then 250 else 100 end").alias("cornat"),
-            F.expr("case when o_orderstatus = 'O' then date '0001-01-01' else cast(o_orderdate as date) end").alias(
-                "cordte"
-            ),
-            F.expr("make_date(year(o_orderdate), 1, 1)").alias("cordat"),
+        return self.source("orders").selectExpr(
+            "o_orderkey as corkro",
+            "o_orderkey div 10 as cornum",
+            "o_orderkey % 10 as corord",
+            "case when o_orderpriority = '1-URGENT' then 250 else 100 end as cornat",
+            "case when o_orderstatus = 'O' then date '0001-01-01' else cast(o_orderdate as date) end as cordte",
+            "make_date(year(o_orderdate), 1, 1) as cordat",
         )
 
     def letter_followup(self) -> DataFrame:
         sent = self.source("lineitem").filter("l_returnflag = 'A'")
-        return sent.select(F.col("l_orderkey").alias("csukro")).distinct()
+        return sent.selectExpr("l_orderkey as csukro").distinct()
 
     def company(self) -> DataFrame:
         """Companies and their banks; some head rows (bank 0) are missing or repeated."""
-        return self.source("customer").select(
-            _int("c_custkey % 700").alias("ciecie"), _int("(c_custkey div 700) % 2").alias("cieban")
+        return self.source("customer").selectExpr(
+            "cast(c_custkey % 700 as int) as ciecie", "cast((c_custkey div 700) % 2 as int) as cieban"
         )
 
     def parameters(self) -> DataFrame:
         """Run parameters as typed by a caller, some of them invalid."""
-        return self.source("customer").select(
-            F.col("c_custkey").alias("prm_id"),
-            F.expr("element_at(array('*lst', '*ano', '*upd', '*del'), cast(c_custkey % 4 as int) + 1)").alias("option"),
-            F.expr(
-                "case when c_custkey % 5 = 0 then '    ' when c_custkey % 7 = 0 then 'A12 ' "
-                "else cast(c_custkey % 900 as string) end"
-            ).alias("compagnie"),
-            F.expr(
-                "case when c_custkey % 6 = 0 then '' when c_custkey % 11 = 0 then '12x' "
-                "else cast(c_custkey as string) end"
-            ).alias("quantite"),
+        return self.source("customer").selectExpr(
+            "c_custkey as prm_id",
+            "element_at(array('*lst', '*ano', '*upd', '*del'), cast(c_custkey % 4 as int) + 1) as option",
+            "case when c_custkey % 5 = 0 then '    ' when c_custkey % 7 = 0 then 'A12 ' "
+            "else cast(c_custkey % 900 as string) end as compagnie",
+            "case when c_custkey % 6 = 0 then '' when c_custkey % 11 = 0 then '12x' "
+            "else cast(c_custkey as string) end as quantite",
         )
 
     def employee(self) -> DataFrame:
-        return self.source("customer").select(
-            F.col("c_custkey").alias("empno"),
-            F.col("c_name").alias("lastname"),
-            F.col("c_mktsegment").alias("firstnme"),
-            F.expr(
-                "case when c_custkey % 50 = 0 then null "
-                "else date_add(date '1960-01-01', cast((c_custkey * 37) % 12000 as int)) end"
-            ).alias("birthdate"),
-            _money("c_acctbal").alias("salary"),
+        """Every 50th birth date is unknown."""
+        return self.source("customer").selectExpr(
+            "c_custkey as empno",
+            "c_name as lastname",
+            "c_mktsegment as firstnme",
+            "case when c_custkey % 50 = 0 then null "
+            "else date_add(date '1960-01-01', cast((c_custkey * 37) % 12000 as int)) end as birthdate",
+            "cast(c_acctbal as decimal(11,2)) as salary",
         )
 
     def wage(self) -> DataFrame:
         """Some employees have two wages."""
-        copies = F.expr("explode(case when s_suppkey % 50 = 7 then array(1, 2) else array(1) end)")
-        return (
-            self.source("supplier")
-            .select("s_suppkey", "s_acctbal", copies.alias("copy"))
-            .select(F.col("s_suppkey").alias("empno"), _money("s_acctbal").alias("salary"))
+        copies = self.source("supplier").selectExpr(
+            "s_suppkey as empno",
+            "cast(s_acctbal as decimal(11,2)) as salary",
+            "explode(case when s_suppkey % 50 = 7 then array(1, 2) else array(1) end) as copy",
         )
+        return copies.drop("copy")
 
     def log(self) -> DataFrame:
-        return self.source("events").select(
-            F.col("ts").alias("logdhe"),
-            F.col("event_type").alias("code"),
-            F.col("event_id").alias("key"),
-            F.col("value").alias("rc"),
-        )
+        return self.source("events").selectExpr("ts as logdhe", "event_type as code", "event_id as key", "value as rc")
