@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +18,11 @@ def fill_null(df: DataFrame, col: str, value: Column) -> DataFrame:
 
 def merged_changes(changes: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """One row per key, with `_conflict` set where its rows ask for different values."""
-    n = F.count(F.lit(1))
     differs = [
-        (F.min(c) != F.max(c)) | ((F.count(c) > 0) & (F.count(c) < n)) for c in cols
+        f"coalesce(min({c}) <> max({c}), false) or (count({c}) > 0 and count({c}) < count(1))" for c in cols
     ]
-    conflict = reduce(lambda a, b: a | b, [F.coalesce(d, F.lit(False)) for d in differs])
-    return changes.groupBy(*keys).agg(conflict.alias("_conflict"), *[F.max(c).alias(c) for c in cols])
+    conflict = F.expr(f"({' or '.join(differs)}) as _conflict")
+    return changes.groupBy(*keys).agg(conflict, *[F.expr(f"max({c}) as {c}") for c in cols])
 
 
 def conflicting_changes(changes: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -35,13 +32,11 @@ def conflicting_changes(changes: DataFrame, keys: list[str], cols: list[str]) ->
 def update_keyed(df: DataFrame, changes: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Set cols on every row whose key is in changes; conflicting keys are left as they are."""
     new = merged_changes(changes, keys, cols)
-    new = new.select(*keys, "_conflict", *[F.col(c).alias(f"_new_{c}") for c in cols])
+    new = new.selectExpr(*keys, "_conflict", *[f"{c} as _new_{c}" for c in cols])
     joined = guarded_join(df, new, [(k, k) for k in keys], "left")
-    apply = ~F.coalesce(F.col("_conflict"), F.lit(True))
-    values = {
-        c: F.when(apply, F.col(f"_new_{c}")).otherwise(F.col(c)).cast(df.schema[c].dataType) for c in cols
-    }
-    return joined.withColumns(values).select(*df.columns)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    updated = {c: f"cast(if(_conflict = false, _new_{c}, {c}) as {kinds[c]}) as {c}" for c in cols}
+    return joined.selectExpr(*[updated.get(c, c) for c in df.columns])
 
 
 def mark_processed(worklist: DataFrame, flag: str, processed: Column | None = None) -> DataFrame:

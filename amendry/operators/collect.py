@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def fixed_lists(
-    df: DataFrame, keys: list[str], items: dict[str, Column], order: list[Column], width: int = 20, sep: str = "/"
+    df: DataFrame, keys: list[str], items: dict[str, str], order: list[Column], width: int = 20, sep: str = "/"
 ) -> DataFrame:
     """Parallel delimited lists per key in one shared order, each cut to CHAR(width).
 
@@ -17,17 +17,15 @@ def fixed_lists(
     group therefore never reaches one task whole, and the lists are still exact.
     """
     shown = -(-width // (1 + len(sep)))
+    parts = ", ".join(f"{text} as {name}" for name, text in items.items())
     ranked = (
-        df.select(*keys, *[F.col(k) for k in df.columns if k not in keys])
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
         .filter(F.col("_rank") <= shown)
-        .select(*keys, F.struct("_rank", *[e.alias(n) for n, e in items.items()]).alias("_item"))
+        .select(*keys, F.expr(f"struct(_rank, {parts}) as _item"))
     )
     grouped = ranked.groupBy(*keys).agg(F.array_sort(F.collect_list("_item")).alias("_items"))
-    texts = [
-        F.substring(F.concat(F.concat_ws(sep, F.col(f"_items.{n}")), F.lit(sep)), 1, width).alias(n) for n in items
-    ]
-    return grouped.select(*keys, *texts)
+    texts = [f"substring(concat_ws('{sep}', _items.{n}) || '{sep}', 1, {width}) as {n}" for n in items]
+    return grouped.selectExpr(*keys, *texts)
 
 
 def pivot_ordinals(
@@ -35,14 +33,14 @@ def pivot_ordinals(
 ) -> DataFrame:
     """Ordinals 1..n into n columns (0 when absent, highest value when repeated), others ignored."""
     slots = [
-        F.coalesce(F.max(F.when(F.col(ordinal) == i, F.col(value))), F.lit(0)).cast("int").alias(n)
-        for i, n in enumerate(names, start=1)
+        f"cast(coalesce(max(if({ordinal} = {i}, {value}, null)), 0) as int) as {name}"
+        for i, name in enumerate(names, start=1)
     ]
-    return df.groupBy(*keys).agg(*slots)
+    return df.groupBy(*keys).agg(*[F.expr(slot) for slot in slots])
 
 
-def group_flags(df: DataFrame, keys: list[str], flags: dict[str, Column]) -> DataFrame:
+def group_flags(df: DataFrame, keys: list[str], flags: dict[str, str]) -> DataFrame:
     """Per key, whether any row meets each condition (an unknown condition counts as false)."""
     return df.groupBy(*keys).agg(
-        *[F.bool_or(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in flags.items()]
+        *[F.expr(f"bool_or(coalesce({condition}, false)) as {name}") for name, condition in flags.items()]
     )

@@ -7,8 +7,9 @@ step is a function from tables to tables.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amendry.functions.dates import clock, date8_or_zero
@@ -36,7 +37,9 @@ DECISION_REASON = Reason(
 )
 PARAMETER_CODE = "001227"
 
-CHANGED = ["gdedec", "gdecdc", "gdecn1", "gdecn2", "gdecn3"]
+CODES = ["gdecn1", "gdecn2", "gdecn3"]
+CHANGED = ["gdedec", "gdecdc", *CODES]
+MEMBER_COLUMNS = [column.split()[0] for column in MEMBERS.split(", ")]
 
 
 def check_parameters(params: DataFrame, company: DataFrame) -> DataFrame:
@@ -115,59 +118,69 @@ def compared_decisions(members: DataFrame, decision: DataFrame, pointer: DataFra
     cols = ["decdec", "decdat", "dectdp"]
     keys = [("numObaSR", "decoba"), ("gdegar", "decgar")]
     looked = checked_lookup(latest, source_latest(pointer, source), keys, cols, "found", weight="copies")
-    gde, sr = F.coalesce("gdecdc", F.lit(0)), F.coalesce("dectdp", F.lit(0))
-    return looked.withColumns(
-        {
-            "gdecdc": gde,
-            "dectdp": F.when(F.col("found") == OK, sr),
-            "differs": F.coalesce((F.col("found") == OK) & (gde != sr), F.lit(False)),
-        }
+    looked = looked.selectExpr(
+        "gdekro", "numObaSR", "gdegar", "found", "decdec", "decdat",
+        "coalesce(gdecdc, 0) as gdecdc",
+        f"case when found = '{OK}' then coalesce(dectdp, 0) end as dectdp",
     )
+    return looked.withColumn("differs", F.expr(f"found = '{OK}' and gdecdc <> dectdp"))
 
 
-def member_flags(compared: DataFrame, corrected: Column) -> DataFrame:
-    """Per member: any decision here, any in the reference system, any to list, any to correct."""
-    found = F.col("found") == OK
-    listed = F.col("differs") | (F.col("found") == NOT_FOUND)
-    flags = {"gde_found": F.lit(True), "sr_found": found, "any_listed": listed, "any_corrected": corrected}
-    return group_flags(compared, ["gdekro"], flags)
+# covers to list: a difference, or none found there
+TO_LIST = f"(differs or found = '{NOT_FOUND}')"
+# covers whose decision must change: a difference, or a decision the reference system lacks
+TO_CORRECT = f"(differs or (found = '{NOT_FOUND}' and gdecdc <> 0))"
 
 
-def to_correct() -> Column:
-    """Covers whose decision must change: a difference, or a decision the reference system lacks."""
-    return F.col("differs") | ((F.col("found") == NOT_FOUND) & (F.col("gdecdc") != 0))
+def member_flags(compared: DataFrame) -> DataFrame:
+    """Per member: any decision here, any in the reference system, any to list, any to correct."""
+    flags = {
+        "gde_found": "true",
+        "sr_found": f"found = '{OK}'",
+        "any_listed": TO_LIST,
+        "any_corrected": TO_CORRECT,
+    }
+    return group_flags(compared, ["gdekro"], flags)
 
 
 def update_status(members: DataFrame, step: str, as_of: datetime | None = None) -> DataFrame:
     """Four-way member status from the flags beside it; NULL flags mean that no decision was found."""
-    gde, sr = F.coalesce("gde_found", F.lit(False)), F.coalesce("sr_found", F.lit(False))
-    missing_gde, missing_sr, both = ~gde, gde & ~sr, gde & sr
-
-    def put(name: str, *cases: tuple[Column, object]) -> Column:
-        value = F.col(name)
-        for condition, new in cases:
-            value = F.when(condition, new).otherwise(value)
-        return value.cast(members.schema[name].dataType)
-
+    no_gde = "not coalesce(gde_found, false)"
+    no_sr = f"(not {no_gde} and not sr_found)"
+    both = "coalesce(gde_found and sr_found, false)"
+    absent = f"'{NOT_FOUND_TEXT}'"
     if step == FIND_STEP:
-        anomaly = both & F.col("any_listed")
+        anomaly = f"({both} and any_listed)"
         values = {
-            "garantie": put("garantie", (anomaly, F.col("_garantie"))),
-            "decisionSR": put("decisionSR", (anomaly, F.col("_sr")), (missing_sr, F.lit(NOT_FOUND_TEXT))),
-            "decisionGDE": put("decisionGDE", (anomaly, F.col("_gde")), (missing_gde, F.lit(NOT_FOUND_TEXT))),
-            "rechercheAno": F.when(both, "O").otherwise("N"),
-            "correctionAno": put("correctionAno", (both & ~F.col("any_listed"), F.lit("N"))),
+            "garantie": f"if({anomaly}, _garantie, garantie)",
+            "decisionSR": f"case when {no_sr} then {absent} when {anomaly} then _sr else decisionSR end",
+            "decisionGDE": f"case when {no_gde} then {absent} when {anomaly} then _gde else decisionGDE end",
+            "rechercheAno": f"if({both}, 'O', 'N')",
+            "correctionAno": f"if({both} and not any_listed, 'N', correctionAno)",
         }
     else:
-        corrected = both & F.col("any_corrected")
+        corrected = f"({both} and any_corrected)"
+        members = members.withColumn("_now", clock(as_of))
         values = {
-            "decisionSR": put("decisionSR", (missing_sr, F.lit(NOT_FOUND_TEXT))),
-            "decisionGDE": put("decisionGDE", (missing_gde, F.lit(NOT_FOUND_TEXT))),
-            "rechercheAno": put("rechercheAno", (~both, F.lit("N"))),
-            "correctionAno": put("correctionAno", (corrected, F.lit("O"))),
-            "dateModif": put("dateModif", (corrected, clock(as_of))),
+            "decisionSR": f"if({no_sr}, {absent}, decisionSR)",
+            "decisionGDE": f"if({no_gde}, {absent}, decisionGDE)",
+            "rechercheAno": f"if({both}, rechercheAno, 'N')",
+            "correctionAno": f"if({corrected}, 'O', correctionAno)",
+            "dateModif": f"if({corrected}, _now, dateModif)",
         }
-    return members.withColumns(values)
+    return members.selectExpr(*[f"{values.get(c, c)} as {c}" for c in MEMBER_COLUMNS])
+
+
+class AnomalySearch:
+    """Members with lists and status, and the decisions that were not found, built on first use."""
+
+    def __init__(self, members: DataFrame, compared: DataFrame):
+        self.members, self.compared = members, compared
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        reasons = {NOT_FOUND: DECISION_REASON, AMBIGUOUS: DECISION_REASON}
+        return rejects(self.compared, "find_anomalies", "gdekro", reasons, "found")
 
 
 def find_anomalies(
@@ -177,55 +190,44 @@ def find_anomalies(
     source: DataFrame,
     limit: int | str = ALL,
     work: Workspace | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Search the members not searched yet; returns the members with lists and status, and the rejects."""
-    columns = members.columns
-    todo = members.filter(F.col("rechercheAno").isNull())
-    rest = members.filter(F.col("rechercheAno").isNotNull())
+) -> AnomalySearch:
+    """Search the members not searched yet."""
+    todo = members.filter("rechercheAno is null")
+    rest = members.filter("rechercheAno is not null")
     if parse_quantity(limit) is not None:
         work = work or Workspace(members.sparkSession)
         marked = mark_first(todo, limit, ascending("kronoAdh", "numObaSR"), "_picked", work)
-        todo = marked.filter("_picked").select(*columns)
-        rest = rest.unionByName(marked.filter("not _picked").select(*columns))
+        todo = marked.filter("_picked").drop("_picked")
+        rest = rest.unionByName(marked.filter("not _picked").drop("_picked"))
     compared = compared_decisions(todo, decision, pointer, source)
     if work is not None:
         compared = work.stage(compared, "compared")
-    flags = member_flags(compared, to_correct())
-    listed = compared.filter(F.col("differs") | (F.col("found") == NOT_FOUND))
     items = {
-        "_garantie": F.col("gdegar").cast("string"),
-        "_sr": F.coalesce(F.col("dectdp").cast("string"), F.lit(ABSENT)),
-        "_gde": F.col("gdecdc").cast("string"),
+        "_garantie": "cast(gdegar as string)",
+        "_sr": f"coalesce(cast(dectdp as string), '{ABSENT}')",
+        "_gde": "cast(gdecdc as string)",
     }
-    lists = fixed_lists(listed, ["gdekro"], items, ascending("gdegar", "dectdp", "gdecdc"), LIST_WIDTH)
-    details = flags.join(lists, "gdekro", "left")
+    order = ascending("gdegar", "dectdp", "gdecdc")
+    lists = fixed_lists(compared.filter(TO_LIST), ["gdekro"], items, order, LIST_WIDTH)
+    details = member_flags(compared).join(lists, "gdekro", "left")
     searched = update_status(guarded_join(todo, details, [("kronoAdh", "gdekro")], "left"), FIND_STEP)
-    return rest.unionByName(searched.select(*columns)), rejected_decisions(compared)
-
-
-def rejected_decisions(compared: DataFrame) -> DataFrame:
-    reasons = {NOT_FOUND: DECISION_REASON, AMBIGUOUS: DECISION_REASON}
-    return rejects(compared, "find_anomalies", "gdekro", reasons, "found")
+    return AnomalySearch(rest.unionByName(searched), compared)
 
 
 def exclusion_codes(exclusion: DataFrame) -> DataFrame:
     """Exclusions 1 to 3 of each (decision, cover, OB) as three columns."""
-    return pivot_ordinals(
-        exclusion, ["excdec", "excgar", "excoba"], "excord", "exccod", ["gdecn1", "gdecn2", "gdecn3"]
-    )
+    return pivot_ordinals(exclusion, ["excdec", "excgar", "excoba"], "excord", "exccod", CODES)
 
 
 def decision_changes(compared: DataFrame, exclusion: DataFrame) -> DataFrame:
     """New values per (member, cover): the reference system's decision, or zeros where it has none."""
-    wrong = compared.filter(to_correct())
     keys = [("decdec", "excdec"), ("gdegar", "excgar"), ("numObaSR", "excoba")]
-    coded = guarded_join(wrong, exclusion_codes(exclusion), keys, "left")
+    coded = guarded_join(compared.filter(TO_CORRECT), exclusion_codes(exclusion), keys, "left")
     return coded.select(
         "gdekro",
         "gdegar",
         date8_or_zero(F.col("decdat")).alias("gdedec"),
-        F.coalesce("dectdp", F.lit(0)).alias("gdecdc"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("gdecn1", "gdecn2", "gdecn3")],
+        *[F.expr(f"coalesce({c}, 0) as {n}") for c, n in [("dectdp", "gdecdc"), *zip(CODES, CODES)]],
     )
 
 
@@ -243,16 +245,14 @@ def correct_anomalies(
 
     A correction applies to every row of the member and cover, not only to the latest batch.
     """
-    flagged = F.col("garantie").isNotNull() & (F.col("rechercheAno") == "O") & F.col("correctionAno").isNull()
+    flagged = "garantie is not null and rechercheAno = 'O' and correctionAno is null"
     if company is not None:
-        flagged = flagged & (F.col("compagnie") == company)
-    flagged = F.coalesce(flagged, F.lit(False))
-    todo, rest = members.filter(flagged), members.filter(~flagged)
+        flagged += f" and compagnie = {int(company)}"
+    flagged = f"coalesce({flagged}, false)"
+    todo, rest = members.filter(flagged), members.filter(f"not {flagged}")
     compared = compared_decisions(todo, decision, pointer, source)
     if work is not None:
         compared = work.stage(compared, "corrected")
-    changes = decision_changes(compared, exclusion)
-    corrected = change.update_keyed(decision, changes, ["gdekro", "gdegar"], CHANGED)
-    flags = member_flags(compared, to_correct())
-    done = update_status(guarded_join(todo, flags, [("kronoAdh", "gdekro")], "left"), CORRECT_STEP, as_of)
-    return corrected, rest.unionByName(done.select(*members.columns))
+    corrected = change.update_keyed(decision, decision_changes(compared, exclusion), ["gdekro", "gdegar"], CHANGED)
+    beside = guarded_join(todo, member_flags(compared), [("kronoAdh", "gdekro")], "left")
+    return corrected, rest.unionByName(update_status(beside, CORRECT_STEP, as_of))

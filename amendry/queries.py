@@ -246,18 +246,13 @@ def group_max(v):
     return joins.group_max(v.decision(), "gdekro", "gdekrh", "derkroDec")
 
 
-def _compared(v):
-    members = reconcile.list_members(v.member(), v.reference(), v.decision())
-    return reconcile.compared_decisions(members, v.decision(), v.latest_pointer(), v.source_decision())
-
-
 @query
 def list_agg_fixed(v):
     """Covers, decisions and batch years of each member as three parallel CHAR(20) lists."""
     items = {
-        "covers": F.col("gdegar").cast("string"),
-        "decisions": F.coalesce(F.col("gdecdc").cast("string"), F.lit("-")),
-        "batches": (F.col("gdekrh") % 10000).cast("string"),
+        "covers": "cast(gdegar as string)",
+        "decisions": "coalesce(cast(gdecdc as string), '-')",
+        "batches": "cast(gdekrh % 10000 as string)",
     }
     return collect.fixed_lists(v.decision(), ["gdekro"], items, order.ascending("gdegar", "gdecdc", "gdekrh"))
 
@@ -270,9 +265,9 @@ def pivot_exclusions(v):
 @query
 def group_flags(v):
     flags = {
-        "any_null": F.col("gdecdc").isNull(),
-        "any_refused": F.col("gdecdc") == 3,
-        "any_cover_zero": F.col("gdegar") == 0,
+        "any_null": "gdecdc is null",
+        "any_refused": "gdecdc = 3",
+        "any_cover_zero": "gdegar = 0",
     }
     return collect.group_flags(v.decision(), ["gdekro"], flags)
 
@@ -358,8 +353,7 @@ def status_update(v):
     """Status of every member from its decisions, including members without any."""
     members = reconcile.list_members(v.member(), v.reference(), v.decision(), with_decision_only=False)
     flags = reconcile.member_flags(
-        reconcile.compared_decisions(members, v.decision(), v.latest_pointer(), v.source_decision()),
-        reconcile.to_correct(),
+        reconcile.compared_decisions(members, v.decision(), v.latest_pointer(), v.source_decision())
     )
     both = joins.guarded_join(members, flags, [("kronoAdh", "gdekro")], "left")
     return reconcile.update_status(both, reconcile.CORRECT_STEP, AS_OF).select(
@@ -526,7 +520,7 @@ def _members(v, work):
 
 def _correct_job(v):
     work = Workspace(v.spark)
-    searched = work.stage(_members(v, work)[0], "searched")
+    searched = work.stage(_members(v, work).members, "searched")
     return reconcile.correct_anomalies(
         searched, v.decision(), v.latest_pointer(), v.source_decision(), v.exclusion(), as_of=AS_OF, work=work
     )
@@ -597,14 +591,14 @@ def job_latest_decisions(v):
 
 @query
 def job_find_anomalies(v):
-    return _members(v, Workspace(v.spark))[0].select(
+    return _members(v, Workspace(v.spark)).members.select(
         "kronoAdh", "numObaSR", "garantie", "decisionSR", "decisionGDE", "rechercheAno", "correctionAno"
     )
 
 
 @query
 def job_find_anomalies_rejects(v):
-    return _members(v, Workspace(v.spark))[1]
+    return _members(v, Workspace(v.spark)).rejects
 
 
 @query

@@ -117,9 +117,9 @@ class Run:
     def find_anomalies(self) -> int:
         self.check_parameters("find_anomalies")
         inputs = self.tables("adhgde2", "p0egdepf", "sri1ddopf", "p0mdecpf")
-        members, rejected = reconcile.find_anomalies(*inputs, limit=self.quantity, work=self.work)
-        version = self.publish({"adhgde2": members}, ["adhgde2"])
-        self.log(rejected)
+        search = reconcile.find_anomalies(*inputs, limit=self.quantity, work=self.work)
+        version = self.publish({"adhgde2": search.members}, ["adhgde2"])
+        self.log(search.rejects)
         return version
 
     def correct_anomalies(self) -> int:

@@ -73,8 +73,8 @@ def test_fixed_lists_against_brute_force(spark):
     data = [(rng.choice([1, 1, 1, 2, 3]), rng.randrange(120), rng.choice([None, 0, 3, 21])) for _ in range(400)]
     df = spark.createDataFrame(data, "k int, gar int, dec int")
     items = {
-        "gars": F.col("gar").cast("string"),
-        "decs": F.coalesce(F.col("dec").cast("string"), F.lit("-")),
+        "gars": "cast(gar as string)",
+        "decs": "coalesce(cast(dec as string), '-')",
     }
     groups = defaultdict(list)
     for k, gar, dec in data:
@@ -90,7 +90,7 @@ def test_fixed_lists_against_brute_force(spark):
 
 def test_fixed_lists_limit_groups_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-    lists = collect.fixed_lists(df, ["k"], {"l": F.col("v").cast("string")}, order.ascending("v"))
+    lists = collect.fixed_lists(df, ["k"], {"l": "cast(v as string)"}, order.ascending("v"))
     plan = lists._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")  # WindowGroupLimit
 
@@ -98,7 +98,7 @@ def test_fixed_lists_limit_groups_before_the_shuffle(spark):
 def test_pivot_and_flags(spark):
     df = spark.createDataFrame([(1, 1, 5), (1, 1, 7), (1, 3, 2), (2, 4, 9)], "k int, o int, c int")
     assert rows(collect.pivot_ordinals(df, ["k"], "o", "c", ["n1", "n2", "n3"])) == [(1, 7, 0, 2), (2, 0, 0, 0)]
-    flags = collect.group_flags(df, ["k"], {"big": F.col("c") > 8, "unknown": F.lit(None).cast("boolean")})
+    flags = collect.group_flags(df, ["k"], {"big": "c > 8", "unknown": "cast(null as boolean)"})
     assert rows(flags) == [(1, False, False), (2, True, False)]
 
 

@@ -42,8 +42,8 @@ def test_branches_reached_at_a_known_scale(spark):
     }
     members = reconcile.list_members(v.member(), v.reference(), v.decision(), with_decision_only=False)
     once = v.latest_pointer().distinct()
-    searched, _ = reconcile.find_anomalies(members, v.decision(), once, v.source_decision())
-    counts = searched.selectExpr(
+    search = reconcile.find_anomalies(members, v.decision(), once, v.source_decision())
+    counts = search.members.selectExpr(
         "count(*)", "count_if(garantie is not null)", "count_if(correctionAno = 'N')",
         "count_if(decisionSR = 'not found')", "count_if(decisionGDE = 'not found')",
     )

@@ -66,7 +66,8 @@ def members(data):
 
 
 def search(members, data, **options):
-    return reconcile.find_anomalies(members, data["decision"], data["pointer"], data["source"], **options)
+    found = reconcile.find_anomalies(members, data["decision"], data["pointer"], data["source"], **options)
+    return found.members, found.rejects
 
 
 def correct(members, data, **options):
