@@ -2,11 +2,13 @@
 
 A lookup side built by an aggregation is already partitioned by the join key, so
 Spark would join it in the aggregation's own stage, where adaptive skew handling
-cannot split a hot partition of the other side. `guarded_join` adds a second
-equi-key computed from the first. Results are unchanged, but each side then enters
-the join straight from its own exchange, and a hot key's rows are split over many
-tasks at run time. No side carries a broadcast hint: Spark broadcasts one only when
-its estimated or measured size is below `spark.sql.autoBroadcastJoinThreshold`.
+cannot split a hot partition of the other side. `guarded_join` compares the
+complements of an integral key instead (~a = ~b holds exactly when a = b), which no
+earlier partitioning satisfies. Each side then enters the join straight from its own
+exchange, and a hot key's rows are split over many tasks at run time, also when the
+result is grouped by the key afterwards. No side carries a broadcast hint: Spark
+broadcasts one only when its estimated or measured size is below
+`spark.sql.autoBroadcastJoinThreshold`.
 """
 
 from __future__ import annotations
@@ -18,29 +20,37 @@ from pyspark.sql import types as T
 Keys = list[tuple[str, str]]
 
 
-def _guard(df: DataFrame, names: list[str]) -> str:
-    # int and bigint hash differently, so integral keys are widened first
-    wide = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
-    keys = ", ".join(f"cast(`{n}` as bigint)" if n in wide else f"`{n}`" for n in names)
-    return f"xxhash64({keys}) & 65535"
+def _types(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def _tests(left: DataFrame, right: DataFrame, keys: Keys) -> list[str]:
+    """Equality of every key, one of them guarded; right keys are named _right_0, _right_1, ..."""
+    types = [(_types(left)[l], _types(right)[r]) for l, r in keys]
+    integral = [i for i, pair in enumerate(types) if all(isinstance(t, T.IntegralType) for t in pair)]
+    sign = ["~" if i == min(integral, default=None) else "" for i in range(len(keys))]
+    tests = [f"{sign[i]}`{l}` = {sign[i]}_right_{i}" for i, (l, _) in enumerate(keys)]
+    if not integral:  # a hash guards other keys; it is comparable only between equal types
+        if any(a != b for a, b in types):
+            raise TypeError(f"keys of different types: {keys}")
+        own = ", ".join(f"`{l}`" for l, _ in keys)
+        other = ", ".join(f"_right_{i}" for i in range(len(keys)))
+        tests.append(f"xxhash64({own}) = xxhash64({other})")
+    return tests
 
 
 def guarded_join(
     left: DataFrame, right: DataFrame, keys: Keys, how: str = "left", condition: str | None = None
 ) -> DataFrame:
     """Join left to a right side holding few rows per key; right key columns are dropped."""
-    lkeys, rkeys = [k for k, _ in keys], [k for _, k in keys]
-    l = left.withColumn("_left_guard", F.expr(_guard(left, lkeys)))
-    r = right.selectExpr(
-        f"{_guard(right, rkeys)} as _right_guard",
+    rkeys = [k for _, k in keys]
+    renamed = right.selectExpr(
         *[f"`{k}` as _right_{i}" for i, k in enumerate(rkeys)],
         *[f"`{c}`" for c in right.columns if c not in rkeys],
     )
-    tests = [f"`{k}` = _right_{i}" for i, k in enumerate(lkeys)] + ["_left_guard = _right_guard"]
-    if condition is not None:
-        tests.append(f"({condition})")
-    joined = l.join(r, F.expr(" and ".join(tests)), how)
-    return joined.drop("_left_guard", "_right_guard", *[f"_right_{i}" for i in range(len(keys))])
+    tests = _tests(left, right, keys) + ([f"({condition})"] if condition else [])
+    joined = left.join(renamed, F.expr(" and ".join(tests)), how)
+    return joined.drop(*[f"_right_{i}" for i in range(len(keys))])
 
 
 def having_match(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:

@@ -33,6 +33,20 @@ def test_lookup_finds_a_row_whose_value_is_null(spark):
     assert rows(checked_lookup(facts, ref, [("k", "r")], ["v"])) == [(1, None, "OK")]
 
 
+@pytest.mark.parametrize("kind", ["string", "decimal(11,0)", "tinyint", "bigint"])
+def test_guarded_join_on_other_key_types(spark, kind):
+    left = spark.sql(f"select cast(k as {kind}) k, i from values (1, 0), (-1, 1), (null, 2), (7, 3) as t(k, i)")
+    right = spark.sql(f"select cast(k as {kind}) r, 'x' || k as v from values (1), (-1), (null), (8) as t(k)")
+    joined = joins.guarded_join(left, right, [("k", "r")]).select("i", "v")
+    assert rows(joined) == [(0, "x1"), (1, "x-1"), (2, None), (3, None)]
+
+
+def test_guarded_join_refuses_unlike_keys(spark):
+    left, right = spark.sql("select '1' k"), spark.sql("select 1 r")
+    with pytest.raises(TypeError):
+        joins.guarded_join(left, right, [("k", "r")])
+
+
 def test_exists_and_anti_keep_left_rows_once(spark):
     left = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, v string")
     right = spark.createDataFrame([(1,), (1,), (None,)], "r int")

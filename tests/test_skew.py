@@ -46,7 +46,7 @@ def joins_of(df):
 
 
 def is_split(df, key):
-    return any("SortMergeJoin(skew=true) [" + key in line for line in joins_of(df))
+    return any(f"SortMergeJoin(skew=true) [~{key}#" in line for line in joins_of(df))
 
 
 def test_history_join_splits_the_hot_movement(views):
