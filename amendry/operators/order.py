@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from amendry.sources.workspace import Workspace
 
 ALL = "*all"  # fixed value: no limit
-HEAP_ROWS = 100_000
+HEAP_ROWS = 1_000  # every task of the first stage may send this many rows to the last one
 
 
 def ascending(*names: str) -> list[Column]:
@@ -30,8 +30,13 @@ def parse_quantity(quantity: int | str) -> int | None:
 
 
 def sorted_rows(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Global sort. Scan position closes the order, so rows with equal keys can span partitions."""
-    return df.withColumn("_scan", F.monotonically_increasing_id()).orderBy(*order, "_scan").drop("_scan")
+    """Global sort in which rows with equal keys, and copies of one row, can span range partitions.
+
+    A hash of the row and the partition it comes from close the order. Both are the same
+    when a task is repeated, unlike a row's position, so a retry neither loses nor doubles rows.
+    """
+    ties = {"_hash": F.xxhash64(*df.columns), "_part": F.spark_partition_id()}
+    return df.withColumns(ties).orderBy(*order, "_hash", "_part").drop("_hash", "_part")
 
 
 def first_rows(df: DataFrame, quantity: int | str, order: list[Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amendry.functions import dates, money, text
-from amendry.operators import change, checks, collect, joins, order, rejects
+from amendry.operators import change, checks, collect, joins, order
 from amendry.operators.asof import asof_lookup
 from amendry.operators.lookup import checked_lookup, one_per_key
 from amendry.plans import premium, reconcile, samples
@@ -453,33 +453,40 @@ def fn_date8(v):
 
 @query
 def fn_to_date(v):
-    return v.log().select("key", F.to_date("logdhe").alias("day"), F.to_date(F.date_format("logdhe", "yyyy-MM-dd")).alias("parsed"))
+    parsed = F.to_date(F.date_format("logdhe", "yyyy-MM-dd"))
+    return v.log().select("key", F.to_date("logdhe").alias("day"), parsed.alias("parsed"))
+
+
+def _finer(rate: str, key: str):
+    """A rate with non-zero thousandths, which truncation and rounding treat differently."""
+    return F.expr(f"cast({rate} + cast(({key} % 1000) / 1000.0 as decimal(5,3)) as decimal(5,3))")
 
 
 @query
 def fn_tax_factor(v):
-    return v.history().filter(F.col("h43tau").isNotNull()).select(
-        "h43kmv", "h43ggi", money.tax_factor(F.col("h43tau")).alias("factor"),
-        money.tax_factor((F.col("h43tau") + F.expr("cast((h43kmv % 1000) / 1000.0 as decimal(5,3))")).cast("decimal(5,3)")).alias("fine_factor"),
+    return v.history().filter("h43tau is not null").select(
+        "h43kmv",
+        "h43ggi",
+        money.tax_factor(F.col("h43tau")).alias("factor"),
+        money.tax_factor(_finer("h43tau", "h43kmv")).alias("fine_factor"),
     )
 
 
 @query
 def split_net_tax(v):
     """Net and tax of every priced tier at the rate of its own row."""
-    factor = money.tax_factor((F.col("pactau") + F.expr("cast((packro % 1000) / 1000.0 as decimal(5,3))")).cast("decimal(5,3)"))
-    rows = v.tier().filter("pactau is not null and pacmpa is not null")
-    rows = rows.withColumn("net", money.net_amount(F.col("pacmpa"), factor))
-    return rows.select("packro", "pacggi", "pacmpa", "net", money.tax_amount(F.col("pacmpa"), F.col("net")).alias("tax"))
+    factor = money.tax_factor(_finer("pactau", "packro"))
+    priced = v.tier().filter("pactau is not null and pacmpa is not null")
+    net = priced.withColumn("net", money.net_amount(F.col("pacmpa"), factor))
+    tax = money.tax_amount(F.col("pacmpa"), F.col("net")).alias("tax")
+    return net.select("packro", "pacggi", "pacmpa", "net", tax)
 
 
 @query
 def fn_message(v):
-    return v.history().select(
-        "h43kmv", "h43nli",
-        text.message("idpret: ", F.col("h43kmv"), " pacggi: ", F.col("h43ggi"), " h43tau: ", F.col("h43tau"), ".").alias("line"),
-        text.char_n(F.col("h43pro"), schema.PROFILE_WIDTH).alias("profile"),
-    )
+    parts = ("idpret: ", F.col("h43kmv"), " pacggi: ", F.col("h43ggi"), " h43tau: ", F.col("h43tau"), ".")
+    profile = text.char_n(F.col("h43pro"), schema.PROFILE_WIDTH)
+    return v.history().select("h43kmv", "h43nli", text.message(*parts).alias("line"), profile.alias("profile"))
 
 
 @query

@@ -4,8 +4,6 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
-
 from amendry.operators.change import reset_null
 from amendry.plans import premium
 from amendry.sources.schema import struct
@@ -25,7 +23,8 @@ def ref(spark):
         (8, 25, 501, date(2001, 1, 1)),  # before the first rate
     ]
     loan = spark.createDataFrame(loan_rows, "prtkro bigint, prtcie int, prtban bigint, prtdrt date")
-    bank = spark.createDataFrame([(501, 71), (502, 71), (505, 71), (506, 71), (506, 72), (507, 99)], "bqeban bigint, bqeptx int")
+    banks = [(501, 71), (502, 71), (505, 71), (506, 71), (506, 72), (507, 99)]
+    bank = spark.createDataFrame(banks, "bqeban bigint, bqeptx int")
     movement = spark.createDataFrame(
         [(k * 10, k) for k in range(1, 9)] + [(20, 2), (90, 99)], "madkmv bigint, madkro bigint"
     )
