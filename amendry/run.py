@@ -1,6 +1,6 @@
 """Run a job on published tables and publish what it changes.
 
-    spark-submit amendry/run.py backfill_history --root <shared folder> [--quantity 500]
+    PYTHONPATH=. spark-submit amendry/run.py backfill_history --root <shared folder> [--quantity 500]
 
 The root holds the published tables under their short names, the log and the manifest.
 A run reads the latest version of its inputs, stages its work in the session's shared

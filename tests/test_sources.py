@@ -29,6 +29,12 @@ def test_long_and_short_names_are_inverse(spark, table):
     assert schema.typed(df, table).schema[0].metadata == schema.struct(table)[0].metadata
 
 
+def test_long_names_of_other_tables(spark):
+    loan = spark.createDataFrame([], "prtkro bigint, prtban bigint, prtdrt date")
+    long = schema.to_long(loan)
+    assert long.columns == ["prtkro", "F_banCode", "C_dateReferenceTarifaire"]
+
+
 def test_read_table_uses_the_declared_schema_and_pushes_the_worklist_filter(spark, tmp_path):
     typed = schema.typed(spark.createDataFrame([], schema.struct("adh1h43pf")), "adh1h43pf")
     typed.write.parquet(f"{tmp_path}/h43")
@@ -74,7 +80,8 @@ def test_insert_select_fills_missing_columns(spark):
 def test_log_is_kept_and_read_by_day(spark):
     path = Workspace(spark).path("log")
     row = ("s", "1", "*Other", "INFO", 4, "text", 100)
-    df = spark.createDataFrame([row], "step string, code string, kind string, level string, key bigint, message string, rc int")
+    kinds = "step string, code string, kind string, level string, key bigint, message string, rc int"
+    df = spark.createDataFrame([row], kinds)
     sinks.write_log(df, path, date(2020, 6, 3))
     sinks.write_log(df.unionByName(df), path, date(2020, 6, 4))
     assert rows(sinks.read_log(spark, path, date(2020, 6, 3))) == [row]
