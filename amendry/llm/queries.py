@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from amendry.llm import simhash
+from amendry.llm import decontaminate, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,3 +29,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op8_simhash_near_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs, "doc_id", "text", SHINGLE, BITS)
+
+
+@query
+def op4_benchmark_decontamination(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.add_matches(docs, _table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.hit_words().alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+        "longest_match",
+    )
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = quality.add_score(docs.select("doc_id", "text"), quality.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"),
+    )

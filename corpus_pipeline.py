@@ -8,19 +8,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from amendry.llm import queries, simhash
+from amendry.llm import decontaminate, quality, queries, simhash
 from amendry.sources.workspace import Workspace
 
 ORACLE_SQL = None  # hashing and components are beyond SQL; tests compare with brute force
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return simhash.one_per_group(docs, "doc_id", "text", queries.SHINGLE, queries.BITS)
 
 
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty lies in a benchmark window."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 STAGES = [
+    ("quality classifier", good),
     ("simhash near-dedup", dedup),
+    ("benchmark decontamination", without_benchmark),
 ]
 
 
