@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amendry.llm import decontaminate, quality, simhash
+from amendry.llm import decontaminate, quality, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -57,3 +57,50 @@ def op10_quality_classifier(spark, sf_dir):
         "score",
         (F.col("score") >= quality.CUT).cast("int").alias("predicted"),
     )
+
+
+@query
+def op3_secret_scans(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, names = secret_scan.add_spans(docs), [r.name for r in secret_scan.RULES]
+    counts = [secret_scan.count_of(F.col("spans"), k).alias(f"n_{name}") for k, name in enumerate(names)]
+    listed = secret_scan.listed(F.col("spans"))
+    return found.select("doc_id", *counts, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
+
+
+# the case of letters is spelt out, as (?i) would also take letters beyond ASCII there
+_EITHER = lambda word: "".join(f"[{c.upper()}{c}]" for c in word)
+_ASSIGN = (
+    "(" + "|".join(map(_EITHER, ("password", "passwd", "secret", "token"))) + f"|{_EITHER('api')}_?{_EITHER('key')})"
+    """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def _spans_sql(kind: str, turn: int, pattern: str, group: int, least: int) -> str:
+    return f"""
+    select doc_id, {turn} as turn, '{kind}' as kind, n_before + len(between[i]) as start,
+           n_before + len(between[i]) + len(hits[i]) as stop
+    from (select *, unnest(range(1, len(hits) + 1)) as i from
+             (select doc_id, regexp_extract_all(t, '{pattern}', 0) as hits, regexp_extract_all(t, '{pattern}', {group}) as kept,
+                     string_split_regex(t, '{pattern}') as between from docs)),
+         lateral (select coalesce(list_sum(list_transform(between[:i - 1], lambda x: len(x))), 0)
+                       + coalesce(list_sum(list_transform(hits[:i - 1], lambda x: len(x))), 0) as n_before)
+    where len(kept[i]) >= {least}"""
+
+
+ORACLES["op3_secret_scans"] = f"""
+with docs as (select doc_id, coalesce(text, '') as t from documents),
+spans as ({" union all ".join([
+    _spans_sql("assign", 0, _ASSIGN, 2, 12),
+    _spans_sql("access", 1, "AKIA[A-Z0-9]+", 0, 18),
+    _spans_sql("hex", 2, "[0-9a-f]{16,}", 0, 16),
+])}),
+listed as (
+    select doc_id, count(*) filter (turn = 0) as n_assign, count(*) filter (turn = 1) as n_access,
+           count(*) filter (turn = 2) as n_hex,
+           string_agg(kind || ':' || cast(cast(start as bigint) as varchar) || ':' || cast(cast(stop as bigint) as varchar), ','
+                      order by start, turn) as spans
+    from spans group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from docs d left join listed l on d.doc_id = l.doc_id"""

@@ -7,8 +7,9 @@ Parquet and read again as the next stage's docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from amendry.llm import decontaminate, quality, queries, simhash
+from amendry.llm import decontaminate, quality, queries, secret_scan, simhash
 from amendry.sources.workspace import Workspace
 
 ORACLE_SQL = None  # hashing and components are beyond SQL; tests compare with brute force
@@ -29,10 +30,17 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with every secret replaced and their length counted anew."""
+    clean = secret_scan.redacted(docs)
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
 STAGES = [
     ("quality classifier", good),
     ("simhash near-dedup", dedup),
     ("benchmark decontamination", without_benchmark),
+    ("secret scans", without_secrets),
 ]
 
 
