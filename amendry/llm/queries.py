@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amendry.llm import decontaminate, quality, secret_scan, simhash
+from amendry.llm import decontaminate, pieces, quality, secret_scan, simhash, token_files
+from amendry.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -104,3 +106,24 @@ listed as (
 select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
        sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
 from docs d left join listed l on d.doc_id = l.doc_id"""
+
+
+@query
+def op5_token_files(spark, sf_dir):
+    folder = Workspace(spark).path("tokens")
+    docs = _table(spark, sf_dir, "documents")
+    token_files.write(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return token_files.read(spark, folder, digest=True)
+
+
+@query
+def op9_sentencepiece(spark, sf_dir):
+    """Ids of every document, and whether the text decoded from them is the same again."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.add_ids(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded="decoded")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )

@@ -6,10 +6,11 @@ Parquet and read again as the next stage's docs.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amendry.llm import decontaminate, quality, queries, secret_scan, simhash
+from amendry.llm import decontaminate, pieces, quality, queries, secret_scan, simhash
 from amendry.sources.workspace import Workspace
 
 ORACLE_SQL = None  # hashing and components are beyond SQL; tests compare with brute force
@@ -36,11 +37,18 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Id, token ids and number of tokens of every document left."""
+    ids = pieces.add_ids(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return ids.select("doc_id", "ids", F.size("ids").alias("n_tokens"))
+
+
 STAGES = [
     ("quality classifier", good),
     ("simhash near-dedup", dedup),
     ("benchmark decontamination", without_benchmark),
     ("secret scans", without_secrets),
+    ("sentencepiece encoding", encoded),
 ]
 
 
