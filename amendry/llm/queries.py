@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amendry.llm import decontaminate, pieces, quality, secret_scan, simhash, token_files
+from amendry.llm import decontaminate, pieces, quality, secret_scan, simhash, token_files, url_filter
 from amendry.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +127,34 @@ def op9_sentencepiece(spark, sf_dir):
         "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+# fixed values: the rules of the URL filter, as host and path
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+@query
+def op7_url_filters(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return url_filter.add_verdicts(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op7_url_filters"] = f"""
+with rules(rule, verdict) as (values {", ".join(map(str, URL_RULES))}),
+split as (select rule, verdict, left(rule, position('/' in rule) - 1) as h, substr(rule, position('/' in rule)) as p from rules),
+urls as (
+    select page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path, row_number() over () as n
+    from pages),
+fits as (
+    select n, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
+    from urls join split on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by n)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from urls left join fits using (n)"""
