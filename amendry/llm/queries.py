@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amendry.llm import decontaminate, pieces, quality, secret_scan, simhash, token_files, url_filter
+from amendry.llm import decontaminate, embedding_dedup, pieces, quality, secret_scan, simhash, token_files, url_filter
 from amendry.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +158,8 @@ fits as (
     select n, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
     from urls join split on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by n)
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from urls left join fits using (n)"""
+
+
+@query
+def op2_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.95)
