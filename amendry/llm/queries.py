@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amendry.llm import decontaminate, embedding_dedup, pieces, quality, secret_scan, simhash, token_files, url_filter
+from amendry.llm import (
+    decontaminate,
+    embedding_dedup,
+    html_extract,
+    pieces,
+    quality,
+    secret_scan,
+    simhash,
+    token_files,
+    url_filter,
+)
 from amendry.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +173,10 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from url
 @query
 def op2_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.95)
+
+
+@query
+def op1_html_extraction(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.add_text(pages, "url", "html", "text")
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
