@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amendry.llm import (
+    chat_format,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -180,3 +181,25 @@ def op1_html_extraction(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_extract.add_text(pages, "url", "html", "text")
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op6_chat_formatting(spark, sf_dir):
+    return chat_format.rotate(_table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op6_chat_formatting"] = """
+with t as (select conv_id, turn, coalesce(role, 'unknown') as s, coalesce(text, '') as x from conversations),
+p as (select distinct conv_id, s as participant from t where s <> 'system'),
+r as (select t.*, participant, row_number() over w - 1 as seq,
+             case when s = 'system' then s when s = participant then 'assistant' else 'user' end as role,
+             case when s <> 'system' and s <> participant then s end as name
+      from t join p on t.conv_id is not distinct from p.conv_id
+      window w as (partition by t.conv_id, participant order by turn)),
+h as (select *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) as head from r),
+g as (select *, head || x || '<|im_end|>' || chr(10) as segment from h),
+k as (select *, cast(sum(length(segment)) over (partition by conv_id, participant order by seq) as bigint) as stop from g)
+select conv_id, participant, seq, role, name, segment, stop - length(segment) as start, stop,
+       case when role = 'assistant' then stop - length(segment) + length(head) end as train_start,
+       case when role = 'assistant' then stop - 11 end as train_stop
+from k"""
