@@ -3,7 +3,7 @@
 Every page becomes a tree of its block elements, in which like siblings are folded into
 one node. The most frequent tree of a host is its pivot; the trees of all pages of the
 host are aligned with it by simple tree matching. A pivot node that holds the same text
-on every aligned page is template, a varying one is a content slot. Roles that markup
+on nearly all aligned pages is template, a varying one is a content slot. Roles that markup
 states by itself (menus, footers, forms, adverts, comments and so on) are never content,
 and where a page names its article, content lies inside it.
 
@@ -32,6 +32,7 @@ from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
 
 PAGES = 8  # distinct pages of a host that must agree on a text, and differ in another, to make it template
+SHARE = 0.9  # of the pages that have a node, must hold the same text there
 ALIGNED = 4096  # alignments of two trees that a task remembers
 
 # fixed values: elements of the HTML standard by the part they play
@@ -386,21 +387,22 @@ def wrappers(skeletons: DataFrame) -> DataFrame:
     """(host, pivot, nodes, texts): the template nodes of each host's pivot, and the hashes of their texts.
 
     From distinct (host, tree, hashes). A host has template nodes only if PAGES distinct
-    pages agree on a text while another node has about as many different ones.
+    pages, and a SHARE of all that have the node, agree on a text, while another node has at
+    least PAGES different ones.
     """
     trees = skeletons.groupBy("host", "tree").count()
     pivots = trees.groupBy("host").agg(F.max_by("tree", F.struct("count", "tree")).alias("pivot"))
     together = guarded_join(skeletons, pivots, [("host", "host")], "inner").select("host", "tree", "hashes", "pivot")
     texts = together.mapInArrow(_aligned_texts, "host string, node int, hash bigint")
-    slots = texts.groupBy("host", "node").agg(
-        F.count("*").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"), F.approx_count_distinct("hash").alias("kinds")
+    kinds = texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n"))
+    slots = kinds.groupBy("host", "node").agg(
+        F.max_by("hash", F.struct("n", "hash")).alias("text"), F.max("n").alias("top"), F.sum("n").alias("n"), F.count("*").alias("kinds")
     )
-    constant = F.col("low") == F.col("high")
+    same = (F.col("top") >= PAGES) & (F.col("top") >= SHARE * F.col("n"))
     found = slots.groupBy("host").agg(  # as many rows a host as its pivot has nodes
-        F.max("kinds").alias("kinds"),
-        F.array_sort(F.collect_list(F.when(constant & (F.col("n") >= PAGES), F.struct("node", F.col("low").alias("text"))))).alias("template"),
+        F.max("kinds").alias("kinds"), F.array_sort(F.collect_list(F.when(same, F.struct("node", "text")))).alias("template")
     )
-    found = found.select("host", F.when(F.col("kinds") >= 0.8 * PAGES, F.col("template")).otherwise(F.expr("slice(template, 1, 0)")).alias("template"))
+    found = found.select("host", F.when(F.col("kinds") >= PAGES, F.col("template")).otherwise(F.expr("slice(template, 1, 0)")).alias("template"))
     return guarded_join(pivots, found, [("host", "host")], "inner").select(
         "host", "pivot", F.col("template.node").alias("nodes"), F.col("template.text").alias("texts")
     )

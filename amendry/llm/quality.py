@@ -167,9 +167,10 @@ def fit(
         chosen = chosen.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int((1 << 30) * sample / total))
     docs = df.select(F.col(f"`{ident}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
     rows = add_features(docs.join(chosen, "_id"), "_text", "_x").select("_label", "_x").toPandas()
-    x = np.array(rows["_x"].tolist(), np.float64).reshape(len(rows), -1)
-    order = np.lexsort([*x.T, rows["_label"].to_numpy()]) if len(rows) else []
-    return learn(x[order], rows["_label"].to_numpy()[order] > 0)
+    x = np.array([*features([]), *rows["_x"]], np.float64).reshape(len(rows), features([]).shape[1])
+    good = rows["_label"].to_numpy(np.float64) > 0
+    order = np.lexsort([*x.T, good])
+    return learn(x[order], good[order])
 
 
 def add_features(df: DataFrame, text: str, name: str) -> DataFrame:
