@@ -5,8 +5,8 @@ counts of their four 16-bit quarters. The sum of the quarters' differences never
 exceeds the number of differing bits, so a pair of tiles whose boxes lie further apart
 than the radius is skipped; every other pair is compared whole, with exclusive-or and
 bit counts. The cut follows a histogram of population counts, at most 17^4 rows
-whatever the input. A compared pair of tiles returns a forest of its links, never all
-pairs, so a group of many near copies adds one link per member.
+whatever the input. No comparison returns all pairs: inside a tile every fingerprint gets
+one root, and a pair of tiles returns just enough links to connect its roots.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def add_fingerprint(df: DataFrame, text: str, name: str, shingle: int) -> DataFr
 
 def _cut(classes: np.ndarray, counts: np.ndarray, limit: int) -> list[np.ndarray]:
     """Rows of classes grouped to boxes of at most `limit` fingerprints, or of one class."""
-    done, todo = [], [np.arange(len(classes))]
+    done, todo = [], [np.arange(len(classes))] if len(classes) else []
     while todo:
         rows = todo.pop()
         if len(rows) == 1 or counts[rows].sum() <= limit:
@@ -117,40 +117,72 @@ def _merge(labels: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
             labels[:] = jumped
 
 
-def forest(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b) that connect what lies within the radius between two tiles, at most one per fingerprint."""
-    nodes = left if same else np.concatenate([left, right])
-    labels, shift = np.arange(len(nodes)), 0 if same else len(left)
-    lines = max(1, (1 << 21) // max(1, len(right)))
-    for at in range(0, len(left), lines):
-        apart = np.bitwise_count(left[at : at + lines, None] ^ right[None, :])
-        u, v = np.nonzero(apart <= radius)
-        if len(u) > (len(apart) if same else 0):
-            _merge(labels, u + at, v + shift)
+def local_roots(fps: np.ndarray, radius: int) -> np.ndarray:
+    """For each fingerprint of a tile, one that stands for all it is connected with inside the tile."""
+    labels = np.arange(len(fps))
+    for at, u, v in _close(fps, fps, radius):
+        if len(u) > at.stop - at.start:  # more than each with itself
+            _merge(labels, u, v)
+    return fps[labels]
+
+
+def root_links(left, left_roots, right, right_roots, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the roots of two tiles, no more than connect them."""
+    nodes, of = np.unique(np.concatenate([left_roots, right_roots]), return_inverse=True)
+    labels = np.arange(len(nodes))
+    for _, u, v in _close(left, right, radius):
+        if len(u):
+            _merge(labels, of[u], of[v + len(left)])
     moved = np.flatnonzero(labels != np.arange(len(nodes)))
     return nodes[moved], nodes[labels[moved]]
 
 
-def _compare(radius: int):
+def _close(left: np.ndarray, right: np.ndarray, radius: int):
+    """Pairs within the radius, for one block of rows of the left tile at a time."""
+    lines = max(1, (1 << 21) // max(1, len(right)))
+    for at in range(0, len(left), lines):
+        block = left[at : at + lines]
+        u, v = np.nonzero(np.bitwise_count(block[:, None] ^ right[None, :]) <= radius)
+        yield slice(at, at + len(block)), u + at, v
+
+
+def _longs(x) -> np.ndarray:
+    return np.asarray(x.values).astype(np.int64).view(np.uint64)
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def _within(radius: int):
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                fps = _longs(batch.column("fps")[k])
+                roots = local_roots(fps, radius)
+                lists = [pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (fps, roots)]
+                yield pa.RecordBatch.from_arrays([batch.column("tile").slice(k, 1), *lists], names=["tile", "fps", "roots"])
+
+    return run
+
+
+def _between(radius: int):
     def run(batches):
         for batch in batches:
-            for same, left, right in zip(
-                batch.column("same").to_pylist(), batch.column("fps_a"), batch.column("fps_b")
-            ):
-                arrays = [np.asarray(x.values).astype(np.int64).view(np.uint64) for x in (left, right)]
-                a, b = forest(*arrays, radius, same)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"]
-                )
+            for k in range(batch.num_rows):
+                sides = [_longs(batch.column(c)[k]) for c in ("fps_a", "roots_a", "fps_b", "roots_b")]
+                a, b = root_links(*sides, radius)
+                yield pa.RecordBatch.from_arrays([_signed(a), _signed(b)], names=["a", "b"])
 
     return run
 
 
-def links(fingerprints: DataFrame, name: str, radius: int, limit: int | None = None) -> DataFrame:
-    """Links (a, b) between distinct fingerprints that connect exactly what lies within the radius.
+def connected(fingerprints: DataFrame, name: str, radius: int, work: Workspace, limit: int | None = None) -> DataFrame:
+    """(name, component) for distinct fingerprints, where chains of links within the radius make a component.
 
     A tile grows with the root of the number of fingerprints, so that what is sent to
-    pairs of tiles stays near the input's size.
+    pairs of tiles stays near the input's size. Each tile is compared with itself first;
+    pairs of tiles then only link the groups found inside them.
     """
     spark = fingerprints.sparkSession
     quarters = [F.bit_count(F.shiftrightunsigned(name, 48 - 16 * i).bitwiseAND(65535)).alias(p) for i, p in enumerate(QUARTERS)]
@@ -162,26 +194,30 @@ def links(fingerprints: DataFrame, name: str, radius: int, limit: int | None = N
     plan = spark.createDataFrame(assigned, ", ".join(f"{p} int" for p in QUARTERS) + ", first bigint, parts int")
     tiled = classed.join(plan, QUARTERS).withColumn("tile", F.expr(f"first + pmod(xxhash64(`{name}`), parts)"))
     tiles = tiled.groupBy("tile").agg(F.collect_list(name).alias("fps"))
-    todo = spark.createDataFrame(pairs, "i bigint, j bigint")
-    a, b = (tiles.selectExpr(f"tile as {t}", f"fps as fps_{n}") for t, n in (("i", "a"), ("j", "b")))
-    wide = todo.join(a, "i").join(b, "j").selectExpr("i = j as same", "fps_a", "fps_b")
-    parts = max(1, min(len(pairs), 4 * spark.sparkContext.defaultParallelism + len(pairs) // 64))
-    return wide.repartition(parts).mapInArrow(_compare(radius), "a bigint, b bigint")
+    width = 4 * spark.sparkContext.defaultParallelism
+    tiles = tiles.repartition(max(1, min(width, total // limit + 1))).mapInArrow(
+        _within(radius), "tile bigint, fps array<bigint>, roots array<bigint>"
+    )
+    tiles = work.stage(tiles, "tiles")
+    todo = spark.createDataFrame([p for p in pairs if p[0] != p[1]], "i bigint, j bigint")
+    a, b = (tiles.selectExpr(f"tile as {t}", f"fps as fps_{n}", f"roots as roots_{n}") for t, n in (("i", "a"), ("j", "b")))
+    wide = todo.join(a, "i").join(b, "j").drop("i", "j").repartition(max(1, min(len(pairs), width + len(pairs) // 64)))
+    found = components(wide.mapInArrow(_between(radius), "a bigint, b bigint"), work)
+    members = tiles.select(F.explode(F.arrays_zip("fps", "roots")).alias("m")).select(F.col("m.fps").alias(name), "m.roots")
+    joined = guarded_join(members, found, [("roots", "node")], "left")
+    return joined.select(name, F.coalesce("component", "roots").alias("component"))
 
 
 def grouped(df: DataFrame, ident: str, name: str, radius: int, work: Workspace) -> DataFrame:
     """(fingerprint, component, component_id) for every distinct fingerprint of a table staged before.
 
-    component is the smallest fingerprint connected, component_id the smallest non-null
+    component is one of the fingerprints connected, component_id the smallest non-null
     `ident` among the rows of all that are connected; null if they have none.
     """
     distinct = df.groupBy(name).agg(F.min(ident).alias("_least"))
     distinct = work.stage(distinct, "fingerprints")
-    found = components(links(distinct.select(name), name, radius), work)
-    joined = guarded_join(distinct, found, [(name, "node")], "left").withColumn(
-        "component", F.coalesce("component", name)
-    )
-    joined = work.stage(joined, "members")
+    found = connected(distinct.select(name), name, radius, work)
+    joined = work.stage(guarded_join(distinct, found, [(name, name)], "inner"), "members")
     least = joined.groupBy("component").agg(F.min("_least").alias("component_id"))
     full = joined.select(name, "component", F.col("component").alias("_of"))
     return guarded_join(full, least, [("_of", "component")], "left").drop("_of")
