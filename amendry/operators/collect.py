@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from amendry.operators.order import Order, columns
+
+LIMIT_ROWS = 1000  # Spark's own bound on a row-number filter that it applies before the shuffle
+
 
 def fixed_lists(
-    df: DataFrame, keys: list[str], items: dict[str, str], order: list[Column], width: int = 20, sep: str = "/"
+    df: DataFrame, keys: list[str], items: dict[str, str], order: Order, width: int = 20, sep: str = "/"
 ) -> DataFrame:
     """Parallel delimited lists per key in one shared order, each cut to CHAR(width).
 
@@ -17,9 +21,11 @@ def fixed_lists(
     group therefore never reaches one task whole, and the lists are still exact.
     """
     shown = -(-width // (1 + len(sep)))
+    if shown > LIMIT_ROWS:
+        raise ValueError(f"lists of more than {LIMIT_ROWS} items are not bounded before the shuffle: width {width}")
     parts = ", ".join(f"{text} as {name}" for name, text in items.items())
     ranked = (
-        df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*columns(order))))
         .filter(F.col("_rank") <= shown)
         .select(*keys, F.expr(f"struct(_rank, {parts}) as _item"))
     )

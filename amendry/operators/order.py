@@ -2,21 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from amendry.sources.workspace import Workspace
 
 ALL = "*all"  # fixed value: no limit
-HEAP_ROWS = 1_000  # every task of the first stage may send this many rows to the last one
+HASH = "_hash"
+
+
+class Key(NamedTuple):
+    """One sort column; NULL ranks highest either way."""
+
+    name: str
+    down: bool = False
+
+    @property
+    def column(self) -> Column:
+        return F.col(self.name).desc_nulls_first() if self.down else F.col(self.name).asc_nulls_last()
+
+
+Order = list[Key]
 
 
-def ascending(*names: str) -> list[Column]:
-    return [F.col(n).asc_nulls_last() for n in names]
+def ascending(*names: str) -> Order:
+    return [Key(n) for n in names]
 
 
-def descending(*names: str) -> list[Column]:
-    return [F.col(n).desc_nulls_first() for n in names]
+def descending(*names: str) -> Order:
+    return [Key(n, True) for n in names]
+
+
+def columns(order: Order) -> list[Column]:
+    return [k.column for k in order]
 
 
 def parse_quantity(quantity: int | str) -> int | None:
@@ -24,53 +44,85 @@ def parse_quantity(quantity: int | str) -> int | None:
     text = str(quantity).strip()
     if text == ALL:
         return None
-    if not text.isdigit() or len(text) > 8:
-        raise ValueError(f"quantity must be {ALL!r} or at most 8 digits: {quantity!r}")
+    if not (text.isascii() and text.isdigit()):
+        raise ValueError(f"quantity must be {ALL!r} or digits: {quantity!r}")
     return int(text)
 
 
-def sorted_rows(df: DataFrame, order: list[Column]) -> DataFrame:
+def sorted_rows(df: DataFrame, order: Order) -> DataFrame:
     """Global sort in which rows with equal keys, and copies of one row, can span range partitions.
 
     A hash of the row and the partition it comes from close the order. Both are the same
     when a task is repeated, unlike a row's position, so a retry neither loses nor doubles rows.
     """
-    ties = {"_hash": F.xxhash64(*df.columns), "_part": F.spark_partition_id()}
-    return df.withColumns(ties).orderBy(*order, "_hash", "_part").drop("_hash", "_part")
+    ties = {HASH: F.xxhash64(*df.columns), "_part": F.spark_partition_id()}
+    return df.withColumns(ties).orderBy(*columns(order), HASH, "_part").drop(HASH, "_part")
 
 
-def first_rows(df: DataFrame, quantity: int | str, order: list[Column]) -> DataFrame:
-    """First N rows of a total order, as a report.
+def _edge(hashed: DataFrame, n: int, order: Order, work: Workspace) -> tuple[dict, int, int] | None:
+    """The N-th key of the order, closed by the row hash, and how many rows come before it and have it.
 
-    Up to HEAP_ROWS they are kept in one heap per task and merged; a larger N is cut off
-    by position in a staged range sort, so that it never passes through a single task.
+    Only the keys are sorted, one row for each that occurs. The driver sees one row count
+    per range of keys, and the one key; None if there are no more than N rows.
     """
-    n = parse_quantity(quantity)
-    if n is None:
-        return sorted_rows(df, order)
-    if n <= HEAP_ROWS:
-        return df.orderBy(*order).limit(n)
-    marked = mark_first(df, n, order, "_first", Workspace(df.sparkSession))
-    return sorted_rows(marked.filter("_first").drop("_first"), order)
-
-
-def mark_first(df: DataFrame, quantity: int | str, order: list[Column], name: str, work: Workspace) -> DataFrame:
-    """df + boolean `name`, true for exactly the first N rows of the order, for any N.
-
-    Rows are range-sorted once into a staged table together with an ascending id
-    (partition number in the high bits). The N-th id follows from the row count of each
-    partition, the only thing the driver sees.
+    names = [k.name for k in order] + [HASH]
+    closed = [*columns(order), F.col(HASH)]
+    keys = hashed.groupBy(*names).agg(F.count("*").alias("_copies")).orderBy(*closed)
+    keys = work.stage(keys.withColumn("_range", F.spark_partition_id()), "keys")
+    before = 0
+    for part, rows in sorted(map(tuple, keys.groupBy("_range").agg(F.sum("_copies")).collect())):
+        if before + rows < n:
+            before += rows
+            continue
+        inside = Window.orderBy(*closed).rowsBetween(Window.unboundedPreceding, 0)
+        one = keys.filter(F.col("_range") == part).withColumn("_upto", F.sum("_copies").over(inside))
+        edge = one.filter(F.col("_upto") >= n - before).orderBy("_upto").first()
+        return edge.asDict(), before + edge["_upto"] - edge["_copies"], edge["_copies"]
+    return None
+
+
+def _against(hashed: DataFrame, order: Order, edge: dict) -> tuple[Column, Column]:
+    """Whether a row comes before the edge, and whether it has the same key."""
+    before, same = F.lit(False), F.lit(True)
+    for name, down in [*order, Key(HASH)]:
+        here, there = F.col(name), F.lit(edge[name]).cast(hashed.schema[name].dataType)
+        if edge[name] is None:
+            first = F.lit(False) if down else here.isNotNull()
+        else:
+            first = (here.isNull() | (here > there)) if down else F.coalesce(here < there, F.lit(False))
+        before, same = before | (same & first), same & here.eqNullSafe(there)
+    return before, same
+
+
+def split_first(df: DataFrame, quantity: int | str, order: Order, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The first N rows of a total order, and all other rows, each a filter on df itself, for any N.
+
+    Rows with equal keys are ordered by a hash of the whole row. What shares the N-th key
+    and hash are copies of one row; they are dealt to both sides by number.
     """
     n = parse_quantity(quantity)
     if n is None:
-        return df.withColumn(name, F.lit(True))
-    ranked = sorted_rows(df, order).withColumn("_id", F.monotonically_increasing_id())
-    ranked = work.stage(ranked, "ranked")
-    sizes = ranked.groupBy(F.shiftright("_id", 33).alias("part")).count().orderBy("part").collect()
-    end, left = 0, n
-    for size in sizes:
-        end = (size["part"] << 33) + min(left, size["count"])
-        left -= size["count"]
-        if left <= 0:
-            break
-    return ranked.withColumn(name, F.col("_id") < F.lit(end)).drop("_id")
+        return df, df.filter(F.lit(False))
+    if n == 0:
+        return df.filter(F.lit(False)), df
+    hashed = df.withColumn(HASH, F.xxhash64(*df.columns))
+    found = _edge(hashed, n, order, work)
+    if found is None:
+        return df, df.filter(F.lit(False))
+    edge, rows, copies = found
+    before, same = _against(hashed, order, edge)
+    if rows + copies == n:
+        return hashed.filter(before | same).drop(HASH), hashed.filter(~(before | same)).drop(HASH)
+    one = hashed.filter(same).limit(1)
+
+    def times(k: int) -> DataFrame:
+        return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(k)))).drop("_copy")
+
+    picked = hashed.filter(before).unionByName(times(n - rows))
+    rest = hashed.filter(~(before | same)).unionByName(times(rows + copies - n))
+    return picked.drop(HASH), rest.drop(HASH)
+
+
+def first_rows(df: DataFrame, quantity: int | str, order: Order, work: Workspace | None = None) -> DataFrame:
+    """First N rows of a total order, in that order."""
+    return sorted_rows(split_first(df, quantity, order, work or Workspace(df.sparkSession))[0], order)

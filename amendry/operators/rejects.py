@@ -14,18 +14,22 @@ from amendry.operators.lookup import AMBIGUOUS, OK
 COLUMNS = ["step", "code", "kind", "level", "key", "message", "rc"]
 
 # Return codes of a lookup, and the levels of a run's last message.
-RC_NOT_FOUND, RC_AMBIGUOUS = 100, -811
+RC_NOT_FOUND, RC_AMBIGUOUS, RC_NULL = 100, -811, -305
 LEVEL_CLEAN, LEVEL_WITH_ERRORS = "00", "01"
 
 
 @dataclass(frozen=True)
 class Reason:
-    """How one status is logged: message code, text with {column} places, kind and level."""
+    """How one status is logged: message code, text with {column} places, kind, level and return code.
+
+    Without a return code of its own, it follows from the status: several rows or none.
+    """
 
     code: str
     text: str
     kind: str = "*Other"
     level: str = "INFO"
+    rc: int | None = None
 
     def message(self) -> Column:
         parts = []
@@ -44,7 +48,8 @@ def rejects(df: DataFrame, step: str, key: str, reasons: dict[str, Reason], stat
             picked = F.when(named == name, value(reason)).otherwise(picked)
         return picked
 
-    rc = F.when(named.startswith(AMBIGUOUS), RC_AMBIGUOUS).otherwise(RC_NOT_FOUND)
+    found = F.when(named.startswith(AMBIGUOUS), RC_AMBIGUOUS).otherwise(RC_NOT_FOUND)
+    rc = F.coalesce(per_status(lambda r: F.lit(r.rc)).cast("int"), found)
     return df.filter(named.isin(*reasons)).select(
         F.lit(step).alias("step"),
         per_status(lambda r: F.lit(r.code)).alias("code"),
@@ -68,16 +73,27 @@ def run_summary(df: DataFrame, status: str = "status") -> DataFrame:
     )
 
 
-def end_message(summary: DataFrame, step: str, code: str) -> DataFrame:
+@dataclass(frozen=True)
+class End:
+    """A job's last log row: message codes for a clean run and one with errors, and what was handled."""
+
+    clean: str
+    with_errors: str
+    what: str
+
+
+def end_message(summary: DataFrame, step: str, end: End) -> DataFrame:
     """The run's last log row: rows updated out of rows read, and 0 or 1 for a clean run or not."""
-    text = F.concat(F.lit("Nb de lignes MAJ = "), F.col("n_updated"), F.lit(" / "), F.col("n_read"))
+    clean = F.col("level") == LEVEL_CLEAN
+    count = F.concat(F.col("n_updated").cast("string"), F.lit(" of "), F.col("n_read").cast("string"))
+    ending = F.when(clean, F.lit(" done")).otherwise(F.concat(F.lit(" done, "), F.col("n_failed").cast("string"), F.lit(" rejected")))
     return summary.select(
         F.lit(step).alias("step"),
-        F.lit(code).alias("code"),
+        F.when(clean, end.clean).otherwise(end.with_errors).alias("code"),
         F.lit("*Other").alias("kind"),
         F.lit("INFO").alias("level"),
         F.lit(None).cast("bigint").alias("key"),
-        text.alias("message"),
+        F.concat(F.lit(f"{end.what}: "), count, ending).alias("message"),
         F.col("level").cast("int").alias("rc"),
     )
 

@@ -17,8 +17,8 @@ from amendry.operators import change
 from amendry.operators.asof import asof_lookup
 from amendry.operators.joins import guarded_join, having_match
 from amendry.operators.lookup import OK, one_per_key
-from amendry.operators.order import ALL, ascending, mark_first
-from amendry.operators.rejects import Reason, rejects, run_summary, updated_per_key
+from amendry.operators.order import ALL, ascending, split_first
+from amendry.operators.rejects import RC_NULL, End, Reason, end_message, rejects, run_summary, updated_per_key
 from amendry.sources.workspace import Workspace
 
 NO_LOAN, AMBIGUOUS_LOAN = "NO_LOAN", "AMBIGUOUS_LOAN"
@@ -27,16 +27,21 @@ NO_RATE, AMBIGUOUS_RATE = "NO_RATE", "AMBIGUOUS_RATE"
 NO_AMOUNT = "NO_AMOUNT"
 PROFILE = "A0OAV"  # fixed value: profile written by the split
 
-# Message codes and texts of the two backfills and of the split.
-HISTORY_LOAN = Reason("000303", "Erreur - Pret - wh43kmv = {h43kmv}")
-TIER_LOAN = Reason("000480", "Erreur - Pret - wpackro = {packro}")
-HISTORY_BANK = Reason("000325", "Erreur - prtban - {prtban}")
-TIER_BANK = Reason("000502", "Erreur - prtban - {prtban}")
-HISTORY_RATE = Reason("000376", "Erreur - calcul taux de taxe - {h43ggi}/{bqeptx}/{prtcie}")
-TIER_RATE = Reason("000553", "Erreur - calcul taux de taxe - {pacggi}/{bqeptx}/{prtcie}")
-SPLIT_AMOUNT = Reason("000379", "montant palier absent, pret {packro}")
-SPLIT_LOAN = Reason("000419", "erreur recherche infos pret, {packro}", "*SQL")
-SPLIT_RATE = Reason("000458", "erreur recherche taux de taxe pour le pret, {packro}")
+# The message codes and kinds. The texts are this library's own.
+HISTORY_LOAN = Reason("000303", "no single loan for movement {h43kmv}")
+TIER_LOAN = Reason("000480", "no single loan {packro}")
+HISTORY_BANK = Reason("000325", "no single bank {prtban}")
+TIER_BANK = Reason("000502", "no single bank {prtban}")
+HISTORY_RATE = Reason("000376", "no single rate for cover {h43ggi}, country {bqeptx}, company {prtcie}")
+TIER_RATE = Reason("000553", "no single rate for cover {pacggi}, country {bqeptx}, company {prtcie}")
+SPLIT_AMOUNT = Reason("000379", "a tier of loan {packro} has no amount", "*SQL", rc=RC_NULL)
+SPLIT_LOAN = Reason("000419", "no single loan with its bank for {packro}", "*SQL")
+SPLIT_RATE = Reason("000458", "no single rate for loan {packro}")
+ENDS = {
+    "backfill_history": End("000200", "000200", "history rows"),
+    "backfill_priority": End("000204", "000204", "tiers of priority loans"),
+    "split_net_tax": End("000507", "000515", "tiers split"),
+}
 
 HISTORY_REASONS = {
     NO_LOAN: HISTORY_LOAN,
@@ -89,6 +94,10 @@ class JobResult:
     def summary(self) -> DataFrame:
         return run_summary(self.resolved)
 
+    @cached_property
+    def end(self) -> DataFrame:
+        return end_message(self.summary, self.step, ENDS[self.step])
+
 
 class HistoryBackfill(JobResult):
     step, key, reasons = "backfill_history", "h43kmv", HISTORY_REASONS
@@ -196,9 +205,8 @@ def backfill_history(
     untouched = history.filter(F.col("h43tau").isNotNull())
     if limit != ALL:
         work = work or Workspace(history.sparkSession)
-        marked = mark_first(worklist, limit, ascending("h43kmv", "h43nli", "h43ggi"), "_picked", work)
-        worklist = marked.filter("_picked").select(*columns)
-        untouched = untouched.unionByName(marked.filter("not _picked").select(*columns))
+        worklist, later = split_first(worklist, limit, ascending("h43kmv", "h43nli", "h43ggi"), work)
+        untouched = untouched.unionByName(later)
     context = movement_context(movement, loan, bank)
     resolved = with_rate(guarded_join(worklist, context, [("h43kmv", "madkmv")], "left"), rate, "h43ggi")
     if work is not None:

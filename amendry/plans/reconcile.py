@@ -19,24 +19,28 @@ from amendry.operators.checks import exactly_one
 from amendry.operators.collect import fixed_lists, group_flags, pivot_ordinals
 from amendry.operators.joins import group_max, guarded_join, having_match
 from amendry.operators.lookup import AMBIGUOUS, NOT_FOUND, OK, checked_lookup
-from amendry.operators.order import ALL, ascending, mark_first, parse_quantity
-from amendry.operators.rejects import Reason, rejects
+from amendry.operators.order import ALL, ascending, parse_quantity, split_first
+from amendry.operators.rejects import RC_AMBIGUOUS, Reason, rejects
 from amendry.sources.schema import MEMBERS
 from amendry.sources.sinks import shaped
 from amendry.sources.workspace import Workspace
 
-# Steps, layout of the reference text, origin code, list width, texts.
+# Steps, layout of the reference text, origin code, list width, marks.
 LIST_STEP, FIND_STEP, CORRECT_STEP = "*lst", "*ano", "*upd"
 REQUEST_AT, OB_AT, ID_WIDTH = 1, 13, 11
 SECOND_OB_AT, SECOND_OB_TEXT = 24, " 0"
 ORIGIN = 4
 LIST_WIDTH = 20
 ABSENT, NOT_FOUND_TEXT = "-", "not found"
-DECISION_REASON = Reason(
-    "001401", "decision non trouvee pour OB {numObaSR} garantie {gdegar}", level="WARN"
-)
+# The texts are this library's own, and so is the code of a conflict.
+DECISION_REASON = Reason("001401", "no single decision for OB {numObaSR}, cover {gdegar}", level="WARN")
+CONFLICT = "CONFLICT"
+CONFLICT_REASON = Reason(CONFLICT, "the OBs of a member ask for different decisions on cover {gdegar}", level="WARN", rc=RC_AMBIGUOUS)
 PARAMETER_CODE = "001227"
 
+# a member row is one member and one of its OBs, which may be unknown
+OB_KEY = "coalesce(numObaSR, -1)"
+
 CODES = ["gdecn1", "gdecn2", "gdecn3"]
 CHANGED = ["gdedec", "gdecdc", *CODES]
 MEMBER_COLUMNS = [column.split()[0] for column in MEMBERS.split(", ")]
@@ -107,19 +111,23 @@ def source_latest(pointer: DataFrame, decision: DataFrame) -> DataFrame:
     return guarded_join(decision, merged, keys, "inner")
 
 
-def compared_decisions(members: DataFrame, decision: DataFrame, pointer: DataFrame, source: DataFrame) -> DataFrame:
-    """Each member's latest covers beside the reference system's decision for that OB and cover."""
-    top = group_max(decision, "gdekro", "gdekrh", "_top")
+def compared_decisions(
+    members: DataFrame, latest: DataFrame, decision: DataFrame, pointer: DataFrame, source: DataFrame
+) -> DataFrame:
+    """The covers of each member's listed batch beside the reference system's decision for that OB and cover.
+
+    `latest` is the batch the list step stored, so a batch that arrives later changes nothing.
+    """
     todo = members.select("kronoAdh", "numObaSR").distinct()
-    # members meet their latest batch first, so that decision rows are joined only once
-    batch = todo.join(top, F.col("kronoAdh") == F.col("gdekro"), "inner").drop("gdekro")
+    # members meet their batch first, so that decision rows are joined only once
+    batch = todo.join(latest, F.col("kronoAdh") == F.col("derkroAdh"), "inner").drop("derkroAdh")
     rows = decision.select("gdekro", "gdekrh", "gdegar", "gdecdc")
-    latest = guarded_join(rows, batch, [("gdekro", "kronoAdh"), ("gdekrh", "_top")], "inner")
+    latest = guarded_join(rows, batch, [("gdekro", "kronoAdh"), ("gdekrh", "derkroDec")], "inner")
     cols = ["decdec", "decdat", "dectdp"]
     keys = [("numObaSR", "decoba"), ("gdegar", "decgar")]
     looked = checked_lookup(latest, source_latest(pointer, source), keys, cols, "found", weight="copies")
     looked = looked.selectExpr(
-        "gdekro", "numObaSR", "gdegar", "found", "decdec", "decdat",
+        "gdekro", "numObaSR", f"{OB_KEY} as _ob", "gdegar", "found", "decdec", "decdat",
         "coalesce(gdecdc, 0) as gdecdc",
         f"case when found = '{OK}' then coalesce(dectdp, 0) end as dectdp",
     )
@@ -133,14 +141,15 @@ TO_CORRECT = f"(differs or (found = '{NOT_FOUND}' and gdecdc <> 0))"
 
 
 def member_flags(compared: DataFrame) -> DataFrame:
-    """Per member: any decision here, any in the reference system, any to list, any to correct."""
-    flags = {
-        "gde_found": "true",
-        "sr_found": f"found = '{OK}'",
-        "any_listed": TO_LIST,
-        "any_corrected": TO_CORRECT,
-    }
-    return group_flags(compared, ["gdekro"], flags)
+    """Per member and OB: any decision here, any in the reference system, any to list, any to correct."""
+    flags = {"gde_found": "true", "sr_found": f"found = '{OK}'", "any_listed": TO_LIST, "any_wrong": TO_CORRECT}
+    return group_flags(compared, ["gdekro", "_ob"], flags)
+
+
+def beside(members: DataFrame, details: DataFrame) -> DataFrame:
+    """Members with what is known per member and OB."""
+    keyed = members.withColumn("_ob", F.expr(OB_KEY))
+    return guarded_join(keyed, details, [("kronoAdh", "gdekro"), ("_ob", "_ob")], "left")
 
 
 def update_status(members: DataFrame, step: str, as_of: datetime | None = None) -> DataFrame:
@@ -159,7 +168,7 @@ def update_status(members: DataFrame, step: str, as_of: datetime | None = None)
             "correctionAno": f"if({both} and not any_listed, 'N', correctionAno)",
         }
     else:
-        corrected = f"({both} and any_corrected)"
+        corrected = f"({both} and coalesce(any_corrected, false))"
         members = members.withColumn("_now", clock(as_of))
         values = {
             "decisionSR": f"if({no_sr}, {absent}, decisionSR)",
@@ -185,6 +194,7 @@ class AnomalySearch:
 
 def find_anomalies(
     members: DataFrame,
+    latest: DataFrame,
     decision: DataFrame,
     pointer: DataFrame,
     source: DataFrame,
@@ -196,10 +206,9 @@ def find_anomalies(
     rest = members.filter("rechercheAno is not null")
     if parse_quantity(limit) is not None:
         work = work or Workspace(members.sparkSession)
-        marked = mark_first(todo, limit, ascending("kronoAdh", "numObaSR"), "_picked", work)
-        todo = marked.filter("_picked").drop("_picked")
-        rest = rest.unionByName(marked.filter("not _picked").drop("_picked"))
-    compared = compared_decisions(todo, decision, pointer, source)
+        todo, later = split_first(todo, limit, ascending("kronoAdh", "numObaSR"), work)
+        rest = rest.unionByName(later)
+    compared = compared_decisions(todo, latest, decision, pointer, source)
     if work is not None:
         compared = work.stage(compared, "compared")
     items = {
@@ -208,9 +217,9 @@ def find_anomalies(
         "_gde": "cast(gdecdc as string)",
     }
     order = ascending("gdegar", "dectdp", "gdecdc")
-    lists = fixed_lists(compared.filter(TO_LIST), ["gdekro"], items, order, LIST_WIDTH)
-    details = member_flags(compared).join(lists, "gdekro", "left")
-    searched = update_status(guarded_join(todo, details, [("kronoAdh", "gdekro")], "left"), FIND_STEP)
+    lists = fixed_lists(compared.filter(TO_LIST), ["gdekro", "_ob"], items, order, LIST_WIDTH)
+    details = member_flags(compared).join(lists, ["gdekro", "_ob"], "left")
+    searched = update_status(beside(todo, details), FIND_STEP)
     return AnomalySearch(rest.unionByName(searched), compared)
 
 
@@ -220,19 +229,42 @@ def exclusion_codes(exclusion: DataFrame) -> DataFrame:
 
 
 def decision_changes(compared: DataFrame, exclusion: DataFrame) -> DataFrame:
-    """New values per (member, cover): the reference system's decision, or zeros where it has none."""
+    """New values per (member, OB, cover): the reference system's decision, or zeros where it has none."""
     keys = [("decdec", "excdec"), ("gdegar", "excgar"), ("numObaSR", "excoba")]
     coded = guarded_join(compared.filter(TO_CORRECT), exclusion_codes(exclusion), keys, "left")
     return coded.select(
         "gdekro",
+        "_ob",
         "gdegar",
         date8_or_zero(F.col("decdat")).alias("gdedec"),
         *[F.expr(f"coalesce({c}, 0) as {n}") for c, n in [("dectdp", "gdecdc"), *zip(CODES, CODES)]],
     )
 
 
+class Correction:
+    """The corrected decisions, the members with their status, and what could not be corrected."""
+
+    def __init__(self, decisions: DataFrame, members: DataFrame, compared: DataFrame, merged: DataFrame):
+        self.decisions, self.members, self.compared, self.merged = decisions, members, compared, merged
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        reasons = {NOT_FOUND: DECISION_REASON, AMBIGUOUS: DECISION_REASON}
+        missing = rejects(self.compared, "correct_anomalies", "gdekro", reasons, "found")
+        conflicts = self.merged.filter("_conflict").select("gdekro", "gdegar", F.lit(CONFLICT).alias("found"))
+        return missing.unionByName(rejects(conflicts, "correct_anomalies", "gdekro", {CONFLICT: CONFLICT_REASON}, "found"))
+
+
+def corrected_flags(changes: DataFrame, merged: DataFrame) -> DataFrame:
+    """Per member and OB, whether its decisions were changed, and none of them is in conflict with another OB's."""
+    known = merged.select("gdekro", "gdegar", "_conflict")
+    asked = guarded_join(changes.select("gdekro", "_ob", "gdegar"), known, [("gdekro", "gdekro"), ("gdegar", "gdegar")], "inner")
+    return asked.groupBy("gdekro", "_ob").agg(F.expr("not bool_or(_conflict)").alias("any_corrected"))
+
+
 def correct_anomalies(
     members: DataFrame,
+    latest: DataFrame,
     decision: DataFrame,
     pointer: DataFrame,
     source: DataFrame,
@@ -240,19 +272,24 @@ def correct_anomalies(
     company: int | None = None,
     as_of: datetime | None = None,
     work: Workspace | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Correct the decisions of members with anomalies; returns the new decisions and members.
+) -> Correction:
+    """Correct the decisions of members with anomalies.
 
-    A correction applies to every row of the member and cover, not only to the latest batch.
+    A correction applies to every row of the member and cover, not only to the listed batch.
+    Where two OBs of a member ask for different decisions on a cover, that cover is left as it
+    is and rejected, and the member rows concerned stay open.
     """
     flagged = "garantie is not null and rechercheAno = 'O' and correctionAno is null"
     if company is not None:
         flagged += f" and compagnie = {int(company)}"
     flagged = f"coalesce({flagged}, false)"
     todo, rest = members.filter(flagged), members.filter(f"not {flagged}")
-    compared = compared_decisions(todo, decision, pointer, source)
+    compared = compared_decisions(todo, latest, decision, pointer, source)
     if work is not None:
         compared = work.stage(compared, "corrected")
-    corrected = change.update_keyed(decision, decision_changes(compared, exclusion), ["gdekro", "gdegar"], CHANGED)
-    beside = guarded_join(todo, member_flags(compared), [("kronoAdh", "gdekro")], "left")
-    return corrected, rest.unionByName(update_status(beside, CORRECT_STEP, as_of))
+    keys, changes = ["gdekro", "gdegar"], decision_changes(compared, exclusion)
+    merged = change.merged_changes(changes, keys, CHANGED)
+    corrected = change.update_keyed(decision, changes, keys, CHANGED)
+    flags = member_flags(compared).join(corrected_flags(changes, merged), ["gdekro", "_ob"], "left")
+    done = update_status(beside(todo, flags), CORRECT_STEP, as_of)
+    return Correction(corrected, rest.unionByName(done), compared, merged)

@@ -29,12 +29,12 @@ def open_letters(letter: DataFrame, followup: DataFrame, loan: DataFrame, day: d
     return sorted_rows(found, ascending("cornum", "corord"))
 
 
-def youngest(employee: DataFrame, n: int) -> DataFrame:
+def youngest(employee: DataFrame, n: int | str) -> DataFrame:
     """First n employees by birth date, latest first (an unknown date ranks highest)."""
     return first_rows(employee, n, descending("birthdate") + ascending("empno"))
 
 
-def sync_salary(employee: DataFrame, wage: DataFrame, n: int) -> DataFrame:
+def sync_salary(employee: DataFrame, wage: DataFrame, n: int | str) -> DataFrame:
     """Give the first n employees the salary of their wage row, if they have exactly one."""
     chosen = having_match(wage, youngest(employee, n).select("empno"), [("empno", "empno")])
     return update_from_table(employee, chosen, [("empno", "empno")], "salary", "salary")
@@ -42,11 +42,9 @@ def sync_salary(employee: DataFrame, wage: DataFrame, n: int) -> DataFrame:
 
 def premium_context(history: DataFrame, movement: DataFrame, loan: DataFrame) -> DataFrame:
     """History rows without a rate, beside the loan of their movement."""
-    return (
-        history.filter(F.col("h43tau").isNull())
-        .join(movement, F.col("h43kmv") == F.col("madkmv"))
-        .join(loan, F.col("madkro") == F.col("prtkro"))
-    )
+    # movements meet their loans first, so that the history, the large side, is exchanged once
+    loans = movement.join(loan, F.col("madkro") == F.col("prtkro"))
+    return history.filter(F.col("h43tau").isNull()).join(loans, F.col("h43kmv") == F.col("madkmv"))
 
 
 def report_line() -> Column:

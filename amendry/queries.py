@@ -26,7 +26,7 @@ AGE_ON = date(2020, 6, 3)
 LOG_DAY = date(2024, 1, 15)
 LETTER_DAY = date(1998, 1, 1)
 PIVOT = date(1999, 1, 1)  # the test data runs from 1995 to 2001
-ROWS = 1000
+ROWS, MANY_ROWS, MEMBERS_A_RUN = 1000, 5000, 60
 TOP = 200
 
 
@@ -40,7 +40,9 @@ def query(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
 
 @query
 def scan_typed(v):
-    return schema.to_long(schema.typed(v.history(), "adh1h43pf"), "adh1h43pf")
+    path = Workspace(v.spark).path("adh1h43pf")
+    schema.typed(v.history(), "adh1h43pf").write.parquet(path)
+    return schema.to_long(schema.read_table(v.spark, path, "adh1h43pf"), "adh1h43pf")
 
 
 @query
@@ -303,8 +305,17 @@ def sort_desc(v):
 
 @query
 def limit_n(v):
+    return _first_open(v, ROWS)
+
+
+@query
+def limit_large(v):
+    return _first_open(v, MANY_ROWS)
+
+
+def _first_open(v, n):
     todo = v.history().filter(F.col("h43tau").isNull()).select("h43kmv", "h43ggi", "h43mpb")
-    return order.first_rows(todo, str(ROWS), order.ascending("h43kmv", "h43ggi", "h43mpb"))
+    return order.first_rows(todo, str(n), order.ascending("h43kmv", "h43ggi", "h43mpb"))
 
 
 @query
@@ -352,11 +363,11 @@ def set_constant(v):
 def status_update(v):
     """Status of every member from its decisions, including members without any."""
     members = reconcile.list_members(v.member(), v.reference(), v.decision(), with_decision_only=False)
+    latest = reconcile.latest_decisions(members, v.decision())
     flags = reconcile.member_flags(
-        reconcile.compared_decisions(members, v.decision(), v.latest_pointer(), v.source_decision())
-    )
-    both = joins.guarded_join(members, flags, [("kronoAdh", "gdekro")], "left")
-    return reconcile.update_status(both, reconcile.CORRECT_STEP, AS_OF).select(
+        reconcile.compared_decisions(members, latest, v.decision(), v.latest_pointer(), v.source_decision())
+    ).withColumnRenamed("any_wrong", "any_corrected")
+    return reconcile.update_status(reconcile.beside(members, flags), reconcile.CORRECT_STEP, AS_OF).select(
         "kronoAdh", "decisionSR", "decisionGDE", "rechercheAno", "correctionAno", "dateModif"
     )
 
@@ -397,7 +408,7 @@ def archive_modified(v):
     work = Workspace(v.spark)
     held = v.member().filter("adhcor = 1").select(F.col("adhcie").alias("compagnie"), F.col("adhkro").alias("kronoAdh"))
     work.append(sinks.shaped(held, v.spark.createDataFrame([], schema.MEMBERS)), "archive")
-    corrected = _correct_job(v)[1]
+    corrected = _correct_job(v).members
     archive = work.append(sinks.archive_rows(corrected), "archive")
     return archive.select("compagnie", "kronoAdh", "garantie", "correctionAno", "dateModif")
 
@@ -507,8 +518,8 @@ def rate_rule(v):
 # ---- jobs
 
 
-def _history_job(v, work=None):
-    return premium.backfill_history(v.history(), v.movement(), v.loan(), v.bank(), v.rate(), work=work)
+def _history_job(v, work=None, limit=order.ALL):
+    return premium.backfill_history(v.history(), v.movement(), v.loan(), v.bank(), v.rate(), limit, work)
 
 
 def _priority_job(v, work=None, only_if_clean=False):
@@ -519,18 +530,23 @@ def _split_job(v, work=None):
     return premium.split_net_tax(v.tier(), v.loan(), v.bank(), v.rate(), work=work)
 
 
-def _members(v, work):
-    """List, then search, each step staged as the next one's input table."""
-    listed = work.stage(reconcile.list_members(v.member(), v.reference(), v.decision()), "members")
-    return reconcile.find_anomalies(listed, v.decision(), v.latest_pointer(), v.source_decision(), work=work)
+def _listed(v, work):
+    """The listed members and their batch, staged as the next step's input tables."""
+    members = work.stage(reconcile.list_members(v.member(), v.reference(), v.decision()), "members")
+    return members, work.stage(reconcile.latest_decisions(members, v.decision()), "latest")
+
+
+def _members(v, work, limit=order.ALL):
+    inputs = (*_listed(v, work), v.decision(), v.latest_pointer(), v.source_decision())
+    return reconcile.find_anomalies(*inputs, limit=limit, work=work)
 
 
 def _correct_job(v):
     work = Workspace(v.spark)
-    searched = work.stage(_members(v, work).members, "searched")
-    return reconcile.correct_anomalies(
-        searched, v.decision(), v.latest_pointer(), v.source_decision(), v.exclusion(), as_of=AS_OF, work=work
-    )
+    listed, latest = _listed(v, work)
+    tables = latest, v.decision(), v.latest_pointer(), v.source_decision()
+    searched = work.stage(reconcile.find_anomalies(listed, *tables, work=work).members, "searched")
+    return reconcile.correct_anomalies(searched, *tables, v.exclusion(), as_of=AS_OF, work=work)
 
 
 @query
@@ -538,6 +554,13 @@ def job_backfill_history(v):
     return _history_job(v).table.select("h43kmv", "h43nli", "h43ggi", "h43mpb", "h43deb", "h43tau")
 
 
+@query
+def job_backfill_history_limited(v):
+    """One run with a quantity; rows that tie at its end are told apart by no column shown."""
+    job = _history_job(v, Workspace(v.spark), str(MANY_ROWS))
+    return job.table.select("h43kmv", "h43nli", "h43ggi", "h43tau")
+
+
 @query
 def job_backfill_history_rejects(v):
     return _history_job(v).rejects
@@ -573,6 +596,11 @@ def job_split_net_tax_rejects(v):
     return _split_job(v).rejects
 
 
+@query
+def job_split_net_tax_end(v):
+    return _split_job(v).end
+
+
 @query
 def job_split_net_tax_summary(v):
     return _split_job(v).summary
@@ -603,6 +631,14 @@ def job_find_anomalies(v):
     )
 
 
+@query
+def job_find_anomalies_limited(v):
+    """One run with a quantity: the first members in order are searched, the others are as listed."""
+    return _members(v, Workspace(v.spark), str(MEMBERS_A_RUN)).members.select(
+        "kronoAdh", "numObaSR", "garantie", "decisionSR", "rechercheAno"
+    )
+
+
 @query
 def job_find_anomalies_rejects(v):
     return _members(v, Workspace(v.spark)).rejects
@@ -610,14 +646,19 @@ def job_find_anomalies_rejects(v):
 
 @query
 def job_correct_decisions(v):
-    return _correct_job(v)[0].select(
+    return _correct_job(v).decisions.select(
         "gdekro", "gdekrh", "gdegar", "gdedec", "gdecdc", "gdecn1", "gdecn2", "gdecn3"
     )
 
 
 @query
 def job_correct_members(v):
-    return _correct_job(v)[1].select("kronoAdh", "garantie", "rechercheAno", "correctionAno", "dateModif")
+    return _correct_job(v).members.select("kronoAdh", "numObaSR", "garantie", "rechercheAno", "correctionAno", "dateModif")
+
+
+@query
+def job_correct_rejects(v):
+    return _correct_job(v).rejects
 
 
 @query

@@ -4,7 +4,7 @@
 
 The root holds the published tables under their short names, the log and the manifest.
 A run reads the latest version of its inputs, stages its work in the session's shared
-folder, logs rejects and its end message, and publishes all changed tables or none.
+folder, and publishes all changed tables, its rejects and its end message, or nothing.
 """
 
 from __future__ import annotations
@@ -15,14 +15,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from amendry.operators.order import ALL
-from amendry.operators.rejects import end_message
 from amendry.plans import premium, reconcile, samples
 from amendry.sources.publish import publish, published
-from amendry.sources.sinks import archive_rows, write_log
+from amendry.sources.sinks import archive_rows, dated
 from amendry.sources.workspace import Workspace
 
-# Codes of the end messages.
-END_CODES = {"backfill_history": "000200", "backfill_priority": "000204", "split_net_tax": "000507"}
 STEPS = {
     "list_members": reconcile.LIST_STEP,
     "find_anomalies": reconcile.FIND_STEP,
@@ -60,22 +57,29 @@ class Run:
     def tables(self, *names: str) -> list[DataFrame]:
         return [self.table(n) for n in names]
 
-    def publish(self, tables: dict[str, DataFrame], unchanged_size: list[str], added=None) -> int:
-        """Publish, provided that updated tables kept their number of rows."""
-        checks = {}
-        for name in unchanged_size:
-            size = self.table(name).count()
-            checks[f"{name} keeps {size} rows"] = lambda written, name=name, size=size: written[name].count() == size
+    def publish(
+        self,
+        tables: dict[str, DataFrame],
+        sizes: dict[str, int],
+        log: DataFrame | None = None,
+        added: dict[str, DataFrame] | None = None,
+    ) -> int:
+        """Publish tables, log and archive together, provided that the tables have as many rows as they should."""
+        checks = {
+            f"{name} has {size} rows": lambda written, name=name, size=size: written[name].count() == size
+            for name, size in sizes.items()
+        }
+        added = dict(added or {})
+        if log is not None:
+            added["log"] = dated(log, self.as_of.date())
         return publish(self.spark, self.root, tables, checks, added)
 
-    def log(self, rows: DataFrame) -> None:
-        write_log(rows, f"{self.root}/log", self.as_of.date())
+    def sizes(self, *names: str) -> dict[str, int]:
+        """Updated tables keep their number of rows."""
+        return {name: self.table(name).count() for name in names}
 
     def finish(self, job: premium.JobResult, tables: dict[str, DataFrame]) -> int:
-        version = self.publish(tables, list(tables))
-        self.log(job.rejects)
-        self.log(end_message(job.summary, job.step, END_CODES[job.step]))
-        return version
+        return self.publish(tables, self.sizes(*tables), job.rejects.unionByName(job.end))
 
     # ---- premium jobs
 
@@ -112,37 +116,40 @@ class Run:
         member, reference, decision = self.tables("t4padhpf", "p0elaepf", "p0egdepf")
         members = self.work.stage(reconcile.list_members(member, reference, decision, company), "members")
         latest = reconcile.latest_decisions(members, decision)
-        return self.publish({"adhgde2": members, "egdederdec": latest}, [])
+        listed = members.select("kronoAdh").distinct().count()
+        return self.publish({"adhgde2": members, "egdederdec": latest}, {"egdederdec": listed, "adhgde2": members.count()})
 
     def find_anomalies(self) -> int:
         self.check_parameters("find_anomalies")
-        inputs = self.tables("adhgde2", "p0egdepf", "sri1ddopf", "p0mdecpf")
+        inputs = self.tables("adhgde2", "egdederdec", "p0egdepf", "sri1ddopf", "p0mdecpf")
         search = reconcile.find_anomalies(*inputs, limit=self.quantity, work=self.work)
-        version = self.publish({"adhgde2": search.members}, ["adhgde2"])
-        self.log(search.rejects)
-        return version
+        return self.publish({"adhgde2": search.members}, self.sizes("adhgde2"), search.rejects)
 
     def correct_anomalies(self) -> int:
         company = self.check_parameters("correct_anomalies")
-        inputs = self.tables("adhgde2", "p0egdepf", "sri1ddopf", "p0mdecpf", "p0mexcpf")
-        decision, members = reconcile.correct_anomalies(*inputs, company=company, as_of=self.as_of, work=self.work)
-        members = self.work.stage(members, "members")
-        tables = {"p0egdepf": decision, "adhgde2": members}
-        return self.publish(tables, list(tables), added={"adhgde2sav": archive_rows(members)})
+        inputs = self.tables("adhgde2", "egdederdec", "p0egdepf", "sri1ddopf", "p0mdecpf", "p0mexcpf")
+        done = reconcile.correct_anomalies(*inputs, company=company, as_of=self.as_of, work=self.work)
+        members = self.work.stage(done.members, "members")
+        tables = {"p0egdepf": done.decisions, "adhgde2": members}
+        return self.publish(tables, self.sizes(*tables), done.rejects, {"adhgde2sav": archive_rows(members)})
 
     # ---- smaller jobs
 
     def open_letters(self) -> int:
+        if self.day is None:
+            raise InvalidParameter("open_letters needs the day of the letters")
         letters = samples.open_letters(*self.tables("t4pcorpf", "adh1csupf", "t4pprtpf"), self.day)
-        return self.publish({"open_letters": letters}, [])
+        letters = self.work.stage(letters, "open_letters")
+        return self.publish({"open_letters": letters}, {"open_letters": letters.count()})
 
     def sync_salary(self) -> int:
-        employee = samples.sync_salary(*self.tables("employee", "wage"), int(self.quantity))
-        return self.publish({"employee": employee}, ["employee"])
+        employee = samples.sync_salary(*self.tables("employee", "wage"), self.quantity)
+        return self.publish({"employee": employee}, self.sizes("employee"))
 
     def premium_report(self) -> int:
         lines = samples.premium_report(*self.tables("adh1h43pf", "p0amadpf", "t4pprtpf"))
-        return self.publish({"premium_report": lines}, [])
+        lines = self.work.stage(lines, "premium_report")
+        return self.publish({"premium_report": lines}, {"premium_report": lines.count()})
 
 
 JOBS = [

@@ -13,8 +13,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from amendry.sources import schema
 from amendry.sources.workspace import Workspace
 
+MOST_FOLDERS = 16  # of a table that rows are added to; then they are written together
 MANIFEST = "table_name string, location string, version bigint"
 Check = Callable[[dict[str, DataFrame]], bool]
 
@@ -48,17 +50,23 @@ def publish(
 ) -> int:
     """Write the tables, run the checks on what was written, then switch to them together.
 
-    `added` holds rows that join those already published instead of replacing them.
+    `added` holds rows that join those already published instead of replacing them. From
+    time to time these are written together into one folder, so that a version names a
+    bounded number of folders. Tables with a declared layout are brought to it.
     """
     added = added or {}
     version = (_manifest(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     work = Workspace(spark, f"{root}/data")
-    written = {name: work.stage(df, name) for name, df in {**tables, **added}.items()}
+    kept = {name: _locations(spark, root, name) for name in added}
+    for name in [n for n, folders in kept.items() if len(folders) >= MOST_FOLDERS]:
+        added = {**added, name: published(spark, root, name).unionByName(schema.declared(added[name], name))}
+        kept[name] = []
+    written = {name: work.stage(schema.declared(df, name), name) for name, df in {**tables, **added}.items()}
     failed = [name for name, check in checks.items() if not check(written)]
     if failed:
         raise CheckFailed(f"version {version} not published: {', '.join(failed)}")
     rows = [(name, work.path(name), version) for name in written]
-    rows += [(name, location, version) for name in added for location in _locations(spark, root, name)]
+    rows += [(name, location, version) for name, folders in kept.items() for location in folders]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     return version
 
@@ -66,4 +74,7 @@ def publish(
 def published(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The latest published version of a table, or None before the first."""
     locations = _locations(spark, root, table)
-    return spark.read.parquet(*locations) if locations else None
+    if not locations:
+        return None
+    reader = spark.read if table not in {**schema.TABLES, **schema.LAYOUTS} else spark.read.schema(schema.struct_of(table))
+    return reader.parquet(*locations)

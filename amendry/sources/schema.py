@@ -35,12 +35,9 @@ LAYOUTS = {"adh1h43pf": PREMIUM_HISTORY, "adh1pacpf": PREMIUM_TIER}
 
 # Long names known for columns of other tables.
 LONG_NAMES = {
-    "madkmv": "P_idHistoMouvement",
-    "prtban": "F_banCode",
-    "prtcie": "F_cieCode",
-    "prtdrt": "C_dateReferenceTarifaire",
-    "bqeban": "F_banCode",
-    "bqeptx": "F_idPays_Taxe",
+    "p0amadpf": {"madkmv": "P_idHistoMouvement"},
+    "t4pprtpf": {"prtban": "F_banCode", "prtcie": "F_cieCode", "prtdrt": "C_dateReferenceTarifaire"},
+    "p1abqepf": {"bqeban": "F_banCode", "bqeptx": "F_idPays_Taxe"},
 }
 
 # The member table of the reconciliation.
@@ -49,6 +46,33 @@ MEMBERS = (
     "decisionGDE string, rechercheAno string, correctionAno string, dateModif timestamp_ntz"
 )
 
+# Layouts of all other published tables.
+TABLES = {
+    "p0amadpf": "madkmv bigint, madkro bigint",
+    "t4pprtpf": "prtkro bigint, prtcie int, prtban bigint, prtdrt date, prtnum bigint, prtord bigint, prtres string, "
+    "prtmot string",
+    "p1abqepf": "bqeban bigint, bqeptx int",
+    "t4ptaxpf": "x_ciecode int, f_idpays int, taxgar int, valid_from date, tau decimal(5,3)",
+    "pretprioritaire": "idpret bigint, traite string",
+    "t4padhpf": "adhkro bigint, adhcie int, adhcor int",
+    "p0elaepf": "laekro bigint, laeref string",
+    "p0egdepf": "gdekro bigint, gdekrh bigint, gdegar int, gdecdc int, gdedec int, gdecn1 int, gdecn2 int, gdecn3 int",
+    "sri1ddopf": "ddodec bigint, ddooba bigint",
+    "p0mdecpf": "decdec bigint, decoba bigint, decgar int, decdat date, dectdp int",
+    "p0mexcpf": "excdec bigint, excgar int, excoba bigint, excord int, exccod int",
+    "t4pciepf": "ciecie int, cieban int",
+    "t4pcorpf": "corkro bigint, cornum bigint, corord bigint, cornat int, cordte date, cordat date",
+    "adh1csupf": "csukro bigint",
+    "employee": "empno bigint, lastname string, firstnme string, birthdate date, salary decimal(11,2)",
+    "wage": "empno bigint, salary decimal(11,2)",
+    "adhgde2": MEMBERS,
+    "adhgde2sav": MEMBERS,
+    "egdederdec": "derkroAdh bigint, derkroDec bigint",
+    "open_letters": "corkro bigint, cornum bigint, corord bigint, cordat date, prtkro bigint, prtres string, prtmot string",
+    "premium_report": "h43kmv bigint, h43nli int, line string",
+    "log": "log_date date, step string, code string, kind string, level string, key bigint, message string, rc int",
+}
+
 PROFILE_WIDTH = 10  # fixed value: CHAR(10)
 
 
@@ -76,13 +100,29 @@ def typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*columns)
 
 
-def _names(table: str | None) -> dict[str, str]:
-    return LONG_NAMES if table is None else {c[0]: c[1] for c in LAYOUTS[table]}
+def struct_of(table: str) -> T.StructType:
+    """Declared schema of any published table."""
+    return struct(table) if table in LAYOUTS else T.StructType.fromDDL(TABLES[table])
+
+
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """df with the columns and types of the table's layout, if it has one; other columns are refused."""
+    if table not in LAYOUTS and table not in TABLES:
+        return df
+    fields = struct_of(table).fields
+    unknown = {c.lower() for c in df.columns} ^ {f.name.lower() for f in fields}
+    if unknown:
+        raise ValueError(f"{table}: columns missing or not in its layout: {sorted(unknown)}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _names(table: str) -> dict[str, str]:
+    return {c[0]: c[1] for c in LAYOUTS[table]} if table in LAYOUTS else LONG_NAMES[table]
 
 
-def to_long(df: DataFrame, table: str | None = None) -> DataFrame:
+def to_long(df: DataFrame, table: str) -> DataFrame:
     return df.withColumnsRenamed({s: l for s, l in _names(table).items() if s in df.columns})
 
 
-def to_short(df: DataFrame, table: str | None = None) -> DataFrame:
+def to_short(df: DataFrame, table: str) -> DataFrame:
     return df.withColumnsRenamed({l: s for s, l in _names(table).items() if l in df.columns})

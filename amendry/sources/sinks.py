@@ -42,10 +42,14 @@ def archive_rows(members: DataFrame) -> DataFrame:
     return members.filter(F.col("dateModif").isNotNull())
 
 
+def dated(rejects: DataFrame, day: date) -> DataFrame:
+    """Log rows with the day they belong to."""
+    return rejects.select(F.lit(day).alias("log_date"), *COLUMNS)
+
+
 def write_log(rejects: DataFrame, path: str, day: date) -> None:
     """Append rejects to the log, partitioned by day."""
-    logged = rejects.select(F.lit(day).alias("log_date"), *COLUMNS)
-    logged.write.mode("append").partitionBy("log_date").parquet(path)
+    dated(rejects, day).write.mode("append").partitionBy("log_date").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, day: date) -> DataFrame:

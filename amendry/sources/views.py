@@ -113,14 +113,22 @@ class Views:
         )
 
     def reference(self) -> DataFrame:
-        """External reference text: request number, then the OB number or blanks; some have two."""
+        """External reference text: request number, then the OB number or blanks; some have two.
+
+        Every 13th member has a second reference, to the OB of the next one.
+        """
+        customer = self.source("customer")
         ob = f"' ' || lpad(cast(c_custkey + {OB_OFFSET} as string), 11, '0')"
-        return self.source("customer").selectExpr(
+        request = f"lpad(cast(c_custkey + {REQUEST_OFFSET} as string), 11, '0')"
+        first = customer.selectExpr(
             "c_custkey as laekro",
-            f"lpad(cast(c_custkey + {REQUEST_OFFSET} as string), 11, '0') "
-            f"|| case when c_custkey % 33 = 0 then repeat(' ', 12) else {ob} end "
+            f"{request} || case when c_custkey % 33 = 0 then repeat(' ', 12) else {ob} end "
             f"|| case when c_custkey % 47 = 5 then {ob} else '' end as laeref",
         )
+        second = customer.filter("c_custkey % 13 = 3").selectExpr(
+            "c_custkey as laekro", f"{request} || ' ' || lpad(cast(c_custkey + 1 + {OB_OFFSET} as string), 11, '0') as laeref"
+        )
+        return first.union(second)
 
     def decision(self) -> DataFrame:
         """Decisions of the corrected system: ties on the latest batch, some NULL."""

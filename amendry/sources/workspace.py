@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+_own: dict[str, str] = {}  # by application, where the setting is missing
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a fresh one only for an unset local session."""
+    """The folder named by spark.checkpoint.dir, which every executor can reach.
+
+    A session of one process that lacks the setting, as in tests, gets a folder of its own.
+    """
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{SETTING} must name a shared folder on a cluster")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="run-")
-    return _local_folders[app]
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError(f"{SETTING} must name a folder that all executors share")
+    return _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="run-"))
 
 
 class Workspace:

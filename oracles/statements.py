@@ -7,9 +7,9 @@ HISTORY_REJECTS = """
            case status when 'NO_BANK' then '000325' when 'NO_RATE' then '000376' else '000303' end code,
            '*Other' kind, 'INFO' as level, h43kmv as key,
            status || ': ' || case status
-               when 'NO_BANK' then 'Erreur - prtban - ' || prtban
-               when 'NO_RATE' then 'Erreur - calcul taux de taxe - ' || h43ggi || '/' || bqeptx || '/' || prtcie
-               else 'Erreur - Pret - wh43kmv = ' || h43kmv end message,
+               when 'NO_BANK' then 'no single bank ' || prtban
+               when 'NO_RATE' then 'no single rate for cover ' || h43ggi || ', country ' || bqeptx || ', company ' || prtcie
+               else 'no single loan for movement ' || h43kmv end message,
            case when status = 'AMBIGUOUS_LOAN' then -811 else 100 end rc
     from h43_rated where status <> 'OK'"""
 
@@ -170,6 +170,9 @@ ORACLES = {
     "limit_n": q(
         "select h43kmv, h43ggi, h43mpb from h43 where h43tau is null order by h43kmv, h43ggi, h43mpb limit 1000", "h43"
     ),
+    "limit_large": q(
+        "select h43kmv, h43ggi, h43mpb from h43 where h43tau is null order by h43kmv, h43ggi, h43mpb limit 5000", "h43"
+    ),
     "top_k": q(
         """select empno, lastname, firstnme, birthdate from emp
            order by birthdate desc nulls first, empno limit 200""",
@@ -196,12 +199,14 @@ ORACLES = {
                   case when sr_found and wrong then 'O' end "correctionAno",
                   case when sr_found and wrong then timestamp '2020-06-03 12:00:00' end "dateModif"
            from (select adhkro, fkro is not null gde_found, coalesce(sr_found, false) sr_found, wrong
-                 from adh left join (select kronoAdh fkro, bool_or(found = 'OK') sr_found,
+                 from adh join (select laekro, try_cast(substr(laeref, 13, 11) as bigint) lob from elae) on laekro = adhkro
+                 left join (select kronoAdh fkro, numObaSR fob, bool_or(found = 'OK') sr_found,
                                 bool_or((found = 'OK' and gde <> sr) or (found = 'NOT_FOUND' and gde <> 0)) wrong
-                              from cmp group by kronoAdh) on fkro = adhkro
+                              from cmp group by kronoAdh, numObaSR) on fkro = adhkro and fob is not distinct from lob
                  where adhcor = 4)""",
         "cmp",
         "adh",
+        "elae",
     ),
     "copy_column": q("select corkro, cornat, corkro corkrg from cor", "cor"),
     "update_from_table": q(
@@ -295,6 +300,12 @@ ORACLES = {
            from h43_rated""",
         "h43_rated",
     ),
+    "job_backfill_history_limited": q(
+        """select h43kmv, h43nli, h43ggi, h43tau from h43 where h43tau is not null
+           union all select h43kmv, h43nli, h43ggi, case when status = 'OK' and picked then tau end
+           from (select *, row_number() over (order by h43kmv, h43nli, h43ggi) <= 5000 picked from h43_rated)""",
+        "h43_rated",
+    ),
     "job_backfill_history_rejects": q(HISTORY_REJECTS, "h43_rated"),
     "job_backfill_priority": q(PRIORITY_TABLE, "pac_rated", "prio"),
     "job_backfill_priority_summary": q(
@@ -326,13 +337,23 @@ ORACLES = {
     "job_split_net_tax_rejects": q(
         """select 'split_net_tax' step,
                   case split_status when 'NO_AMOUNT' then '000379' when 'NO_LOAN' then '000419' else '000458' end code,
-                  case split_status when 'NO_LOAN' then '*SQL' else '*Other' end kind, 'INFO' as level, packro as key,
-                  split_status || ': ' || case split_status when 'NO_AMOUNT' then 'montant palier absent, pret '
-                    when 'NO_LOAN' then 'erreur recherche infos pret, '
-                    else 'erreur recherche taux de taxe pour le pret, ' end || packro message, 100 rc
+                  case split_status when 'NO_RATE' then '*Other' else '*SQL' end kind, 'INFO' as level, packro as key,
+                  split_status || ': ' || case split_status when 'NO_AMOUNT' then 'a tier of loan ' || packro || ' has no amount'
+                    when 'NO_LOAN' then 'no single loan with its bank for ' || packro
+                    else 'no single rate for loan ' || packro end message,
+                  case split_status when 'NO_AMOUNT' then -305 else 100 end rc
            from pac_split where split_status <> 'OK'""",
         "pac_split",
     ),
+    "job_split_net_tax_end": q(
+        """select 'split_net_tax' step, case when n_failed = 0 then '000507' else '000515' end code, '*Other' kind,
+                  'INFO' as level, cast(null as bigint) as key,
+                  'tiers split: ' || n_updated || ' of ' || n_read || ' done' ||
+                  case when n_failed = 0 then '' else ', ' || n_failed || ' rejected' end message,
+                  cast(n_failed > 0 as int) rc
+           from (""" + SUMMARY.format("(select split_status status from pac_split)") + ")",
+        "pac_split",
+    ),
     "job_split_net_tax_summary": q(SUMMARY.format("(select split_status status from pac_split)"), "pac_split"),
     "job_list_members": q('select compagnie, kronoAdh "kronoAdh", numDemSR "numDemSR", numObaSR "numObaSR" from members', "members"),
     "job_list_members_single_ob": q(
@@ -351,9 +372,15 @@ ORACLES = {
                   rechercheAno "rechercheAno", correctionAno "correctionAno" from searched""",
         "searched",
     ),
+    "job_find_anomalies_limited": q(
+        """select s.kronoAdh "kronoAdh", s.numObaSR "numObaSR", case when picked then garantie end garantie,
+                  case when picked then decisionSR end "decisionSR", case when picked then rechercheAno end "rechercheAno"
+           from (select *, row_number() over (order by kronoAdh, numObaSR nulls last) <= 60 picked from searched) s""",
+        "searched",
+    ),
     "job_find_anomalies_rejects": q(
         """select 'find_anomalies' step, '001401' code, '*Other' kind, 'WARN' as level, kronoAdh as key,
-                  found || ': decision non trouvee pour OB ' || coalesce(cast(numObaSR as varchar), '') || ' garantie ' ||
+                  found || ': no single decision for OB ' || coalesce(cast(numObaSR as varchar), '') || ', cover ' ||
                   gdegar message, case found when 'AMBIGUOUS' then -811 else 100 end rc
            from cmp where found <> 'OK'""",
         "cmp",
@@ -368,8 +395,20 @@ ORACLES = {
         "egde",
         "fixes",
     ),
+    "job_correct_rejects": q(
+        """select 'correct_anomalies' step, '001401' code, '*Other' kind, 'WARN' as level, kronoAdh as key,
+                  found || ': no single decision for OB ' || coalesce(cast(numObaSR as varchar), '') || ', cover ' ||
+                  gdegar message, case found when 'AMBIGUOUS' then -811 else 100 end rc
+           from tocorrect where found <> 'OK'
+           union all
+           select 'correct_anomalies', 'CONFLICT', '*Other', 'WARN', badkro,
+                  'CONFLICT: the OBs of a member ask for different decisions on cover ' || badgar, -811
+           from conflicts""",
+        "tocorrect",
+        "conflicts",
+    ),
     "job_correct_members": q(
-        """select kronoAdh "kronoAdh", garantie, rechercheAno "rechercheAno", corr "correctionAno", stamp "dateModif"
+        """select kronoAdh "kronoAdh", numObaSR "numObaSR", garantie, rechercheAno "rechercheAno", corr "correctionAno", stamp "dateModif"
            from corrected""",
         "corrected",
     ),

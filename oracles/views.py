@@ -46,7 +46,11 @@ VIEWS = {
                     else ' ' || lpad(cast(c_custkey + 3000000 as varchar), 11, '0') end ||
                case when c_custkey % 47 = 5 then ' ' || lpad(cast(c_custkey + 3000000 as varchar), 11, '0')
                     else '' end laeref
-        from customer""",
+        from customer
+        union all
+        select c_custkey, lpad(cast(c_custkey + 2000000 as varchar), 11, '0') || ' ' ||
+               lpad(cast(c_custkey + 3000001 as varchar), 11, '0')
+        from customer where c_custkey % 13 = 3""",
     "egde": """
         select o_custkey gdekro, o_custkey * 10000 + year(o_orderdate) gdekrh, cast(o_orderkey % 5 as int) gdegar,
                case when o_orderkey % 7 = 0 then null else cast(o_orderkey % 4 as int) end gdecdc,
@@ -138,12 +142,13 @@ VIEWS = {
         left join sr on decoba = numObaSR and decgar = gdegar""",
     "listed": "select * from cmp where found = 'NOT_FOUND' or (found = 'OK' and gde <> sr)",
     "lists": """
-        select kronoAdh lkro,
+        select kronoAdh lkro, numObaSR lob,
                substr(string_agg(gdegar || '/', '' order by gdegar, sr_key nulls last, gde), 1, 20) g,
                substr(string_agg(case when found = 'OK' then cast(sr as varchar) else '-' end || '/', ''
                       order by gdegar, sr_key nulls last, gde), 1, 20) s,
                substr(string_agg(gde || '/', '' order by gdegar, sr_key nulls last, gde), 1, 20) d
-        from (select *, case when found = 'OK' then sr end sr_key from listed) group by kronoAdh""",
+        from (select *, case when found = 'OK' then sr end sr_key from listed)
+        group by kronoAdh, numObaSR""",
     "searched": """
         select m.kronoAdh, numObaSR, compagnie, numDemSR,
                case when f.sr_found then g end garantie,
@@ -152,28 +157,38 @@ VIEWS = {
                case when f.sr_found then 'O' else 'N' end rechercheAno,
                case when f.sr_found and g is null then 'N' end correctionAno
         from members m
-        join (select kronoAdh fkro, bool_or(found = 'OK') sr_found from cmp group by kronoAdh) f on fkro = m.kronoAdh
-        left join lists on lkro = m.kronoAdh""",
+        join (select kronoAdh fkro, numObaSR fob, bool_or(found = 'OK') sr_found from cmp group by kronoAdh, numObaSR) f
+          on fkro = m.kronoAdh and fob is not distinct from numObaSR
+        left join lists on lkro = m.kronoAdh and lob is not distinct from numObaSR""",
+    "tocorrect": """
+        select c.* from cmp c
+        join searched s on s.kronoAdh = c.kronoAdh and s.numObaSR is not distinct from c.numObaSR
+        where garantie is not null and rechercheAno = 'O' and correctionAno is null""",
     "wrong": """
-        select c.* from cmp c join searched s on s.kronoAdh = c.kronoAdh
-        where garantie is not null and rechercheAno = 'O' and correctionAno is null
-          and ((found = 'OK' and gde <> sr) or (found = 'NOT_FOUND' and gde <> 0))""",
+        select * from tocorrect
+        where ((found = 'OK' and gde <> sr) or (found = 'NOT_FOUND' and gde <> 0))""",
     "codes": """
         select excdec, excgar, excoba, coalesce(max(case when excord = 1 then exccod end), 0) n1,
                coalesce(max(case when excord = 2 then exccod end), 0) n2,
                coalesce(max(case when excord = 3 then exccod end), 0) n3
         from exc group by excdec, excgar, excoba""",
-    "fixes": """
+    # what the OBs of a member ask for; more than one row for a cover is a conflict
+    "asked": """
         select distinct kronoAdh fixkro, gdegar fixgar,
                case when found <> 'OK' or decdat is null or decdat = date '0001-01-01' then 0
                     else cast(year(decdat) * 10000 + month(decdat) * 100 + day(decdat) as int) end newdec,
                case when found = 'OK' then sr else 0 end newcdc,
                coalesce(n1, 0) n1, coalesce(n2, 0) n2, coalesce(n3, 0) n3
         from wrong left join codes on found = 'OK' and excdec = decdec and excgar = gdegar and excoba = numObaSR""",
+    "conflicts": "select fixkro badkro, fixgar badgar from asked group by fixkro, fixgar having count(*) > 1",
+    "fixes": "select * from asked where not exists (select * from conflicts where badkro = fixkro and badgar = fixgar)",
     "corrected": """
-        select s.*, case when fixkro is not null then 'O' else correctionAno end corr,
-               case when fixkro is not null then timestamp '2020-06-03 12:00:00' end stamp
-        from searched s left join (select distinct fixkro from fixes) on fixkro = kronoAdh""",
+        select s.*, case when done then 'O' else correctionAno end corr,
+               case when done then timestamp '2020-06-03 12:00:00' end stamp
+        from searched s
+        left join (select kronoAdh wkro, numObaSR wob, bool_and(badkro is null) done
+                   from wrong left join conflicts on badkro = kronoAdh and badgar = gdegar group by kronoAdh, numObaSR)
+          on wkro = kronoAdh and wob is not distinct from numObaSR""",
 }
 
 # what each view reads, in the order the expressions must be declared
@@ -190,10 +205,13 @@ NEEDS = {
     "listed": ["cmp"],
     "lists": ["listed"],
     "searched": ["members", "cmp", "lists"],
-    "wrong": ["cmp", "searched"],
+    "tocorrect": ["cmp", "searched"],
+    "wrong": ["tocorrect"],
     "codes": ["exc"],
-    "fixes": ["wrong", "codes"],
-    "corrected": ["searched", "fixes"],
+    "asked": ["wrong", "codes"],
+    "conflicts": ["asked"],
+    "fixes": ["asked", "conflicts"],
+    "corrected": ["searched", "wrong", "conflicts"],
 }
 
 

@@ -37,20 +37,26 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-def difference(spark, con, name, build, sql, sf_dir) -> str | None:
+def difference(spark, con, name, build, sql, sf_dir, ordered=False) -> str | None:
     frame = build(spark, sf_dir)
     cursor = con.execute(sql)
     expected_columns = [d[0] for d in cursor.description]
-    expected = rows_of(expected_columns, cursor.fetchall())
+    fetched = cursor.fetchall()
+    expected = rows_of(expected_columns, fetched)
     if sorted(frame.columns) != sorted(expected_columns):
         return f"{name}: columns {sorted(frame.columns)} != {sorted(expected_columns)}"
-    actual = rows_of(frame.columns, frame.collect())
+    collected = frame.collect()
+    actual = rows_of(frame.columns, collected)
     if actual != expected:
         extra, missing = actual - expected, expected - actual
         return (
             f"{name}: {sum(actual.values())} rows != {sum(expected.values())}; "
             f"only Spark {list(extra.items())[:2]}; only SQL {list(missing.items())[:2]}"
         )
+    if ordered:
+        own = [[plain(r[frame.columns.index(c)]) for c in expected_columns] for r in collected]
+        if own != [[plain(x) for x in r] for r in fetched]:
+            return f"{name}: rows in another order"
     return None if expected else f"{name}: no rows"
 
 

@@ -117,27 +117,48 @@ def test_pivot_and_flags(spark):
 
 
 @pytest.mark.parametrize("quantity", [0, 1, 7, 150, 299, 300, 5000, "*all"])
-def test_mark_first_marks_exactly_n(spark, quantity):
+def test_split_first_picks_exactly_n(spark, quantity):
     rng = random.Random(11)
     keys = [rng.choice([1, 1, 2, 3, None]) for _ in range(300)]  # many equal rows
     df = spark.createDataFrame([(k,) for k in keys], "k int").repartition(5)
-    marked = order.mark_first(df, quantity, order.ascending("k"), "first", Workspace(spark))
-    got = marked.collect()
+    first, rest = order.split_first(df, quantity, order.ascending("k"), Workspace(spark))
     n = 300 if quantity == "*all" else min(quantity, 300)
     ordered = sorted(keys, key=lambda k: (k is None, k or 0))
-    assert len(got) == 300
-    assert sorted((r.k for r in got if r.first), key=lambda k: (k is None, k or 0)) == ordered[:n]
+    by_rank = lambda frame: sorted((r.k for r in frame.collect()), key=lambda k: (k is None, k or 0))
+    assert by_rank(first) == ordered[:n]
+    assert by_rank(rest) == ordered[n:]
 
 
-def test_first_rows_beyond_the_heap(spark, monkeypatch):
-    monkeypatch.setattr(order, "HEAP_ROWS", 10)
-    df = spark.range(200).select((F.lit(199) - F.col("id")).alias("v")).repartition(4)
-    assert [r.v for r in order.first_rows(df, "25", order.ascending("v")).collect()] == list(range(25))
+def test_the_same_rows_whatever_the_number(spark):
+    """Many ties: a larger N only adds rows, up or down, and the plan has no per-task limit."""
+    df = spark.range(4000).selectExpr("cast(id % 2 as int) as k", "if(id % 7 = 0, null, cast(id as string)) as t").repartition(7)
+    for by in (order.ascending("k", "t"), order.descending("t") + order.ascending("k"), order.ascending("k")):
+        before = set()
+        for n in (1, 500, 1000, 1001, 2500, 4000, 9999):
+            found = order.first_rows(df.withColumn("u", F.monotonically_increasing_id()), n, by)
+            assert "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()
+            got = {r.u for r in found.collect()}
+            assert len(got) == min(n, 4000) and before <= got
+            before = got
+
+
+def test_sorted_over_several_ranges(spark):
+    df = spark.range(500).selectExpr("if(id % 50 = 0, null, (id * 37) % 101) as v", "id as w").repartition(6)
+    for by, down in ((order.ascending("v", "w"), False), (order.descending("v") + order.ascending("w"), True)):
+        got = [(r.v, r.w) for r in order.sorted_rows(df, by).collect()]
+        rank = (lambda r: (r[0] is not None, -(r[0] or 0), r[1])) if down else (lambda r: (r[0] is None, r[0] or 0, r[1]))
+        assert got == sorted(got, key=rank)
+
+
+def test_lists_too_wide_to_be_bounded_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(ValueError, match="not bounded"):
+        collect.fixed_lists(df, ["k"], {"l": "cast(v as string)"}, order.ascending("v"), width=2400)
 
 
 def test_quantity_is_checked():
     assert order.parse_quantity(" 12 ") == 12 and order.parse_quantity("*all") is None
-    for bad in ("", "12x", "-3", "123456789"):
+    for bad in ("", "12x", "-3", "1.5"):
         with pytest.raises(ValueError):
             order.parse_quantity(bad)
 

@@ -85,7 +85,7 @@ def test_history_branches(history, ref):
     assert job.table.columns == history.columns and job.table.count() == history.count()
     assert rows(job.summary) == [(11, 1, 10, "01")]
     assert job.rejects.count() == 10
-    assert {r.message for r in job.rejects.collect() if r.key == 0} == {"NO_LOAN: Erreur - Pret - wh43kmv = 0"}
+    assert {r.message for r in job.rejects.collect() if r.key == 0} == {"NO_LOAN: no single loan for movement 0"}
 
 
 def test_history_rerun_changes_nothing(history, ref):

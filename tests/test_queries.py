@@ -14,6 +14,10 @@ from tests.compare import connect, difference
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+# compared row by row, as far as their SQL names an order that leaves no ties
+SORTED = {"limit_n", "limit_large", "top_k", "log_by_day", "job_open_letters"}
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF_DIR)
@@ -32,8 +36,8 @@ def test_entry_returns_rows(spark):
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_sql(spark, con, name):
-    problem = difference(spark, con, name, REGISTRY[name], ORACLES[name], SF_DIR)
-    assert problem is None or problem == f"{name}: no rows", problem
+    problem = difference(spark, con, name, REGISTRY[name], ORACLES[name], SF_DIR, ordered=name in SORTED)
+    assert problem is None, problem  # an empty result counts as one
 
 
 def test_branches_reached_at_a_known_scale(spark):
@@ -44,8 +48,9 @@ def test_branches_reached_at_a_known_scale(spark):
         "OK": 15442, "NO_RATE": 3304, "NO_BANK": 489, "AMBIGUOUS_LOAN": 411, "NO_LOAN": 400
     }
     members = reconcile.list_members(v.member(), v.reference(), v.decision(), with_decision_only=False)
-    once = v.latest_pointer().distinct()
-    search = reconcile.find_anomalies(members, v.decision(), once, v.source_decision())
+    members = members.filter("numObaSR is null or numObaSR = kronoAdh + 3000000")  # first references
+    once, latest = v.latest_pointer().distinct(), reconcile.latest_decisions(members, v.decision())
+    search = reconcile.find_anomalies(members, latest, v.decision(), once, v.source_decision())
     counts = search.members.selectExpr(
         "count(*)", "count_if(garantie is not null)", "count_if(correctionAno = 'N')",
         "count_if(decisionSR = 'not found')", "count_if(decisionGDE = 'not found')",

@@ -65,15 +65,19 @@ def members(data):
     return reconcile.list_members(data["member"], data["reference"], data["decision"], company=2, with_decision_only=False)
 
 
+def tables(members, data):
+    latest = data.get("latest") or reconcile.latest_decisions(members, data["decision"])
+    return members, latest, data["decision"], data["pointer"], data["source"]
+
+
 def search(members, data, **options):
-    found = reconcile.find_anomalies(members, data["decision"], data["pointer"], data["source"], **options)
+    found = reconcile.find_anomalies(*tables(members, data), **options)
     return found.members, found.rejects
 
 
 def correct(members, data, **options):
-    return reconcile.correct_anomalies(
-        members, data["decision"], data["pointer"], data["source"], data["exclusion"], as_of=AS_OF, **options
-    )
+    done = reconcile.correct_anomalies(*tables(members, data), data["exclusion"], **{"as_of": AS_OF, **options})
+    return done.decisions, done.members
 
 
 def test_list(spark, data):
@@ -154,9 +158,7 @@ def test_correct(spark, members, data):
     changed = {r.kronoAdh: (r.correctionAno, r.dateModif) for r in done.collect() if r.dateModif is not None}
     # member 6: its listed cover has no decision there and 0 here, so nothing is to correct
     assert changed == {1: ("O", AS_OF), 4: ("O", AS_OF), 8: ("O", AS_OF)}
-    again = reconcile.correct_anomalies(
-        done, decisions, data["pointer"], data["source"], data["exclusion"], as_of=datetime(2021, 1, 1)
-    )
+    again = correct(done, {**data, "decision": decisions}, as_of=datetime(2021, 1, 1))
     assert rows(again[0]) == rows(decisions) and rows(again[1]) == rows(done)
 
 
@@ -186,3 +188,46 @@ def test_parameters(spark):
     params = spark.createDataFrame(calls, "prm_id int, option string, compagnie string, quantite string")
     got = {r.prm_id: r.parameter for r in reconcile.check_parameters(params, company).collect()}
     assert got == {4: "option", 5: "quantite", 6: "quantite", **{k: "compagnie" for k in (7, 8, 9, 10, 11)}}
+
+
+def two_obs(spark, data):
+    """Member 1 has two OBs that disagree on cover 3; member 2 has two that agree."""
+    reference = spark.createDataFrame(
+        [(1, OB.format(1)), (1, OB.format(2)), (2, OB.format(2)), (2, OB.format(9))], "laekro bigint, laeref string"
+    )
+    decision = spark.createDataFrame(
+        [(1, 200, 3, 4, 0, 8, 8, 8), (2, 100, 3, 7, 0, 8, 8, 8)],
+        "gdekro bigint, gdekrh bigint, gdegar int, gdecdc int, gdedec int, gdecn1 int, gdecn2 int, gdecn3 int",
+    )
+    listed = reconcile.list_members(data["member"], reference, decision, company=2)
+    extra = spark.createDataFrame([(912, 3000009, 3, "2019-01-01", 1)], "decdec bigint, decoba bigint, decgar int, day string, dectdp int")
+    source = data["source"].union(extra.selectExpr("decdec", "decoba", "decgar", "cast(day as date)", "dectdp"))
+    pointer = data["pointer"].union(extra.selectExpr("decdec", "decoba"))
+    return listed, {**data, "decision": decision, "source": source, "pointer": pointer}
+
+
+def test_lists_are_made_per_ob(spark, data):
+    listed, own = two_obs(spark, data)
+    got = {(r.kronoAdh, r.numObaSR): (r.garantie, r.decisionSR, r.decisionGDE) for r in search(listed, own)[0].collect()}
+    assert got == {
+        (1, 3000001): ("3/", "5/", "4/"), (1, 3000002): ("3/", "1/", "4/"),
+        (2, 3000002): ("3/", "1/", "7/"), (2, 3000009): ("3/", "1/", "7/"),
+    }
+
+
+def test_conflicts_are_rejected_and_leave_the_member_open(spark, data):
+    listed, own = two_obs(spark, data)
+    searched = Workspace(spark).stage(search(listed, own)[0], "searched")
+    done = reconcile.correct_anomalies(*tables(searched, own), own["exclusion"], as_of=AS_OF)
+    assert {(r.gdekro, r.gdecdc) for r in done.decisions.collect()} == {(1, 4), (2, 1)}
+    stamps = {(r.kronoAdh, r.numObaSR): (r.correctionAno, r.dateModif) for r in done.members.collect()}
+    assert {k: v for k, v in stamps.items() if k[0] == 1} == {(1, 3000001): (None, None), (1, 3000002): (None, None)}
+    assert {v for k, v in stamps.items() if k[0] == 2} == {("O", AS_OF)}
+    assert [(r.code, r.key, r.rc) for r in done.rejects.collect()] == [("CONFLICT", 1, -811)]
+
+
+def test_no_step_looks_for_the_latest_batch_again(spark, data, members):
+    latest = Workspace(spark).stage(reconcile.latest_decisions(members, data["decision"]), "latest")
+    own = {**data, "latest": latest}
+    for frame in (search(members, own)[0], correct(search(members, own)[0], own)[0]):
+        assert "max(gdekrh" not in frame._jdf.queryExecution().optimizedPlan().toString()

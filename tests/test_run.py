@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from amendry.run import JOBS, InvalidParameter, Run, main
 from amendry.sources.publish import publish, published
-from amendry.sources.sinks import read_log
 from amendry.sources.views import Views
 from amendry.sources.workspace import Workspace
 from tests.conftest import rows
@@ -40,6 +39,10 @@ def nulls(spark, root, table, col):
     return published(spark, root, table).filter(F.col(col).isNull()).count()
 
 
+def logged(spark, root, condition):
+    return published(spark, root, "log").filter("log_date = date '2020-06-03'").filter(condition).collect()
+
+
 def test_every_job_is_a_method():
     assert all(callable(getattr(Run, job)) for job in JOBS)
 
@@ -51,13 +54,14 @@ def test_backfills_and_split(spark, root):
     assert 0 < before - middle <= 50
     run(spark, root).backfill_history()
     assert nulls(spark, root, "adh1h43pf", "h43tau") < middle
-    ended = [r.message for r in read_log(spark, f"{root}/log", AS_OF.date()).filter("code = '000200'").collect()]
-    assert sorted(ended)[1].startswith("Nb de lignes MAJ = ") and f"Nb de lignes MAJ = {before - middle} / 50" in ended
+    ended = [r.message for r in logged(spark, root, "code = '000200'")]
+    assert len(ended) == 2 and any(m.startswith(f"history rows: {before - middle} of 50 done") for m in ended)
     run(spark, root).backfill_priority()
     assert published(spark, root, "pretprioritaire").filter("traite = 'N'").count() == 0
     open_before = nulls(spark, root, "adh1pacpf", "pacmht")
     run(spark, root).split_net_tax()
     assert nulls(spark, root, "adh1pacpf", "pacmht") < open_before
+    assert [r.rc for r in logged(spark, root, "code = '000515'")] == [1]
 
 
 def test_reconciliation_in_three_runs(spark, root):
@@ -68,13 +72,22 @@ def test_reconciliation_in_three_runs(spark, root):
     run(spark, root, company="1").list_members()
     members = published(spark, root, "adhgde2")
     assert members.count() > 0 and members.filter("compagnie <> 1").count() == 0
-    assert published(spark, root, "egdederdec").count() == members.count()
+    assert published(spark, root, "egdederdec").count() == members.select("kronoAdh").distinct().count()
     run(spark, root, company="1", quantity="3").find_anomalies()
     assert published(spark, root, "adhgde2").filter("rechercheAno is not null").count() == 3
     run(spark, root, company="1").find_anomalies()
     wrong = published(spark, root, "adhgde2").filter("garantie is not null").count()
     assert wrong > 0
+    # a batch that arrives after the list step changes nothing: the listed one is followed
+    listed = published(spark, root, "egdederdec")
+    decision = published(spark, root, "p0egdepf")
+    late = decision.join(listed, F.col("gdekro") == F.col("derkroAdh"), "left_semi").selectExpr(
+        "gdekro", "gdekrh + 1000 as gdekrh", "gdegar + 50 as gdegar", "9 as gdecdc", "gdedec", "gdecn1", "gdecn2", "gdecn3"
+    )
+    publish(spark, root, {"p0egdepf": decision.union(late)}, {})
     run(spark, root, company="1").correct_anomalies()
+    assert published(spark, root, "p0egdepf").filter("gdegar >= 50 and gdecdc <> 9").count() == 0
+    assert logged(spark, root, "step = 'correct_anomalies' and code = '001401'")
     stamped = published(spark, root, "adhgde2").filter(f"dateModif = timestamp_ntz '{AS_OF}'")
     assert 0 < stamped.count() <= wrong
     assert rows(published(spark, root, "adhgde2sav")) == rows(stamped)
@@ -87,6 +100,18 @@ def test_smaller_jobs(spark, root, capsys):
     main(["open_letters", "--root", root, "--day", "1998-01-01"])
     main(["premium_report", "--root", root])
     assert "premium_report: published version" in capsys.readouterr().out
+    with pytest.raises(InvalidParameter, match="day"):
+        run(spark, root).open_letters()
     run(spark, root, quantity="20").sync_salary()
+    main(["sync_salary", "--root", root])  # without a quantity, all
     assert published(spark, root, "premium_report").count() > 0
     assert published(spark, root, "employee").count() == Views(spark, SF_DIR).employee().count()
+
+
+def test_nothing_is_published_when_the_log_cannot_be_written(spark, root, monkeypatch):
+    before = published(spark, root, "adh1pacpf").inputFiles()
+    broken = lambda rows, day: rows.withColumn("rc", F.raise_error(F.lit("no log")).cast("int"))
+    monkeypatch.setattr("amendry.run.dated", broken)
+    with pytest.raises(Exception):
+        run(spark, root).split_net_tax()
+    assert published(spark, root, "adh1pacpf").inputFiles() == before

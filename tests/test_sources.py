@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from amendry.operators.rejects import COLUMNS
+from amendry.sources import publish as publishing
 from amendry.sources import schema, sinks, workspace
 from amendry.sources.publish import CheckFailed, publish, published
 from amendry.sources.workspace import Workspace
@@ -31,8 +32,29 @@ def test_long_and_short_names_are_inverse(spark, table):
 
 def test_long_names_of_other_tables(spark):
     loan = spark.createDataFrame([], "prtkro bigint, prtban bigint, prtdrt date")
-    long = schema.to_long(loan)
+    long = schema.to_long(loan, "t4pprtpf")
     assert long.columns == ["prtkro", "F_banCode", "C_dateReferenceTarifaire"]
+    for table in schema.LONG_NAMES:
+        df = spark.createDataFrame([], schema.struct_of(table))
+        assert schema.to_short(schema.to_long(df, table), table).columns == df.columns
+
+
+def test_published_tables_have_their_declared_types(spark):
+    root = Workspace(spark).path("typed")
+    wage = spark.sql("select 1 as empno, 2 as salary")
+    publish(spark, root, {"wage": wage}, {})
+    assert published(spark, root, "wage").schema == schema.struct_of("wage")
+    with pytest.raises(ValueError, match="other"):
+        publish(spark, root, {"wage": wage.withColumn("other", F.lit(1))}, {})
+
+
+def test_added_rows_keep_few_folders(spark, monkeypatch):
+    monkeypatch.setattr(publishing, "MOST_FOLDERS", 3)
+    root = Workspace(spark).path("added")
+    for k in range(8):
+        publish(spark, root, {}, {}, added={"kept": spark.range(k, k + 1)})
+        assert len(publishing._locations(spark, root, "kept")) <= 3
+    assert [r[0] for r in rows(published(spark, root, "kept"))] == list(range(8))
 
 
 def test_read_table_uses_the_declared_schema_and_pushes_the_worklist_filter(spark, tmp_path):
@@ -63,8 +85,9 @@ class Settings:
 
 def test_shared_folder_comes_from_the_session():
     assert workspace.shared_folder(Settings("spark://host", "hdfs://shared/dir/")) == "hdfs://shared/dir"
-    with pytest.raises(ValueError):
-        workspace.shared_folder(Settings("spark://host"))
+    for master in ("spark://host", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            workspace.shared_folder(Settings(master))
     assert os.path.isdir(workspace.shared_folder(Settings("local[2]")))
 
 
