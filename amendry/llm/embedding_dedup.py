@@ -8,7 +8,8 @@ window around its own value in each, and the windows that a pair shares are coun
 The count to pass is calibrated to lose nothing: the squared projection differences of a
 pair add up to its squared distance, so a pair within the distance leaves at most
 distance^2 / window^2 windows. Pairs that pass are verified by their cosine in double
-precision. Exact copies are folded before. No pair leaves a task: a tile gives the number
+precision. Tiles whose ranges of the first projection lie further apart than the distance
+are not compared. Exact copies are folded before. No pair leaves a task: a tile gives the number
 of links of each vector and a root for what is connected inside it, a pair of tiles
 numbers of links and just enough links between roots.
 """
@@ -16,6 +17,7 @@ numbers of links and just enough links between roots.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -179,22 +181,30 @@ def _across(least: float):
     return run
 
 
-def _tiled(folded: DataFrame, limit: int) -> tuple[DataFrame, list[tuple]]:
-    """folded + tile, and the pairs of tiles to compare, none of vectors of different sizes."""
+def _tiled(folded: DataFrame, limit: int, distance: float) -> tuple[DataFrame, list[tuple]]:
+    """folded + tile, a range of the first projection, and the pairs of tiles that are near enough to compare."""
     sizes = folded.groupBy("size").count().collect()  # one row per vector size
-    folded = folded.withColumn("tile", F.lit(None).cast("long"))
-    first, pairs, tile = 0, [], F.lit(None).cast("long")
+    first, pairs, ranges = 0, [], {}
     for size, count in sorted(map(tuple, sizes)):
         parts = max(1, math.ceil(count / limit))
-        cuts = []
-        if parts > 1:
-            shares = [k / parts for k in range(1, parts)]
-            cuts = folded.filter(F.col("size") == size).agg(F.percentile_approx("along", shares, 100 * parts)).first()[0]
-        place = sum((F.when(F.col("along") > c, 1).otherwise(0) for c in cuts), F.lit(0))
-        tile = F.when(F.col("size") == size, place + first).otherwise(tile)
-        pairs += [(first + i, first + j) for i in range(parts) for j in range(i + 1, parts)]
+        shares = [k / parts for k in range(1, parts)]
+        own = folded.filter(F.col("size") == size)
+        cuts = own.agg(F.percentile_approx("along", shares, 100 * parts)).first()[0] if shares else []
+        ranges[size] = (first, cuts)
+        # tile i ends at its cut, tile j begins behind the cut before it
+        pairs += [
+            (first + i, first + j)
+            for i in range(parts)
+            for j in range(i + 1, parts)
+            if cuts[j - 1] - cuts[i] <= distance + 1e-9
+        ]
         first += parts
-    return folded.withColumn("tile", tile.cast("long")), pairs
+
+    def place(along, size):
+        both = zip(along.to_pylist(), size.to_pylist())
+        return [pa.array([ranges[n][0] + bisect_left(ranges[n][1], x) for x, n in both], pa.int64())]
+
+    return add_columns(folded, ["along", "size"], [T.StructField("tile", T.LongType())], place), pairs
 
 
 def near_duplicates(
@@ -219,11 +229,11 @@ def near_duplicates(
     folded = work.stage(folded, "folded")
     total = folded.count()
     limit = min(1 << 15, limit or max(1 << 11, 16 * math.isqrt(total)))
-    tiled, pairs = _tiled(folded, limit)
+    tiled, pairs = _tiled(folded, limit, math.sqrt(2 - 2 * least))
     members = F.collect_list(F.struct("node", "weight", F.col("_vec").alias("vector"))).alias("rows")
     tiles = tiled.groupBy("tile", "size").agg(members)
     inner = "tile bigint, size int, node bigint, weight bigint, vector binary, root bigint, links bigint"
-    own = work.stage(tiles.repartition(max(1, len({i for p in pairs for i in p}))).mapInArrow(_inside(least), inner), "inside")
+    own = work.stage(tiles.repartition(max(1, math.ceil(total / limit))).mapInArrow(_inside(least), inner), "inside")
     again = own.groupBy("tile", "size").agg(F.collect_list(F.struct("node", "weight", "vector", "root")).alias("rows"))
     todo = spark.createDataFrame(pairs, "i bigint, j bigint")
     a = again.selectExpr("tile as i", "size", "rows as rows_a")
