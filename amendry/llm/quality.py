@@ -156,17 +156,19 @@ def fit(
 ) -> Model:
     """Learn from labelled rows that are not held out.
 
-    Of more than `sample` such labels, about so many are used, chosen by a hash of their id.
-    Rows with a null id or label teach nothing. Only features of the chosen rows reach the
-    driver.
+    Of more than `sample` such labels, about so many are used, chosen by a hash of their id,
+    which bounds what is broadcast. Rows with a null id or label teach nothing. Repeated
+    labels, and repeated documents of one id, teach once. Only features of the chosen ids
+    reach the driver.
     """
-    chosen = labels.select(F.col(f"`{ident}`").alias("_id"), F.col(f"`{label}`").alias("_label"))
-    chosen = chosen.filter("_id is not null and _label is not null").filter(~held_out("_id"))
+    chosen = labels.select(F.col(f"`{ident}`").alias("_id"), (F.col(f"`{label}`") > 0).cast("int").alias("_label"))
+    chosen = chosen.filter("_id is not null and _label is not null").filter(~held_out("_id")).distinct()
     total = chosen.count()
     if total > sample:
         chosen = chosen.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int((1 << 30) * sample / total))
     docs = df.select(F.col(f"`{ident}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    rows = add_features(docs.join(chosen, "_id"), "_text", "_x").select("_label", "_x").toPandas()
+    found = add_features(docs.join(F.broadcast(chosen), "_id"), "_text", "_x")
+    rows = found.groupBy("_id", "_label").agg(F.min("_x").alias("_x")).toPandas()
     x = np.array([*features([]), *rows["_x"]], np.float64).reshape(len(rows), features([]).shape[1])
     good = rows["_label"].to_numpy(np.float64) > 0
     order = np.lexsort([*x.T, good])
