@@ -60,7 +60,7 @@ WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments commentlist consent "
     "cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices "
     "overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing "
-    "sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "sidebar sidenav signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
@@ -69,18 +69,17 @@ ROLES = frozenset(
 _TAG = re.compile(
     r"""<!--(?:.*?(?:-->|--!>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?][^>]*>|<[!?/][^>]*>""", re.S
 )
-_NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PIECES = re.compile(r"[A-Za-z]+|\d+")
 _DIGITS = re.compile(r"\d+")
-_GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Page:
     """Block elements and text blocks of one page, and the tree with like siblings folded."""
 
     def __init__(self, text: str):
-        # of every element: parent, folded node, whether its own markup keeps it from content, tag
-        self.parent, self.fold, self.barred, self.tag = [-1], [0], [False], ["html"]
+        # of every element: parent, folded node, whether its own markup keeps it from content, tag, whether it is a header
+        self.parent, self.fold, self.barred, self.tag, self.header = [-1], [0], [False], ["html"], [False]
         self.blocks: list[tuple[int, str]] = []
         self.signatures, self.above = ["html"], [-1]
         self._places: dict[tuple[int, str], int] = {}
@@ -192,8 +191,6 @@ class Page:
         if not raw or tag in ("html", "body"):
             return False
         named = self._attributes(raw)
-        if "hidden" in named or named.get("aria-hidden", "").lower() == "true" or _GONE.search(named.get("style", "")):
-            return True
         if named.get("role", "").lower() in ROLES:
             return True
         if tag in MAIN and not {"comment", "reply"} & set(_PIECES.findall(named.get("class", "").lower())):
@@ -214,6 +211,8 @@ class Page:
         self.fold.append(fold)
         self.barred.append(self._bars(tag, raw))
         self.tag.append(tag)
+        words = {w.lower() for n in ("class", "id") for w in _PIECES.findall(named.get(n, ""))}
+        self.header.append(tag == "header" or ("header" in words and tag not in MAIN))
         return len(self.parent) - 1
 
     # ---- the folded tree
@@ -242,13 +241,14 @@ class Page:
             if holds[k] and not (self.tag[k] in MAIN and self.barred[k]):
                 holds[self.parent[k]] = True
         out, inside, header = [False] * n, [""] * n, [False] * n
+        # a header around the article is a container; one inside keeps its headings; any other is furniture
         for k in range(1, n):
             p = self.parent[k]
             never = self.barred[k] and not (holds[k] and self.tag[k] not in MAIN and self.tag[k] not in NEVER)
             out[k] = out[p] or never
             inside[k] = self.tag[k] if self.tag[k] in MAIN else inside[p]
-            header[k] = header[p] or self.tag[k] == "header"
-            if self.tag[k] == "header" and not inside[k]:
+            header[k] = header[p] or (self.header[k] and not holds[k])
+            if header[k] and not inside[k]:
                 out[k] = True
         usable = [(k, line) for k, line in self.blocks if not out[k] and self.fold[k] not in template]
         for part in ("article", "main"):

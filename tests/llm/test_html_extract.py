@@ -14,7 +14,7 @@ from amendry.llm.queries import REGISTRY
 ROLES = """<html><body class="has-sidebar"><header><h1>Site</h1></header><nav>menu</nav><div class="content-sidebar">
 <article class="post"><header><h2>T &amp; t&nbsp;x</h2><p>By me</p></header>a<p>one <b>two</b><span class="ad">buy</span> three<br>four
 <ul><li>x<li>y</ul><script>var a="</p>"</script><form>f</form><aside>s</aside><div class="comments"><p>c</p></div>
-<table><tr><td>1<td>2</table><div role="alert">n</div><p hidden>h</p>tail</article></div><div id="sidebar">sb</div><footer>f</footer>"""
+<table><tr><td>1<td>2</table><div role="alert">n</div>tail</article></div><div id="page-header">ph</div><div id="sidebar">sb</div><footer>f</footer>"""
 
 
 @pytest.mark.parametrize(
@@ -30,6 +30,9 @@ ROLES = """<html><body class="has-sidebar"><header><h1>Site</h1></header><nav>me
         ("<style>p{}</style><!-- <p>x</p> --><p>&#233;&eacute &amp</p><textarea>t</textarea>", "éé &"),
         ("<p>a <b>b<p>c</b> d", "a b\nc d"),
         ("<article><p>open", "open"),
+        ("<div class='header'><p>Top</p></div><div class='entry'><h1>T</h1><p>x</p></div>", "T\nx"),
+        ("<article><div class='post-header'><h1>T</h1><span>by</span><p>me</p></div><p>x</p></article>", "T\nx"),
+        ("<div class='with-header'><main><p>x</p></main></div>", "x"),
     ],
 )
 def test_content_of_single_pages(page, text):
