@@ -9,6 +9,7 @@ second, small table with the place of every chunk's first id among all ids.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import zlib
@@ -26,7 +27,7 @@ from amendry.llm.rows import pieces
 BLOCK = 1 << 16  # ids transposed together
 CHUNK = 1 << 18  # ids after which a chunk ends with the document
 LEVEL = 1
-CACHED = 600_000  # words whose ids a task remembers before it starts anew
+CACHED = 1_000_000  # words whose ids a task remembers before it starts anew
 
 # ---- planes
 
@@ -66,14 +67,22 @@ class WordTokenizer:
     the library, many in one call. Any other tokenizer encodes whole texts.
     """
 
-    # letters that have one small form and are stable under composition, with marks behind
-    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]*)")
+    # letters with one small form, stable under composition; marks behind them are a token of their own
+    _PLAIN = re.compile("[a-zß-öø-ÿ]+")
+    _MARKS = re.compile(
+        rb"([!-&(-/:-@\[-`{-~](?:(?<=[a-z].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))[!-&(-/:-@\[-`{-~]*)(?=[\t-\r ]|\Z)"
+    )
 
     def __init__(self, json_text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(json_text)
+        self.bare = Tokenizer.from_str(json_text)  # for plain small words between single spaces
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.kind = np.dtype("<u2" if len(self.last) <= 1 << 16 else "<u4")
@@ -81,11 +90,12 @@ class WordTokenizer:
         self.last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         probe = ["ab", "c,", "Dé", ".", "1", "'s", "x"]
+        self.added = [a.encode() for a in added]
         self.apart = bool(suffix) and not any(c.isspace() for a in added for c in a) and all(
-            self._plain([space.join(probe)])[0] == b"".join(self._plain(probe)) for space in (" ", "  ", "\n", "\t", "\r\n", "\v\f")
-        )
+            self._plain([text])[0] == b"".join(self._plain(probe))
+            for text in (space.join(probe) for space in (" ", "  ", "\n", "\t", "\r\n", "\v\f"))
+        ) and self._plain(["Word,", "dé..", "w%%%"]) == [b"".join(self._plain(p)) for p in (["word", ","], ["dé", ".."], ["w", "%%%"])]
         self.known: dict[bytes, bytes] = {}
-        self.bare: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -96,7 +106,7 @@ class WordTokenizer:
         out = []
         for at in range(0, len(words), 4096):
             part = words[at : at + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ids = np.array(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(part):
                 out += self._plain(part)
@@ -107,27 +117,27 @@ class WordTokenizer:
 
     def _learn(self, new: list[bytes]) -> None:
         words = [w.decode("utf-8", "replace") for w in new]
-        plain = [self._PLAIN.fullmatch(w) for w in words]
-        parts = [(m[1].lower(), m[2]) if m else None for m in plain]
-        letters = {p[0] for p in parts if p}.difference(self.bare)
-        self.bare.update(zip(letters, self._small(list(letters))))
-        marks = {p[1] for p in parts if p and p[1]}.difference(self.bare)
-        self.bare.update(zip(marks, self._plain(list(marks))))
-        odd = [k for k, p in enumerate(parts) if not p]
-        for k, ids in zip(odd, self._plain([words[k] for k in odd])):
-            self.known[new[k]] = ids
-        get = self.bare.__getitem__
-        self.known.update((n, get(p[0]) + get(p[1]) if p[1] else get(p[0])) for n, p in zip(new, parts) if p)
+        plain = self._PLAIN.fullmatch
+        sure = [k for k, w in enumerate(words) if plain(w)]
+        self.known.update(zip([new[k] for k in sure], self._small([words[k] for k in sure])))
+        odd = sorted(set(range(len(words))).difference(sure))
+        self.known.update(zip([new[k] for k in odd], self._plain([words[k] for k in odd])))
+
+    def _cut(self, text: bytes) -> list[bytes]:
+        """Words, less their marks; capitals only where a special token could come of them."""
+        small = text.lower()
+        if any(a in small for a in self.added):
+            return text.split()
+        return self._MARKS.sub(rb" \1", small).split()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, as numbers of type `kind`."""
         if not self.apart:
             return self._plain([t.decode("utf-8", "replace") for t in texts])
-        cut = [t.split() for t in texts]
+        cut = [self._cut(t) for t in texts]
         new = list(set().union(*cut).difference(self.known))
         if len(self.known) + len(new) > CACHED:
             self.known.clear()
-            self.bare.clear()
             new = list(set().union(*cut))
         self._learn(new)
         get = self.known.__getitem__
@@ -136,6 +146,17 @@ class WordTokenizer:
 
 # ---- tables
 
+_last: dict[str, WordTokenizer] = {}
+
+
+def _tokenizer(sent, name: str) -> WordTokenizer:
+    """The tokenizer a worker process used last, with the words it knows, or a new one."""
+    if name not in _last:
+        _last.clear()
+        _last[name] = WordTokenizer(sent.value)
+    return _last[name]
+
+
 CHUNKS = (
     "shard int, chunk int, first bigint, n_ids bigint, bits boolean, doc_ids array<bigint>, doc_ends array<bigint>, "
     "blocks array<struct<n: int, planes: array<binary>>>"
@@ -149,11 +170,9 @@ _ARROW = pa.schema(
 )
 
 
-def _chunk_rows(sent, end: int, bits: bool):
-    state = {}
-
+def _chunk_rows(sent, digest: str, end: int, bits: bool):
     def run(batches):
-        encoder = state.get("e") or state.setdefault("e", WordTokenizer(sent.value))
+        encoder = _tokenizer(sent, digest)
         tail = np.array([end], encoder.kind).tobytes()
         shard, chunk, first = TaskContext.get().partitionId(), 0, 0
         names, ids, held = [], [], 0
@@ -199,8 +218,9 @@ def write(
     order = ["_id", "_hash", "_part"]
     keyed = rows.withColumns({"_hash": F.xxhash64("_text"), "_part": F.spark_partition_id()})
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "_text")
-    sent = spark.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
-    chunks = ranged.mapInArrow(_chunk_rows(sent, end, bits), CHUNKS)
+    settings = Path(tokenizer_file).read_text(encoding="utf-8")
+    sent, digest = spark.sparkContext.broadcast(settings), hashlib.sha256(settings.encode()).hexdigest()
+    chunks = ranged.mapInArrow(_chunk_rows(sent, digest, end, bits), CHUNKS)
     chunks.write.mode("overwrite").option("compression", "none").parquet(f"{folder}/chunks")
     own = spark.read.schema(CHUNKS).parquet(f"{folder}/chunks").select("shard", "chunk", "first", "n_ids", F.size("doc_ids").alias("n_docs"))
     totals = own.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # one row per writing task
