@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from amendry.operators.joins import guarded_join
+
 SLICE_BYTES = 4 << 20
+SENT_ROWS = 1 << 20  # rows of two numbers that every task may hold, some 50 MB
 
 
 def pieces(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -24,6 +27,17 @@ def pieces(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
         yield part
 
 
+def meet(left: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Left join of wide rows with staged facts: a long key, unique and of the same name, and one number.
+
+    The facts are counted. Few enough are sent to all tasks, so that the wide rows stay
+    where they are; more are met in a shuffle join that splits hot keys.
+    """
+    if facts.count() <= SENT_ROWS:
+        return left.join(F.broadcast(facts), key, "left")
+    return guarded_join(left, facts, [(key, key)], "left")
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """df less the columns of these names, compared as Spark does, without case."""
     taken = {n.lower() for n in names}
@@ -31,7 +45,11 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def add_columns(
-    df: DataFrame, using: list[str], fields: list[T.StructField], compute: Callable[..., list]
+    df: DataFrame,
+    using: list[str],
+    fields: list[T.StructField],
+    compute: Callable[..., list],
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """df + fields computed from the `using` columns, batch by batch.
 
@@ -51,7 +69,7 @@ def add_columns(
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, limit):
                 got = compute(*[part.column(part.schema.get_field_index(i)) for i in inputs])
                 old = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*old, *got], names=[*kept, *names])

@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amendry.operators.joins import guarded_join
+from amendry.llm.rows import meet
+from amendry.sources.workspace import Workspace
 
 _parser = re._parser  # the standard library's own parse tree of a pattern
 
@@ -139,7 +140,7 @@ def postings(df: DataFrame, text: str, trigrams: list[str]) -> DataFrame:
 
 
 def candidates(index: DataFrame, queries: dict[str, list[list[str]]]) -> DataFrame:
-    """(key, rules): the rules whose queries a text's postings satisfy, for texts with any."""
+    """(key, rules): which rules' queries a text's postings satisfy, one bit each, for texts with any."""
     vocabulary = sorted({t for q in queries.values() for c in q for t in c})
     if len(vocabulary) > 8 * 63:
         raise ValueError(f"more than {8 * 63} trigrams in one scan")
@@ -161,8 +162,8 @@ def candidates(index: DataFrame, queries: dict[str, list[list[str]]]) -> DataFra
                 if need := bits(own, part):
                     whole = whole & (F.col(f"_m{k}").bitwiseAND(F.lit(need)) == need)
             fits = fits | whole
-        tests.append(F.when(fits, F.lit(name)))
-    return masks.select("key", F.array_compact(F.array(*tests)).alias("rules")).filter(F.size("rules") > 0)
+        tests.append(F.when(fits, F.lit(1 << len(tests))).otherwise(0).cast("long"))
+    return masks.select("key", sum(tests[1:], tests[0]).alias("rules")).filter("rules > 0")
 
 
 # ---- verified spans
@@ -238,10 +239,12 @@ def add_spans(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
     if indexed:
         index = postings(df.select(whole.alias("_text")), "_text", sorted({t for q in indexed.values() for c in q for t in c}))
         keyed = df.select(row, text_key(whole).alias("_key"))
-        base = guarded_join(keyed, candidates(index, indexed), [("_key", "key")], "left").drop("_key")
+        found = Workspace(df.sparkSession).stage(candidates(index, indexed).withColumnRenamed("key", "_key"), "candidates")
+        base = meet(keyed, found, "_key").drop("_key")
     base = base.withColumn("_text", F.coalesce(F.col("_row").getField(text), F.lit("")))
     for turn, rule in enumerate(rules):
-        fits = F.array_contains(F.col("rules"), rule.name) if rule.name in indexed else F.lit(True)
+        bit = 1 << list(indexed).index(rule.name) if rule.name in indexed else 0
+        fits = F.col("rules").bitwiseAND(F.lit(bit)) > 0 if bit else F.lit(True)
         base = _add_spans(base, turn, rule, fits)
     spans = F.array_sort(F.concat(*[F.col(f"_spans_{k}") for k in range(len(rules))]))
     return base.select(*[F.col(f"_row.`{c}`") for c in kept], spans.alias(name))

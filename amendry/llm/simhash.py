@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amendry.llm.components import components
-from amendry.llm.rows import add_columns
+from amendry.llm.rows import add_columns, meet
 from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
 
@@ -259,8 +259,11 @@ def one_per_group(
     groups = grouped(prints.select("_id", "_fp"), "_id", "_fp", radius, work)
     joined = guarded_join(prints, groups, [("_fp", "_fp")], "left")
     order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_key").alias("k"))
-    best = joined.groupBy("component").agg(F.min_by(F.struct("_key", "_rows"), order).alias("w"))
-    winners = work.stage(best.select("w._key", "w._rows"), "winners")
-    kept = guarded_join(df.withColumn("_key", key), winners, [("_key", "_key")], "inner")
-    once = kept.filter("_rows = 1").select(*df.columns)
-    return once.union(kept.filter("_rows > 1").select(*df.columns).dropDuplicates())
+    best = joined.groupBy("component").agg(F.min_by("_key", order).alias("_best"))
+    told = guarded_join(joined.withColumn("_of", F.col("component")), best, [("_of", "component")], "left")
+    # only rows that go, and repeated rows of which one stays, need to be told; most rows stay
+    told = told.select("_key", F.expr("case when _key <> _best then 0 when _rows > 1 then 1 end").alias("_stay"))
+    told = work.stage(told.filter("_stay is not null").groupBy("_key").agg(F.max("_stay").alias("_stay")), "told")
+    kept = meet(df.withColumn("_key", key), told, "_key")
+    alone = kept.filter("_stay is null").select(*df.columns)
+    return alone.union(kept.filter("_stay = 1").select(*df.columns).dropDuplicates())
