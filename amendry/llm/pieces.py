@@ -13,8 +13,10 @@ touch the border); exactly one way is then left, and it is the one that merging
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,10 @@ from pyspark.sql import types as T
 from amendry.llm.rows import add_columns
 
 SPACE = "▁"  # fixed value: how pieces spell a space
-CACHED = 400_000  # words whose ids a task remembers before it starts anew
+USUAL = 3  # characters of a piece; such pieces are tried first
+CACHED = 350_000  # words after which a task forgets their ids before it goes on
+PART = 1 << 20  # characters whose words are held at once
+SLICE = 8 << 20  # bytes of text whose new words are encoded together
 MATRIX = 1 << 19  # characters of equal-length words that advance together
 
 _FACTOR = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
@@ -220,18 +225,20 @@ def _viterbi(v: Vocabulary, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     back = np.ones((n, length + 1), np.int64, order="F")
     best = np.full((n, length + 1), -np.inf, order="F")
     best[:, 0] = 0
+    turns = sorted(range(1, v.longest + 1), key=lambda l: abs(l - USUAL))
     for j in range(1, length + 1):
-        for l in range(1, min(j, v.longest) + 1):
+        left = np.arange(n)  # with merges there is one way only, so words that have theirs are done
+        for l in (t for t in turns if t <= j):
             i = j - l
-            part = [lambda r, k=k: prefix[k, r, j] - prefix[k, r, i] * power[k, l] for k in (0, 1)]
+            part = [lambda r, k=k: prefix[k, left[r], j] - prefix[k, left[r], i] * power[k, l] for k in (0, 1)]
             rows, p = _probe(v, part[0](slice(None)), part[1])
             if l == 1:
-                every = np.full(n, v.unknown)
+                every = np.full(len(left), v.unknown)
                 every[rows] = p
-                rows, p = np.arange(n), every
+                rows, p = left, every
+            else:
+                rows = left[rows]
             open_ = best[rows, i] > -np.inf
-            if v.bpe:
-                open_ &= best[rows, j] == -np.inf  # there is one way only
             rows, p = rows[open_], p[open_]
             if not len(rows):
                 continue
@@ -245,6 +252,10 @@ def _viterbi(v: Vocabulary, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             better = value > best[rows, j]
             rows, p = rows[better], p[better]
             best[rows, j], last[rows, j], back[rows, j] = value[better], p, l
+            if v.bpe:
+                left = left[best[left, j] == -np.inf]
+                if not len(left):
+                    break
     return last, back
 
 
@@ -271,28 +282,31 @@ def encode_words(v: Vocabulary, words: list[str]) -> list[bytes]:
             lines, ends, pieces = (np.concatenate(x) for x in zip(*steps))
             turn = np.lexsort((ends, lines))
             lines, ends, pieces = lines[turn], ends[turn], pieces[turn]
-            ids = v.ids[pieces].astype("<u4")
-            odd = np.flatnonzero(pieces == v.unknown)
-            cuts = np.searchsorted(lines, np.arange(len(rows) + 1))
-            if not len(odd):
-                flat = ids.tobytes()
-                for k, r in enumerate(rows):
-                    out[r] = flat[4 * cuts[k] : 4 * cuts[k + 1]]
-                continue
-            strange = set(lines[odd].tolist())
-            for k, r in enumerate(rows):
-                part = slice(cuts[k], cuts[k + 1])
-                if k not in strange:
-                    out[r] = ids[part].tobytes()
-                    continue
-                found = []
-                for p, e, i in zip(pieces[part].tolist(), ends[part].tolist(), ids[part].tolist()):
-                    raw = chr(codes[k, e - 1]).encode("utf-8", "surrogatepass") if p == v.unknown else b""
-                    found += [i] if p != v.unknown else v.byte_ids[list(raw)].tolist()
-                out[r] = np.array(found, "<u4").tobytes()
+            ids, sizes_out = _spelt_out(v, codes, lines, ends, pieces)
+            cuts = (4 * np.concatenate([[0], np.cumsum(np.bincount(lines, sizes_out, len(rows)))])).astype(np.int64).tolist()
+            flat = ids.tobytes()
+            for r, x, y in zip(rows, cuts, cuts[1:]):
+                out[r] = flat[x:y]
     return out
 
 
+def _spelt_out(v: Vocabulary, codes, lines, ends, pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces in order, with the bytes of characters without a piece, and how many each piece takes."""
+    sizes = np.ones(len(pieces), np.int64)
+    odd = np.flatnonzero(pieces == v.unknown)
+    chars, kind = np.unique(codes[lines[odd], ends[odd] - 1], return_inverse=True)
+    spelt = [v.byte_ids[list(chr(c).encode("utf-8", "surrogatepass"))] for c in chars.tolist()]
+    sizes[odd] = np.array([len(x) for x in spelt], np.int64)[kind]
+    place = np.cumsum(sizes) - sizes
+    ids = np.empty(int(sizes.sum()), "<u4")
+    ids[place] = v.ids[pieces]
+    for k, x in enumerate(spelt):
+        at = place[odd[kind == k]]
+        for n, i in enumerate(x.tolist()):
+            ids[at + n] = i
+    return ids, sizes
+
+
 _WORD = re.compile(" +[^ ]*")
 
 
@@ -302,17 +316,30 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.known = vocabulary, {}
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        v = self.vocabulary
+    def _words(self, texts: list[str]) -> list[list[str]]:
         spaced = [" " + t.replace(SPACE, " ") if t else "" for t in texts]
-        cut = [[t] if t and v.whole else _WORD.findall(t) for t in spaced]
-        new = list(set().union(*cut).difference(self.known))
-        if len(self.known) + len(new) > CACHED:
+        return [[t] if t and self.vocabulary.whole else _WORD.findall(t) for t in spaced]
+
+    def _parts(self, texts: list[str]):
+        """Texts in parts of about PART characters, whose words are held at once."""
+        begin, size = 0, 0
+        for k, t in enumerate(texts):
+            size += len(t)
+            if size >= PART or k == len(texts) - 1:
+                yield texts[begin : k + 1]
+                begin, size = k + 1, 0
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; all words not known yet are encoded together."""
+        if len(self.known) > CACHED:
             self.known.clear()
-            new = list(set().union(*cut))
-        self.known.update(zip(new, encode_words(v, [w.replace(" ", SPACE) for w in new])))
+        new: set[str] = set()
+        for part in self._parts(texts):
+            new |= set().union(*self._words(part)).difference(self.known)
+        words = list(new)
+        self.known.update(zip(words, encode_words(self.vocabulary, [w.replace(" ", SPACE) for w in words])))
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        return [b"".join(map(get, words)) for part in self._parts(texts) for words in self._words(part)]
 
 
 def decode(v: Vocabulary, ids: list[np.ndarray]) -> list[bytes]:
@@ -336,6 +363,17 @@ def _text(raw: bytes | None) -> str:
     return (raw or b"").decode("utf-8", "replace")
 
 
+_last: dict[str, Encoder] = {}
+
+
+def _encoder(sent, name: str) -> Encoder:
+    """The encoder a worker process used last, with the words it knows, or a new one."""
+    if name not in _last:
+        _last.clear()
+        _last[name] = Encoder(sent.value)
+    return _last[name]
+
+
 def add_ids(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """df + array<int> `ids` and, if named, the text `decoded` from them again.
 
@@ -347,10 +385,10 @@ def add_ids(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids"
     sent = df.sparkSession.sparkContext.broadcast(v)
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
     fields += [T.StructField(decoded, T.StringType())] if decoded else []
-    state = {}
+    name = hashlib.sha256(Path(model_file).read_bytes()).hexdigest()
 
     def compute(texts):
-        encoder = state.setdefault("encoder", None) or state.setdefault("_", Encoder(sent.value))
+        encoder = _encoder(sent, name)
         found = encoder([_text(t) for t in texts.cast(pa.binary()).to_pylist()])
         flat = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
         offsets = np.cumsum([0, *[len(f) // 4 for f in found]])
@@ -360,4 +398,4 @@ def add_ids(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids"
             columns.append(pa.array([b.decode("utf-8", "replace") for b in back], pa.string()))
         return columns
 
-    return add_columns(df, [text], fields, compute)
+    return add_columns(df, [text], fields, compute, SLICE)
