@@ -1,21 +1,21 @@
 """Main text of web pages by wrapper induction.
 
-Every page becomes a tree of its block elements, in which like siblings are folded into
-one node. The most frequent tree of a host is its pivot; the trees of all pages of the
-host are aligned with it by simple tree matching. A pivot node that holds the same text
-on nearly all aligned pages is template, a varying one is a content slot. Roles that markup
-states by itself (menus, footers, forms, adverts, comments and so on) are never content,
-and where a page names its article, content lies inside it.
+Every page becomes the ordered tree of its block elements. The most frequent tree of a host
+is its pivot; the trees of all pages of the host are aligned with it by simple tree
+matching over their lists of children. Among like siblings, texts that a good share of the
+host's pages hold on the same path say which belong together. A pivot node that holds the
+same text on nearly all aligned pages is template, a varying one is a content slot. Roles
+that markup states by itself (menus, footers, forms, adverts, comments and so on) are never
+content, and where a page names its article, content lies inside it.
 
 The aligned texts are counted as hashes, summed up before the shuffle; a host is never
-collected. What is joined to the pages is one small wrapper per host.
+collected. What is joined to the pages is one wrapper per host.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections import OrderedDict
 from dataclasses import dataclass
 
@@ -34,6 +34,8 @@ from amendry.sources.workspace import Workspace
 PAGES = 8  # distinct pages of a host that must agree on a text, and differ in another, to make it template
 SHARE = 0.9  # of the pages that have a node, must hold the same text there
 ALIGNED = 4096  # alignments of two trees that a task remembers
+GUIDES = 16  # a text guides alignment if one in so many pages with its path hold it there
+CELLS = 1 << 21  # of a table of two lists of children; longer lists are halved
 
 # fixed values: elements of the HTML standard by the part they play
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,14 +77,13 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Page:
-    """Block elements and text blocks of one page, and the tree with like siblings folded."""
+    """Block elements and text blocks of one page, and their ordered tree."""
 
     def __init__(self, text: str):
-        # of every element: parent, folded node, whether its own markup keeps it from content, tag, whether it is a header
-        self.parent, self.fold, self.barred, self.tag, self.header = [-1], [0], [False], ["html"], [False]
+        # of every element: parent, whether its own markup keeps it from content, tag, whether it is a header
+        self.parent, self.barred, self.tag, self.header = [-1], [False], ["html"], [False]
         self.blocks: list[tuple[int, str]] = []
-        self.signatures, self.above = ["html"], [-1]
-        self._places: dict[tuple[int, str], int] = {}
+        self.signatures = ["html"]
         self._parse(text)
 
     def _parse(self, text: str) -> None:
@@ -201,31 +202,26 @@ class Page:
     def _add(self, parent: int, tag: str, raw: str) -> int:
         named = self._attributes(raw) if raw else {}
         mark = " ".join(sorted({_DIGITS.sub("#", w) for w in named.get("class", "").split()}))
-        key = (self.fold[parent], f"{tag}.{mark}" if mark else tag)
-        fold = self._places.get(key)
-        if fold is None:
-            fold = self._places[key] = len(self.signatures)
-            self.signatures.append(key[1])
-            self.above.append(key[0])
+        ident = "_".join(_DIGITS.sub("#", named.get("id", "")).split())
+        self.signatures.append(tag + (f".{mark}" if mark else "") + (f" id={ident}" if ident else ""))
         self.parent.append(parent)
-        self.fold.append(fold)
         self.barred.append(self._bars(tag, raw))
         self.tag.append(tag)
         words = {w.lower() for n in ("class", "id") for w in _PIECES.findall(named.get(n, ""))}
         self.header.append(tag == "header" or ("header" in words and tag not in MAIN))
         return len(self.parent) - 1
 
-    # ---- the folded tree
+    # ---- the tree
 
     def tree(self) -> str:
-        """Folded nodes as "place of the parent, signature", in order of appearance."""
-        return "\n".join(f"{a} {s}" for a, s in zip(self.above[1:], self.signatures[1:]))
+        """Nodes as "place of the parent, signature", in order of appearance."""
+        return "\n".join(f"{a} {s}" for a, s in zip(self.parent[1:], self.signatures[1:]))
 
     def hashes(self) -> np.ndarray:
-        """Hash of all text directly in each folded node; 0 where there is none."""
+        """Hash of all text directly in each node; 0 where there is none."""
         texts: dict[int, list[str]] = {}
         for node, line in self.blocks:
-            texts.setdefault(self.fold[node], []).append(line)
+            texts.setdefault(node, []).append(line)
         out = np.zeros(len(self.signatures), np.int64)
         for k, lines in texts.items():
             out[k] = np.uint64(xxhash.xxh64_intdigest("\n".join(lines)) | 1).astype(np.int64)
@@ -250,7 +246,7 @@ class Page:
             header[k] = header[p] or (self.header[k] and not holds[k])
             if header[k] and not inside[k]:
                 out[k] = True
-        usable = [(k, line) for k, line in self.blocks if not out[k] and self.fold[k] not in template]
+        usable = [(k, line) for k, line in self.blocks if not out[k] and k not in template]
         for part in ("article", "main"):
             named = [(k, line) for k, line in usable if inside[k] == part or (part == "main" and inside[k])]
             if any(t == part and not o for t, o in zip(self.tag, out)):
@@ -273,68 +269,140 @@ class Page:
 class _Tree:
     signatures: list[str]
     children: list[list[int]]
+    guides: list[frozenset[str]]  # texts by which a node is told from like siblings
 
 
 def _read_tree(text: str) -> _Tree:
-    signatures, children = ["html"], [[]]
+    signatures, children, guides = ["html"], [[]], [frozenset()]
     for k, line in enumerate(text.split("\n") if text else [], 1):
-        parent, _, signature = line.partition(" ")
+        place, _, signature = line.partition(" ")
+        parent, _, known = place.partition("=")
         signatures.append(signature)
+        guides.append(frozenset(known.split(",")) if known else frozenset())
         children.append([])
         children[int(parent)].append(k)
-    return _Tree(signatures, children)
-
-
-def _heaviest(places: list[int], weights: list[int]) -> list[int]:
-    """Members of the heaviest increasing subsequence of distinct places."""
-    best, link = [], []
-    tails: list[tuple[int, int, int]] = []  # place, weight so far, member; both ascend
-    for k, (p, w) in enumerate(zip(places, weights)):
-        at = bisect_left(tails, (p, -1, -1))
-        before = tails[at - 1] if at else None
-        total = w + (before[1] if before else 0)
-        best.append(total)
-        link.append(before[2] if before else -1)
-        end = at
-        while end < len(tails) and tails[end][1] <= total:
-            end += 1
-        if end > at or at == len(tails) or tails[at][1] > total:
-            tails[at:end] = [(p, total, k)]
-    member, chosen = (tails[-1][2] if tails else -1), []
-    while member >= 0:
-        chosen.append(member)
-        member = link[member]
-    return chosen[::-1]
+    return _Tree(signatures, children, guides)
+
+
+@dataclass
+class _Weights:
+    """Weights of all pairs of two lists of children, by their kinds: 0 for unlike ones."""
+
+    table: np.ndarray
+    rows: np.ndarray
+    columns: np.ndarray
+
+    def part(self, top: int, end: int, left: int, right: int, turned: bool = False) -> _Weights:
+        step = -1 if turned else 1
+        return _Weights(self.table, self.rows[top:end][::step], self.columns[left:right][::step])
+
+    def last(self) -> np.ndarray:
+        """Weight of the heaviest ordered matching of all rows and the first j columns."""
+        best = np.zeros(len(self.columns) + 1, np.int64)
+        for kind in self.rows:
+            best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + self.table[kind][self.columns]))
+        return best
+
+    def all(self) -> np.ndarray:
+        """The same for the first i rows, one line each."""
+        best = np.zeros((len(self.rows) + 1, len(self.columns) + 1), np.int64)
+        for i, kind in enumerate(self.rows):
+            np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + self.table[kind][self.columns]), out=best[i + 1, 1:])
+        return best
+
+    def matched(self) -> list[tuple[int, int]]:
+        """The heaviest ordered matching, the first of like siblings where there is a choice."""
+        found, todo = [], [(0, len(self.rows), 0, len(self.columns))]
+        while todo:
+            top, end, left, right = todo.pop()
+            i, j = end - top, right - left
+            if not i or not j:
+                continue
+            if i * j > CELLS and i > 1:  # too large a table to keep: halve the rows and cut the columns where the sum is best
+                half = i // 2
+                above = self.part(top, top + half, left, right).last()
+                below = self.part(top + half, end, left, right, turned=True).last()[::-1]
+                cut = left + int(np.argmax(above + below))
+                todo += [(top, top + half, left, cut), (top + half, end, cut, right)]
+                continue
+            best = self.part(top, end, left, right).all()
+            while i and j:
+                if best[i, j] == best[i - 1, j]:
+                    i -= 1
+                elif best[i, j] == best[i, j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    found.append((top + i, left + j))
+        return sorted(found)
+
+
+def _shapes(tree: _Tree, known: dict) -> list[int]:
+    """Number of each node's subtree, equal for equal subtrees."""
+    out = [0] * len(tree.signatures)
+    for k in range(len(out) - 1, -1, -1):
+        key = (tree.signatures[k], tree.guides[k], tuple(out[c] for c in tree.children[k]))
+        out[k] = known.setdefault(key, len(known))
+    return out
+
+
+def _heights(tree: _Tree) -> list[int]:
+    out = [0] * len(tree.signatures)
+    for k in range(len(out) - 1, -1, -1):
+        out[k] = 1 + max((out[c] for c in tree.children[k]), default=-1)
+    return out
 
 
 def align(a: str, b: str) -> dict[int, int]:
-    """Nodes of folded tree a with their partners in b, by simple tree matching.
+    """Nodes of tree a with their partners in b, by simple tree matching.
 
-    Partners have equal signatures, partner parents, and keep their order. The matching has
-    the most nodes; as signatures are distinct among siblings, the best choice of ordered
-    children is a heaviest increasing subsequence.
+    Partners have equal signatures, partner parents, and keep their order among siblings.
+    The matching is the heaviest; a node counts twice as much where the two share a guiding
+    text, and half as much where only unlike ones are known. Without such texts it has the most nodes.
     """
     left, right = _read_tree(a), _read_tree(b)
-    pairs: list[tuple[int, int]] = [(0, 0)]
-    options: list[list[int]] = []
-    for k, (x, y) in enumerate(pairs):  # grows while it is read
-        found = {right.signatures[c]: c for c in right.children[y]}
-        options.append([])
-        for c in left.children[x]:
-            if (d := found.get(left.signatures[c])) is not None:
-                options[k].append(len(pairs))
-                pairs.append((c, d))
-    weight, chosen = [0] * len(pairs), [[]] * len(pairs)
-    for k in range(len(pairs) - 1, -1, -1):
-        own = options[k]
-        picked = _heaviest([pairs[o][1] for o in own], [weight[o] for o in own])
-        chosen[k] = [own[i] for i in picked]
-        weight[k] = 1 + sum(weight[o] for o in chosen[k])
-    match, todo = {}, [0]
+    numbers: dict = {}
+    shape = _shapes(left, numbers), _shapes(right, numbers)
+    below: dict[tuple[int, int], int] = {}  # by shapes: what the children of a pair weigh at most
+
+    def weights(x: int, y: int) -> _Weights:
+        kinds: dict[int, tuple[int, _Tree, int]] = {}
+        sides = []
+        for tree, shapes, cs in ((left, shape[0], left.children[x]), (right, shape[1], right.children[y])):
+            sides.append(np.array([kinds.setdefault(shapes[c], (len(kinds), tree, c))[0] for c in cs], np.int64))
+        table = np.zeros((len(kinds), len(kinds)), np.int64)
+        by_name: dict[str, list] = {}
+        for n, (i, tree, c) in kinds.items():
+            by_name.setdefault(tree.signatures[c], []).append((i, n, tree.guides[c]))
+        for like in by_name.values():
+            for i, n, known in like:
+                for j, m, others in like:
+                    table[i, j] = (4 if known & others else 1 if known or others else 2) + below.get((n, m), 0)
+        return _Weights(table, *sides)
+
+    # pairs of subtrees are weighed once for each pair of shapes, from the leaves up
+    pairs, seen = [(0, 0)], {(shape[0][0], shape[1][0])}
+    for x, y in pairs:  # grows while it is read
+        inner: dict[str, dict[int, int]] = {}
+        for d in right.children[y]:
+            if right.children[d]:
+                inner.setdefault(right.signatures[d], {}).setdefault(shape[1][d], d)
+        for n, c in {shape[0][c]: c for c in left.children[x] if left.children[c]}.items():
+            for m, d in inner.get(left.signatures[c], {}).items():
+                if (n, m) not in seen:
+                    seen.add((n, m))
+                    pairs.append((c, d))
+    height = _heights(left)
+    for x, y in sorted(pairs[1:], key=lambda pair: height[pair[0]]):
+        below[shape[0][x], shape[1][y]] = int(weights(x, y).last()[-1])
+    match, todo = {0: 0}, [(0, 0)]
     while todo:
-        k = todo.pop()
-        match[pairs[k][0]] = pairs[k][1]
-        todo += chosen[k]
+        x, y = todo.pop()
+        xs, ys = left.children[x], right.children[y]
+        if xs and ys:
+            for i, j in weights(x, y).matched():
+                match[xs[i]] = ys[j]
+                todo.append((xs[i], ys[j]))
     return match
 
 
@@ -367,6 +435,91 @@ def _skeletons(pages):
     return [pa.array(trees), pa.array(hashes, pa.list_(pa.int64()))]
 
 
+def _paths(tree: str) -> list[int]:
+    """Hash of the signatures from the root to each node."""
+    out = [0]
+    for line in tree.split("\n") if tree else []:
+        parent, _, signature = line.partition(" ")
+        out.append(int(np.uint64(xxhash.xxh64_intdigest(f"{out[int(parent)]} {signature}")).astype(np.int64)))
+    return out
+
+
+def _path_texts(batches):
+    for batch in batches:
+        hosts, paths, seen = [], [], []
+        for host, tree, hashes in zip(*[batch.column(c).to_pylist() for c in ("host", "tree", "hashes")]):
+            own = _paths(tree)
+            found = {(p, h) for p, h in zip(own, hashes) if h} | {(p, 0) for p in own}  # 0 counts the pages with the path
+            for path, text in found:
+                hosts.append(host)
+                paths.append(path)
+                seen.append(text)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(seen, pa.int64())], names=["host", "path", "hash"]
+        )
+
+
+def _guides(skeletons: DataFrame) -> DataFrame:
+    """(host, guides): lines of the paths that several distinct pages have, each with the texts that guide alignment."""
+    kinds = skeletons.mapInArrow(_path_texts, "host string, path bigint, hash bigint")
+    kinds = kinds.groupBy("host", "path", "hash").agg(F.count("*").alias("n")).filter("n >= 2")
+    kinds = Workspace(skeletons.sparkSession).stage(kinds, "path_texts")
+    paths = kinds.filter("hash = 0").select("host", "path", F.col("n").alias("pages"))
+    texts = guarded_join(kinds.filter("hash <> 0"), paths, [("host", "host"), ("path", "path")], "inner").filter(F.col("n") * GUIDES >= F.col("pages"))
+    lines = paths.select("host", "path", F.lit(None).cast("long").alias("hash")).union(texts.select("host", "path", "hash"))
+    lines = lines.groupBy("host", "path").agg(F.array_join(F.array_sort(F.collect_list(F.col("hash").cast("string"))), ",").alias("texts"))
+    lines = lines.groupBy("host").agg(F.array_sort(F.collect_list(F.concat_ws("=", F.col("path").cast("string"), "texts"))).alias("lines"))
+    return lines.select("host", F.array_join("lines", "\n").alias("guides"))
+
+
+class _Kept:
+    """Values made of long strings, the last ones remembered."""
+
+    def __init__(self, make, size: int = 64):
+        self.make, self.size, self.known = make, size, OrderedDict()
+
+    def __call__(self, text: str):
+        if text not in self.known:
+            if len(self.known) >= self.size:
+                self.known.popitem(last=False)
+            self.known[text] = self.make(text)
+        return self.known[text]
+
+
+def _read_guides(text: str) -> dict[int, frozenset[int]]:
+    lines = (line.partition("=") for line in text.split("\n"))
+    return {int(path): frozenset(map(int, texts.split(","))) if texts else frozenset() for path, _, texts in lines}
+
+
+def _guided(tree: str, hashes, guides: dict[int, frozenset[int]]) -> tuple[str, list[int]]:
+    """The tree with guiding texts, less the nodes whose path no other page has, and the places of those left."""
+    places, kept, lines = {0: 0}, [0], []
+    own = _paths(tree)
+    for k, line in enumerate(tree.split("\n") if tree else [], 1):
+        parent, _, signature = line.partition(" ")
+        if (known := guides.get(own[k])) is not None and int(parent) in places:
+            places[k] = len(kept)
+            kept.append(k)
+            text = f"={hashes[k]}" if hashes[k] in known else ""
+            lines.append(f"{places[int(parent)]}{text} {signature}")
+    return "\n".join(lines), kept
+
+
+def _guided_pages(batches):
+    read = _Kept(_read_guides)
+    for batch in batches:
+        hosts, trees, texts = [], [], []
+        for host, tree, hashes, guides in zip(*[batch.column(c).to_pylist() for c in ("host", "tree", "hashes", "guides")]):
+            labelled, kept = _guided(tree, hashes, read(guides))
+            hosts.append(host)
+            trees.append(labelled)
+            texts.append([hashes[k] for k in kept])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(trees, pa.string()), pa.array(texts, pa.list_(pa.int64()))],
+            names=["host", "tree", "hashes"],
+        )
+
+
 def _aligned_texts(batches):
     aligner = _Aligner()
     for batch in batches:
@@ -384,15 +537,19 @@ def _aligned_texts(batches):
 
 
 def wrappers(skeletons: DataFrame) -> DataFrame:
-    """(host, pivot, nodes, texts): the template nodes of each host's pivot, and the hashes of their texts.
+    """(host, guides, pivot, fixed): how to align a page of the host, and the texts of the pivot's template nodes.
 
     From distinct (host, tree, hashes). A host has template nodes only if PAGES distinct
     pages, and a SHARE of all that have the node, agree on a text, while another node has at
     least PAGES different ones.
     """
-    trees = skeletons.groupBy("host", "tree").count()
-    pivots = trees.groupBy("host").agg(F.max_by("tree", F.struct("count", "tree")).alias("pivot"))
-    together = guarded_join(skeletons, pivots, [("host", "host")], "inner").select("host", "tree", "hashes", "pivot")
+    work = Workspace(skeletons.sparkSession)
+    guides = work.stage(_guides(skeletons), "guides")
+    pages = guarded_join(skeletons, guides, [("host", "host")], "inner").select("host", "tree", "hashes", "guides")
+    pages = work.stage(pages.mapInArrow(_guided_pages, "host string, tree string, hashes array<bigint>"), "guided")
+    trees = pages.groupBy("host", "tree").count()
+    pivots = work.stage(trees.groupBy("host").agg(F.max_by("tree", F.struct("count", "tree")).alias("pivot")), "pivots")
+    together = guarded_join(pages, pivots, [("host", "host")], "inner").select("host", "tree", "hashes", "pivot")
     texts = together.mapInArrow(_aligned_texts, "host string, node int, hash bigint")
     kinds = texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n"))
     slots = kinds.groupBy("host", "node").agg(
@@ -400,12 +557,11 @@ def wrappers(skeletons: DataFrame) -> DataFrame:
     )
     same = (F.col("top") >= PAGES) & (F.col("top") >= SHARE * F.col("n"))
     found = slots.groupBy("host").agg(  # as many rows a host as its pivot has nodes
-        F.max("kinds").alias("kinds"), F.array_sort(F.collect_list(F.when(same, F.struct("node", "text")))).alias("template")
-    )
-    found = found.select("host", F.when(F.col("kinds") >= PAGES, F.col("template")).otherwise(F.expr("slice(template, 1, 0)")).alias("template"))
-    return guarded_join(pivots, found, [("host", "host")], "inner").select(
-        "host", "pivot", F.col("template.node").alias("nodes"), F.col("template.text").alias("texts")
+        F.max("kinds").alias("kinds"), F.array_sort(F.collect_list(F.when(same, F.concat_ws("=", "node", "text")))).alias("fixed")
     )
+    found = found.filter((F.col("kinds") >= PAGES) & (F.size("fixed") > 0)).select("host", F.array_join("fixed", "\n").alias("fixed"))
+    known = guarded_join(pivots, found, [("host", "host")], "inner").select("host", "pivot", "fixed")
+    return guarded_join(guides, known, [("host", "host")], "inner").select("host", "guides", "pivot", "fixed")
 
 
 def add_text(df: DataFrame, url: str = "url", page: str = "html", name: str = "text") -> DataFrame:
@@ -426,20 +582,22 @@ def add_text(df: DataFrame, url: str = "url", page: str = "html", name: str = "t
     joined = guarded_join(rows, known, [("host", "host")], "left").withColumn("_page", F.col("_row").getField(page))
     state = {}
 
-    def compute(pages, pivots, nodes, texts):
-        aligner = state.get("a") or state.setdefault("a", _Aligner())
+    def compute(pages, guides, pivots, fixed):
+        if not state:
+            state.update(align=_Aligner(), guides=_Kept(_read_guides), fixed=_Kept(_read_guides))
         out = []
-        columns = pages.cast(pa.binary()).to_pylist(), pivots.to_pylist(), nodes.to_pylist(), texts.to_pylist()
-        for raw, pivot, places, values in zip(*columns):
+        columns = pages.cast(pa.binary()).to_pylist(), guides.to_pylist(), pivots.to_pylist(), fixed.to_pylist()
+        for raw, paths, pivot, texts in zip(*columns):
             parsed, template = Page(_text(raw)), set()
-            if places:
-                fixed, seen = dict(zip(places, values)), parsed.hashes()
-                for a, b in aligner(parsed.tree(), pivot).items():
-                    if b in fixed and seen[a] == fixed[b]:
-                        template.add(a)
+            if texts:
+                known, seen = state["fixed"](texts), parsed.hashes().tolist()
+                tree, places = _guided(parsed.tree(), seen, state["guides"](paths))
+                for a, b in state["align"](tree, pivot).items():
+                    if seen[places[a]] in known.get(b, ()):
+                        template.add(places[a])
             out.append(parsed.content(template))
         return [pa.array(out, pa.string())]
 
-    found = add_columns(joined, ["_page", "pivot", "nodes", "texts"], [T.StructField("_text", T.StringType())], compute)
+    found = add_columns(joined, ["_page", "guides", "pivot", "fixed"], [T.StructField("_text", T.StringType())], compute)
     kept = [c for c in df.columns if c.lower() != name.lower()]
     return found.select(*[F.col(f"_row.`{c}`") for c in kept], F.col("_text").alias(name))

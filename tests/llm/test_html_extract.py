@@ -117,3 +117,36 @@ def test_query_on_whole_table(spark):
         parts = [re.sub("<[^>]*>", "", p.replace("<br>", " ")) for p in re.split("</?(?:p|h1)>", article)]
         assert r["text"] == "\n".join(x for x in (" ".join(html.unescape(p).split()) for p in parts) if x)
         assert r["n_chars"] == len(r["text"])
+
+
+def extracted(spark, pages, **options):
+    """Texts of pages given as (url, html), in order."""
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in html_extract.add_text(df, **options).orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>Site menu</div><div>{}</div><div>Copyright</div>",
+        "<div id=top>Site menu</div><div id=content>{}</div><div id=low>Copyright</div>",
+        "<p>Site menu</p>{}<p>Copyright</p>",
+        "<table><tr><td>Site menu<tr><td>{}<tr><td>Copyright</table>",
+    ],
+)
+def test_constant_siblings_have_slots_of_their_own(spark, page):
+    bodies = [[f"Article {k} {j}" for j in range(1 + k % 4)] for k in range(20)]
+    between = "</p><p>" if page.startswith("<p>") else "<br>"
+    pages = [(f"http://h.example/{k}", page.format(("<p>%s</p>" if page.startswith("<p>") else "%s") % between.join(b))) for k, b in enumerate(bodies)]
+    glue = "\n" if page.startswith("<p>") else " "
+    assert extracted(spark, pages) == [glue.join(b) for b in bodies]
+
+
+def test_long_lists_of_children_are_aligned_in_parts(monkeypatch):
+    draw = random.Random(3)
+    for _ in range(50):
+        a, b = ("\n".join(f"0 {draw.choice('pqr')}" for _ in range(draw.randint(1, 30))) for _ in range(2))
+        whole = len(align(a, b))
+        monkeypatch.setattr(html_extract, "CELLS", 4)
+        assert len(align(a, b)) == whole
+        monkeypatch.undo()
