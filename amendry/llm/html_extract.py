@@ -3,9 +3,9 @@
 Every page becomes the ordered tree of its block elements. The most frequent tree of a host
 is its pivot; the trees of all pages of the host are aligned with it by simple tree
 matching over their lists of children. Among like siblings, texts that a good share of the
-host's pages hold on the same path say which belong together. A pivot node that holds the
-same text on nearly all aligned pages is template, a varying one is a content slot. Roles
-that markup states by itself (menus, footers, forms, adverts, comments and so on) are never
+host's pages hold on the same path say which belong together. A pivot node whose texts
+mostly recur on other aligned pages, in one wording or several, is template for these; a
+varying one is a content slot. Roles that markup states by itself (menus, footers, forms, adverts, comments and so on) are never
 content, and where a page names its article, content lies inside it.
 
 The aligned texts are counted as hashes, summed up before the shuffle; a host is never
@@ -31,8 +31,9 @@ from amendry.llm.url_filter import host_of
 from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
 
-PAGES = 8  # distinct pages of a host that must agree on a text, and differ in another, to make it template
-SHARE = 0.9  # of the pages that have a node, must hold the same text there
+PAGES = 8  # distinct pages that must agree on a text inside a named article, or anywhere if the caller names no number
+SHARE = 0.9  # of the pages that have a node inside a named article, must hold such texts there
+MOST = 0.5  # of the pages that have any other node, more than this must hold texts that recur there
 ALIGNED = 4096  # alignments of two trees that a task remembers
 GUIDES = 16  # a text guides alignment if one in so many pages with its path hold it there
 CELLS = 1 << 21  # of a table of two lists of children; longer lists are halved
@@ -229,8 +230,11 @@ class Page:
 
     # ---- content
 
-    def content(self, template: set[int]) -> str:
-        """Blocks of the article that are in no template node, joined by line ends."""
+    def content(self, template: set[int], outside: set[int] = frozenset()) -> str:
+        """Blocks of the article that are in no template node, joined by line ends.
+
+        Nodes of `outside` are template where the page does not name them article.
+        """
         n = len(self.parent)
         holds = [t in MAIN for t in self.tag]
         for k in range(n - 1, 0, -1):
@@ -246,7 +250,7 @@ class Page:
             header[k] = header[p] or (self.header[k] and not holds[k])
             if header[k] and not inside[k]:
                 out[k] = True
-        usable = [(k, line) for k, line in self.blocks if not out[k] and k not in template]
+        usable = [(k, line) for k, line in self.blocks if not out[k] and k not in template and (inside[k] or k not in outside)]
         for part in ("article", "main"):
             named = [(k, line) for k, line in usable if inside[k] == part or (part == "main" and inside[k])]
             if any(t == part and not o for t, o in zip(self.tag, out)):
@@ -270,6 +274,8 @@ class _Tree:
     signatures: list[str]
     children: list[list[int]]
     guides: list[frozenset[str]]  # texts by which a node is told from like siblings
+    shapes: list[int]  # hash of each node's subtree
+    heights: list[int]
 
 
 def _read_tree(text: str) -> _Tree:
@@ -281,7 +287,11 @@ def _read_tree(text: str) -> _Tree:
         guides.append(frozenset(known.split(",")) if known else frozenset())
         children.append([])
         children[int(parent)].append(k)
-    return _Tree(signatures, children, guides)
+    shapes, heights = [0] * len(signatures), [0] * len(signatures)
+    for k in range(len(signatures) - 1, -1, -1):
+        shapes[k] = hash((signatures[k], guides[k], tuple(shapes[c] for c in children[k])))
+        heights[k] = 1 + max((heights[c] for c in children[k]), default=-1)
+    return _Tree(signatures, children, guides, shapes, heights)
 
 
 @dataclass
@@ -337,22 +347,6 @@ class _Weights:
         return sorted(found)
 
 
-def _shapes(tree: _Tree, known: dict) -> list[int]:
-    """Number of each node's subtree, equal for equal subtrees."""
-    out = [0] * len(tree.signatures)
-    for k in range(len(out) - 1, -1, -1):
-        key = (tree.signatures[k], tree.guides[k], tuple(out[c] for c in tree.children[k]))
-        out[k] = known.setdefault(key, len(known))
-    return out
-
-
-def _heights(tree: _Tree) -> list[int]:
-    out = [0] * len(tree.signatures)
-    for k in range(len(out) - 1, -1, -1):
-        out[k] = 1 + max((out[c] for c in tree.children[k]), default=-1)
-    return out
-
-
 def align(a: str, b: str) -> dict[int, int]:
     """Nodes of tree a with their partners in b, by simple tree matching.
 
@@ -360,24 +354,28 @@ def align(a: str, b: str) -> dict[int, int]:
     The matching is the heaviest; a node counts twice as much where the two share a guiding
     text, and half as much where only unlike ones are known. Without such texts it has the most nodes.
     """
-    left, right = _read_tree(a), _read_tree(b)
-    numbers: dict = {}
-    shape = _shapes(left, numbers), _shapes(right, numbers)
+    return _align(_read_tree(a), _read_tree(b))
+
+
+def _align(left: _Tree, right: _Tree) -> dict[int, int]:
+    shape = left.shapes, right.shapes
     below: dict[tuple[int, int], int] = {}  # by shapes: what the children of a pair weigh at most
 
     def weights(x: int, y: int) -> _Weights:
-        kinds: dict[int, tuple[int, _Tree, int]] = {}
+        kinds: tuple[dict, dict] = {}, {}
         sides = []
-        for tree, shapes, cs in ((left, shape[0], left.children[x]), (right, shape[1], right.children[y])):
-            sides.append(np.array([kinds.setdefault(shapes[c], (len(kinds), tree, c))[0] for c in cs], np.int64))
-        table = np.zeros((len(kinds), len(kinds)), np.int64)
+        for found, tree, cs in ((kinds[0], left, left.children[x]), (kinds[1], right, right.children[y])):
+            sides.append(np.array([found.setdefault(tree.shapes[c], (len(found), c))[0] for c in cs], np.int64))
+        table = np.zeros((len(kinds[0]), len(kinds[1])), np.int64)
         by_name: dict[str, list] = {}
-        for n, (i, tree, c) in kinds.items():
-            by_name.setdefault(tree.signatures[c], []).append((i, n, tree.guides[c]))
-        for like in by_name.values():
-            for i, n, known in like:
-                for j, m, others in like:
-                    table[i, j] = (4 if known & others else 1 if known or others else 2) + below.get((n, m), 0)
+        for m, (j, d) in kinds[1].items():
+            by_name.setdefault(right.signatures[d], []).append((j, m, right.guides[d]))
+        for n, (i, c) in kinds[0].items():
+            known = left.guides[c]
+            for j, m, others in by_name.get(left.signatures[c], ()):
+                table[i, j] = (1 if known.isdisjoint(others) else 4) if known or others else 2
+                if below:
+                    table[i, j] += below.get((n, m), 0)
         return _Weights(table, *sides)
 
     # pairs of subtrees are weighed once for each pair of shapes, from the leaves up
@@ -392,8 +390,7 @@ def align(a: str, b: str) -> dict[int, int]:
                 if (n, m) not in seen:
                     seen.add((n, m))
                     pairs.append((c, d))
-    height = _heights(left)
-    for x, y in sorted(pairs[1:], key=lambda pair: height[pair[0]]):
+    for x, y in sorted(pairs[1:], key=lambda pair: left.heights[pair[0]]):
         below[shape[0][x], shape[1][y]] = int(weights(x, y).last()[-1])
     match, todo = {0: 0}, [(0, 0)]
     while todo:
@@ -406,16 +403,31 @@ def align(a: str, b: str) -> dict[int, int]:
     return match
 
 
+class _Kept:
+    """Values made of long strings, the last ones remembered."""
+
+    def __init__(self, make, size: int = 64):
+        self.make, self.size, self.known = make, size, OrderedDict()
+
+    def __call__(self, text: str):
+        if text not in self.known:
+            if len(self.known) >= self.size:
+                self.known.popitem(last=False)
+            self.known[text] = self.make(text)
+        return self.known[text]
+
+
 class _Aligner:
     def __init__(self):
         self.known: OrderedDict[tuple[str, str], dict[int, int]] = OrderedDict()
+        self.read = _Kept(_read_tree)
 
     def __call__(self, a: str, b: str) -> dict[int, int]:
         key = (a, b)
         if key not in self.known:
             if len(self.known) >= ALIGNED:
                 self.known.popitem(last=False)
-            self.known[key] = align(a, b)
+            self.known[key] = _align(_read_tree(a), self.read(b))
         return self.known[key]
 
 
@@ -472,20 +484,6 @@ def _guides(skeletons: DataFrame) -> DataFrame:
     return lines.select("host", F.array_join("lines", "\n").alias("guides"))
 
 
-class _Kept:
-    """Values made of long strings, the last ones remembered."""
-
-    def __init__(self, make, size: int = 64):
-        self.make, self.size, self.known = make, size, OrderedDict()
-
-    def __call__(self, text: str):
-        if text not in self.known:
-            if len(self.known) >= self.size:
-                self.known.popitem(last=False)
-            self.known[text] = self.make(text)
-        return self.known[text]
-
-
 def _read_guides(text: str) -> dict[int, frozenset[int]]:
     lines = (line.partition("=") for line in text.split("\n"))
     return {int(path): frozenset(map(int, texts.split(","))) if texts else frozenset() for path, _, texts in lines}
@@ -536,12 +534,14 @@ def _aligned_texts(batches):
         )
 
 
-def wrappers(skeletons: DataFrame) -> DataFrame:
-    """(host, guides, pivot, fixed): how to align a page of the host, and the texts of the pivot's template nodes.
+def wrappers(skeletons: DataFrame, least: int = PAGES) -> DataFrame:
+    """(host, guides, pivot, fixed, firm): how to align a page of the host, and the texts of the pivot's template nodes.
 
-    From distinct (host, tree, hashes). A host has template nodes only if PAGES distinct
-    pages, and a SHARE of all that have the node, agree on a text, while another node has at
-    least PAGES different ones.
+    From distinct (host, tree, hashes). A text recurs if `least` distinct pages hold it in the
+    same node. A node is template if more than MOST of the pages that have it hold recurring
+    texts, one or several; in other nodes a text met again is content, as in near copies of
+    an article. Another node must not be template and have `least` different texts. Those of
+    `fixed` that PAGES pages hold, in a node of which a SHARE do so, are also in `firm`.
     """
     work = Workspace(skeletons.sparkSession)
     guides = work.stage(_guides(skeletons), "guides")
@@ -551,25 +551,35 @@ def wrappers(skeletons: DataFrame) -> DataFrame:
     pivots = work.stage(trees.groupBy("host").agg(F.max_by("tree", F.struct("count", "tree")).alias("pivot")), "pivots")
     together = guarded_join(pages, pivots, [("host", "host")], "inner").select("host", "tree", "hashes", "pivot")
     texts = together.mapInArrow(_aligned_texts, "host string, node int, hash bigint")
-    kinds = texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n"))
+    kinds = work.stage(texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n")), "kinds")
+    again, often = F.col("n") >= least, F.col("n") >= PAGES
     slots = kinds.groupBy("host", "node").agg(
-        F.max_by("hash", F.struct("n", "hash")).alias("text"), F.max("n").alias("top"), F.sum("n").alias("n"), F.count("*").alias("kinds")
-    )
-    same = (F.col("top") >= PAGES) & (F.col("top") >= SHARE * F.col("n"))
-    found = slots.groupBy("host").agg(  # as many rows a host as its pivot has nodes
-        F.max("kinds").alias("kinds"), F.array_sort(F.collect_list(F.when(same, F.concat_ws("=", "node", "text")))).alias("fixed")
+        F.sum(F.when(again, F.col("n")).otherwise(0)).alias("again"),
+        F.sum(F.when(often, F.col("n")).otherwise(0)).alias("often"),
+        F.sum("n").alias("n"),
+        F.count("*").alias("kinds"),
     )
-    found = found.filter((F.col("kinds") >= PAGES) & (F.size("fixed") > 0)).select("host", F.array_join("fixed", "\n").alias("fixed"))
-    known = guarded_join(pivots, found, [("host", "host")], "inner").select("host", "pivot", "fixed")
-    return guarded_join(guides, known, [("host", "host")], "inner").select("host", "guides", "pivot", "fixed")
-
-
-def add_text(df: DataFrame, url: str = "url", page: str = "html", name: str = "text") -> DataFrame:
+    slots = slots.withColumns({"same": F.col("again") > MOST * F.col("n"), "strong": F.col("often") >= SHARE * F.col("n")})
+    varied = slots.groupBy("host").agg(F.max(F.when(~F.col("same"), F.col("kinds"))).alias("varied")).filter(F.col("varied") >= least)
+    same = guarded_join(slots.filter("same").select("host", "node", "strong"), varied, [("host", "host")], "inner")
+    found = guarded_join(kinds.filter(again), same, [("host", "host"), ("node", "node")], "inner")
+    firm = often & F.col("strong") & (F.col("varied") >= PAGES)
+    listed = lambda texts: F.array_join(F.array_sort(F.collect_list(texts)), ",")
+    text = F.col("hash").cast("string")
+    found = found.groupBy("host", "node").agg(listed(text).alias("fixed"), listed(F.when(firm, text)).alias("firm"))
+    lines = lambda texts: F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", F.col("node").cast("string"), texts))), "\n")
+    found = found.groupBy("host").agg(lines("fixed").alias("fixed"), lines("firm").alias("firm"))
+    known = guarded_join(pivots, found, [("host", "host")], "inner").select("host", "pivot", "fixed", "firm")
+    return guarded_join(guides, known, [("host", "host")], "inner").select("host", "guides", "pivot", "fixed", "firm")
+
+
+def add_text(df: DataFrame, url: str = "url", page: str = "html", name: str = "text", least: int = PAGES) -> DataFrame:
     """df + string `name`: the main text of every page, empty if there is none.
 
     Blocks are joined in page order by one line end; white space inside a block becomes one
     space. A null page is an empty one; pages without a host share the empty host. Copies
-    of a page count once in its host's wrapper. A column of df named `name` is replaced;
+    of a page count once in its host's wrapper, which takes a text for template if at least
+    `least` distinct pages hold it. A column of df named `name` is replaced;
     all rows and other columns stay. Pages are read whole.
     """
     work = Workspace(df.sparkSession)
@@ -577,27 +587,27 @@ def add_text(df: DataFrame, url: str = "url", page: str = "html", name: str = "t
     fields = [T.StructField("tree", T.StringType()), T.StructField("hashes", T.ArrayType(T.LongType()))]
     shapes = add_columns(hosted, ["_page"], fields, _skeletons).select("host", "tree", "hashes")
     shapes = work.stage(shapes.distinct(), "shapes")
-    known = work.stage(wrappers(shapes), "wrappers")
+    known = work.stage(wrappers(shapes, least), "wrappers")
     rows = df.select(F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in df.columns]).alias("_row"), host_of(F.col(f"`{url}`")).alias("host"))
     joined = guarded_join(rows, known, [("host", "host")], "left").withColumn("_page", F.col("_row").getField(page))
     state = {}
 
-    def compute(pages, guides, pivots, fixed):
+    def compute(pages, guides, pivots, fixed, firm):
         if not state:
-            state.update(align=_Aligner(), guides=_Kept(_read_guides), fixed=_Kept(_read_guides))
+            state.update(align=_Aligner(), read=_Kept(_read_guides, 256))
         out = []
-        columns = pages.cast(pa.binary()).to_pylist(), guides.to_pylist(), pivots.to_pylist(), fixed.to_pylist()
-        for raw, paths, pivot, texts in zip(*columns):
-            parsed, template = Page(_text(raw)), set()
+        columns = pages.cast(pa.binary()).to_pylist(), guides.to_pylist(), pivots.to_pylist(), fixed.to_pylist(), firm.to_pylist()
+        for raw, paths, pivot, texts, sure in zip(*columns):
+            parsed, template, certain = Page(_text(raw)), set(), set()
             if texts:
-                known, seen = state["fixed"](texts), parsed.hashes().tolist()
-                tree, places = _guided(parsed.tree(), seen, state["guides"](paths))
+                known, surely, seen = state["read"](texts), state["read"](sure), parsed.hashes().tolist()
+                tree, places = _guided(parsed.tree(), seen, state["read"](paths))
                 for a, b in state["align"](tree, pivot).items():
                     if seen[places[a]] in known.get(b, ()):
-                        template.add(places[a])
-            out.append(parsed.content(template))
+                        (certain if seen[places[a]] in surely[b] else template).add(places[a])
+            out.append(parsed.content(certain, template))
         return [pa.array(out, pa.string())]
 
-    found = add_columns(joined, ["_page", "guides", "pivot", "fixed"], [T.StructField("_text", T.StringType())], compute)
+    found = add_columns(joined, ["_page", "guides", "pivot", "fixed", "firm"], [T.StructField("_text", T.StringType())], compute)
     kept = [c for c in df.columns if c.lower() != name.lower()]
     return found.select(*[F.col(f"_row.`{c}`") for c in kept], F.col("_text").alias(name))

@@ -150,3 +150,24 @@ def test_long_lists_of_children_are_aligned_in_parts(monkeypatch):
         monkeypatch.setattr(html_extract, "CELLS", 4)
         assert len(align(a, b)) == whole
         monkeypatch.undo()
+
+
+def test_few_pages_and_several_wordings_make_a_wrapper(spark):
+    page = "<div class=top>{}</div><div class=body>Words {}</div><div class=low>About</div>"
+    wording = lambda k: "Long notice" if k % 5 < 3 else "Short notice"
+    pages = [(f"http://two.example/{k}", page.format("Hello", k)) for k in range(2)]
+    pages += [(f"http://seven.example/{k}", page.format("Hello", k)) for k in range(7)]
+    pages += [(f"http://words.example/{k}", page.format(wording(k), k)) for k in range(10)]
+    pages += [(f"http://copy.example/{k}", page.format("Hello", max(k, 1))  + "<p>x" * (k == 0)) for k in range(10)]  # a near copy
+    pages += [("http://one.example/", page.format("Hello", 0))]
+    got = extracted(spark, pages, least=2)
+    assert got[:19] == [f"Words {k}" for n in (2, 7, 10) for k in range(n)]
+    assert got[19:29] == ["Words 1\nx", *[f"Words {max(k, 1)}" for k in range(1, 10)]]
+    assert got[29] == "Hello\nWords 0\nAbout"
+
+
+def test_query_learns_from_two_pages(spark, tmp_path):
+    page = "<div class=top>Hello</div><div class=body>Words {}</div>"
+    rows = [(k, f"http://h.example/{k}", page.format(k)) for k in range(2)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted(r["text"] for r in REGISTRY["op1_html_extraction"](spark, str(tmp_path)).collect()) == ["Words 0", "Words 1"]
