@@ -1,8 +1,9 @@
 """Main text of web pages by wrapper induction.
 
-Every page becomes the ordered tree of its block elements. The most frequent tree of a host
-is its pivot; the trees of all pages of the host are aligned with it by simple tree
-matching over their lists of children. Among like siblings, texts that a good share of the
+Every page becomes the ordered tree of its block elements. The trees of a host are merged
+into one, its pivot: each is aligned with what is merged so far by simple tree matching
+over their lists of children, and nodes without a partner are added, so that those of every
+layout have a place. Then all pages of the host are aligned with the pivot. Among like siblings, texts that a good share of the
 host's pages hold on the same path say which belong together. A pivot node whose texts
 mostly recur on other aligned pages, in one wording or several, is template for these; a
 varying one is a content slot. Roles that markup states by itself (menus, footers, forms, adverts, comments and so on) are never
@@ -35,6 +36,7 @@ PAGES = 8  # distinct pages that must agree on a text inside a named article, or
 SHARE = 0.9  # of the pages that have a node inside a named article, must hold such texts there
 MOST = 0.5  # of the pages that have any other node, more than this must hold texts that recur there
 ALIGNED = 4096  # alignments of two trees that a task remembers
+TOGETHER = 16  # trees of a host that one task merges at a time
 GUIDES = 16  # a text guides alignment if one in so many pages with its path hold it there
 CELLS = 1 << 21  # of a table of two lists of children; longer lists are halved
 
@@ -403,6 +405,33 @@ def _align(left: _Tree, right: _Tree) -> dict[int, int]:
     return match
 
 
+def _merge(base: _Tree, other: _Tree) -> str:
+    """The nodes of both trees, partners as one; siblings keep the order of each."""
+    partner = _align(other, base)
+    lines: list[str] = []
+    todo = [(0, 0, 0)]  # node of base or -1, of other or -1, place of the parent
+    place = -1
+    while todo:
+        x, y, parent = todo.pop()
+        place += 1
+        if place:
+            known = (base.guides[x] if x >= 0 else frozenset()) | (other.guides[y] if y >= 0 else frozenset())
+            mark = "=" + ",".join(sorted(known)) if known else ""
+            lines.append(f"{parent}{mark} {base.signatures[x] if x >= 0 else other.signatures[y]}")
+        own, below, at = base.children[x] if x >= 0 else [], [], 0
+        for c in other.children[y] if y >= 0 else []:
+            if (d := partner.get(c)) is not None and x >= 0:
+                while own[at] != d:
+                    below.append((own[at], -1, place))
+                    at += 1
+                below.append((d, c, place))
+                at += 1
+            else:
+                below.append((-1, c, place))
+        todo += reversed(below + [(d, -1, place) for d in own[at:]])
+    return "\n".join(lines)
+
+
 class _Kept:
     """Values made of long strings, the last ones remembered."""
 
@@ -534,6 +563,31 @@ def _aligned_texts(batches):
         )
 
 
+def _merge_all(batches):
+    for batch in batches:
+        merged = []
+        for trees in batch.column("trees").to_pylist():
+            first, *rest = sorted(trees, key=lambda t: (-len(t), t))
+            for tree in rest:
+                first = _merge(_read_tree(first), _read_tree(tree))
+            merged.append(first)
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(merged, pa.string())], names=["host", "tree"])
+
+
+def _pivots(pages: DataFrame, work: Workspace) -> DataFrame:
+    """(host, pivot): all trees of a host merged into one, in turns of a few trees a task."""
+    trees, turn = work.stage(pages.select("host", "tree").distinct(), "trees_0"), 0
+    while True:
+        counts = work.stage(trees.groupBy("host").agg(F.count("*").alias("count")), f"counts_{turn}")
+        if (counts.agg(F.max("count")).first()[0] or 0) <= 1:
+            return trees.select("host", F.col("tree").alias("pivot"))
+        turn += 1
+        dealt = guarded_join(trees, counts, [("host", "host")], "inner")
+        part = F.pmod(F.xxhash64("tree"), F.ceil(F.col("count") / TOGETHER))
+        groups = dealt.groupBy("host", part.alias("part")).agg(F.collect_list("tree").alias("trees"))
+        trees = work.stage(groups.select("host", "trees").mapInArrow(_merge_all, "host string, tree string").distinct(), f"trees_{turn}")
+
+
 def wrappers(skeletons: DataFrame, least: int = PAGES) -> DataFrame:
     """(host, guides, pivot, fixed, firm): how to align a page of the host, and the texts of the pivot's template nodes.
 
@@ -547,8 +601,7 @@ def wrappers(skeletons: DataFrame, least: int = PAGES) -> DataFrame:
     guides = work.stage(_guides(skeletons), "guides")
     pages = guarded_join(skeletons, guides, [("host", "host")], "inner").select("host", "tree", "hashes", "guides")
     pages = work.stage(pages.mapInArrow(_guided_pages, "host string, tree string, hashes array<bigint>"), "guided")
-    trees = pages.groupBy("host", "tree").count()
-    pivots = work.stage(trees.groupBy("host").agg(F.max_by("tree", F.struct("count", "tree")).alias("pivot")), "pivots")
+    pivots = _pivots(pages, work)
     together = guarded_join(pages, pivots, [("host", "host")], "inner").select("host", "tree", "hashes", "pivot")
     texts = together.mapInArrow(_aligned_texts, "host string, node int, hash bigint")
     kinds = work.stage(texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n")), "kinds")

@@ -171,3 +171,30 @@ def test_query_learns_from_two_pages(spark, tmp_path):
     rows = [(k, f"http://h.example/{k}", page.format(k)) for k in range(2)]
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted(r["text"] for r in REGISTRY["op1_html_extraction"](spark, str(tmp_path)).collect()) == ["Words 0", "Words 1"]
+
+
+def test_every_layout_of_a_host_has_a_wrapper(spark):
+    article = "<div class=top>Hello</div><div class=body>Words {0}</div>"
+    listing = "<section class=list><h1>Archive</h1><p>Entry {0}</p></section><section class=low>Older posts</section>"
+    pages = [(f"http://h.example/{k}", (article if k % 10 < 6 else listing).format(k)) for k in range(40)]
+    # optional blocks: every page has a tree of its own, and none has all
+    some = [[f"<div class=o{chr(97 + j)}>Block {j}</div>" for j in range(6) if (k >> j) & 1] for k in range(1, 40)]
+    pages += [(f"http://own.example/{k}", "".join(blocks) + f"<div class=body>Words {k}</div>") for k, blocks in enumerate(some)]
+    got = extracted(spark, pages, least=2)
+    assert got == [f"{'Words' if k % 10 < 6 else 'Entry'} {k}" for k in range(40)] + [f"Words {k}" for k in range(39)]
+
+
+def test_merged_trees_hold_both():
+    draw = random.Random(8)
+
+    def tree():
+        lines = []
+        for k in range(draw.randint(0, 12)):
+            lines.append(f"{draw.randint(0, k)}{draw.choice(['', '', '=1', '=2,3'])} {draw.choice('ab')}")
+        return "\n".join(lines)
+
+    for _ in range(300):
+        a, b = tree(), tree()
+        merged = html_extract._merge(html_extract._read_tree(a), html_extract._read_tree(b))
+        whole = [len(html_extract._read_tree(t).signatures) for t in (a, b, merged)]
+        assert whole[2] == whole[0] + whole[1] - len(align(b, a))
