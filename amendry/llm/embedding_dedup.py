@@ -66,8 +66,9 @@ def linked_blocks(left: np.ndarray, right: np.ndarray, least: float):
     missed = np.uint8(MISSED)
     order = np.argsort(b, axis=0)
     known = np.take_along_axis(b, order, axis=0)
-    ranks = np.empty((size, len(b)), np.uint16)
-    low, width = np.empty((2, size, len(a)), np.uint16)
+    kind = np.uint16 if len(b) < 1 << 16 else np.uint32  # holds every rank and width
+    ranks = np.empty((size, len(b)), kind)
+    low, width = np.empty((2, size, len(a)), kind)
     for k in range(size):
         ranks[k, order[:, k]] = np.arange(len(b))
         low[k] = np.searchsorted(known[:, k], a[:, k] - window, "left")
@@ -182,17 +183,21 @@ def _across(least: float):
 
 
 def _tiled(folded: DataFrame, limit: int, distance: float) -> tuple[DataFrame, list[tuple]]:
-    """folded + tile, a range of the first projection, and the pairs of tiles that are near enough to compare."""
+    """folded + tile, and the pairs of tiles that are near enough to compare.
+
+    A tile is a range of the first projection, or, of a range that ties keep over-full, a
+    share of its vectors by a hash; all shares of a range are compared.
+    """
     sizes = folded.groupBy("size").count().collect()  # one row per vector size
-    first, pairs, ranges = 0, [], {}
+    first, near, ranges = 0, [], {}
     for size, count in sorted(map(tuple, sizes)):
         parts = max(1, math.ceil(count / limit))
         shares = [k / parts for k in range(1, parts)]
         own = folded.filter(F.col("size") == size)
         cuts = own.agg(F.percentile_approx("along", shares, 100 * parts)).first()[0] if shares else []
         ranges[size] = (first, cuts)
-        # tile i ends at its cut, tile j begins behind the cut before it
-        pairs += [
+        # range i ends at its cut, range j begins behind the cut before it
+        near += [
             (first + i, first + j)
             for i in range(parts)
             for j in range(i + 1, parts)
@@ -204,7 +209,20 @@ def _tiled(folded: DataFrame, limit: int, distance: float) -> tuple[DataFrame, l
         both = zip(along.to_pylist(), size.to_pylist())
         return [pa.array([ranges[n][0] + bisect_left(ranges[n][1], x) for x, n in both], pa.int64())]
 
-    return add_columns(folded, ["along", "size"], [T.StructField("tile", T.LongType())], place), pairs
+    ranged = add_columns(folded, ["along", "size"], [T.StructField("range", T.LongType())], place)
+    tiles, done = {}, 0
+    for k, count in sorted(map(tuple, ranged.groupBy("range").count().collect())):  # as many rows as there are ranges
+        shares = 1 if count <= 1.5 * limit else math.ceil(count / limit)
+        tiles[k] = range(done, done + shares)
+        done += shares
+
+    def share(k, mixed):
+        return [pa.array([tiles[r][h % len(tiles[r])] for r, h in zip(k.to_pylist(), mixed.to_pylist())], pa.int64())]
+
+    tiled = add_columns(ranged.withColumn("mixed", F.xxhash64("node")), ["range", "mixed"], [T.StructField("tile", T.LongType())], share)
+    pairs = [(a, b) for own in tiles.values() for a in own for b in own if a < b]
+    pairs += [(a, b) for i, j in near for a in tiles.get(i, ()) for b in tiles.get(j, ())]
+    return tiled.drop("range", "mixed"), pairs
 
 
 def near_duplicates(

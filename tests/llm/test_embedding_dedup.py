@@ -1,6 +1,10 @@
 """Links and components against all cosines."""
 
+import math
+
 import numpy as np
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from amendry.llm import embedding_dedup
 from amendry.llm.queries import REGISTRY
@@ -72,3 +76,25 @@ def test_no_pair_at_the_border_is_lost():
 def test_query_on_whole_table(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
     assert sorted(map(tuple, REGISTRY["op2_embedding_near_dedup"](spark, sf).collect()), key=str) == plain(rows, 0.95)
+
+
+def test_tiles_beyond_16_bits_keep_all_links():
+    right = np.tile([[1.0, 0.0]], (70_000, 1))
+    found = sum(len(u) for u, _ in embedding_dedup.linked_blocks(right[:2], right, 0.95))
+    assert found == 140_000
+
+
+def test_scaled_copies_are_spread_over_tiles(spark):
+    """Equal directions have equal first projections, so no cut parts them."""
+    one = np.random.default_rng(5).standard_normal(8)
+    rows = [(k, [float(x) for x in one * (1 + k)]) for k in range(300)]
+    rows += [(k, [float(x) for x in np.random.default_rng(k).standard_normal(8)]) for k in range(300, 400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    packed = df.selectExpr("vec_id as node", "embedding")
+    folded = embedding_dedup.add_columns(packed, ["embedding"], [T.StructField("_vec", T.BinaryType())], lambda v: [embedding_dedup.pa.array(embedding_dedup._packed(v))])
+    folded = embedding_dedup.add_columns(folded, ["_vec"], [T.StructField("along", T.DoubleType())], embedding_dedup._first_projection)
+    tiled, pairs = embedding_dedup._tiled(folded.withColumn("size", F.lit(8)), 50, math.sqrt(0.1))
+    assert max(r["count"] for r in tiled.groupBy("tile").count().collect()) <= 100
+    assert len(set(pairs)) == len(pairs)
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df, limit=50).collect()}
+    assert all(got[k]["n_links"] >= 299 and got[k]["component_id"] == 0 for k in range(300))
