@@ -70,3 +70,11 @@ def test_held_out_accuracy_of_the_query(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.3) for r in rows)
     right = [r["predicted"] == truth[r["doc_id"]] for r in rows if r["held_out"] and r["doc_id"] in truth]
     assert len(right) > 50 and np.mean(right) > 0.97
+
+
+def test_features_do_not_depend_on_an_empty_last_text():
+    alone = quality.features([b"a b"])[0]
+    for texts in ([b"a b", b""], [b"a b", b"", b""], [b"", b"a b", b""], [b"a b", b"c"]):
+        found = quality.features(texts)
+        assert (found[texts.index(b"a b")] == alone).all()
+        assert (found[:, 0] >= 0).all()
