@@ -69,3 +69,9 @@ def test_empty_and_odd_documents(spark, tmp_path, sf):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, str(tmp_path))
     assert none.count() == 0
+
+
+def test_last_stage_checks_the_round_trip(spark, sf):
+    docs = spark.createDataFrame([(1, "plain words of a document"), (2, ""), (3, None)], "doc_id long, text string")
+    rows = corpus_pipeline.encoded(spark, docs, sf).collect()
+    assert {r["doc_id"]: (r["n_tokens"] > 0, r["round_trip"]) for r in rows} == {1: (True, True), 2: (False, True), 3: (False, True)}
