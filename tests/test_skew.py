@@ -70,7 +70,11 @@ def test_priority_count_per_loan_splits_the_hot_loan(views):
 def test_decision_join_splits_the_hot_member(views):
     members = reconcile.list_members(views.member(), views.reference(), views.decision())
     compared = reconcile.compared_decisions(
-        members, views.decision(), views.latest_pointer(), views.source_decision()
+        members,
+        reconcile.latest_decisions(members, views.decision()),
+        views.decision(),
+        views.latest_pointer(),
+        views.source_decision(),
     )
     assert is_split(compared, "gdekro")
 
