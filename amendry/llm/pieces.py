@@ -27,7 +27,9 @@ from amendry.llm.rows import add_columns
 
 SPACE = "▁"  # fixed value: how pieces spell a space
 USUAL = 3  # characters of a piece; such pieces are tried first
-CACHED = 350_000  # words after which a task forgets their ids before it goes on
+CACHED = 40 << 20  # bytes of known words and their ids after which a task forgets them before it goes on
+HELD = 200  # bytes that a known word takes beside its letters and ids
+DECODED = 1 << 18  # ids decoded at once
 PART = 1 << 20  # characters whose words are held at once
 SLICE = 8 << 20  # bytes of text whose new words are encoded together
 MATRIX = 1 << 19  # characters of equal-length words that advance together
@@ -311,10 +313,10 @@ _WORD = re.compile(" +[^ ]*")
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of words, at most about CACHED."""
+    """Encodes texts; remembers the ids of words, in at most about CACHED bytes and the words of one call."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known = vocabulary, {}
+        self.vocabulary, self.known, self.held = vocabulary, {}, 0
 
     def _words(self, texts: list[str]) -> list[list[str]]:
         spaced = [" " + t.replace(SPACE, " ") if t else "" for t in texts]
@@ -331,29 +333,60 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; all words not known yet are encoded together."""
-        if len(self.known) > CACHED:
+        if self.held > CACHED:
             self.known.clear()
+            self.held = 0
         new: set[str] = set()
         for part in self._parts(texts):
             new |= set().union(*self._words(part)).difference(self.known)
         words = list(new)
-        self.known.update(zip(words, encode_words(self.vocabulary, [w.replace(" ", SPACE) for w in words])))
+        coded = encode_words(self.vocabulary, [w.replace(" ", SPACE) for w in words])
+        self.known.update(zip(words, coded))
+        self.held += HELD * len(words) + sum(map(len, words)) + sum(map(len, coded))
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for part in self._parts(texts) for words in self._words(part)]
 
 
+class Decoder:
+    """Text of ids, piece by piece; no more than DECODED ids are spelt out at once."""
+
+    def __init__(self, v: Vocabulary):
+        self.prefix = v.prefix
+        self.size = np.array([len(b) for b in v.bytes_], np.int32)
+        self.begin = (np.cumsum(self.size) - self.size).astype(np.int32)
+        self.store = np.frombuffer(b"".join(v.bytes_), np.uint8)
+
+    def _spelt(self, flat: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """UTF-8 bytes of the ids side by side, and where each id's bytes end."""
+        count = self.size[flat]
+        ends = np.cumsum(count, dtype=np.int32)
+        spots = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        spots += np.repeat(self.begin[flat] - (ends - count), count)
+        return self.store[spots].tobytes(), ends
+
+    def _bare(self, text: bytes) -> bytes:
+        """Without the space put in front."""
+        return text[1:] if self.prefix and text[:1] == b" " else text
+
+    def __call__(self, flat: np.ndarray, cuts: np.ndarray):
+        """Texts of flat[cuts[k] : cuts[k + 1]], one after another."""
+        at, last = 0, len(cuts) - 1
+        while at < last:
+            stop = max(at + 1, int(np.searchsorted(cuts, cuts[at] + DECODED, "right")) - 1)
+            if cuts[stop] - cuts[at] > DECODED:  # one long text
+                parts = range(int(cuts[at]), int(cuts[stop]), DECODED)
+                yield self._bare(b"".join(self._spelt(flat[p : min(p + DECODED, int(cuts[stop]))])[0] for p in parts))
+            else:
+                raw, ends = self._spelt(flat[cuts[at] : cuts[stop]])
+                after = np.concatenate([[0], ends])[cuts[at : stop + 1] - cuts[at]].tolist()
+                yield from (self._bare(raw[a:b]) for a, b in zip(after, after[1:]))
+            at = stop
+
+
 def decode(v: Vocabulary, ids: list[np.ndarray]) -> list[bytes]:
-    """UTF-8 text of each array of ids: pieces are copied side by side, and the space put in front is taken off."""
-    size = np.array([len(b) for b in v.bytes_])
-    begin = np.cumsum(size) - size
-    store = np.frombuffer(b"".join(v.bytes_), np.uint8)
-    flat = np.concatenate([np.empty(0, np.int64), *[np.asarray(i, np.int64) for i in ids]])
-    count = size[flat]
-    ends = np.cumsum(count)
-    raw = store[np.arange(int(count.sum())) + np.repeat(begin[flat] - (ends - count), count)].tobytes()
-    after = np.concatenate([[0], ends])[np.cumsum([0, *[len(i) for i in ids]])]
-    texts = [raw[a:b] for a, b in zip(after, after[1:])]
-    return [t[1:] if v.prefix and t[:1] == b" " else t for t in texts]
+    """UTF-8 text of each array of ids."""
+    cuts = np.cumsum([0, *[len(i) for i in ids]])
+    return list(Decoder(v)(np.concatenate([np.empty(0, np.int64), *[np.asarray(i, np.int64) for i in ids]]), cuts))
 
 
 # ---- Spark
@@ -363,39 +396,52 @@ def _text(raw: bytes | None) -> str:
     return (raw or b"").decode("utf-8", "replace")
 
 
-_last: dict[str, Encoder] = {}
+_last: dict[str, tuple[Encoder, Decoder]] = {}
 
 
-def _encoder(sent, name: str) -> Encoder:
-    """The encoder a worker process used last, with the words it knows, or a new one."""
+def _coder(sent, name: str) -> tuple[Encoder, Decoder]:
+    """The coder a worker process used last, with the words it knows, or a new one."""
     if name not in _last:
         _last.clear()
-        _last[name] = Encoder(sent.value)
+        _last[name] = Encoder(sent.value), Decoder(sent.value)
     return _last[name]
 
 
-def add_ids(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
-    """df + array<int> `ids` and, if named, the text `decoded` from them again.
-
-    Null and empty texts have no ids and decode to an empty text. All rows and other
-    columns stay; columns with the new names are replaced. The vocabulary is read once on
-    the driver and sent to the tasks; it does not grow with the data.
+def add_ids(
+    df: DataFrame,
+    model_file: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str | None = None,
+    same: str | None = None,
+) -> DataFrame:
+    """df + array<int> `ids`; if named, the text `decoded` from them and whether it is the `same` text again.
+
+    Null and empty texts have no ids and decode to an empty text, which counts as the
+    same. Equal texts get equal ids; an empty table stays empty; a text of any length is
+    encoded whole, its words in parts. All rows and other columns stay; columns with the
+    new names are replaced. The vocabulary is read once on the driver and sent to the
+    tasks; it does not grow with the data.
     """
     v = load(model_file)
     sent = df.sparkSession.sparkContext.broadcast(v)
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
     fields += [T.StructField(decoded, T.StringType())] if decoded else []
+    fields += [T.StructField(same, T.BooleanType())] if same else []
     name = hashlib.sha256(Path(model_file).read_bytes()).hexdigest()
 
     def compute(texts):
-        encoder = _encoder(sent, name)
-        found = encoder([_text(t) for t in texts.cast(pa.binary()).to_pylist()])
-        flat = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
-        offsets = np.cumsum([0, *[len(f) // 4 for f in found]])
-        columns = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
+        encoder, decoder = _coder(sent, name)
+        raw = texts.cast(pa.binary())
+        found = encoder([_text(t) for t in raw.to_pylist()])
+        cuts = np.cumsum([0, *[len(f) // 4 for f in found]])
+        flat = np.frombuffer(b"".join(found), np.int32)
+        del found
+        columns = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat))]
         if decoded:
-            back = decode(sent.value, np.split(flat, offsets[1:-1]) if found else [])
-            columns.append(pa.array([b.decode("utf-8", "replace") for b in back], pa.string()))
+            columns.append(pa.array([b.decode("utf-8", "replace") for b in decoder(flat, cuts)], pa.string()))
+        if same:
+            columns.append(pa.array([b == (t.as_py() or b"") for b, t in zip(decoder(flat, cuts), raw)], pa.bool_()))
         return columns
 
     return add_columns(df, [text], fields, compute, SLICE)

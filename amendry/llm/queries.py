@@ -131,13 +131,8 @@ def op5_token_files(spark, sf_dir):
 def op9_sentencepiece(spark, sf_dir):
     """Ids of every document, and whether the text decoded from them is the same again."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.add_ids(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded="decoded")
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_ids"),
-        "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
-    )
+    coded = pieces.add_ids(docs, public_tokenizers.path("piece_bpe_32k.model"), same="round_trip")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
 # fixed values: the rules of the URL filter, as host and path

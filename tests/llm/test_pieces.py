@@ -81,6 +81,8 @@ def test_unigram_scores_are_maximal(vocabulary):
 def test_rows_stay_and_names_clash(spark, library):
     rows = [(1, None, "x"), (2, "", "y"), (None, "the text", "z"), (None, "the text", "z"), (3, "long " * 30000, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    flags = pieces.add_ids(df, MODEL, same="TEXT")
+    assert flags.columns == ["doc_id", "ids", "TEXT"] and all(r["TEXT"] for r in flags.collect())
     found = pieces.add_ids(df, MODEL, decoded="text")
     assert found.columns == ["doc_id", "ids", "text"]
     got = sorted(((r["doc_id"], r["ids"], r["text"]) for r in found.collect()), key=str)
@@ -93,3 +95,12 @@ def test_query_on_whole_table(spark, sf, library):
     rows = REGISTRY["op9_sentencepiece"](spark, sf).collect()
     assert len(rows) == len(docs)
     assert all(r["round_trip"] and r["ids"] == library.encode(docs[r["doc_id"]]) and r["n_ids"] == len(r["ids"]) for r in rows)
+
+
+def test_decoding_in_parts(vocabulary, monkeypatch):
+    coded = [np.array(ids(r), np.int64) for r in pieces.Encoder(vocabulary)(texts())]
+    whole = pieces.decode(vocabulary, coded)
+    for held in (1, 7, 100):
+        monkeypatch.setattr(pieces, "DECODED", held)
+        assert pieces.decode(vocabulary, coded) == whole
+    assert pieces.decode(vocabulary, []) == []
