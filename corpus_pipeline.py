@@ -39,9 +39,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Id, token ids and number of tokens of every document left, and whether they decode to its text."""
-    coded = pieces.add_ids(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), decoded="decoded")
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "ids", F.size("ids").alias("n_tokens"), same.alias("round_trip"))
+    coded = pieces.add_ids(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), same="round_trip")
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_tokens"), "round_trip")
 
 
 STAGES = [
