@@ -13,6 +13,7 @@ from amendry.llm import (
     decontaminate,
     embedding_dedup,
     html_extract,
+    merkle,
     pieces,
     quality,
     secret_scan,
@@ -198,3 +199,78 @@ select conv_id, participant, seq, role, name, segment, stop - length(segment) as
        case when role = 'assistant' then stop - length(segment) + length(head) end as train_start,
        case when role = 'assistant' then stop - 11 end as train_stop
 from k"""
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    drawn = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(drawn, lowered).otherwise(F.col("text"))
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = merkle.add_proofs(docs, columns, altered={"text": tampered})
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _crc32_sql(codes: str) -> str:
+    """CRC-32 of a list of bytes, bit by bit."""
+    bits = ", ".join(["0"] * 8)
+    step = f"list_reduce([xor(c, b), {bits}], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    values = ("cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", text)
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + "))"
+
+
+def _tree_sql(name: str, key: str, begin: str) -> str:
+    return f"""
+{name} as (
+    {begin}
+    union all
+    select {key}, lvl + 1, pos // 16, sha256(string_agg(h, '' order by pos)), (n + 15) // 16
+    from {name} where n > 1 group by {key}, lvl, pos // 16, n)"""
+
+
+def _fold_sql(name: str, key: str, tree: str, begin: str) -> str:
+    side = lambda test: f"coalesce(string_agg(t.h, '' order by t.pos) filter (t.pos {test} f.pos), '')"
+    return f"""
+{name} as (
+    {begin}
+    union all
+    select f.d, f.{key}, f.lvl + 1, f.pos // 16, sha256({side('<')} || f.x || {side('>')}), f.proof || {side('<')} || {side('>')}
+    from {name} f join {tree} t on f.{key} is not distinct from t.{key} and f.lvl = t.lvl and f.pos // 16 = t.pos // 16 and t.n > 1
+    group by f.d, f.{key}, f.lvl, f.pos, f.x, f.proof)"""
+
+
+ORACLES["op12_merkle_manifest"] = f"""
+with recursive
+drawn as (
+    select *, {_crc32_sql("list_transform(string_split(cast(doc_id as varchar), ''), lambda d: cast(ascii(d) as bigint))")} % 5 = 0 as low
+    from documents),
+leaves as (
+    select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+           count(*) over (partition by source) as n, row_number() over () as d
+    from (select *, {_leaf_sql("text")} as leaf, {_leaf_sql(
+        "(case when low then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end)"
+    )} as other from drawn)),
+{_tree_sql("tree", "source", "select source, 0 as lvl, pos, leaf as h, n from leaves")},
+subroots as (select source, h as subroot, row_number() over (order by source nulls first) - 1 as pos, count(*) over () as n, 0 as one
+             from tree where n = 1),
+{_tree_sql("top", "one", "select one, 0 as lvl, pos, subroot as h, n from subroots")},
+{_fold_sql("inner_fold", "source", "tree", "select d, source, 0 as lvl, pos, other as x, '' as proof from leaves")},
+grown as (select * from inner_fold qualify row_number() over (partition by d order by lvl desc) = 1),
+{_fold_sql("outer_fold", "one", "top", "select d, one, 0 as lvl, s.pos, x, proof from grown f join subroots s on f.source is not distinct from s.source")},
+done as (select * from outer_fold qualify row_number() over (partition by d order by lvl desc) = 1)
+select doc_id, leaf, subroot, r.h as root, sha256(proof) as proof_sha256, x as folded_root, x = r.h as verified
+from leaves l join done on l.d = done.d join subroots s on l.source is not distinct from s.source,
+     (select h from top where n = 1) r"""
