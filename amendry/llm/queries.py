@@ -18,6 +18,7 @@ from amendry.llm import (
     quality,
     secret_scan,
     simhash,
+    spelling,
     token_files,
     url_filter,
 )
@@ -201,6 +202,12 @@ select conv_id, participant, seq, role, name, segment, stop - length(segment) as
 from k"""
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    found = spelling.variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op12_merkle_manifest(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
