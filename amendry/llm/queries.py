@@ -281,3 +281,37 @@ done as (select * from outer_fold qualify row_number() over (partition by d orde
 select doc_id, leaf, subroot, r.h as root, sha256(proof) as proof_sha256, x as folded_root, x = r.h as verified
 from leaves l join done on l.d = done.d join subroots s on l.source is not distinct from s.source,
      (select h from top where n = 1) r"""
+
+
+_RUN_BYTES = """flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+    lambda c: case when unicode(c) < 128 then [cast(unicode(c) as bigint)] else [cast(195 as bigint), unicode(c) - 64] end))"""
+
+ORACLES["op11_spelling_variants"] = f"""
+with recursive
+runs as (
+    select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as k
+    from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents) group by 1, 2),
+hashed as (select run, k, {_crc32_sql(_RUN_BYTES)} as h from runs),
+kept as (select k, case when h % 97 = 0 then left(run, cast(h % length(run) as int)) || substr(run, cast(h % length(run) as int) + 2)
+                        else run end as word from hashed),
+words as materialized (
+    select word, cast(sum(k) as bigint) as n from kept where length(word) >= 5 group by word having sum(k) >= 3),
+shorter as materialized (select distinct word, left(word, p - 1) || substr(word, p + 1) as less from
+                         (select word, unnest(range(1, length(word) + 1)) as p from words)),
+gaps as materialized (select word, p, left(word, p - 1) as a, substr(word, p + 1) as b from
+                      (select word, unnest(range(1, length(word) + 1)) as p from words)),
+pairs as (
+    select word, less as other from shorter where less in (select word from words)
+    union select less, word from shorter where less in (select word from words)
+    union select x.word, y.word from gaps x join gaps y using (p, a, b) where x.word <> y.word),
+near as (select p.word, other, w.n from pairs p join words w on w.word = p.other),
+best as (select word, count(*) as n_near, first(other order by n desc, other) as form, max(n) as form_n from near group by word),
+forms as materialized (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when form_n >= 2 * w.n then form end as form,
+           case when form_n >= 2 * w.n then form_n end as form_n
+    from words w left join best b on w.word = b.word),
+ways as (
+    select word, word as at, form as next from forms
+    union all
+    select ways.word, next, f.form from ways join forms f on f.word = next)
+select word, f.form, ways.at as root, n, n_near, form_n from forms f join ways using (word) where next is null"""
