@@ -14,6 +14,7 @@ from amendry.llm import (
     embedding_dedup,
     html_extract,
     merkle,
+    personal,
     pieces,
     quality,
     secret_scan,
@@ -283,6 +284,15 @@ from leaves l join done on l.d = done.d join subroots s on l.source is not disti
      (select h from top where n = 1) r"""
 
 
+@query
+def op13_personal_data(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.add_spans(docs, personal.fit(docs))
+    counts = [personal.count_of(F.col("spans"), k).alias(f"n_{name}") for k, name in enumerate(personal.KINDS)]
+    base = F.sha2(personal.listed(F.col("spans"), base=True), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), personal.listed(F.col("spans")).alias("spans"))
+
+
 _RUN_BYTES = """flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
     lambda c: case when unicode(c) < 128 then [cast(unicode(c) as bigint)] else [cast(195 as bigint), unicode(c) - 64] end))"""
 

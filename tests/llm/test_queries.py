@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, con, sf, name):
 
 def test_all_are_registered():
     assert {*REGISTRY, "pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
 
 
 def test_entry_works_without_this_subpackage(tmp_path):
