@@ -205,7 +205,7 @@ def backfill_history(
     untouched = history.filter(F.col("h43tau").isNotNull())
     if limit != ALL:
         work = work or Workspace(history.sparkSession)
-        worklist, later = split_first(worklist, limit, ascending("h43kmv", "h43nli", "h43ggi"), work)
+        worklist, later = split_first(worklist, limit, ascending("h43kmv", "h43nli", "h43ggi"))
         untouched = untouched.unionByName(later)
     context = movement_context(movement, loan, bank)
     resolved = with_rate(guarded_join(worklist, context, [("h43kmv", "madkmv")], "left"), rate, "h43ggi")

@@ -206,7 +206,7 @@ def find_anomalies(
     rest = members.filter("rechercheAno is not null")
     if parse_quantity(limit) is not None:
         work = work or Workspace(members.sparkSession)
-        todo, later = split_first(todo, limit, ascending("kronoAdh", "numObaSR"), work)
+        todo, later = split_first(todo, limit, ascending("kronoAdh", "numObaSR"))
         rest = rest.unionByName(later)
     compared = compared_decisions(todo, latest, decision, pointer, source)
     if work is not None:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from amendry.operators import change, checks, collect, joins, order, rejects
 from amendry.operators.asof import asof_lookup
 from amendry.operators.lookup import checked_lookup
-from amendry.sources.workspace import Workspace
 from tests.conftest import rows
 
 
@@ -121,7 +120,7 @@ def test_split_first_picks_exactly_n(spark, quantity):
     rng = random.Random(11)
     keys = [rng.choice([1, 1, 2, 3, None]) for _ in range(300)]  # many equal rows
     df = spark.createDataFrame([(k,) for k in keys], "k int").repartition(5)
-    first, rest = order.split_first(df, quantity, order.ascending("k"), Workspace(spark))
+    first, rest = order.split_first(df, quantity, order.ascending("k"))
     n = 300 if quantity == "*all" else min(quantity, 300)
     ordered = sorted(keys, key=lambda k: (k is None, k or 0))
     by_rank = lambda frame: sorted((r.k for r in frame.collect()), key=lambda k: (k is None, k or 0))
@@ -142,6 +141,40 @@ def test_the_same_rows_whatever_the_number(spark):
             before = got
 
 
+def test_nth_key_by_counting_passes(spark, monkeypatch):
+    """Few rows are never left at once, so that intervals are narrowed again and again; a third of all rows are copies."""
+    monkeypatch.setattr(order, "FEW", 3)
+    monkeypatch.setattr(order, "SAMPLE", 40)
+    df = spark.range(6000).selectExpr(
+        "if(id % 3 = 0, 7, cast(id % 50 as int)) as k", "if(id % 3 = 0, 'same', if(id % 11 = 0, null, cast(id % 400 as string))) as t"
+    ).repartition(4)
+    plain = [tuple(r) for r in df.collect()]
+    for by, rank in (
+        (order.ascending("k", "t"), lambda r: (r[0], r[1] is None, r[1] or "")),
+        (order.descending("k") + order.ascending("t"), lambda r: (-r[0], r[1] is None, r[1] or "")),
+    ):
+        plain.sort(key=rank)
+        for n in (1, 37, 1200, 2500, 4444, 5999):
+            first, rest = order.split_first(df, n, by)
+            assert [tuple(r) for r in order.sorted_rows(first, by).collect()] == plain[:n]
+            assert sorted((tuple(r) for r in rest.collect()), key=rank) == plain[n:]
+
+
+def test_a_million_first_rows_stage_no_keys(spark, monkeypatch):
+    """The plan of a large N: filters on the table, no window, no limit; the table is only counted before."""
+    from amendry.sources.workspace import Workspace
+
+    monkeypatch.setattr(Workspace, "stage", None)
+    monkeypatch.setattr(order, "FEW", 1 << 16)
+    df = spark.range(0, 1_500_000, 1, 8).selectExpr("pmod(xxhash64(id), 1000) as k", "id as v")
+    first, rest = order.split_first(df, 1_000_000, order.ascending("k"))
+    for part, many in ((first, 1_000_000), (rest, 500_000)):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Window", "TakeOrdered", "Limit", "rangepartitioning"))
+        assert part.count() == many
+    assert first.agg(F.max("k")).first()[0] <= rest.agg(F.min("k")).first()[0]
+
+
 def test_sorted_over_several_ranges(spark):
     df = spark.range(500).selectExpr("if(id % 50 = 0, null, (id * 37) % 101) as v", "id as w").repartition(6)
     for by, down in ((order.ascending("v", "w"), False), (order.descending("v") + order.ascending("w"), True)):
