@@ -6,11 +6,14 @@ over their lists of children, and nodes without a partner are added, so that tho
 layout have a place. Then all pages of the host are aligned with the pivot. Among like siblings, texts that a good share of the
 host's pages hold on the same path say which belong together. A pivot node whose texts
 mostly recur on other aligned pages, in one wording or several, is template for these; a
-varying one is a content slot. Roles that markup states by itself (menus, footers, forms, adverts, comments and so on) are never
+varying one is a content slot. Where few pages bear a node out, its texts must recur on all of
+them, stand before or behind all that varies, and be no longer than what is left. Roles that
+markup states by itself (menus, footers, forms, adverts, comments and so on) are never
 content, and where a page names its article, content lies inside it.
 
-The aligned texts are counted as hashes, summed up before the shuffle; a host is never
-collected. What is joined to the pages is one wrapper per host.
+Pages are parsed once and each distinct tree of a host is aligned once; both are staged. The
+aligned texts are counted as hashes, summed up before the shuffle; a host is never
+collected. What is joined to a page is the list of its own template nodes.
 """
 
 from __future__ import annotations
@@ -32,10 +35,10 @@ from amendry.llm.url_filter import host_of
 from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
 
-PAGES = 8  # distinct pages that must agree on a text inside a named article, or anywhere if the caller names no number
+PAGES = 8  # distinct pages that must agree on a text inside a named article, or anywhere if the caller names no number; fewer are few
 SHARE = 0.9  # of the pages that have a node inside a named article, must hold such texts there
 MOST = 0.5  # of the pages that have any other node, more than this must hold texts that recur there
-ALIGNED = 4096  # alignments of two trees that a task remembers
+ALIGNED = 16 << 20  # letters of trees whose alignments a task remembers
 TOGETHER = 16  # trees of a host that one task merges at a time
 GUIDES = 16  # a text guides alignment if one in so many pages with its path hold it there
 CELLS = 1 << 21  # of a table of two lists of children; longer lists are halved
@@ -71,6 +74,15 @@ ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
 
+# fixed values: words that say where a part stands or what it is made of; with these alone, one of WORDS means the part
+FILLERS = frozenset(
+    "site main page top bottom left right header head primary secondary global container wrapper wrap inner outer block box bar "
+    "section area list item items link links button buttons icon icons form panel row column col content post posts article "
+    "articles entry entries text title module unit slot group media inline sticky fixed mobile desktop".split()
+)
+# fixed values: elements that a page has one of, or few; a form around one is the page's own frame
+FRAMED = frozenset("article main h1 nav footer header".split())
+
 _TAG = re.compile(
     r"""<!--(?:.*?(?:-->|--!>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?][^>]*>|<[!?/][^>]*>""", re.S
 )
@@ -199,8 +211,13 @@ class Page:
             return True
         if tag in MAIN and not {"comment", "reply"} & set(_PIECES.findall(named.get("class", "").lower())):
             return False
-        words = {w.lower() for n in ("class", "id") for w in _PIECES.findall(named.get(n, ""))}
-        return not words.isdisjoint(WORDS)
+        return any(self._says_so(token) for n in ("class", "id") for token in named.get(n, "").lower().split())
+
+    @staticmethod
+    def _says_so(token: str) -> bool:
+        """Whether a class or id as a whole names a part that is never the article; `share-price` does not."""
+        words = {w for w in _PIECES.findall(token) if not w.isdigit()}
+        return not words.isdisjoint(WORDS) and words <= WORDS | FILLERS
 
     def _add(self, parent: int, tag: str, raw: str) -> int:
         named = self._attributes(raw) if raw else {}
@@ -232,33 +249,35 @@ class Page:
 
     # ---- content
 
-    def content(self, template: set[int], outside: set[int] = frozenset()) -> str:
-        """Blocks of the article that are in no template node, joined by line ends.
-
-        Nodes of `outside` are template where the page does not name them article.
-        """
+    def lines(self) -> list[tuple[int, bool, str]]:
+        """Blocks that may be the article's, as (node, whether the page names them article, text)."""
         n = len(self.parent)
         holds = [t in MAIN for t in self.tag]
+        frame = [t in FRAMED for t in self.tag]
         for k in range(n - 1, 0, -1):
             if holds[k] and not (self.tag[k] in MAIN and self.barred[k]):
                 holds[self.parent[k]] = True
+            if frame[k] or self.tag[k] == "form" and holds[k]:
+                frame[self.parent[k]] = True
         out, inside, header = [False] * n, [""] * n, [False] * n
         # a header around the article is a container; one inside keeps its headings; any other is furniture
         for k in range(1, n):
             p = self.parent[k]
-            never = self.barred[k] and not (holds[k] and self.tag[k] not in MAIN and self.tag[k] not in NEVER)
-            out[k] = out[p] or never
+            if self.tag[k] == "form":
+                around = frame[k]
+            else:
+                around = holds[k] and self.tag[k] not in MAIN and self.tag[k] not in NEVER
+            out[k] = out[p] or (self.barred[k] and not around)
             inside[k] = self.tag[k] if self.tag[k] in MAIN else inside[p]
             header[k] = header[p] or (self.header[k] and not holds[k])
             if header[k] and not inside[k]:
                 out[k] = True
-        usable = [(k, line) for k, line in self.blocks if not out[k] and k not in template and (inside[k] or k not in outside)]
+        usable = [(k, line) for k, line in self.blocks if not out[k]]
         for part in ("article", "main"):
-            named = [(k, line) for k, line in usable if inside[k] == part or (part == "main" and inside[k])]
             if any(t == part and not o for t, o in zip(self.tag, out)):
-                usable = named
+                usable = [(k, line) for k, line in usable if inside[k] == part or (part == "main" and inside[k])]
                 break
-        return "\n".join(line for k, line in usable if not header[k] or self._in_heading(k))
+        return [(k, bool(inside[k]), line) for k, line in usable if not header[k] or self._in_heading(k)]
 
     def _in_heading(self, k: int) -> bool:
         while k > 0:
@@ -268,6 +287,26 @@ class Page:
         return False
 
 
+def kept(lines: list[tuple[int, bool, str]], certain: set[int], template: set[int], few: set[int]) -> list[str]:
+    """The texts left when template nodes go: `certain` ones anywhere, others where the page does not name its article.
+
+    Those of `few`, which few pages bear out, go only before or behind all that is left, and
+    only if none is longer than all of it.
+    """
+    stay, doubtful = [], []
+    for at, (node, inside, line) in enumerate(lines):
+        if node in certain or (node in template and not inside):
+            continue
+        (doubtful if node in few and not inside else stay).append((at, line))
+    if doubtful:
+        first, last = (stay[0][0], stay[-1][0]) if stay else (0, len(lines))
+        taken = [line for at, line in doubtful if not first < at < last]
+        doubtful = [(at, line) for at, line in doubtful if first < at < last]
+        if max(map(len, taken), default=0) > sum(len(line) for _, line in stay + doubtful):
+            return [line for node, inside, line in lines if node not in certain and (inside or node not in template)]
+    return [line for _, line in sorted(stay + doubtful)]
+
+
 # ---- simple tree matching
 
 
@@ -447,16 +486,19 @@ class _Kept:
 
 
 class _Aligner:
+    """Alignments with pivots; the last ones are remembered, in at most about ALIGNED letters of trees."""
+
     def __init__(self):
         self.known: OrderedDict[tuple[str, str], dict[int, int]] = OrderedDict()
-        self.read = _Kept(_read_tree)
+        self.read, self.held = _Kept(_read_tree, 8), 0
 
-    def __call__(self, a: str, b: str) -> dict[int, int]:
-        key = (a, b)
+    def __call__(self, host: str, tree: str, pivot: str) -> dict[int, int]:
+        key = (host, tree)
         if key not in self.known:
-            if len(self.known) >= ALIGNED:
-                self.known.popitem(last=False)
-            self.known[key] = _align(_read_tree(a), self.read(b))
+            self.held += len(tree)
+            while self.known and self.held > ALIGNED:
+                self.held -= len(self.known.popitem(last=False)[0][1])
+            self.known[key] = _align(_read_tree(tree), self.read(pivot))
         return self.known[key]
 
 
@@ -467,13 +509,30 @@ def _text(raw: bytes | None) -> str:
     return (raw or b"").decode("utf-8", "replace")
 
 
-def _skeletons(pages):
-    trees, hashes = [], []
-    for raw in pages.cast(pa.binary()).to_pylist():
-        page = Page(_text(raw))
+PARSED = T.StructType(
+    [
+        T.StructField("shape", T.StringType()),
+        T.StructField("tree", T.StringType()),
+        T.StructField("hashes", T.ArrayType(T.LongType())),
+        T.StructField("nodes", T.ArrayType(T.IntegerType())),
+        T.StructField("inside", T.ArrayType(T.BooleanType())),
+        T.StructField("lines", T.ArrayType(T.StringType())),
+    ]
+)
+
+
+def _parsed(pages) -> list[pa.Array]:
+    """A page's shape (hash of tree and texts), tree, hashes of texts by node, and lines; a null page has no shape."""
+    shapes, trees, hashes, found = [], [], [], []
+    for raw in pages.cast(pa.binary()):
+        page = Page(_text(raw.as_py()))
         trees.append(page.tree())
         hashes.append(page.hashes())
-    return [pa.array(trees), pa.array(hashes, pa.list_(pa.int64()))]
+        shape = xxhash.xxh3_128_hexdigest(trees[-1].encode() + b"\0" + hashes[-1].tobytes())
+        shapes.append(shape if raw.is_valid else None)
+        found.append(page.lines())
+    lists = [pa.array([[x[k] for x in own] for own in found], pa.list_(t)) for k, t in enumerate((pa.int32(), pa.bool_(), pa.string()))]
+    return [pa.array(shapes, pa.string()), pa.array(trees, pa.string()), pa.array(hashes, pa.list_(pa.int64())), *lists]
 
 
 def _paths(tree: str) -> list[int]:
@@ -533,33 +592,31 @@ def _guided(tree: str, hashes, guides: dict[int, frozenset[int]]) -> tuple[str,
 
 
 def _guided_pages(batches):
-    read = _Kept(_read_guides)
+    read = _Kept(_read_guides, 8)
     for batch in batches:
-        hosts, trees, texts = [], [], []
-        for host, tree, hashes, guides in zip(*[batch.column(c).to_pylist() for c in ("host", "tree", "hashes", "guides")]):
-            labelled, kept = _guided(tree, hashes, read(guides))
-            hosts.append(host)
+        trees, texts, places = [], [], []
+        for tree, hashes, guides in zip(*[batch.column(c).to_pylist() for c in ("tree", "hashes", "guides")]):
+            labelled, own = _guided(tree, hashes, read(guides))
             trees.append(labelled)
-            texts.append([hashes[k] for k in kept])
+            texts.append([hashes[k] for k in own])
+            places.append(own)
+        columns = [pa.array(trees, pa.string()), pa.array(texts, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(trees, pa.string()), pa.array(texts, pa.list_(pa.int64()))],
-            names=["host", "tree", "hashes"],
+            [batch.column("host"), batch.column("shape"), *columns], names=["host", "shape", "tree", "hashes", "places"]
         )
 
 
-def _aligned_texts(batches):
+def _aligned(batches):
     aligner = _Aligner()
     for batch in batches:
-        hosts, nodes, seen = [], [], []
-        columns = [batch.column(c).to_pylist() for c in ("host", "tree", "hashes", "pivot")]
-        for host, tree, hashes, pivot in zip(*columns):
-            for a, b in aligner(tree, pivot).items():
-                if hashes[a]:
-                    hosts.append(host)
-                    nodes.append(b)
-                    seen.append(hashes[a])
+        found = []
+        columns = [batch.column(c).to_pylist() for c in ("host", "tree", "hashes", "places", "pivot")]
+        for host, tree, hashes, places, pivot in zip(*columns):
+            found.append([(places[a], b, hashes[a]) for a, b in aligner(host, tree, pivot).items() if hashes[a]])
+        types = (pa.int32(), pa.int32(), pa.int64())
+        lists = [pa.array([[x[k] for x in own] for own in found], pa.list_(t)) for k, t in enumerate(types)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(nodes, pa.int32()), pa.array(seen, pa.int64())], names=["host", "node", "hash"]
+            [batch.column("host"), batch.column("shape"), *lists], names=["host", "shape", "place", "node", "hash"]
         )
 
 
@@ -585,25 +642,39 @@ def _pivots(pages: DataFrame, work: Workspace) -> DataFrame:
         dealt = guarded_join(trees, counts, [("host", "host")], "inner")
         part = F.pmod(F.xxhash64("tree"), F.ceil(F.col("count") / TOGETHER))
         groups = dealt.groupBy("host", part.alias("part")).agg(F.collect_list("tree").alias("trees"))
-        trees = work.stage(groups.select("host", "trees").mapInArrow(_merge_all, "host string, tree string").distinct(), f"trees_{turn}")
+        # few bytes and much work: dealt out by number, or adaptive execution would put all into one task
+        rows = counts.agg(F.sum(F.ceil(F.col("count") / TOGETHER))).first()[0]
+        groups = groups.select("host", "trees").repartition(_width(counts.sparkSession, int(rows), 1))
+        trees = work.stage(groups.mapInArrow(_merge_all, "host string, tree string").distinct(), f"trees_{turn}")
+
 
+def _width(spark, rows: int, each: int) -> int:
+    """Tasks for so many rows of work: several for each core, and more where a task would have more than `each` rows' worth."""
+    return max(1, min(-(-rows // each), 4 * spark.sparkContext.defaultParallelism + rows // (64 * each)))
 
-def wrappers(skeletons: DataFrame, least: int = PAGES) -> DataFrame:
-    """(host, guides, pivot, fixed, firm): how to align a page of the host, and the texts of the pivot's template nodes.
 
-    From distinct (host, tree, hashes). A text recurs if `least` distinct pages hold it in the
-    same node. A node is template if more than MOST of the pages that have it hold recurring
-    texts, one or several; in other nodes a text met again is content, as in near copies of
-    an article. Another node must not be template and have `least` different texts. Those of
-    `fixed` that PAGES pages hold, in a node of which a SHARE do so, are also in `firm`.
+def template_nodes(skeletons: DataFrame, least: int, work: Workspace) -> DataFrame:
+    """(host, shape, certain, template, few): template nodes of the distinct pages that have any.
+
+    From staged rows (host, shape, tree, hashes), one for each shape. A text recurs if
+    `least` distinct pages hold it in the same node of the pivot. A node is template if more
+    than MOST of the pages that have it hold recurring texts, one or several, or all of them
+    where they are fewer than PAGES; in other nodes a text met again is content, as in near
+    copies of an article. Another node must not be template and have `least` different texts.
+    Nodes of fewer than PAGES pages are in `few`. Texts that PAGES pages hold, in a node of
+    which a SHARE do so, are in `certain`.
     """
-    work = Workspace(skeletons.sparkSession)
+    spark, rows = skeletons.sparkSession, skeletons.count()
     guides = work.stage(_guides(skeletons), "guides")
-    pages = guarded_join(skeletons, guides, [("host", "host")], "inner").select("host", "tree", "hashes", "guides")
-    pages = work.stage(pages.mapInArrow(_guided_pages, "host string, tree string, hashes array<bigint>"), "guided")
+    dealt = skeletons.repartition(_width(spark, rows, 64), "host", "shape")
+    pages = guarded_join(dealt, guides, [("host", "host")], "inner").select("host", "shape", "tree", "hashes", "guides")
+    schema = "host string, shape string, tree string, hashes array<bigint>, places array<int>"
+    pages = work.stage(pages.mapInArrow(_guided_pages, schema), "guided")
     pivots = _pivots(pages, work)
-    together = guarded_join(pages, pivots, [("host", "host")], "inner").select("host", "tree", "hashes", "pivot")
-    texts = together.mapInArrow(_aligned_texts, "host string, node int, hash bigint")
+    together = guarded_join(pages, pivots, [("host", "host")], "inner").select("host", "shape", "tree", "hashes", "places", "pivot")
+    schema = "host string, shape string, place array<int>, node array<int>, hash array<bigint>"
+    aligned = work.stage(together.mapInArrow(_aligned, schema), "aligned")
+    texts = aligned.select("host", "shape", F.explode(F.arrays_zip("place", "node", "hash")).alias("t")).select("host", "shape", "t.*")
     kinds = work.stage(texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n")), "kinds")
     again, often = F.col("n") >= least, F.col("n") >= PAGES
     slots = kinds.groupBy("host", "node").agg(
@@ -612,55 +683,51 @@ def wrappers(skeletons: DataFrame, least: int = PAGES) -> DataFrame:
         F.sum("n").alias("n"),
         F.count("*").alias("kinds"),
     )
-    slots = slots.withColumns({"same": F.col("again") > MOST * F.col("n"), "strong": F.col("often") >= SHARE * F.col("n")})
+    many = F.col("n") >= PAGES
+    same = (F.col("again") > MOST * F.col("n")) & (many | (F.col("again") == F.col("n")))
+    slots = slots.withColumns({"same": same, "strong": F.col("often") >= SHARE * F.col("n"), "few": ~many})
     varied = slots.groupBy("host").agg(F.max(F.when(~F.col("same"), F.col("kinds"))).alias("varied")).filter(F.col("varied") >= least)
-    same = guarded_join(slots.filter("same").select("host", "node", "strong"), varied, [("host", "host")], "inner")
-    found = guarded_join(kinds.filter(again), same, [("host", "host"), ("node", "node")], "inner")
+    slots = guarded_join(slots.filter("same").select("host", "node", "strong", "few"), varied, [("host", "host")], "inner")
+    found = guarded_join(kinds.filter(again), slots, [("host", "host"), ("node", "node")], "inner")
     firm = often & F.col("strong") & (F.col("varied") >= PAGES)
-    listed = lambda texts: F.array_join(F.array_sort(F.collect_list(texts)), ",")
-    text = F.col("hash").cast("string")
-    found = found.groupBy("host", "node").agg(listed(text).alias("fixed"), listed(F.when(firm, text)).alias("firm"))
-    lines = lambda texts: F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", F.col("node").cast("string"), texts))), "\n")
-    found = found.groupBy("host").agg(lines("fixed").alias("fixed"), lines("firm").alias("firm"))
-    known = guarded_join(pivots, found, [("host", "host")], "inner").select("host", "pivot", "fixed", "firm")
-    return guarded_join(guides, known, [("host", "host")], "inner").select("host", "guides", "pivot", "fixed", "firm")
+    found = work.stage(found.select("host", "node", "hash", "few", firm.alias("firm")), "template")
+    hits = guarded_join(texts, found, [("host", "host"), ("node", "node"), ("hash", "hash")], "inner")
+    nodes = lambda test: F.collect_list(F.when(test, F.col("place")))
+    few, firm = F.col("few"), F.col("firm")
+    return hits.groupBy("host", "shape").agg(
+        nodes(firm).alias("certain"), nodes(~firm & ~few).alias("template"), nodes(~firm & few).alias("few")
+    )
 
 
-def add_text(df: DataFrame, url: str = "url", page: str = "html", name: str = "text", least: int = PAGES) -> DataFrame:
+def add_text(
+    df: DataFrame, url: str = "url", page: str = "html", name: str = "text", least: int = PAGES, keep_page: bool = True
+) -> DataFrame:
     """df + string `name`: the main text of every page, empty if there is none.
 
     Blocks are joined in page order by one line end; white space inside a block becomes one
     space. A null page is an empty one; pages without a host share the empty host. Copies
     of a page count once in its host's wrapper, which takes a text for template if at least
     `least` distinct pages hold it. A column of df named `name` is replaced;
-    all rows and other columns stay. Pages are read whole.
+    all rows and other columns stay, but for the page itself unless it is kept. Pages are
+    read whole, and an empty table gives an empty result.
     """
     work = Workspace(df.sparkSession)
-    hosted = df.select(host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{page}`").alias("_page")).filter("_page is not null")
-    fields = [T.StructField("tree", T.StringType()), T.StructField("hashes", T.ArrayType(T.LongType()))]
-    shapes = add_columns(hosted, ["_page"], fields, _skeletons).select("host", "tree", "hashes")
-    shapes = work.stage(shapes.distinct(), "shapes")
-    known = work.stage(wrappers(shapes, least), "wrappers")
-    rows = df.select(F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in df.columns]).alias("_row"), host_of(F.col(f"`{url}`")).alias("host"))
-    joined = guarded_join(rows, known, [("host", "host")], "left").withColumn("_page", F.col("_row").getField(page))
-    state = {}
-
-    def compute(pages, guides, pivots, fixed, firm):
-        if not state:
-            state.update(align=_Aligner(), read=_Kept(_read_guides, 256))
+    gone = {name.lower()} | (set() if keep_page else {page.lower()})
+    left = [c for c in df.columns if c.lower() not in gone]
+    row = F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in left]).alias("_row")
+    rows = df.select(row, host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{page}`").alias("_page"))
+    pages = work.stage(add_columns(rows, ["_page"], list(PARSED), _parsed).drop("_page"), "pages")
+    skeletons = pages.filter("shape is not null").groupBy("host", "shape").agg(F.first("tree").alias("tree"), F.first("hashes").alias("hashes"))
+    known = work.stage(template_nodes(work.stage(skeletons, "shapes"), least, work), "known")
+    joined = pages.select("_row", "host", "shape", "nodes", "inside", "lines")
+    joined = guarded_join(joined, known, [("host", "host"), ("shape", "shape")], "left")
+
+    def compute(nodes, inside, lines, certain, template, few):
         out = []
-        columns = pages.cast(pa.binary()).to_pylist(), guides.to_pylist(), pivots.to_pylist(), fixed.to_pylist(), firm.to_pylist()
-        for raw, paths, pivot, texts, sure in zip(*columns):
-            parsed, template, certain = Page(_text(raw)), set(), set()
-            if texts:
-                known, surely, seen = state["read"](texts), state["read"](sure), parsed.hashes().tolist()
-                tree, places = _guided(parsed.tree(), seen, state["read"](paths))
-                for a, b in state["align"](tree, pivot).items():
-                    if seen[places[a]] in known.get(b, ()):
-                        (certain if seen[places[a]] in surely[b] else template).add(places[a])
-            out.append(parsed.content(certain, template))
+        for n, i, texts, *sets in zip(*[x.to_pylist() for x in (nodes, inside, lines, certain, template, few)]):
+            out.append("\n".join(texts if sets[0] is None else kept(list(zip(n, i, texts)), *map(set, sets))))
         return [pa.array(out, pa.string())]
 
-    found = add_columns(joined, ["_page", "guides", "pivot", "fixed", "firm"], [T.StructField("_text", T.StringType())], compute)
-    kept = [c for c in df.columns if c.lower() != name.lower()]
-    return found.select(*[F.col(f"_row.`{c}`") for c in kept], F.col("_text").alias(name))
+    using = ["nodes", "inside", "lines", "certain", "template", "few"]
+    found = add_columns(joined, using, [T.StructField("_text", T.StringType())], compute)
+    return found.select(*[F.col(f"_row.`{c}`") for c in left], F.col("_text").alias(name))

@@ -177,7 +177,7 @@ def op2_embedding_near_dedup(spark, sf_dir):
 @query
 def op1_html_extraction(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    found = html_extract.add_text(pages, "url", "html", "text", least=2)
+    found = html_extract.add_text(pages, "url", "html", "text", least=2, keep_page=False)
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
