@@ -86,6 +86,11 @@ class JobResult:
         """The whole table after the job."""
         return self.untouched.unionByName(self.updated().select(*self.columns))
 
+    @cached_property
+    def changed(self) -> DataFrame:
+        """Keys of the rows that the job changes."""
+        return self.resolved.filter(F.col("status") == OK).select(self.key)
+
     @cached_property
     def rejects(self) -> DataFrame:
         return rejects(self.resolved, self.step, self.key, self.reasons)
@@ -117,6 +122,11 @@ class PriorityBackfill(JobResult):
         # tiers of other loans are among these rows; having no context, they keep their NULL
         return change.fill_null(self.looked, "pactau", F.col("tau"))
 
+    @cached_property
+    def open_loans(self) -> DataFrame:
+        """Loans of the worklist that were still to do."""
+        return self.priority.filter(F.col("traite") == "N").select("idpret")
+
     @cached_property
     def worklist(self) -> DataFrame:
         """The worklist with handled loans flagged O."""

@@ -181,10 +181,10 @@ def update_status(members: DataFrame, step: str, as_of: datetime | None = None)
 
 
 class AnomalySearch:
-    """Members with lists and status, and the decisions that were not found, built on first use."""
+    """Members with lists and status, those searched, and the decisions that were not found, built on first use."""
 
-    def __init__(self, members: DataFrame, compared: DataFrame):
-        self.members, self.compared = members, compared
+    def __init__(self, members: DataFrame, compared: DataFrame, todo: DataFrame):
+        self.members, self.compared, self.todo = members, compared, todo
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -220,7 +220,7 @@ def find_anomalies(
     lists = fixed_lists(compared.filter(TO_LIST), ["gdekro", "_ob"], items, order, LIST_WIDTH)
     details = member_flags(compared).join(lists, ["gdekro", "_ob"], "left")
     searched = update_status(beside(todo, details), FIND_STEP)
-    return AnomalySearch(rest.unionByName(searched), compared)
+    return AnomalySearch(rest.unionByName(searched), compared, todo)
 
 
 def exclusion_codes(exclusion: DataFrame) -> DataFrame:
@@ -244,8 +244,8 @@ def decision_changes(compared: DataFrame, exclusion: DataFrame) -> DataFrame:
 class Correction:
     """The corrected decisions, the members with their status, and what could not be corrected."""
 
-    def __init__(self, decisions: DataFrame, members: DataFrame, compared: DataFrame, merged: DataFrame):
-        self.decisions, self.members, self.compared, self.merged = decisions, members, compared, merged
+    def __init__(self, decisions: DataFrame, members: DataFrame, compared: DataFrame, merged: DataFrame, todo: DataFrame):
+        self.decisions, self.members, self.compared, self.merged, self.todo = decisions, members, compared, merged, todo
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -292,4 +292,4 @@ def correct_anomalies(
     corrected = change.update_keyed(decision, changes, keys, CHANGED)
     flags = member_flags(compared).join(corrected_flags(changes, merged), ["gdekro", "_ob"], "left")
     done = update_status(beside(todo, flags), CORRECT_STEP, as_of)
-    return Correction(corrected, rest.unionByName(done), compared, merged)
+    return Correction(corrected, rest.unionByName(done), compared, merged, todo)

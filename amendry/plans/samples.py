@@ -34,10 +34,18 @@ def youngest(employee: DataFrame, n: int | str) -> DataFrame:
     return first_rows(employee, n, descending("birthdate") + ascending("empno"))
 
 
+def chosen_wages(employee: DataFrame, wage: DataFrame, n: int | str) -> DataFrame:
+    """Wage rows of the first n employees."""
+    return having_match(wage, youngest(employee, n).select("empno"), [("empno", "empno")])
+
+
+def with_salary(employee: DataFrame, chosen: DataFrame) -> DataFrame:
+    return update_from_table(employee, chosen, [("empno", "empno")], "salary", "salary")
+
+
 def sync_salary(employee: DataFrame, wage: DataFrame, n: int | str) -> DataFrame:
     """Give the first n employees the salary of their wage row, if they have exactly one."""
-    chosen = having_match(wage, youngest(employee, n).select("empno"), [("empno", "empno")])
-    return update_from_table(employee, chosen, [("empno", "empno")], "salary", "salary")
+    return with_salary(employee, chosen_wages(employee, wage, n))
 
 
 def premium_context(history: DataFrame, movement: DataFrame, loan: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from amendry.operators.asof import asof_lookup
 from amendry.operators.lookup import checked_lookup, one_per_key
 from amendry.plans import premium, reconcile, samples
 from amendry.sources import schema, sinks
-from amendry.sources.publish import publish, published
+from amendry.sources.publish import folders, publish, published
 from amendry.sources.views import Views
 from amendry.sources.workspace import Workspace
 
@@ -76,9 +76,10 @@ def insert_values(v):
 
 @query
 def reject_log(v):
-    work = Workspace(v.spark)
-    sinks.write_log(_history_job(v).rejects, work.path("log"), LOG_DAY)
-    return sinks.read_log(v.spark, work.path("log"), LOG_DAY)
+    """What the backfill logged, read back by day from the log it published."""
+    root = Workspace(v.spark).path("published")
+    publish(v.spark, root, {}, {}, {"log": sinks.dated(_history_job(v).rejects, LOG_DAY)})
+    return sinks.read_log(v.spark, root, LOG_DAY)
 
 
 @query
@@ -393,13 +394,15 @@ def touch_changed(v):
 
 @query
 def publish_atomic(v):
-    """Tiers and worklist published together after a row-count check, then read back."""
-    job = _priority_job(v, Workspace(v.spark))
+    """Tiers and worklist published, changed by a job in the partitions it touches, checked together and read back."""
     root = Workspace(v.spark).path("published")
-    size = v.tier().count()
-    complete = {"tier rows kept": lambda written: written["tier"].count() == size}
-    publish(v.spark, root, {"tier": job.table, "priority": job.worklist}, complete)
-    return published(v.spark, root, "tier").select("packro", "pacggi", "pactau")
+    base = publish(v.spark, root, {"adh1pacpf": v.tier(), "pretprioritaire": v.priority()}, {})
+    job = _priority_job(v, Workspace(v.spark))
+    sizes = {t: sum(f.rows for f in folders(v.spark, root, t)) for t in ("adh1pacpf", "pretprioritaire")}
+    tables = {"adh1pacpf": job.table, "pretprioritaire": job.worklist}
+    changed = {"adh1pacpf": job.changed, "pretprioritaire": job.open_loans}
+    publish(v.spark, root, tables, {}, changed=changed, rows=sizes, base=base)
+    return published(v.spark, root, "adh1pacpf").select("packro", "pacggi", "pactau")
 
 
 @query

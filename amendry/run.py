@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from amendry.operators.order import ALL
 from amendry.plans import premium, reconcile, samples
-from amendry.sources.publish import publish, published
+from amendry.sources.publish import folders, latest_version, publish, published
 from amendry.sources.sinks import archive_rows, dated
 from amendry.sources.workspace import Workspace
 
@@ -47,9 +47,10 @@ class Run:
         self.quantity, self.company, self.day = quantity, company, day
         self.as_of = as_of or datetime.now()
         self.work = Workspace(spark)
+        self.base = latest_version(spark, root)  # what the run reads, and what no other run may replace meanwhile
 
     def table(self, name: str) -> DataFrame:
-        found = published(self.spark, self.root, name)
+        found = published(self.spark, self.root, name, self.base)
         if found is None:
             raise ValueError(f"no published table {name}")
         return found
@@ -60,43 +61,41 @@ class Run:
     def publish(
         self,
         tables: dict[str, DataFrame],
-        sizes: dict[str, int],
+        sizes: dict[str, int] | None = None,
         log: DataFrame | None = None,
         added: dict[str, DataFrame] | None = None,
+        **options: dict,
     ) -> int:
         """Publish tables, log and archive together, provided that the tables have as many rows as they should."""
-        checks = {
-            f"{name} has {size} rows": lambda written, name=name, size=size: written[name].count() == size
-            for name, size in sizes.items()
-        }
         added = dict(added or {})
         if log is not None:
             added["log"] = dated(log, self.as_of.date())
-        return publish(self.spark, self.root, tables, checks, added)
+        return publish(self.spark, self.root, tables, {}, added, rows=sizes, base=self.base, **options)
 
     def sizes(self, *names: str) -> dict[str, int]:
-        """Updated tables keep their number of rows."""
-        return {name: self.table(name).count() for name in names}
+        """Updated tables keep their number of rows, which the published version tells."""
+        return {name: sum(f.rows for f in folders(self.spark, self.root, name, self.base)) for name in names}
 
-    def finish(self, job: premium.JobResult, tables: dict[str, DataFrame]) -> int:
-        return self.publish(tables, self.sizes(*tables), job.rejects.unionByName(job.end))
+    def finish(self, job: premium.JobResult, tables: dict[str, DataFrame], changed: dict[str, DataFrame]) -> int:
+        return self.publish(tables, self.sizes(*tables), job.rejects.unionByName(job.end), changed=changed)
 
     # ---- premium jobs
 
     def backfill_history(self) -> int:
         inputs = self.tables("adh1h43pf", "p0amadpf", "t4pprtpf", "p1abqepf", "t4ptaxpf")
         job = premium.backfill_history(*inputs, limit=self.quantity, work=self.work)
-        return self.finish(job, {"adh1h43pf": job.table})
+        return self.finish(job, {"adh1h43pf": job.table}, {"adh1h43pf": job.changed})
 
     def backfill_priority(self) -> int:
         inputs = self.tables("adh1pacpf", "pretprioritaire", "t4pprtpf", "p1abqepf", "t4ptaxpf")
         job = premium.backfill_priority(*inputs, work=self.work)
-        return self.finish(job, {"adh1pacpf": job.table, "pretprioritaire": job.worklist})
+        tables = {"adh1pacpf": job.table, "pretprioritaire": job.worklist}
+        return self.finish(job, tables, {"adh1pacpf": job.changed, "pretprioritaire": job.open_loans})
 
     def split_net_tax(self) -> int:
         inputs = self.tables("adh1pacpf", "t4pprtpf", "p1abqepf", "t4ptaxpf")
         job = premium.split_net_tax(*inputs, work=self.work)
-        return self.finish(job, {"adh1pacpf": job.table})
+        return self.finish(job, {"adh1pacpf": job.table}, {"adh1pacpf": job.changed})
 
     # ---- reconciliation, one step per run
 
@@ -117,13 +116,14 @@ class Run:
         members = self.work.stage(reconcile.list_members(member, reference, decision, company), "members")
         latest = reconcile.latest_decisions(members, decision)
         listed = members.select("kronoAdh").distinct().count()
-        return self.publish({"adhgde2": members, "egdederdec": latest}, {"egdederdec": listed, "adhgde2": members.count()})
+        return self.publish({"adhgde2": members, "egdederdec": latest}, {"egdederdec": listed}, unique={"egdederdec": ["derkroAdh"]})
 
     def find_anomalies(self) -> int:
         self.check_parameters("find_anomalies")
         inputs = self.tables("adhgde2", "egdederdec", "p0egdepf", "sri1ddopf", "p0mdecpf")
         search = reconcile.find_anomalies(*inputs, limit=self.quantity, work=self.work)
-        return self.publish({"adhgde2": search.members}, self.sizes("adhgde2"), search.rejects)
+        changed = {"adhgde2": search.todo.select("kronoAdh")}
+        return self.publish({"adhgde2": search.members}, self.sizes("adhgde2"), search.rejects, changed=changed)
 
     def correct_anomalies(self) -> int:
         company = self.check_parameters("correct_anomalies")
@@ -131,7 +131,8 @@ class Run:
         done = reconcile.correct_anomalies(*inputs, company=company, as_of=self.as_of, work=self.work)
         members = self.work.stage(done.members, "members")
         tables = {"p0egdepf": done.decisions, "adhgde2": members}
-        return self.publish(tables, self.sizes(*tables), done.rejects, {"adhgde2sav": archive_rows(members)})
+        changed = {"p0egdepf": done.merged.filter("not _conflict").select("gdekro"), "adhgde2": done.todo.select("kronoAdh")}
+        return self.publish(tables, self.sizes(*tables), done.rejects, {"adhgde2sav": archive_rows(members)}, changed=changed)
 
     # ---- smaller jobs
 
@@ -139,17 +140,17 @@ class Run:
         if self.day is None:
             raise InvalidParameter("open_letters needs the day of the letters")
         letters = samples.open_letters(*self.tables("t4pcorpf", "adh1csupf", "t4pprtpf"), self.day)
-        letters = self.work.stage(letters, "open_letters")
-        return self.publish({"open_letters": letters}, {"open_letters": letters.count()})
+        return self.publish({"open_letters": letters})
 
     def sync_salary(self) -> int:
-        employee = samples.sync_salary(*self.tables("employee", "wage"), self.quantity)
-        return self.publish({"employee": employee}, self.sizes("employee"))
+        employee, wage = self.tables("employee", "wage")
+        chosen = self.work.stage(samples.chosen_wages(employee, wage, self.quantity), "chosen")
+        synced = samples.with_salary(employee, chosen)
+        return self.publish({"employee": synced}, self.sizes("employee"), changed={"employee": chosen.select("empno")})
 
     def premium_report(self) -> int:
         lines = samples.premium_report(*self.tables("adh1h43pf", "p0amadpf", "t4pprtpf"))
-        lines = self.work.stage(lines, "premium_report")
-        return self.publish({"premium_report": lines}, {"premium_report": lines.count()})
+        return self.publish({"premium_report": lines})
 
 
 JOBS = [

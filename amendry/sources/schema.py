@@ -73,6 +73,18 @@ TABLES = {
     "log": "log_date date, step string, code string, kind string, level string, key bigint, message string, rc int",
 }
 
+# Published tables that are kept in partitions: by spans of a key, or by a day.
+SPAN = 1 << 20
+SPANS = {
+    "adh1h43pf": ("h43kmv", SPAN),
+    "adh1pacpf": ("packro", SPAN),
+    "pretprioritaire": ("idpret", SPAN),
+    "adhgde2": ("kronoAdh", SPAN),
+    "p0egdepf": ("gdekro", SPAN),
+    "employee": ("empno", SPAN),
+}
+DAYS = {"log": "log_date"}
+
 PROFILE_WIDTH = 10  # fixed value: CHAR(10)
 
 
@@ -105,6 +117,11 @@ def struct_of(table: str) -> T.StructType:
     return struct(table) if table in LAYOUTS else T.StructType.fromDDL(TABLES[table])
 
 
+def required(table: str) -> list[str]:
+    """Columns that must not be NULL."""
+    return [short for short, _, _, needed, _ in LAYOUTS.get(table, []) if needed]
+
+
 def declared(df: DataFrame, table: str) -> DataFrame:
     """df with the columns and types of the table's layout, if it has one; other columns are refused."""
     if table not in LAYOUTS and table not in TABLES:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from amendry.functions.dates import on_day
 from amendry.operators.order import descending, sorted_rows
 from amendry.operators.rejects import COLUMNS
+from amendry.sources.publish import published
 
 
 def shaped(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -47,14 +48,10 @@ def dated(rejects: DataFrame, day: date) -> DataFrame:
     return rejects.select(F.lit(day).alias("log_date"), *COLUMNS)
 
 
-def write_log(rejects: DataFrame, path: str, day: date) -> None:
-    """Append rejects to the log, partitioned by day."""
-    dated(rejects, day).write.mode("append").partitionBy("log_date").parquet(path)
-
-
-def read_log(spark: SparkSession, path: str, day: date) -> DataFrame:
-    """Rejects logged on one day; the other partitions are not read."""
-    return spark.read.parquet(path).filter(F.col("log_date") == F.lit(day)).select(*COLUMNS)
+def read_log(spark: SparkSession, root: str, day: date) -> DataFrame | None:
+    """What jobs logged on one day, from the published log; the folders of other days are not read."""
+    log = published(spark, root, "log")
+    return None if log is None else log.filter(F.col("log_date") == F.lit(day)).select(*COLUMNS)
 
 
 def log_of_day(log: DataFrame, stamp: str, day: date) -> DataFrame:

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from amendry.run import JOBS, InvalidParameter, Run, main
-from amendry.sources.publish import publish, published
+from amendry.sources import schema
+from amendry.sources.publish import VersionTaken, folders, publish, published
 from amendry.sources.views import Views
 from amendry.sources.workspace import Workspace
 from tests.conftest import rows
@@ -64,6 +65,29 @@ def test_backfills_and_split(spark, root):
     assert [r.rc for r in logged(spark, root, "code = '000515'")] == [1]
 
 
+def test_a_limited_run_writes_few_partitions(spark, root, monkeypatch):
+    span = 500
+    monkeypatch.setattr(schema, "SPANS", {**schema.SPANS, "adh1h43pf": ("h43kmv", span)})
+    publish(spark, root, {"adh1h43pf": Views(spark, SF_DIR).history()}, {})
+    before, keys = folders(spark, root, "adh1h43pf"), published(spark, root, "adh1h43pf")
+    limited = run(spark, root, quantity="30")
+    limited.backfill_history()
+    after = folders(spark, root, "adh1h43pf")
+    first = keys.filter("h43tau is null").orderBy("h43kmv", "h43nli", "h43ggi").limit(30)
+    touched = {f"_part={r[0]}" for r in first.selectExpr(f"h43kmv div {span}").distinct().collect()}
+    new = {f.part for f in after if f not in before}
+    assert new and new <= touched and len(before) > 3 * len(touched)
+    assert sum(f.rows for f in after) == sum(f.rows for f in before)
+    assert {f.part for f in after} == {f.part for f in before}
+
+
+def test_the_second_of_two_runs_is_refused(spark, root):
+    one, other = run(spark, root), run(spark, root, quantity="5")
+    one.premium_report()
+    with pytest.raises(VersionTaken):
+        other.sync_salary()
+
+
 def test_reconciliation_in_three_runs(spark, root):
     with pytest.raises(InvalidParameter, match="compagnie"):
         run(spark, root, company="2").list_members()
