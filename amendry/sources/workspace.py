@@ -35,10 +35,10 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
+    def stage(self, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
         """Create the staging table, or replace all rows it holds, and read it back."""
         schema = df.schema
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").parquet(self.path(name), compression=codec)
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def append(self, df: DataFrame, name: str) -> DataFrame:
