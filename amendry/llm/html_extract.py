@@ -595,10 +595,11 @@ def _guided_pages(batches):
     read = _Kept(_read_guides, 8)
     for batch in batches:
         trees, texts, places = [], [], []
-        for tree, hashes, guides in zip(*[batch.column(c).to_pylist() for c in ("tree", "hashes", "guides")]):
+        for tree, hashes, nodes, guides in zip(*[batch.column(c).to_pylist() for c in ("tree", "hashes", "nodes", "guides")]):
             labelled, own = _guided(tree, hashes, read(guides))
+            usable = set(nodes)  # only texts that may be content need a decision
             trees.append(labelled)
-            texts.append([hashes[k] for k in own])
+            texts.append([hashes[k] if k in usable else 0 for k in own])
             places.append(own)
         columns = [pa.array(trees, pa.string()), pa.array(texts, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays(
@@ -656,7 +657,8 @@ def _width(spark, rows: int, each: int) -> int:
 def template_nodes(skeletons: DataFrame, least: int, work: Workspace) -> DataFrame:
     """(host, shape, certain, template, few): template nodes of the distinct pages that have any.
 
-    From staged rows (host, shape, tree, hashes), one for each shape. A text recurs if
+    From staged rows (host, shape, tree, hashes, nodes), one for each shape; only texts of
+    `nodes`, which may be content, are looked at. A text recurs if
     `least` distinct pages hold it in the same node of the pivot. A node is template if more
     than MOST of the pages that have it hold recurring texts, one or several, or all of them
     where they are fewer than PAGES; in other nodes a text met again is content, as in near
@@ -667,7 +669,7 @@ def template_nodes(skeletons: DataFrame, least: int, work: Workspace) -> DataFra
     spark, rows = skeletons.sparkSession, skeletons.count()
     guides = work.stage(_guides(skeletons), "guides")
     dealt = skeletons.repartition(_width(spark, rows, 64), "host", "shape")
-    pages = guarded_join(dealt, guides, [("host", "host")], "inner").select("host", "shape", "tree", "hashes", "guides")
+    pages = guarded_join(dealt, guides, [("host", "host")], "inner").select("host", "shape", "tree", "hashes", "nodes", "guides")
     schema = "host string, shape string, tree string, hashes array<bigint>, places array<int>"
     pages = work.stage(pages.mapInArrow(_guided_pages, schema), "guided")
     pivots = _pivots(pages, work)
@@ -716,9 +718,10 @@ def add_text(
     left = [c for c in df.columns if c.lower() not in gone]
     row = F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in left]).alias("_row")
     rows = df.select(row, host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{page}`").alias("_page"))
-    pages = work.stage(add_columns(rows, ["_page"], list(PARSED), _parsed).drop("_page"), "pages")
-    skeletons = pages.filter("shape is not null").groupBy("host", "shape").agg(F.first("tree").alias("tree"), F.first("hashes").alias("hashes"))
-    known = work.stage(template_nodes(work.stage(skeletons, "shapes"), least, work), "known")
+    pages = work.stage(add_columns(rows, ["_page"], list(PARSED), _parsed).drop("_page"), "pages", "zstd")
+    same = [F.first(c).alias(c) for c in ("tree", "hashes", "nodes")]
+    skeletons = work.stage(pages.filter("shape is not null").groupBy("host", "shape").agg(*same), "shapes")
+    known = work.stage(template_nodes(skeletons, least, work), "known")
     joined = pages.select("_row", "host", "shape", "nodes", "inside", "lines")
     joined = guarded_join(joined, known, [("host", "host"), ("shape", "shape")], "left")
 
