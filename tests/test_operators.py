@@ -183,6 +183,39 @@ def test_sorted_over_several_ranges(spark):
         assert got == sorted(got, key=rank)
 
 
+def test_ten_thousand_dates_on_one_key(spark, monkeypatch):
+    """A third of all rows on a key with 10,000 dates, some repeated; every row meets one date, none is paired with more."""
+    from bisect import bisect_right
+
+    from amendry.operators import asof
+
+    rng = random.Random(8)
+    first = date(1990, 1, 1).toordinal()
+    dates = {1: [first + 2 * k for k in range(10_000)], 2: [first, first + 400], 3: [first + 50 * k for k in range(70)], 5: [first]}
+    ref = [(k, date.fromordinal(d), d) for k, ds in dates.items() for d in ds]
+    ref += [(1, date.fromordinal(first + 2 * 77), 5), (2, date.fromordinal(first), 5), (4, None, 1)]
+    facts = [(n, rng.choice([1, 1, 2, 3, 4, None]), date.fromordinal(first + rng.randint(-30, 20_500)), "x" * (n % 3)) for n in range(4000)]
+    facts += [(9000, 1, None, "a"), (9001, 1, date.fromordinal(first), "b"), (9002, 3, date.fromordinal(first + 49), "c")] + [(9003, 1, date.fromordinal(first + 7), "same")] * 500
+    df = spark.createDataFrame(facts, "id int, k int, day date, t string").repartition(5)
+    rates = spark.createDataFrame(ref, "r bigint, start date, v int")
+
+    def expected(n, k, day, t):
+        own = dates.get(k, [])
+        place = bisect_right(own, day.toordinal()) - 1 if day else -1
+        if place < 0:
+            return (n, k, day, t, None, 100)
+        twice = (k, own[place]) in {(1, first + 2 * 77), (2, first)}
+        return (n, k, day, t, None if twice else own[place], -811 if twice else 0)
+
+    paired, by_interval = [], asof._by_interval
+    monkeypatch.setattr(asof, "_by_interval", lambda left, right, *a: paired.append(right.select("r").distinct().collect()) or by_interval(left, right, *a))
+    for rows_a_range in (1 << 20, 300):
+        monkeypatch.setattr(asof, "RANGE_ROWS", rows_a_range)
+        found = asof_lookup(df, rates, [("k", "r")], "day", "start", "v").select("id", "k", "day", "t", "v", "rc")
+        assert rows(found) == rows(spark.createDataFrame([expected(*f) for f in facts], found.schema))
+    assert all({r.r for r in part} == {2, 4, 5} for part in paired)  # keys 1 and 3 are not joined by interval
+
+
 def test_lists_too_wide_to_be_bounded_are_refused(spark):
     df = spark.createDataFrame([(1, 2)], "k int, v int")
     with pytest.raises(ValueError, match="not bounded"):
