@@ -3,8 +3,10 @@
 Every task sorts the word suffixes of its documents, shard by shard, and binary-searches
 every test suffix in each shard's suffix array, one word deeper at a time. A test suffix
 that still matches after a whole window gives the locations of that window; the deepest
-match is the longest verbatim one. Nothing is shuffled: documents stay where they are
-read, and only the test words travel, in blocks of bounded size.
+match is the longest verbatim one. Documents stay where they are read, and only the test
+words travel, in blocks of bounded size. One block at a time is on the driver and in the
+tasks: what it finds is staged by text before the next one is read, and the last block's pass
+joins it all.
 """
 
 from __future__ import annotations
@@ -18,8 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from amendry.llm.rows import add_columns
+from amendry.llm.rows import add_columns, pieces, without
 from amendry.llm.words import words_of
+from amendry.operators.joins import guarded_join
+from amendry.sources.workspace import Workspace
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20  # of test text sent to the tasks at once
@@ -213,15 +217,63 @@ def _united(old, new):
     return [tuple(m) for m in merged]
 
 
-def _blocks(benchmark: DataFrame, ident: str, text: str, window: int):
-    """Test suffixes in blocks whose text has about BLOCK_BYTES; nothing else of the benchmark is collected."""
+def _items(benchmark: DataFrame, ident: str, text: str, work: Workspace) -> tuple[DataFrame, int]:
+    """Distinct items with the number of their block, and how many blocks there are; a block has about BLOCK_BYTES of text."""
     rows = benchmark.select(F.col(f"`{ident}`").cast("long").alias("i"), F.col(f"`{text}`").alias("t"))
-    rows = rows.filter("t is not null")
-    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    parts = math.ceil(size / BLOCK_BYTES)
-    for part in range(parts):
-        own = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part) if parts > 1 else rows
-        yield test_suffixes([tuple(r) for r in own.collect()], window)
+    rows = work.stage(rows.filter("t is not null").distinct(), "items")
+    size = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    return rows.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks))), blocks
+
+
+def _block(items: DataFrame, number: int, window: int) -> Tests:
+    """Test suffixes of one block; nothing else of the benchmark is collected."""
+    return test_suffixes(sorted(map(tuple, items.filter(F.col("block") == number).drop("block").collect()), key=str), window)
+
+
+_HITS = T.StructType(
+    [T.StructField("hit_runs", RUNS), T.StructField("item_ids", T.ArrayType(T.LongType())), T.StructField("longest_match", MATCH)]
+)
+
+
+def _row(runs, ids, match) -> dict:
+    return {
+        "hit_runs": [dict(zip(("start", "end"), r)) for r in runs],
+        "item_ids": ids,
+        "longest_match": dict(zip(MATCH.names, match)) if match else None,
+    }
+
+
+def _joined(found: tuple, earlier: list[dict]) -> tuple:
+    """What one block found in a text, and what earlier ones did."""
+    n, runs, ids, match = found
+    for other in earlier:
+        runs = _united([(r["start"], r["end"]) for r in other["hit_runs"]], runs)
+        ids = sorted({*ids, *other["item_ids"]})
+        old = tuple(other["longest_match"][k] for k in MATCH.names)
+        match = max((m for m in (old, match) if m), key=lambda m: (m[3], -m[2]))
+    return n, runs, ids, match
+
+
+def _found(texts, tests: Tests) -> list[tuple]:
+    return find([t or b"" for t in texts.cast(pa.binary()).to_pylist()], tests)
+
+
+def _staged_hits(rows: DataFrame, sent, work: Workspace, name: str) -> DataFrame:
+    """(_k1, _k2, hits) of the texts that one block's windows occur in, one for each text."""
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch):
+                found = _found(part.column("_text"), sent.value)
+                hit = [k for k, f in enumerate(found) if f[1]]
+                keys = [part.column(c).take(pa.array(hit, pa.int64())) for c in ("_k1", "_k2")]
+                hits = pa.array([_row(*found[k][1:]) for k in hit], _arrow(_HITS))
+                yield pa.RecordBatch.from_arrays([*keys, hits], names=["_k1", "_k2", "hits"])
+
+    schema = T.StructType([rows.schema["_k1"], rows.schema["_k2"], T.StructField("hits", _HITS)])
+    hits = rows.select("_k1", "_k2", "_text").mapInArrow(run, schema)
+    return work.stage(hits.groupBy("_k1", "_k2").agg(F.first("hits").alias("hits")), name)
 
 
 def add_matches(
@@ -238,38 +290,41 @@ def add_matches(
     longest_match is the earliest of the longest verbatim matches that contain a window.
     A null text has no words. A benchmark row with a null or wordless text matches nothing;
     one with a null id marks words but is listed in no item_ids. Repeated items count once
-    per id. Columns of df with these names are replaced; all rows and other columns stay.
-    An empty benchmark leaves every list empty.
+    per id. Item ids are taken as long. Columns of df with these names are replaced; all rows
+    and other columns stay. An empty benchmark leaves every list empty, and an empty table
+    stays empty. A text of any length is searched whole, shard by shard.
     """
-    fields = [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("hit_runs", RUNS),
-        T.StructField("item_ids", T.ArrayType(T.LongType())),
-        T.StructField("longest_match", MATCH),
-    ]
+    spark, work = df.sparkSession, Workspace(df.sparkSession)
+    items, blocks = _items(benchmark, item_id, item_text, work)
+    fields = [T.StructField("n_words", T.LongType()), *_HITS.fields]
     types = [_arrow(f.dataType) for f in fields]
-    blocks = list(_blocks(benchmark, item_id, item_text, window)) or [test_suffixes([], window)]
-    for turn, tests in enumerate(blocks):
-        sent = df.sparkSession.sparkContext.broadcast(tests)
-
-        def compute(texts, *before, sent=sent):
-            found = find([t or b"" for t in texts.cast(pa.binary()).to_pylist()], sent.value)
-            if before:
-                merged = []
-                for new, runs, ids, match in zip(found, *[b.to_pylist() for b in before]):
-                    old = [(r["start"], r["end"]) for r in runs]
-                    kept = tuple(match[n] for n in MATCH.names) if match else None
-                    best = max((m for m in (kept, new[3]) if m), key=lambda m: (m[3], -m[2]), default=None)
-                    merged.append((new[0], _united(old, new[1]), sorted({*ids, *new[2]}), best))
-                found = merged
-            rows = [
-                (n, [dict(zip(("start", "end"), r)) for r in runs], ids, dict(zip(MATCH.names, m)) if m else None)
-                for n, runs, ids, m in found
-            ]
-            return [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
-
-        df = add_columns(df, [text] + ["hit_runs", "item_ids", "longest_match"] * (turn > 0), fields, compute)
-    return df
+    columns, using, before = without(df, [f.name for f in fields]).columns, [text], df
+    if blocks > 1:
+        whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+        keys = [F.xxhash64(whole).alias("_k1"), F.xxhash64(F.lit(1), whole).alias("_k2")]
+        before = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"), *keys)
+        hits = None
+        for number in range(blocks - 1):
+            sent = spark.sparkContext.broadcast(_block(items, number, window))
+            staged = _staged_hits(before, sent, work, f"hits_{number}")
+            sent.destroy()
+            hits = staged if hits is None else hits.union(staged)
+        merged = work.stage(hits.groupBy("_k1", "_k2").agg(F.collect_list("hits").alias("_earlier")), "hits")
+        before = guarded_join(before, merged, [("_k1", "_k1"), ("_k2", "_k2")], "left").drop("_k1", "_k2")
+        using = ["_text", "_earlier"]
+    sent = spark.sparkContext.broadcast(_block(items, blocks - 1, window))
+
+    def compute(texts, earlier=None):
+        found = _found(texts, sent.value)
+        if earlier is not None:
+            found = [_joined(f, e or []) for f, e in zip(found, earlier.to_pylist())]
+        rows = [(n, *_row(runs, ids, match).values()) for n, runs, ids, match in found]
+        return [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
+
+    marked = add_columns(before, using, fields, compute)
+    if blocks > 1:
+        marked = marked.select(*[F.col(f"_row.`{c}`") for c in columns], *[f.name for f in fields])
+    return marked
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

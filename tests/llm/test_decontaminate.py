@@ -79,6 +79,31 @@ def test_edges_several_blocks_and_clashing_names(spark, monkeypatch):
     assert decontaminate.decontaminate(df, bench.limit(0)).count() == len(docs)
 
 
+def test_one_block_at_a_time_and_one_item_as_a_third_of_the_benchmark(spark, monkeypatch):
+    draw = random.Random(3)
+    words_ = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(draw.choice(words_) for _ in range(20))) for k in range(60)] + [(500, "same words again and again " * 4)] * 30
+    docs = [(k, " ".join(items[(k * 7 + j) % len(items)][1] for j in range(k % 4)) + " tail") for k in range(40)] + [(90, items[-1][1])] * 25
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
+    sizes, block = [], decontaminate.test_suffixes
+    monkeypatch.setattr(decontaminate, "test_suffixes", lambda rows, window: sizes.append(sum(len(t) for _, t in rows)) or block(rows, window))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    found = decontaminate.add_matches(df, bench)
+    got = sorted((r["doc_id"], r["n_words"], sum(x["end"] - x["start"] for x in r["hit_runs"]), r["item_ids"]) for r in found.collect())
+    assert got == sorted((i, *plain(t, set(items), 13)) for i, t in docs)
+    assert len(sizes) > 5 and max(sizes) < 2500  # the repeated item is in one block, once
+
+
+def test_very_long_text_goes_through_in_shards(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 5000)
+    long = " ".join(f"x{k % 977}" for k in range(60_000))
+    item = " ".join(f"x{k}" for k in range(100, 130))
+    found = decontaminate.add_matches(spark.createDataFrame([(1, long)], "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
+    (row,) = found.collect()
+    assert (row["n_words"], sum(x["end"] - x["start"] for x in row["hit_runs"]), row["item_ids"]) == plain(long, [(7, item)], 13)
+
+
 def test_query_on_whole_table(spark, sf):
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
