@@ -86,22 +86,30 @@ def _cut(classes: np.ndarray, counts: np.ndarray, limit: int) -> list[np.ndarray
     return done
 
 
-def tile_plan(histogram: list[tuple], radius: int, limit: int) -> tuple[list[tuple], list[tuple]]:
-    """Rows (p0..p3, first tile, number of tiles) and the pairs of tiles to compare."""
+def tile_plan(histogram: list[tuple], limit: int) -> tuple[list[tuple], list[tuple]]:
+    """Rows (p0..p3, first tile, number of tiles), and of every tile (tile, lowest and highest counts)."""
     classes = np.array([h[:4] for h in histogram], np.int64).reshape(-1, 4)
     counts = np.array([h[4] for h in histogram], np.int64)
-    assigned, low, high = [], [], []
+    assigned, boxes = [], []
     for rows in _cut(classes, counts, limit):
         parts = max(1, math.ceil(int(counts[rows].sum()) / limit))
-        assigned += [(*map(int, classes[r]), len(low), parts) for r in rows]
-        low += [classes[rows].min(axis=0)] * parts
-        high += [classes[rows].max(axis=0)] * parts
-    low, high = np.array(low).reshape(-1, 4), np.array(high).reshape(-1, 4)
-    pairs = []
-    for i in range(len(low)):
-        gap = np.maximum(0, np.maximum(low[i:] - high[i], low[i] - high[i:])).sum(axis=1)
-        pairs += [(i, i + int(j)) for j in np.flatnonzero(gap <= radius)]
-    return assigned, pairs
+        assigned += [(*map(int, classes[r]), len(boxes), parts) for r in rows]
+        ends = [*map(int, classes[rows].min(axis=0)), *map(int, classes[rows].max(axis=0))]
+        boxes += [(len(boxes) + k, *ends) for k in range(parts)]
+    return assigned, boxes
+
+
+def near_tiles(boxes: DataFrame, radius: int) -> DataFrame:
+    """(i, j) for each pair of different tiles whose boxes lie within the radius, by a range join on the first quarter.
+
+    A tile meets those whose lowest count lies from its own lowest up to its highest and the
+    radius, at most 17 values whatever the number of tiles.
+    """
+    names = [f"{e}{k}" for e in ("l", "h") for k in range(4)]
+    left = boxes.selectExpr("tile as i", *[f"{n} as a_{n}" for n in names], f"explode(sequence(l0, h0 + {radius})) as at")
+    right = boxes.selectExpr("tile as j", *[f"{n} as b_{n}" for n in names], "l0 as at")
+    gap = " + ".join(f"greatest(0, b_l{k} - a_h{k}, a_l{k} - b_h{k})" for k in range(4))
+    return left.join(right, "at").filter(f"(a_l0 < b_l0 or i < j) and i <> j and {gap} <= {radius}").select("i", "j")
 
 
 def _merge(labels: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
@@ -181,7 +189,8 @@ def connected(fingerprints: DataFrame, name: str, radius: int, work: Workspace,
     """(name, component) for distinct fingerprints, where chains of links within the radius make a component.
 
     A tile grows with the root of the number of fingerprints, so that what is sent to
-    pairs of tiles stays near the input's size. Each tile is compared with itself first;
+    pairs of tiles stays near the input's size. The driver sees the histogram and one row
+    for each tile; pairs of tiles are joined on Spark. Each tile is compared with itself first;
     pairs of tiles then only link the groups found inside them.
     """
     spark = fingerprints.sparkSession
@@ -190,7 +199,7 @@ def connected(fingerprints: DataFrame, name: str, radius: int, work: Workspace,
     histogram = [tuple(r) for r in classed.groupBy(*QUARTERS).count().collect()]
     total = sum(h[4] for h in histogram)
     limit = limit or min(1 << 16, max(1 << 11, 16 * math.isqrt(total)))
-    assigned, pairs = tile_plan(histogram, radius, limit)
+    assigned, boxes = tile_plan(histogram, limit)
     plan = spark.createDataFrame(assigned, ", ".join(f"{p} int" for p in QUARTERS) + ", first bigint, parts int")
     tiled = classed.join(plan, QUARTERS).withColumn("tile", F.expr(f"first + pmod(xxhash64(`{name}`), parts)"))
     tiles = tiled.groupBy("tile").agg(F.collect_list(name).alias("fps"))
@@ -199,9 +208,11 @@ def connected(fingerprints: DataFrame, name: str, radius: int, work: Workspace,
         _within(radius), "tile bigint, fps array<bigint>, roots array<bigint>"
     )
     tiles = work.stage(tiles, "tiles")
-    todo = spark.createDataFrame([p for p in pairs if p[0] != p[1]], "i bigint, j bigint")
+    ends = ", ".join(f"{e}{k} int" for e in ("l", "h") for k in range(4))
+    todo = work.stage(near_tiles(spark.createDataFrame(boxes, f"tile bigint, {ends}"), radius), "near_tiles")
+    pairs = todo.count()
     a, b = (tiles.selectExpr(f"tile as {t}", f"fps as fps_{n}", f"roots as roots_{n}") for t, n in (("i", "a"), ("j", "b")))
-    wide = todo.join(a, "i").join(b, "j").drop("i", "j").repartition(max(1, min(len(pairs), width + len(pairs) // 64)))
+    wide = todo.join(a, "i").join(b, "j").drop("i", "j").repartition(max(1, min(pairs, width + pairs // 64)))
     found = components(wide.mapInArrow(_between(radius), "a bigint, b bigint"), work)
     members = tiles.select(F.explode(F.arrays_zip("fps", "roots")).alias("m")).select(F.col("m.fps").alias(name), "m.roots")
     joined = guarded_join(members, found, [("roots", "node")], "left")
@@ -231,7 +242,8 @@ def near_duplicates(
     Null and empty texts, and texts without words, have fingerprint zero and link like any
     other. Rows with equal fingerprints always share a component; repeated rows stay
     repeated. component_id is the smallest ident reachable, null only if no row of the
-    component has one. An empty table gives an empty result. Other columns are not read.
+    component has one. An empty table gives an empty result. Other columns are not read. Ids
+    are taken as long; a text of any length is hashed whole.
     """
     work = Workspace(df.sparkSession)
     narrow = df.select(F.col(f"`{ident}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))

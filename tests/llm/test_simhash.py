@@ -85,16 +85,21 @@ def test_chains_across_many_tiles(spark):
     assert len(set(zip(groups, (found[s] for s in signed)))) == len(set(groups)) == len(set(found.values()))
 
 
-def test_tiles_skipped_are_too_far_apart():
+def test_tiles_skipped_are_too_far_apart(spark):
     draw = np.random.default_rng(3)
     prints = draw.integers(0, 1 << 63, 800, np.uint64)
     quarter = lambda p: tuple(bin(int(p) >> s & 65535).count("1") for s in (48, 32, 16, 0))
     counts = {}
     for p in prints:
         counts[quarter(p)] = counts.get(quarter(p), 0) + 1
-    assigned, pairs = simhash.tile_plan([(*k, n) for k, n in counts.items()], 12, 50)
+    assigned, boxes = simhash.tile_plan([(*k, n) for k, n in counts.items()], 50)
     tile = {r[:4]: r[4] for r in assigned}
-    near = {(min(a, b), max(a, b)) for a, b in pairs}
+    ends = ", ".join(f"{e}{k} int" for e in ("l", "h") for k in range(4))
+    pairs = [tuple(r) for r in simhash.near_tiles(spark.createDataFrame(boxes, f"tile bigint, {ends}"), 12).collect()]
+    gap = lambda x, y: sum(max(0, y[1 + k] - x[5 + k], x[1 + k] - y[5 + k]) for k in range(4))
+    plain = {(x[0], y[0]) for x in boxes for y in boxes if x[0] < y[0] and gap(x, y) <= 12}
+    assert sorted((min(p), max(p)) for p in pairs) == sorted(plain)
+    near = plain | {(t, t) for t in tile.values()}
     for i, p in enumerate(prints):
         for q in prints[:i]:
             if bin(int(p ^ q)).count("1") <= 12:
