@@ -2,22 +2,24 @@
 
 All unit vectors are turned by one random rotation, which gives as many one-dimensional
 projections as there are dimensions. Vectors are cut into tiles along the first one. In a
-pair of tiles the projections of one side are sorted, every vector of the other opens a
+pair of tiles some projections of one side are sorted, every vector of the other opens a
 window around its own value in each, and the windows that a pair shares are counted.
 
-The count to pass is calibrated to lose nothing: the squared projection differences of a
-pair add up to its squared distance, so a pair within the distance leaves at most
-distance^2 / window^2 windows. Pairs that pass are verified by their cosine in double
-precision. Tiles whose ranges of the first projection lie further apart than the distance
-are not compared. Exact copies are folded before. No pair leaves a task: a tile gives the number
-of links of each vector and a root for what is connected inside it, a pair of tiles
-numbers of links and just enough links between roots.
+The count to pass loses nothing, at any number of dimensions: the squared projection
+differences of a pair add up to its squared distance, so a pair within the distance misses
+at most distance^2 / window^2 windows. Window and number of projections follow from the
+dimension: they are the cheapest with which unrelated vectors, whose differences spread
+by the root of 2 / dimension, nearly always miss more. Pairs that pass are verified by their
+cosine in double precision. Tiles whose ranges of the first projection lie further apart than
+the distance are not compared. Exact copies are folded before. No pair leaves a task: a tile
+gives the number of links of each vector and a root for what is connected inside it, a pair
+of tiles numbers of links and just enough links between roots.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +33,17 @@ from amendry.llm.simhash import _merge
 from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
 
-MISSED = 6  # windows that a pair at the very distance may miss
-FIRST = 28  # projections counted for all pairs before the rest is counted for those still open
-QUERIES = 64  # windows opened at once
+SPREADS = 3  # by so many spreads of the count do unrelated vectors miss more windows than is allowed
+CELLS = 1 << 17  # pairs whose windows are counted at once
+TILE_BYTES = 16 << 20  # of double-precision vectors in a tile
 SEED = 11
 
 
 def _packed(vectors: pa.Array) -> list:
-    """Doubles of each vector as bytes; None for null, empty, zero and non-finite ones and those with nulls."""
-    out = []
+    """Numbers of each vector as bytes, in their own precision; None for null, empty, zero and non-finite ones and those with nulls."""
+    out, kind = [], np.float32 if vectors.type.value_type == pa.float32() else np.float64
     for v in vectors:
-        x = None if not v.is_valid or v.values.null_count or not len(v.values) else np.asarray(v.values, np.float64) + 0.0
+        x = None if not v.is_valid or v.values.null_count or not len(v.values) else np.asarray(v.values, kind) + kind(0)
         out.append(x.tobytes() if x is not None and np.isfinite(x).all() and x.any() else None)
     return out
 
@@ -56,41 +58,52 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def windows_of(size: int, least: float) -> tuple[int, float, int]:
+    """Windows that a pair at the distance may miss, half a window's width, and the number of projections to count."""
+    distance = max(1e-12, 2 - 2 * least)
+    best = None
+    for missed in range(size):
+        window = math.sqrt(distance / (missed + 0.999)) + 1e-9
+        chance = math.erfc(window / math.sqrt(2 / size) / math.sqrt(2))  # of unrelated vectors, to miss one
+        # the smallest m with m * chance - SPREADS * sqrt(m * chance * (1 - chance)) > missed
+        root = (SPREADS * math.sqrt(1 - chance) + math.sqrt(SPREADS**2 * (1 - chance) + 4 * (missed + 1))) / 2
+        many = math.ceil(root**2 / chance) if chance > 1e-9 else size
+        if best is None or many < best[2]:
+            best = missed, window, many
+    return best[0], best[1], min(size, best[2])
+
+
 def linked_blocks(left: np.ndarray, right: np.ndarray, least: float):
     """Links between two tiles of unit vectors of one size: (rows of left, rows of right), in blocks."""
-    size = left.shape[1]
-    turn = rotation(size)
+    missed, window, many = windows_of(left.shape[1], least)
+    turn = rotation(left.shape[1])[:, :many]
     a, b = left @ turn, right @ turn
-    distance = 2 - 2 * least
-    window = math.sqrt(distance / (MISSED + 0.999)) + 1e-9
-    missed = np.uint8(MISSED)
-    order = np.argsort(b, axis=0)
-    known = np.take_along_axis(b, order, axis=0)
     kind = np.uint16 if len(b) < 1 << 16 else np.uint32  # holds every rank and width
-    ranks = np.empty((size, len(b)), kind)
-    low, width = np.empty((2, size, len(a)), kind)
-    for k in range(size):
-        ranks[k, order[:, k]] = np.arange(len(b))
-        low[k] = np.searchsorted(known[:, k], a[:, k] - window, "left")
-        width[k] = np.searchsorted(known[:, k], a[:, k] + window, "right") - low[k]
-    first = min(size, FIRST)
-    for at in range(0, len(a), QUERIES):
-        lines = slice(at, at + QUERIES)
-        out = np.zeros((min(QUERIES, len(a) - at), len(b)), np.uint8)
-        for k in range(first):
-            out += (ranks[k] - low[k, lines, None]) >= width[k, lines, None]
-        u, v = np.nonzero(out <= missed)
-        misses = out[u, v]
-        for k in range(first, size):
-            misses = misses + ((ranks[k, v] - low[k, u + at]) >= width[k, u + at])
-            if k % 8 == 0:
-                open_ = misses <= missed
-                u, v, misses = u[open_], v[open_], misses[open_]
-        open_ = misses <= missed
-        u, v = u[open_], v[open_]
+    ranks = np.empty((many, len(b)), kind)
+    low, width = np.empty((2, many, len(a)), kind)
+    for k in range(many):
+        order = np.argsort(b[:, k])
+        known = b[order, k]
+        ranks[k, order] = np.arange(len(b))
+        low[k] = np.searchsorted(known, a[:, k] - window, "left")
+        width[k] = np.searchsorted(known, a[:, k] + window, "right") - low[k]
+    step = max(1, CELLS // max(1, len(b)))
+    from_low, miss = np.empty((step, len(b)), kind), np.empty((step, len(b)), bool)
+    misses = np.empty((step, len(b)), np.uint8 if many < 256 else np.uint16)
+    for at in range(0, len(a), step):
+        n = min(step, len(a) - at)
+        misses[:n] = 0
+        for k in range(many):
+            np.subtract(ranks[k], low[k, at : at + n, None], out=from_low[:n])
+            np.greater_equal(from_low[:n], width[k, at : at + n, None], out=miss[:n])
+            np.add(misses[:n], miss[:n], out=misses[:n], casting="unsafe")
+        u, v = np.nonzero(misses[:n] <= missed)
         if len(u):
             some, line = np.unique(u, return_inverse=True)
-            good = (left[some + at] @ right.T)[line, v] >= least
+            if len(u) * 8 < len(some) * len(b):  # few pairs of a line are left
+                good = np.einsum("ij,ij->i", left[u + at], right[v]) >= least
+            else:
+                good = (left[some + at] @ right.T)[line, v] >= least
             yield u[good] + at, v[good]
 
 
@@ -122,15 +135,20 @@ def between_tiles(left, right, least: float):
 # ---- Spark
 
 
+def _numbers(raw: bytes, wide: int) -> np.ndarray:
+    return np.frombuffer(raw, np.float32 if wide == 4 else np.float64).astype(np.float64)
+
+
 def _matrix(values: pa.Array, size: int) -> np.ndarray:
-    return unit(np.frombuffer(b"".join(values.to_pylist()), np.float64).reshape(-1, size))
+    raw = b"".join(values.to_pylist())
+    return unit(_numbers(raw, len(raw) // max(1, size * len(values))).reshape(-1, size))
 
 
-def _first_projection(packed):
+def _first_projection(packed, size):
     """Value of the first projection, by which tiles are cut."""
     found = []
-    for raw in packed.to_pylist():
-        x = np.frombuffer(raw, np.float64)
+    for raw, n in zip(packed.to_pylist(), size.to_pylist()):
+        x = _numbers(raw, len(raw) // n)
         found.append(float((unit(x[None]) @ rotation_first(len(x)))[0]))
     return [pa.array(found)]
 
@@ -182,27 +200,29 @@ def _across(least: float):
     return run
 
 
-def _tiled(folded: DataFrame, limit: int, distance: float) -> tuple[DataFrame, list[tuple]]:
-    """folded + tile, and the pairs of tiles that are near enough to compare.
+def _limit(size: int, limit: int) -> int:
+    """Vectors of a size in a tile."""
+    return max(1, min(limit, TILE_BYTES // (8 * size)))
+
+
+def _tiled(folded: DataFrame, limit: int, distance: float) -> tuple[DataFrame, DataFrame]:
+    """folded + tile, and the pairs (i, j) of different tiles that are near enough to compare.
 
     A tile is a range of the first projection, or, of a range that ties keep over-full, a
-    share of its vectors by a hash; all shares of a range are compared.
+    share of its vectors by a hash; all shares of a range are compared. The driver sees the
+    ranges; pairs are made of them on Spark.
     """
     sizes = folded.groupBy("size").count().collect()  # one row per vector size
-    first, near, ranges = 0, [], {}
+    first, last, ranges, full = 0, [], {}, []
     for size, count in sorted(map(tuple, sizes)):
-        parts = max(1, math.ceil(count / limit))
+        parts = max(1, math.ceil(count / _limit(size, limit)))
         shares = [k / parts for k in range(1, parts)]
         own = folded.filter(F.col("size") == size)
         cuts = own.agg(F.percentile_approx("along", shares, 100 * parts)).first()[0] if shares else []
         ranges[size] = (first, cuts)
         # range i ends at its cut, range j begins behind the cut before it
-        near += [
-            (first + i, first + j)
-            for i in range(parts)
-            for j in range(i + 1, parts)
-            if cuts[j - 1] - cuts[i] <= distance + 1e-9
-        ]
+        last += [first + max(i, bisect_right(cuts, cuts[i] + distance + 1e-9)) if i < len(cuts) else first + i for i in range(parts)]
+        full += [_limit(size, limit)] * parts
         first += parts
 
     def place(along, size):
@@ -212,7 +232,7 @@ def _tiled(folded: DataFrame, limit: int, distance: float) -> tuple[DataFrame, l
     ranged = add_columns(folded, ["along", "size"], [T.StructField("range", T.LongType())], place)
     tiles, done = {}, 0
     for k, count in sorted(map(tuple, ranged.groupBy("range").count().collect())):  # as many rows as there are ranges
-        shares = 1 if count <= 1.5 * limit else math.ceil(count / limit)
+        shares = 1 if count <= 1.5 * full[k] else math.ceil(count / full[k])
         tiles[k] = range(done, done + shares)
         done += shares
 
@@ -220,8 +240,12 @@ def _tiled(folded: DataFrame, limit: int, distance: float) -> tuple[DataFrame, l
         return [pa.array([tiles[r][h % len(tiles[r])] for r, h in zip(k.to_pylist(), mixed.to_pylist())], pa.int64())]
 
     tiled = add_columns(ranged.withColumn("mixed", F.xxhash64("node")), ["range", "mixed"], [T.StructField("tile", T.LongType())], share)
-    pairs = [(a, b) for own in tiles.values() for a in own for b in own if a < b]
-    pairs += [(a, b) for i, j in near for a in tiles.get(i, ()) for b in tiles.get(j, ())]
+    rows = [(k, last[k], t.start, t.stop - 1) for k, t in tiles.items()]
+    known = folded.sparkSession.createDataFrame(rows, "r bigint, last bigint, first bigint, final bigint")
+    left = known.selectExpr("explode(sequence(r, last)) as q", "first", "final")
+    right = known.selectExpr("r as q", "first as first_q", "final as final_q")
+    pairs = left.join(right, "q").selectExpr("explode(sequence(first, final)) as i", "first_q", "final_q")
+    pairs = pairs.selectExpr("i", "explode(sequence(first_q, final_q)) as j").filter("i < j")
     return tiled.drop("range", "mixed"), pairs
 
 
@@ -235,28 +259,30 @@ def near_duplicates(
     links with nothing, not even a copy. Copies of a vector, and repeated rows, link with
     each other. component_id is the smallest ident reachable (null if none has one), and a
     row is kept if that is its own. Other columns are not read; an empty table gives none.
+    Ids are taken as long.
     """
-    spark = df.sparkSession
-    work = Workspace(spark)
-    rows = df.select(F.col(f"`{ident}`").cast("long").alias("_id"), F.col(f"`{vector}`").cast("array<double>").alias("_in"))
+    work = Workspace(df.sparkSession)
+    kind = "array<float>" if df.schema[vector].dataType == T.ArrayType(T.FloatType(), True) else "array<double>"
+    wide = 4 if kind == "array<float>" else 8
+    rows = df.select(F.col(f"`{ident}`").cast("long").alias("_id"), F.col(f"`{vector}`").cast(kind).alias("_in"))
     rows = add_columns(rows, ["_in"], [T.StructField("_vec", T.BinaryType())], lambda v: [pa.array(_packed(v), pa.binary())])
     rows = work.stage(rows.select("_id", "_vec"), "vectors")
     folded = rows.filter("_vec is not null").groupBy("_vec").agg(F.count("*").alias("weight"), F.min("_id").alias("least"))
-    folded = add_columns(folded, ["_vec"], [T.StructField("along", T.DoubleType())], _first_projection)
-    folded = folded.withColumns({"node": F.monotonically_increasing_id(), "size": F.expr("cast(length(_vec) / 8 as int)")})
+    folded = folded.withColumns({"node": F.monotonically_increasing_id(), "size": F.expr(f"cast(length(_vec) / {wide} as int)")})
+    folded = add_columns(folded, ["_vec", "size"], [T.StructField("along", T.DoubleType())], _first_projection)
     folded = work.stage(folded, "folded")
     total = folded.count()
-    limit = min(1 << 15, limit or max(1 << 11, 16 * math.isqrt(total)))
+    limit = min(1 << 15, limit or max(1 << 11, 32 * math.isqrt(total)))
     tiled, pairs = _tiled(folded, limit, math.sqrt(2 - 2 * least))
     members = F.collect_list(F.struct("node", "weight", F.col("_vec").alias("vector"))).alias("rows")
     tiles = tiled.groupBy("tile", "size").agg(members)
     inner = "tile bigint, size int, node bigint, weight bigint, vector binary, root bigint, links bigint"
     own = work.stage(tiles.repartition(max(1, math.ceil(total / limit))).mapInArrow(_inside(least), inner), "inside")
     again = own.groupBy("tile", "size").agg(F.collect_list(F.struct("node", "weight", "vector", "root")).alias("rows"))
-    todo = spark.createDataFrame(pairs, "i bigint, j bigint")
+    todo = work.stage(pairs, "near_tiles")
     a = again.selectExpr("tile as i", "size", "rows as rows_a")
     b = again.selectExpr("tile as j", "rows as rows_b")
-    wide = todo.join(a, "i").join(b, "j").drop("i", "j").repartition(max(1, len(pairs)))
+    wide = todo.join(a, "i").join(b, "j").drop("i", "j").repartition(max(1, todo.count()))
     found = work.stage(wide.mapInArrow(_across(least), "node bigint, links bigint, other bigint"), "across")
     degrees = own.select("node", "links").union(found.filter("links is not null").select("node", "links"))
     degrees = degrees.groupBy("node").agg(F.sum("links").alias("links"))

@@ -63,7 +63,7 @@ def test_edges_copies_and_several_tiles(spark):
 
 def test_no_pair_at_the_border_is_lost():
     draw = np.random.default_rng(5)
-    for size in (2, 8, 64):
+    for size in (2, 8, 64, 300, 768, 1100):
         a = embedding_dedup.unit(draw.normal(size=(400, size)))
         side = draw.normal(size=(400, size))
         side -= (side * a).sum(axis=1, keepdims=True) * a
@@ -92,9 +92,32 @@ def test_scaled_copies_are_spread_over_tiles(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     packed = df.selectExpr("vec_id as node", "embedding")
     folded = embedding_dedup.add_columns(packed, ["embedding"], [T.StructField("_vec", T.BinaryType())], lambda v: [embedding_dedup.pa.array(embedding_dedup._packed(v))])
-    folded = embedding_dedup.add_columns(folded, ["_vec"], [T.StructField("along", T.DoubleType())], embedding_dedup._first_projection)
-    tiled, pairs = embedding_dedup._tiled(folded.withColumn("size", F.lit(8)), 50, math.sqrt(0.1))
+    folded = embedding_dedup.add_columns(folded.withColumn("size", F.lit(8)), ["_vec", "size"], [T.StructField("along", T.DoubleType())], embedding_dedup._first_projection)
+    tiled, pairs = embedding_dedup._tiled(folded, 50, math.sqrt(0.1))
+    pairs = [tuple(r) for r in pairs.collect()]
     assert max(r["count"] for r in tiled.groupBy("tile").count().collect()) <= 100
     assert len(set(pairs)) == len(pairs)
     got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df, limit=50).collect()}
     assert all(got[k]["n_links"] >= 299 and got[k]["component_id"] == 0 for k in range(300))
+
+
+def test_windows_suit_the_dimension():
+    """Unrelated vectors are told apart at every size by a part of the projections, and all links are found."""
+    draw = np.random.default_rng(9)
+    for size in (64, 256, 768):
+        missed, window, many = embedding_dedup.windows_of(size, 0.95)
+        assert many < 0.75 * size and (missed + 1) * window**2 > 0.1  # one more miss lies beyond the distance
+        a = embedding_dedup.unit(draw.normal(size=(600, size)))
+        a[300:] = embedding_dedup.unit(a[:300] + draw.normal(size=(300, size)) * (0.3 / np.sqrt(size)))
+        found = {(int(x), int(y)) for u, v in embedding_dedup.linked_blocks(a, a, 0.95) for x, y in zip(u, v)}
+        assert found == set(zip(*map(np.ndarray.tolist, np.nonzero(a @ a.T >= 0.95)))) and len(found) > 600
+
+
+def test_single_precision_and_tiles_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE_BYTES", 40 * 8 * 16)
+    draw = np.random.default_rng(2)
+    base = draw.normal(size=(60, 16)).astype(np.float32)
+    rows = [(k, [float(x) for x in base[k % 60] + draw.normal(size=16).astype(np.float32) * np.float32(0.05 * (k % 5))]) for k in range(240)]
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in rows] + [(300, None), (301, [0.0] * 16)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, embedding_dedup.near_duplicates(df).collect()), key=str) == plain(rows, 0.95)
