@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from amendry.operators.joins import Keys, guarded_join
+from amendry.operators.order import ascending, placed_in_ranges
 from amendry.sources.workspace import Workspace
 
 MANY = 64  # dates of one key
@@ -87,12 +88,8 @@ def _carried_forward(
         F.lit(0).cast("long").alias("_tie"),
         F.struct("_n", F.col(f"`{value}`").alias("_value")).alias("_date"),
     ).filter("_day is not null")
-    together = rows.unionByName(dates, allowMissingColumns=True).withColumn("_from", F.spark_partition_id())
-    order = [*own, "_day", "_kind", "_tie", "_from"]
-    ranges = max(df.sparkSession.sparkContext.defaultParallelism, df.count() // RANGE_ROWS + 1)
-    placed = together.repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("_from", "_tie")
-    placed = placed.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    placed = work.stage(placed, "placed")
+    together = rows.unionByName(dates, allowMissingColumns=True)
+    placed = placed_in_ranges(together, ascending(*own, "_day", "_kind", "_tie"), RANGE_ROWS, work, "placed")
     # the last date of each key in each range, and what its next range takes over
     ends = placed.groupBy("_range", *own).agg(F.max_by("_date", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_end"))
     earlier = Window.partitionBy(*own).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -101,7 +98,7 @@ def _carried_forward(
     inside = Window.partitionBy("_range", *own).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     filled = placed.withColumn("_found", F.last("_date", ignorenulls=True).over(inside)).filter("_kind = 1")
     filled = guarded_join(filled, carry, [("_range", "_in"), *[(k, f"{k}_in") for k in own]], "left")
-    found = F.when(F.col("_day").isNotNull(), F.coalesce("_found", "_carry"))
+    found = F.when(F.col("_day").isNotNull(), F.coalesce("_found", "_carry"))  # a row without a day comes last
     return filled.select(found.alias("_found"), "_row.*").select(
         *[F.col(f"`{c}`") for c in df.columns], F.col("_found._n").alias("_n"), F.col("_found._value").alias(value)
     )

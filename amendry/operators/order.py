@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from amendry.sources.workspace import Workspace
+
 ALL = "*all"  # fixed value: no limit
 HASH, SECOND = "_hash", "_hash_2"
 FEW = 1 << 20  # rows among which the sought key is found by one bounded sort of keys
@@ -61,6 +63,19 @@ def sorted_rows(df: DataFrame, order: Order) -> DataFrame:
     return df.withColumns(ties).orderBy(*columns(order), HASH, "_part").drop(HASH, "_part")
 
 
+def placed_in_ranges(df: DataFrame, order: Order, rows: int, work: Workspace, name: str) -> DataFrame:
+    """df staged in the order, with _range, the number of a row's range, and _at, its place, without gaps in a range.
+
+    Ranges hold about `rows` rows each. The partition a row comes from closes the order, so that
+    copies of one row can span ranges.
+    """
+    ranges = max(df.sparkSession.sparkContext.defaultParallelism, df.count() // rows + 1)
+    closed = [*columns(order), F.col("_from")]
+    placed = df.withColumn("_from", F.spark_partition_id()).repartitionByRange(ranges, *closed).sortWithinPartitions(*closed)
+    placed = placed.drop("_from").withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    return work.stage(placed, name)
+
+
 def _against(order: Order, types: dict, edge: dict) -> tuple[Column, Column]:
     """Whether a row comes before the edge, and whether it has the same key."""
     before, same = F.lit(False), F.lit(True)

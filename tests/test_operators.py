@@ -216,10 +216,22 @@ def test_ten_thousand_dates_on_one_key(spark, monkeypatch):
     assert all({r.r for r in part} == {2, 4, 5} for part in paired)  # keys 1 and 3 are not joined by interval
 
 
-def test_lists_too_wide_to_be_bounded_are_refused(spark):
-    df = spark.createDataFrame([(1, 2)], "k int, v int")
-    with pytest.raises(ValueError, match="not bounded"):
-        collect.fixed_lists(df, ["k"], {"l": "cast(v as string)"}, order.ascending("v"), width=2400)
+def test_lists_of_thousands_of_items(spark, monkeypatch):
+    """Width 4,000 with a third of all rows in one group: equal to a plain loop, and no task holds the group."""
+    monkeypatch.setattr(collect, "RANGE_ROWS", 700)
+    rng = random.Random(10)
+    data = [(rng.choice([1, 2, None]) if k % 3 else 0, rng.choice([None, *range(40)]), k % 7) for k in range(9000)]
+    df = spark.createDataFrame(data, "k int, v int, w int").repartition(6)
+    found = collect.fixed_lists(df, ["k"], {"l": "coalesce(cast(v as string), '-')", "m": "cast(w as string)"}, order.ascending("v", "w"), width=4000)
+    expected = []
+    for k in {d[0] for d in data}:
+        group = sorted((d for d in data if d[0] == k), key=lambda d: (d[1] is None, d[1] or 0, d[2]))
+        lists = ["".join(f"{x}/" for x in xs)[:4000] for xs in (["-" if d[1] is None else d[1] for d in group], [d[2] for d in group])]
+        expected.append((k, *lists))
+    assert rows(found) == rows(spark.createDataFrame(expected, "k int, l string, m string"))
+    ranked = collect.first_in_groups(df, ["k"], order.ascending("v", "w"), 2000)
+    assert "Window" not in ranked._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert ranked.filter("k = 0").agg(F.max("_rank"), F.count("*")).first() == (2000, 2000)
 
 
 def test_quantity_is_checked():
