@@ -98,10 +98,20 @@ def list_members(
     return shaped(listed, member.sparkSession.createDataFrame([], MEMBERS))
 
 
+def latest_batches(decision: DataFrame) -> DataFrame:
+    """Latest decision batch of every member."""
+    return group_max(decision, "gdekro", "gdekrh", "gdekrh")
+
+
+def listed_latest(members: DataFrame, latest: DataFrame) -> DataFrame:
+    """The latest batches of the listed members, as the list step stores them."""
+    renamed = latest.select(F.col("gdekro").alias("derkroAdh"), F.col("gdekrh").alias("derkroDec"))
+    return having_match(renamed, members, [("derkroAdh", "kronoAdh")])
+
+
 def latest_decisions(members: DataFrame, decision: DataFrame) -> DataFrame:
     """Latest decision batch of each listed member."""
-    top = group_max(decision, "gdekro", "gdekrh", "derkroDec").withColumnRenamed("gdekro", "derkroAdh")
-    return having_match(top, members, [("derkroAdh", "kronoAdh")])
+    return listed_latest(members, latest_batches(decision))
 
 
 def source_latest(pointer: DataFrame, decision: DataFrame) -> DataFrame:

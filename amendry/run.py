@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from amendry.operators.order import ALL
 from amendry.plans import premium, reconcile, samples
-from amendry.sources.publish import folders, latest_version, publish, published
+from amendry.sources.publish import folders, in_parts, latest_version, news, publish, published
 from amendry.sources.sinks import archive_rows, dated
 from amendry.sources.workspace import Workspace
 
@@ -114,9 +114,27 @@ class Run:
         company = self.check_parameters("list_members")
         member, reference, decision = self.tables("t4padhpf", "p0elaepf", "p0egdepf")
         members = self.work.stage(reconcile.list_members(member, reference, decision, company), "members")
-        latest = reconcile.latest_decisions(members, decision)
+        latest, changed = self.latest_batches()
+        latest = self.work.stage(latest, "latest")
+        tables = {"adhgde2": members, "egdederdec": reconcile.listed_latest(members, latest), "latest_decision": latest}
         listed = members.select("kronoAdh").distinct().count()
-        return self.publish({"adhgde2": members, "egdederdec": latest}, {"egdederdec": listed}, unique={"egdederdec": ["derkroAdh"]})
+        unique = {"egdederdec": ["derkroAdh"], "latest_decision": ["gdekro"]}
+        options = {"changed": {"latest_decision": changed}} if changed is not None else {}
+        return self.publish(tables, {"egdederdec": listed}, unique=unique, kept_up=["latest_decision"], **options)
+
+    def latest_batches(self) -> tuple[DataFrame, DataFrame | None]:
+        """Latest batch of every member, and the members whose batch may have changed since the last listing.
+
+        The batches of the last listing are kept up: only decisions in folders written since are read.
+        """
+        found = news(self.spark, self.root, "p0egdepf", "latest_decision", self.base)
+        known = published(self.spark, self.root, "latest_decision", self.base)
+        if found is None or known is None:
+            return reconcile.latest_batches(self.table("p0egdepf")), None
+        anew = in_parts("latest_decision", found.anew)
+        fresh = reconcile.latest_batches(found.rows)
+        latest = reconcile.latest_batches(known.filter(~anew).unionByName(fresh))
+        return latest, fresh.select("gdekro").union(known.filter(anew).select("gdekro"))
 
     def find_anomalies(self) -> int:
         self.check_parameters("find_anomalies")

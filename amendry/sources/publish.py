@@ -77,6 +77,15 @@ class _Versions:
         return max((int(n[:-5]) for n in names if re.fullmatch(r"\d+\.json", n)), default=0)
 
     def read(self, version: int) -> Tables:
+        return {name: [Folder(*f) for f in own] for name, own in self._content(version).get("tables", {}).items()}
+
+    def made_from(self, version: int) -> dict[str, int]:
+        return self._content(version).get("made_from", {})
+
+    def exists(self, version: int) -> bool:
+        return self.files.exists(self._path(f"{version:010d}.json"))
+
+    def _content(self, version: int) -> dict:
         if not version:
             return {}
         stream = self.files.open(self._path(f"{version:010d}.json"))
@@ -84,13 +93,14 @@ class _Versions:
             text = self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return {name: [Folder(*f) for f in folders] for name, folders in json.loads(text)["tables"].items()}
+        return json.loads(text)
 
-    def claim(self, version: int, tables: Tables) -> None:
+    def claim(self, version: int, tables: Tables, made_from: dict[str, int]) -> None:
         draft, final = self._path(f".{uuid.uuid4().hex}"), self._path(f"{version:010d}.json")
         out = self.files.create(draft, False)
         try:
-            out.write(bytearray(json.dumps({"version": version, "tables": tables}), "utf-8"))
+            text = json.dumps({"version": version, "tables": tables, "made_from": made_from})
+            out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
         fs = self.jvm.org.apache.hadoop.fs
@@ -223,6 +233,7 @@ def publish(
     rows: dict[str, int] | None = None,
     unique: dict[str, list[str]] | None = None,
     base: int | None = None,
+    kept_up: list[str] | None = None,
 ) -> int:
     """Write the tables, check what was written, then switch to all of it together.
 
@@ -231,8 +242,9 @@ def publish(
     those already published instead of replacing them. `rows` is how many rows a table must
     have, `unique` the columns that tell its rows apart, tested on the partitions written: the
     key of a table's spans must be one of them. Columns that a layout requires must not be NULL.
-    `base` is the version the tables were made from, by default the latest one. Tables with a
-    declared layout are brought to it.
+    `base` is the version the tables were made from, by default the latest one, which is
+    noted for tables that are `kept_up` with others. Tables with a declared layout are
+    brought to it.
     """
     added, changed, unique = added or {}, changed or {}, unique or {}
     versions, writer = _Versions(spark, root), _Writer(spark, root)
@@ -259,7 +271,7 @@ def publish(
     wrong += [name for name, check in checks.items() if not check(frames)]
     if wrong:
         raise CheckFailed(f"version {base + 1} not published: {', '.join(wrong)}")
-    versions.claim(base + 1, after)
+    versions.claim(base + 1, after, {**versions.made_from(base), **dict.fromkeys(kept_up or [], base)})
     return base + 1
 
 
@@ -272,3 +284,27 @@ def published(spark: SparkSession, root: str, table: str, version: int | None =
     versions = _Versions(spark, root)
     tables = versions.read(versions.latest() if version is None else version)
     return _frame(spark, root, table, tables[table]) if table in tables else None
+
+
+class News(NamedTuple):
+    """What has happened to a table since another one was made from it."""
+
+    rows: DataFrame | None  # rows of new folders, and all rows of partitions that were written anew
+    anew: list[int]  # those partitions
+
+
+def news(spark: SparkSession, root: str, table: str, made: str, version: int) -> News | None:
+    """News of a table kept by spans, for the table `made` from it; None if only the whole table can tell."""
+    versions = _Versions(spark, root)
+    since = versions.made_from(version).get(made)
+    if since is None or not versions.exists(since) or table not in schema.SPANS:
+        return None
+    before, now = (set(versions.read(v).get(table, [])) for v in (since, version))
+    anew = {f.part for f in before - now}
+    fresh = sorted(f for f in now if f not in before or f.part in anew)
+    return News(_frame(spark, root, table, fresh), sorted(int(p.partition("=")[2]) for p in anew))
+
+
+def in_parts(table: str, parts: list[int]) -> Column:
+    """Rows of these partitions of a table kept by spans."""
+    return _in_parts(table, parts) if parts else F.lit(False)

@@ -67,6 +67,7 @@ TABLES = {
     "wage": "empno bigint, salary decimal(11,2)",
     "adhgde2": MEMBERS,
     "adhgde2sav": MEMBERS,
+    "latest_decision": "gdekro bigint, gdekrh bigint",
     "egdederdec": "derkroAdh bigint, derkroDec bigint",
     "open_letters": "corkro bigint, cornum bigint, corord bigint, cordat date, prtkro bigint, prtres string, prtmot string",
     "premium_report": "h43kmv bigint, h43nli int, line string",
@@ -81,6 +82,7 @@ SPANS = {
     "pretprioritaire": ("idpret", SPAN),
     "adhgde2": ("kronoAdh", SPAN),
     "p0egdepf": ("gdekro", SPAN),
+    "latest_decision": ("gdekro", SPAN),
     "employee": ("empno", SPAN),
 }
 DAYS = {"log": "log_date"}

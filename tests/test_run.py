@@ -81,6 +81,38 @@ def test_a_limited_run_writes_few_partitions(spark, root, monkeypatch):
     assert {f.part for f in after} == {f.part for f in before}
 
 
+def test_latest_batches_are_kept_up_from_new_folders(spark, root, monkeypatch):
+    """Batches that arrive, are corrected or go away: only their folders are read, and the result is that of the whole table."""
+    monkeypatch.setattr(schema, "SPANS", {**schema.SPANS, "p0egdepf": ("gdekro", 20), "latest_decision": ("gdekro", 20)})
+    decision = Views(spark, SF_DIR).decision()
+    publish(spark, root, {"p0egdepf": decision}, {})
+    run(spark, root, company="1").list_members()
+
+    def check(parts):
+        latest, changed = (again := run(spark, root, company="1")).latest_batches()
+        read = {f.split("run=")[1].split("/part-")[0] for f in latest.inputFiles() if "/p0egdepf/" in f}
+        assert {r.partition("/")[2] for r in read} == parts
+        whole = published(spark, root, "p0egdepf").groupBy("gdekro").agg(F.max("gdekrh"))
+        again.list_members()
+        assert rows(published(spark, root, "latest_decision")) == rows(whole)
+
+    check(set())  # nothing is new
+    keys = [r[0] for r in decision.selectExpr("gdekro div 20").distinct().collect()]
+    assert len(keys) > 4
+    low, high = min(keys), max(keys)
+    late = published(spark, root, "p0egdepf").filter(f"gdekro div 20 = {low}").selectExpr(
+        "gdekro", "gdekrh + 500 as gdekrh", "gdegar", "gdecdc", "gdedec", "gdecn1", "gdecn2", "gdecn3"
+    )
+    publish(spark, root, {}, {}, {"p0egdepf": late})  # rows are added
+    check({f"_part={low}"})
+    now = published(spark, root, "p0egdepf")
+    gone = now.filter(f"gdekro div 20 = {high}")
+    fewer = now.join(gone.groupBy("gdekro").agg(F.max("gdekrh").alias("gdekrh")), ["gdekro", "gdekrh"], "left_anti")
+    publish(spark, root, {"p0egdepf": fewer}, {}, changed={"p0egdepf": gone.select("gdekro")})  # latest batches are taken away
+    check({f"_part={high}"} & {f.part for f in folders(spark, root, "p0egdepf")})
+    publish(spark, root, {"p0egdepf": decision}, {})
+
+
 def test_the_second_of_two_runs_is_refused(spark, root):
     one, other = run(spark, root), run(spark, root, quantity="5")
     one.premium_report()
