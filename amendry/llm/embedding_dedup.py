@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amendry.llm.components import components
-from amendry.llm.rows import add_columns
+from amendry.llm.rows import add_columns, side_by_side, sides
 from amendry.llm.simhash import _merge
 from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
@@ -179,23 +179,22 @@ def _inside(least: float):
 
 def _across(least: float):
     def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                size = batch.column("size")[k].as_py()
-                sides, nodes = [], []
-                for name in ("rows_a", "rows_b"):
-                    rows = batch.column(name)[k].values
-                    nodes.append(np.asarray(rows.field("node")))
-                    sides.append((_matrix(rows.field("vector"), size), *[np.asarray(rows.field(n)) for n in ("weight", "root")]))
-                degrees, a, b = between_tiles(*sides, least)
-                node = np.concatenate([n[d > 0] for n, d in zip(nodes, degrees)])
-                links = np.concatenate([d[d > 0] for d in degrees])
-                none = pa.nulls(len(a), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([node, a])), pa.concat_arrays([pa.array(links), none]),
-                     pa.concat_arrays([pa.nulls(len(node), pa.int64()), pa.array(b)])],
-                    names=["node", "links", "other"],
-                )
+        for pair in sides(batches):
+            parts, nodes = [], []
+            for batch in pair:
+                rows = batch.column("rows")[0].values
+                nodes.append(np.asarray(rows.field("node")))
+                vectors = _matrix(rows.field("vector"), batch.column("size")[0].as_py())
+                parts.append((vectors, *[np.asarray(rows.field(n)) for n in ("weight", "root")]))
+            degrees, a, b = between_tiles(*parts, least)
+            node = np.concatenate([n[d > 0] for n, d in zip(nodes, degrees)])
+            links = np.concatenate([d[d > 0] for d in degrees])
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([node, a])), pa.concat_arrays([pa.array(links), none]),
+                 pa.concat_arrays([pa.nulls(len(node), pa.int64()), pa.array(b)])],
+                names=["node", "links", "other"],
+            )
 
     return run
 
@@ -280,9 +279,7 @@ def near_duplicates(
     own = work.stage(tiles.repartition(max(1, math.ceil(total / limit))).mapInArrow(_inside(least), inner), "inside")
     again = own.groupBy("tile", "size").agg(F.collect_list(F.struct("node", "weight", "vector", "root")).alias("rows"))
     todo = work.stage(pairs, "near_tiles")
-    a = again.selectExpr("tile as i", "size", "rows as rows_a")
-    b = again.selectExpr("tile as j", "rows as rows_b")
-    wide = todo.join(a, "i").join(b, "j").drop("i", "j").repartition(max(1, todo.count()))
+    wide = side_by_side(again, todo, "tile", max(1, todo.count()))
     found = work.stage(wide.mapInArrow(_across(least), "node bigint, links bigint, other bigint"), "across")
     degrees = own.select("node", "links").union(found.filter("links is not null").select("node", "links"))
     degrees = degrees.groupBy("node").agg(F.sum("links").alias("links"))

@@ -27,6 +27,28 @@ def pieces(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
         yield part
 
 
+def side_by_side(tiles: DataFrame, pairs: DataFrame, tile: str, tasks: int) -> DataFrame:
+    """Rows of `tiles` once for every pair (i, j) that they are in, the two of a pair one after the other in one task.
+
+    Each tile is sent once to each of its pairs. `sides` reads the pairs again.
+    """
+    ends = pairs.selectExpr("i", "j", f"inline(array(struct(i as `{tile}`, 0 as side), struct(j as `{tile}`, 1 as side)))")
+    met = tiles.join(ends, tile)
+    return met.repartitionByRange(tasks, "i", "j").sortWithinPartitions("i", "j", "side")
+
+
+def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch]]:
+    """The two rows of each pair, as batches of one row."""
+    held = None
+    for batch in batches:
+        side = batch.column("side").to_pylist()
+        for k in range(batch.num_rows):
+            if side[k] == 0:
+                held = batch.slice(k, 1)
+            else:
+                yield held, batch.slice(k, 1)
+
+
 def meet(left: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Left join of wide rows with staged facts: a long key, unique and of the same name, and one number.
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amendry.llm.components import components
-from amendry.llm.rows import add_columns, meet
+from amendry.llm.rows import add_columns, meet, side_by_side, sides
 from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
 
@@ -176,11 +176,10 @@ def _within(radius: int):
 
 def _between(radius: int):
     def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                sides = [_longs(batch.column(c)[k]) for c in ("fps_a", "roots_a", "fps_b", "roots_b")]
-                a, b = root_links(*sides, radius)
-                yield pa.RecordBatch.from_arrays([_signed(a), _signed(b)], names=["a", "b"])
+        for pair in sides(batches):
+            parts = [_longs(batch.column(c)[0]) for batch in pair for c in ("fps", "roots")]
+            a, b = root_links(*parts, radius)
+            yield pa.RecordBatch.from_arrays([_signed(a), _signed(b)], names=["a", "b"])
 
     return run
 
@@ -211,8 +210,7 @@ def connected(fingerprints: DataFrame, name: str, radius: int, work: Workspace,
     ends = ", ".join(f"{e}{k} int" for e in ("l", "h") for k in range(4))
     todo = work.stage(near_tiles(spark.createDataFrame(boxes, f"tile bigint, {ends}"), radius), "near_tiles")
     pairs = todo.count()
-    a, b = (tiles.selectExpr(f"tile as {t}", f"fps as fps_{n}", f"roots as roots_{n}") for t, n in (("i", "a"), ("j", "b")))
-    wide = todo.join(a, "i").join(b, "j").drop("i", "j").repartition(max(1, min(pairs, width + pairs // 64)))
+    wide = side_by_side(tiles, todo, "tile", max(1, min(pairs, width + pairs // 64)))
     found = components(wide.mapInArrow(_between(radius), "a bigint, b bigint"), work)
     members = tiles.select(F.explode(F.arrays_zip("fps", "roots")).alias("m")).select(F.col("m.fps").alias(name), "m.roots")
     joined = guarded_join(members, found, [("roots", "node")], "left")
