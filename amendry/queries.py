@@ -13,7 +13,7 @@ from amendry.operators import change, checks, collect, joins, order
 from amendry.operators.asof import asof_lookup
 from amendry.operators.lookup import checked_lookup, one_per_key
 from amendry.plans import premium, reconcile, samples
-from amendry.sources import schema, sinks
+from amendry.sources import ordered, schema, sinks
 from amendry.sources.publish import folders, publish, published
 from amendry.sources.views import Views
 from amendry.sources.workspace import Workspace
@@ -304,6 +304,18 @@ def sort_desc(v):
     return order.sorted_rows(v.employee().select("empno", "birthdate"), order.descending("birthdate"))
 
 
+@query
+def sort_verified(v):
+    """Tiers published in order: rows, first and last key over all files, and files that break the order."""
+    by = order.ascending("packro") + order.descending("pacdep") + order.ascending("pacggi")
+    path = Workspace(v.spark).path("sorted")
+    ordered.write_sorted(v.tier().select("packro", "pacdep", "pacggi"), by, path)
+    ranges = Workspace(v.spark).stage(ordered.file_ranges(v.spark, path, by), "ranges")
+    broken = ordered.violations(ranges, by).count()
+    ends = ranges.agg(F.sum("rows").alias("n"), F.min_by("first", "file").alias("first"), F.max_by("last", "file").alias("last"))
+    return ends.select("n", "first.*", *[F.col(f"last.{k.name}").alias(f"last_{k.name}") for k in by], F.lit(broken).cast("long").alias("broken"))
+
+
 @query
 def limit_n(v):
     return _first_open(v, ROWS)

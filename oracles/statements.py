@@ -167,6 +167,13 @@ ORACLES = {
     "sort_single": q("select h43ggi, h43kmv from h43 where h43tau is null order by h43kmv nulls last, h43ggi", "h43"),
     "sort_multi": q("select packro, pacdep, pacggi from pac order by packro, pacdep, pacggi", "pac"),
     "sort_desc": q("select empno, birthdate from emp order by birthdate desc nulls first, empno", "emp"),
+    "sort_verified": q(
+        """select (select count(*) from pac) n, a.packro, a.pacdep, a.pacggi, b.packro last_packro, b.pacdep last_pacdep,
+                  b.pacggi last_pacggi, cast(0 as bigint) broken
+           from (select packro, pacdep, pacggi from pac order by packro, pacdep desc nulls first, pacggi limit 1) a,
+                (select packro, pacdep, pacggi from pac order by packro desc nulls first, pacdep, pacggi desc nulls first limit 1) b""",
+        "pac",
+    ),
     "limit_n": q(
         "select h43kmv, h43ggi, h43mpb from h43 where h43tau is null order by h43kmv, h43ggi, h43mpb limit 1000", "h43"
     ),

@@ -18,6 +18,10 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SORTED = {"limit_n", "limit_large", "top_k", "log_by_day", "job_open_letters"}
 
 
+# sorted by these keys; rows with equal keys may come in any order, so only the keys are compared one by one
+SORTED_BY = {"sort_single": ["h43kmv"], "sort_multi": ["packro", "pacdep"], "sort_desc": ["birthdate"]}
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF_DIR)
@@ -40,6 +44,17 @@ def test_query_equals_sql(spark, con, name):
     assert problem is None, problem  # an empty result counts as one
 
 
+@pytest.mark.parametrize("name", sorted(SORTED_BY))
+def test_sorts_in_order_over_several_partitions(spark, con, settings, name):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="5")
+    frame = REGISTRY[name](spark, SF_DIR)
+    assert frame.rdd.getNumPartitions() > 1
+    cursor = con.execute(ORACLES[name])
+    names = [d[0] for d in cursor.description]
+    expected = [tuple(r[names.index(c)] for c in SORTED_BY[name]) for r in cursor.fetchall()]
+    assert [tuple(r[c] for c in SORTED_BY[name]) for r in frame.collect()] == expected
+
+
 def test_branches_reached_at_a_known_scale(spark):
     """Row counts obtained independently in SQL for the test tables at scale 0.01."""
     v = Views(spark, "/root/testdata/sf0.01")

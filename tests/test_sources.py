@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from amendry.operators.rejects import COLUMNS
 from amendry.sources import publish as publishing
-from amendry.sources import schema, sinks, workspace
+from amendry.operators import order
+from amendry.sources import ordered, schema, sinks, workspace
 from amendry.sources.publish import CheckFailed, VersionTaken, publish, published
 from amendry.sources.workspace import Workspace
 from tests.conftest import rows
@@ -197,6 +198,22 @@ def test_shared_folder_comes_from_the_session():
     assert os.path.isdir(workspace.shared_folder(Settings("local[2]")))
 
 
+def test_order_of_files_is_verified(spark, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="4")
+    by = order.descending("k") + order.ascending("t")
+    df = spark.range(3000).selectExpr("if(id % 9 = 0, null, cast(id % 40 as int)) as k", "if(id % 7 = 0, null, cast(id % 500 as string)) as t", "id")
+    work = Workspace(spark)
+    ordered.write_sorted(df.repartition(6), by, work.path("good"))
+    ranges = ordered.file_ranges(spark, work.path("good"), by)
+    assert ranges.count() > 1 and ranges.agg(F.sum("rows")).first()[0] == 3000
+    assert ordered.violations(ranges, by).count() == 0
+    df.repartition(3).sortWithinPartitions(*order.columns(by)).write.parquet(work.path("overlapping"))
+    found = ordered.violations(ordered.file_ranges(spark, work.path("overlapping"), by), by)
+    assert found.count() == 2 and found.agg(F.sum("wrong")).first()[0] == 0
+    df.coalesce(1).write.parquet(work.path("unsorted"))
+    assert ordered.violations(ordered.file_ranges(spark, work.path("unsorted"), by), by).first()["wrong"] > 0
+
+
 def test_insert_select_fills_missing_columns(spark):
     target = spark.createDataFrame([(1, "N", 2.0)], "id bigint, flag string, x double")
     got = sinks.insert_select(target, spark.createDataFrame([(5,)], "id int"))
