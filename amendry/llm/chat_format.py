@@ -72,7 +72,10 @@ def rotate(
     Turns are ordered by `turn`, nulls first, then by a hash of speaker and text; repeated
     rows stay repeated. A null speaker is "unknown", a null text is empty, and null is a
     dialogue of its own. A dialogue of system turns only has no participant and is not
-    rendered. Other columns are not read; an empty table gives no rows.
+    rendered. Other columns are not read; an empty table gives no rows; texts of any length
+    are rendered whole. Ids of dialogues and turns are taken as long. Texts are given as they
+    are: one that holds the marks of a turn puts them into the rendering, so texts from
+    unknown sources should be cleaned of them before.
     """
     work = Workspace(df.sparkSession)
     turns = df.select(

@@ -84,7 +84,8 @@ def features(texts: list[bytes]) -> np.ndarray:
     doc = np.searchsorted(begins, at, "right") - 1
     words = np.bincount(doc, minlength=n)
     distinct, top = _repeats(first, doc, n)
-    pair = first[:-1] * np.uint64(0x9E3779B97F4A7C15) + first[1:]
+    # not a multiplier of the words' own hashes, with which letters could change places unnoticed
+    pair = first[:-1] * np.uint64(0xD6E8FEB86659FD93) + first[1:]
     same = doc[:-1] == doc[1:]
     pairs, top_pair = _repeats(pair[same], doc[:-1][same], n)
     logs = np.log1p(np.column_stack([size, words]))
@@ -156,8 +157,9 @@ def fit(
 
     Of more than `sample` such labels, about so many are used, chosen by a hash of their id,
     which bounds what is broadcast. Rows with a null id or label teach nothing. Repeated
-    labels, and repeated documents of one id, teach once. Only features of the chosen ids
-    reach the driver.
+    labels, and repeated documents of one id, teach once; of several texts under one id the
+    one with the smallest features does. Empty texts teach like any other, and equal features
+    with different labels both. Only features of the chosen ids reach the driver.
     """
     chosen = labels.select(F.col(f"`{ident}`").alias("_id"), (F.col(f"`{label}`") > 0).cast("int").alias("_label"))
     chosen = chosen.filter("_id is not null and _label is not null").filter(~held_out("_id")).distinct()
@@ -196,7 +198,12 @@ def add_score(df: DataFrame, model: Model, text: str = "text", name: str = "scor
 
 
 def accepted(df: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of df whose score reaches CUT, with their own columns."""
+    """Rows of df whose score reaches CUT, with their own columns.
+
+    A score at CUT itself stays. Null and empty texts are judged by the score of an empty text,
+    copies alike, and a text of any length whole. An empty table stays empty; without labels of
+    both kinds, rows are kept or dropped all together.
+    """
     model = fit(df, labels, ident, text)
     rows = df.select(F.col(f"`{text}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
     return add_score(rows, model, "_text", "_score").filter(F.col("_score") >= CUT).select("_row.*")

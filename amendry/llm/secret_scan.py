@@ -228,7 +228,8 @@ def add_spans(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
     """df + `name`: array of (start, turn, end), by start, then by the rules' order; code points, end exclusive.
 
     A null text is an empty one and has no spans. Equal texts have equal spans, repeated
-    rows stay repeated, and a column of df named `name` is replaced. Texts are read whole.
+    rows stay repeated, and a column of df named `name` is replaced. A text of any length is
+    read whole, its matches placed by sums over them; an empty table stays empty.
     """
     kept = [c for c in df.columns if c.lower() != name.lower()]
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))

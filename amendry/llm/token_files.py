@@ -211,7 +211,10 @@ def write(
     """Write the ids of every text, followed by `end`, in ascending order of `ident`.
 
     Nulls come first; equal idents are ordered by a hash of the text, and a hot one can
-    span shards. Null and empty texts have only the end id. Other columns are not read.
+    span shards. Null and empty texts have only the end id, repeated rows are written each,
+    and a text of any length is encoded whole and cut into blocks with the others. An empty
+    table gives files without documents. Ids of documents are taken as long. Other columns
+    are not read.
     """
     spark = df.sparkSession
     rows = df.select(F.col(f"`{ident}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))

@@ -90,6 +90,12 @@ def test_rows_stay_and_names_clash(spark, library):
     assert pieces.add_ids(df.limit(0), MODEL).count() == 0
 
 
+def test_very_long_text_is_encoded_whole(spark, library):
+    long = " ".join(f"wort{k % 9973}é" for k in range(1_200_000))
+    (row,) = pieces.add_ids(spark.createDataFrame([(1, long)], "doc_id long, text string"), MODEL, same="same").collect()
+    assert row["same"] and row["ids"] == library.encode(long)
+
+
 def test_query_on_whole_table(spark, sf, library):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = REGISTRY["op9_sentencepiece"](spark, sf).collect()

@@ -115,6 +115,14 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
 
 
+def test_very_long_text_is_hashed_whole(spark):
+    """A text beyond one slice and one block of shingles, and its copy but for the last word."""
+    long = " ".join(f"w{k % 5003}" for k in range(900_000))
+    rows = [(1, long), (2, long + " end"), (3, "other words " * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.near_duplicates(df, shingle=4, radius=4).collect())) == expected(rows, 4, 4)
+
+
 def test_query_on_whole_table(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     found = REGISTRY["op8_simhash_near_dedup"](spark, sf).collect()
