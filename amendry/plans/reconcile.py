@@ -36,7 +36,8 @@ ABSENT, NOT_FOUND_TEXT = "-", "not found"
 DECISION_REASON = Reason("001401", "no single decision for OB {numObaSR}, cover {gdegar}", level="WARN")
 CONFLICT = "CONFLICT"
 CONFLICT_REASON = Reason(CONFLICT, "the OBs of a member ask for different decisions on cover {gdegar}", level="WARN", rc=RC_AMBIGUOUS)
-PARAMETER_CODE = "001227"
+# Code and text of an invalid parameter.
+PARAMETER_CODE, PARAMETER_TEXT = "001227", ("parametre ", " invalide")
 
 # a member row is one member and one of its OBs, which may be unknown
 OB_KEY = "coalesce(numObaSR, -1)"
@@ -67,7 +68,7 @@ def check_parameters(params: DataFrame, company: DataFrame) -> DataFrame:
             "parameter",
             F.lit(PARAMETER_CODE).alias("code"),
             F.lit("WARN").alias("level"),
-            message("parametre ", F.col("parameter"), " invalide").alias("message"),
+            message(PARAMETER_TEXT[0], F.col("parameter"), PARAMETER_TEXT[1]).alias("message"),
         )
     )
 
