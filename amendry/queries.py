@@ -13,7 +13,7 @@ from amendry.operators import change, checks, collect, joins, order
 from amendry.operators.asof import asof_lookup
 from amendry.operators.lookup import checked_lookup, one_per_key
 from amendry.plans import premium, reconcile, samples
-from amendry.sources import ordered, schema, sinks
+from amendry.sources import buckets, ordered, schema, sinks
 from amendry.sources.publish import folders, publish, published
 from amendry.sources.views import Views
 from amendry.sources.workspace import Workspace
@@ -157,6 +157,17 @@ def join_inner(v):
     return v.movement().join(v.loan(), F.col("madkro") == F.col("prtkro")).select("madkmv", "prtcie", "prtdrt", "prtban")
 
 
+@query
+def join_bucketed(v):
+    """Premium rows stored in buckets of their movement, beside the loan of a movement that has one."""
+    work = Workspace(v.spark)
+    buckets.write_bucketed(v.history().select("h43kmv", "h43nli", "h43ggi"), "h43kmv", 16, work.path("history"))
+    loans = one_per_key(v.movement(), ["madkmv"], ["madkro"], "n").filter("n = 1").select("madkmv", "madkro")
+    buckets.write_bucketed(loans, "madkmv", 16, work.path("movement"))
+    stored, partner = (buckets.read_bucketed(v.spark, work.path(n)) for n in ("history", "movement"))
+    return buckets.bucketed_join(stored, partner, "madkmv")
+
+
 @query
 def join_composite(v):
     same = (F.col("cornum") == F.col("prtnum")) & (F.col("corord") == F.col("prtord"))

@@ -22,6 +22,7 @@ def local_session(name: str = "amendry", cores: str | None = None) -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "8g"))
         .config("spark.checkpoint.dir", shared)
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")

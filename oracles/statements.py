@@ -68,6 +68,12 @@ ORACLES = {
     "filter_blank": q("select laekro from elae where trim(substr(laeref, 13, 11)) = ''", "elae"),
     # ---- joins
     "join_inner": q("select madkmv, prtcie, prtdrt, prtban from mvt join loan on madkro = prtkro", "mvt", "loan"),
+    "join_bucketed": q(
+        """select h43kmv, h43nli, h43ggi, madkro
+           from h43 left join (select madkmv, max(madkro) madkro from mvt group by madkmv having count(*) = 1) on h43kmv = madkmv""",
+        "h43",
+        "mvt",
+    ),
     "join_composite": q(
         """select corkro, prtkro, cordat, prtres from cor
            join loan on cornum = prtnum and corord = prtord""",

@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from amendry.plans import premium, reconcile
+from amendry.sources import buckets
 from amendry.sources.views import Views
+from amendry.sources.workspace import Workspace
+from tests.conftest import rows
 
 SF_DIR = "/root/testdata/sf0.1"
 
@@ -84,3 +87,28 @@ def test_no_plan_forces_a_broadcast(views):
     job = premium.backfill_history(views.history(), views.movement(), views.loan(), views.bank(), views.rate())
     job.table.collect()
     assert "Broadcast" not in job.table._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_bucketed_join_exchanges_no_stored_row(spark, settings, how):
+    """A third of all rows on one key, a tenth without a key: the others stay in their buckets, hot ones stay where they are read."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    facts = spark.range(9000).selectExpr("if(id % 10 = 9, null, if(id % 3 = 0, 7, id % 200)) as k", "id as v").repartition(5)
+    ref = spark.range(0, 190).selectExpr("id as r", "id * 2 as w")
+    folder = Workspace(spark).path("bucketed")
+    buckets.write_bucketed(facts, "k", 4, f"{folder}/facts", hot_rows=1000)
+    buckets.write_bucketed(ref, "r", 4, f"{folder}/ref")
+    stored = buckets.read_bucketed(spark, f"{folder}/facts")
+    assert rows(stored.hot_keys) == [(None,), (7,)] and stored.hot.count() + stored.cold.count() == 9000
+    expected = rows(facts.join(ref, F.col("k") == F.col("r"), how).drop("r"))
+    for partner, exchanges in ((ref, 1), (buckets.read_bucketed(spark, f"{folder}/ref"), 0)):
+        joined = buckets.bucketed_join(stored, partner, "r", how)
+        assert rows(joined) == expected
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning") == exchanges, plan
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+    assert buckets.bucketed_join(stored, ref, "r", how).filter("k = 7").count() == sum(r[0] == 7 for r in expected)
+    spark.sql(f"drop table {buckets._name(folder + '/facts')}")  # as another session would find it
+    assert rows(buckets.bucketed_join(buckets.read_bucketed(spark, f"{folder}/facts"), ref, "r", how)) == expected
+    with pytest.raises(ValueError, match="how"):
+        buckets.bucketed_join(stored, ref, "r", "full")
