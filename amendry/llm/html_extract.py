@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from amendry.llm.rows import add_columns
+from amendry.llm.rows import add_columns, led
 from amendry.llm.url_filter import host_of
 from amendry.operators.joins import guarded_join
 from amendry.sources.workspace import Workspace
@@ -39,6 +39,7 @@ PAGES = 8  # distinct pages that must agree on a text inside a named article, or
 SHARE = 0.9  # of the pages that have a node inside a named article, must hold such texts there
 MOST = 0.5  # of the pages that have any other node, more than this must hold texts that recur there
 ALIGNED = 16 << 20  # letters of trees whose alignments a task remembers
+LED = 2048  # pages of a host that one copy of its guides or pivot serves
 TOGETHER = 16  # trees of a host that one task merges at a time
 GUIDES = 16  # a text guides alignment if one in so many pages with its path hold it there
 CELLS = 1 << 21  # of a table of two lists of children; longer lists are halved
@@ -471,34 +472,20 @@ def _merge(base: _Tree, other: _Tree) -> str:
     return "\n".join(lines)
 
 
-class _Kept:
-    """Values made of long strings, the last ones remembered."""
-
-    def __init__(self, make, size: int = 64):
-        self.make, self.size, self.known = make, size, OrderedDict()
-
-    def __call__(self, text: str):
-        if text not in self.known:
-            if len(self.known) >= self.size:
-                self.known.popitem(last=False)
-            self.known[text] = self.make(text)
-        return self.known[text]
-
-
 class _Aligner:
-    """Alignments with pivots; the last ones are remembered, in at most about ALIGNED letters of trees."""
+    """Alignments with a host's pivot; the last ones are remembered, in at most about ALIGNED letters of trees."""
 
     def __init__(self):
         self.known: OrderedDict[tuple[str, str], dict[int, int]] = OrderedDict()
-        self.read, self.held = _Kept(_read_tree, 8), 0
+        self.held = 0
 
-    def __call__(self, host: str, tree: str, pivot: str) -> dict[int, int]:
+    def __call__(self, host: str, tree: str, pivot: _Tree) -> dict[int, int]:
         key = (host, tree)
         if key not in self.known:
             self.held += len(tree)
             while self.known and self.held > ALIGNED:
                 self.held -= len(self.known.popitem(last=False)[0][1])
-            self.known[key] = _align(_read_tree(tree), self.read(pivot))
+            self.known[key] = _align(_read_tree(tree), pivot)
         return self.known[key]
 
 
@@ -591,33 +578,47 @@ def _guided(tree: str, hashes, guides: dict[int, frozenset[int]]) -> tuple[str,
     return "\n".join(lines), kept
 
 
-def _guided_pages(batches):
-    read = _Kept(_read_guides, 8)
+def _led_rows(batches, names: list[str], fact: str, read):
+    """For every batch, its rows that are led, and for each the fact of its leader, read once."""
+    place, known = None, None
     for batch in batches:
+        kept, facts = [], []
+        leads, hosts, parts = (batch.column(c).to_pylist() for c in ("_lead", "host", "_part"))
+        for k, key in enumerate(zip(hosts, parts)):
+            if leads[k]:
+                place, known = key, read(batch.column(fact)[k].as_py())
+            elif key == place:
+                kept.append(k)
+                facts.append(known)
+        own = batch.take(pa.array(kept, pa.int64())) if len(kept) < batch.num_rows else batch
+        yield own, facts, [own.column(c).to_pylist() for c in names]
+
+
+def _guided_pages(batches):
+    for own, facts, columns in _led_rows(batches, ["tree", "hashes", "nodes"], "guides", _read_guides):
         trees, texts, places = [], [], []
-        for tree, hashes, nodes, guides in zip(*[batch.column(c).to_pylist() for c in ("tree", "hashes", "nodes", "guides")]):
-            labelled, own = _guided(tree, hashes, read(guides))
+        for guides, tree, hashes, nodes in zip(facts, *columns):
+            labelled, kept_places = _guided(tree, hashes, guides)
             usable = set(nodes)  # only texts that may be content need a decision
             trees.append(labelled)
-            texts.append([hashes[k] if k in usable else 0 for k in own])
-            places.append(own)
-        columns = [pa.array(trees, pa.string()), pa.array(texts, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
+            texts.append([hashes[k] if k in usable else 0 for k in kept_places])
+            places.append(kept_places)
+        found = [pa.array(trees, pa.string()), pa.array(texts, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), batch.column("shape"), *columns], names=["host", "shape", "tree", "hashes", "places"]
+            [own.column("host"), own.column("shape"), *found], names=["host", "shape", "tree", "hashes", "places"]
         )
 
 
 def _aligned(batches):
     aligner = _Aligner()
-    for batch in batches:
+    for own, facts, columns in _led_rows(batches, ["host", "tree", "hashes", "places"], "pivot", _read_tree):
         found = []
-        columns = [batch.column(c).to_pylist() for c in ("host", "tree", "hashes", "places", "pivot")]
-        for host, tree, hashes, places, pivot in zip(*columns):
+        for pivot, host, tree, hashes, places in zip(facts, *columns):
             found.append([(places[a], b, hashes[a]) for a, b in aligner(host, tree, pivot).items() if hashes[a]])
         types = (pa.int32(), pa.int32(), pa.int64())
-        lists = [pa.array([[x[k] for x in own] for own in found], pa.list_(t)) for k, t in enumerate(types)]
+        lists = [pa.array([[x[k] for x in pairs] for pairs in found], pa.list_(t)) for k, t in enumerate(types)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), batch.column("shape"), *lists], names=["host", "shape", "place", "node", "hash"]
+            [own.column("host"), own.column("shape"), *lists], names=["host", "shape", "place", "node", "hash"]
         )
 
 
@@ -668,14 +669,13 @@ def template_nodes(skeletons: DataFrame, least: int, work: Workspace) -> DataFra
     """
     spark, rows = skeletons.sparkSession, skeletons.count()
     guides = work.stage(_guides(skeletons), "guides")
-    dealt = skeletons.repartition(_width(spark, rows, 64), "host", "shape")
-    pages = guarded_join(dealt, guides, [("host", "host")], "inner").select("host", "shape", "tree", "hashes", "nodes", "guides")
+    tasks = _width(spark, rows, 64)
     schema = "host string, shape string, tree string, hashes array<bigint>, places array<int>"
-    pages = work.stage(pages.mapInArrow(_guided_pages, schema), "guided")
-    pivots = _pivots(pages, work)
-    together = guarded_join(pages, pivots, [("host", "host")], "inner").select("host", "shape", "tree", "hashes", "places", "pivot")
+    pages = led(skeletons, guides, "host", "shape", LED, tasks).mapInArrow(_guided_pages, schema)
+    pages = work.stage(pages, "guided")
     schema = "host string, shape string, place array<int>, node array<int>, hash array<bigint>"
-    aligned = work.stage(together.mapInArrow(_aligned, schema), "aligned")
+    pivots = _pivots(pages, work)
+    aligned = work.stage(led(pages, pivots, "host", "shape", LED, tasks).mapInArrow(_aligned, schema), "aligned")
     texts = aligned.select("host", "shape", F.explode(F.arrays_zip("place", "node", "hash")).alias("t")).select("host", "shape", "t.*")
     kinds = work.stage(texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n")), "kinds")
     again, often = F.col("n") >= least, F.col("n") >= PAGES

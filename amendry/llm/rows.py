@@ -49,6 +49,20 @@ def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, p
                 yield held, batch.slice(k, 1)
 
 
+def led(rows: DataFrame, facts: DataFrame, key: str, by: str, each: int, tasks: int) -> DataFrame:
+    """rows in parts of about `each` rows of one key, and before every part the key's row of `facts`.
+
+    A large fact of a key, unique in `facts`, is so sent once to each part and not beside every
+    row; a hot key has many parts. `by` tells the rows of a key apart. Keys without rows are
+    left out; rows without a fact are not led. Sorted by key, _part and _lead, leaders first.
+    """
+    parts = rows.groupBy(key).agg(F.ceil(F.count("*") / each).cast("int").alias("_parts"))
+    dealt = guarded_join(rows, parts, [(key, key)], "inner").withColumn("_part", F.pmod(F.xxhash64(by), F.col("_parts")).cast("int"))
+    heads = guarded_join(facts, parts, [(key, key)], "inner").withColumn("_part", F.explode(F.expr("sequence(0, _parts - 1)")))
+    both = dealt.withColumn("_lead", F.lit(0)).unionByName(heads.withColumn("_lead", F.lit(1)), allowMissingColumns=True)
+    return both.drop("_parts").repartition(tasks, key, "_part").sortWithinPartitions(key, "_part", F.desc("_lead"))
+
+
 def meet(left: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Left join of wide rows with staged facts: a long key, unique and of the same name, and one number.
 
