@@ -27,7 +27,7 @@ from amendry.llm.rows import add_columns
 
 SPACE = "▁"  # fixed value: how pieces spell a space
 USUAL = 3  # characters of a piece; such pieces are tried first
-CACHED = 100 << 20  # bytes of known words and their ids after which a task forgets them before it goes on
+CACHED = 60 << 20  # bytes of known words and their ids after which a task forgets them before it goes on
 HELD = 200  # bytes that a known word takes beside its letters and ids
 DECODED = 1 << 18  # ids decoded at once
 PART = 1 << 20  # characters whose words are held at once

@@ -24,6 +24,7 @@ PAIRS = 200_000  # preference pairs, about
 RIDGE = 1e-2  # on standardised features
 CUT = 0.3  # score at the threshold
 STEEP = 1.0
+TOGETHER = 2 << 20  # bytes of text whose features are taken together
 
 # byte classes: white space, digits, capitals, small letters, full stops and commas, other ASCII, beyond ASCII
 _KINDS = 7
@@ -61,7 +62,7 @@ def features(texts: list[bytes]) -> np.ndarray:
     shares = np.zeros((n, _KINDS))
     if len(raw):
         for k in range(_KINDS):
-            shares[:, k] = np.add.reduceat((kind == k).astype(np.int64), begins)
+            shares[:, k] = np.add.reduceat(kind == k, begins, dtype=np.int64)
         shares[:, 0] -= 1  # the separators
     shares /= chars[:, None]
     words = raw_words = np.zeros(n)
@@ -181,7 +182,7 @@ def add_features(df: DataFrame, text: str, name: str) -> DataFrame:
         flat = pa.array(x.ravel())
         return [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), flat)]
 
-    return add_columns(df, [text], [T.StructField(name, T.ArrayType(T.DoubleType()))], compute)
+    return add_columns(df, [text], [T.StructField(name, T.ArrayType(T.DoubleType()))], compute, TOGETHER)
 
 
 def add_score(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
@@ -194,7 +195,7 @@ def add_score(df: DataFrame, model: Model, text: str = "text", name: str = "scor
     def compute(texts):
         return [pa.array(model.score(features([t or b"" for t in texts.cast(pa.binary()).to_pylist()])))]
 
-    return add_columns(df, [text], [T.StructField(name, T.DoubleType())], compute)
+    return add_columns(df, [text], [T.StructField(name, T.DoubleType())], compute, TOGETHER)
 
 
 def accepted(df: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SEGMENT = 4 << 20  # bytes of text cut into words at once
+SEGMENT = 1 << 20  # bytes of text cut into words at once
 
 _WORD = np.zeros(256, bool)
 for _span in (range(0x30, 0x3A), range(0x41, 0x5B), range(0x61, 0x7B), range(0x80, 0x100)):
