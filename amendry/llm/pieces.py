@@ -27,7 +27,7 @@ from amendry.llm.rows import add_columns
 
 SPACE = "▁"  # fixed value: how pieces spell a space
 USUAL = 3  # characters of a piece; such pieces are tried first
-CACHED = 60 << 20  # bytes of known words and their ids after which a task forgets them before it goes on
+CACHED = 40 << 20  # bytes of known words and their ids after which a task forgets those it does not meet again
 HELD = 200  # bytes that a known word takes beside its letters and ids
 DECODED = 1 << 18  # ids decoded at once
 PART = 1 << 20  # characters whose words are held at once
@@ -333,19 +333,25 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; all words not known yet are encoded together."""
-        if self.held > CACHED:
-            self.known.clear()
-            self.held = 0
-        new: set[str] = set()
+        seen: set[str] = set()
         for part in self._parts(texts):
-            new |= set().union(*self._words(part)).difference(self.known)
-        words = list(new)
+            seen.update(*self._words(part))
+        if self.held > CACHED:  # words met again stay known
+            self._remember({w: self.known[w] for w in seen if w in self.known})
+        words = list(seen.difference(self.known))
         coded = encode_words(self.vocabulary, [w.replace(" ", SPACE) for w in words])
         self.known.update(zip(words, coded))
-        self.held += HELD * len(words) + sum(map(len, words)) + sum(map(len, coded))
+        self.held += self._size(words, coded)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for part in self._parts(texts) for words in self._words(part)]
 
+    def _remember(self, known: dict[str, bytes]) -> None:
+        self.known, self.held = known, self._size(known, known.values())
+
+    @staticmethod
+    def _size(words, coded) -> int:
+        return HELD * len(words) + sum(map(len, words)) + sum(map(len, coded))
+
 
 class Decoder:
     """Text of ids, piece by piece; no more than DECODED ids are spelt out at once."""
