@@ -172,6 +172,8 @@ _NEAR = [
         r"\b(?:isbn|issn|order|version|invoice|page|date|ref|no|id|total|price|population|year)\b",
     )
 ]
+# fixed values: usual last labels of addresses
+_LAST = frozenset("com org net edu gov info biz io co uk de fr es it nl be ch at eu us ca au jp in br pl se no dk fi pt".split())
 _SIDES = 4
 
 
@@ -198,7 +200,7 @@ def features(text: str, span: Span) -> list[float]:
         12 <= len(digits) <= 19 and passes_luhn(digits),
         len(groups) == 4 and max(groups) <= 3 and is_ip(own),
         int(digits[:1] or 0), digits[:2] == "00", len(set(digits)),
-        len(labels), len(labels[-1]), sum(c.isalpha() for c in own),
+        len(labels), len(labels[-1]), sum(c.isalpha() for c in own), labels[-1].lower() in _LAST,
         *sides,
         ahead[-1:].isdigit(), ahead[-1:] == "+", behind[:1].isdigit(), behind[:1] in ("+", "("),
         *[bool(p.search(before)) for p in _NEAR],
@@ -336,6 +338,10 @@ def _respelt(kind: int, own: str, draw: random.Random) -> Iterator[tuple[str, li
     yield f"{n(1, 29)}.{n(1, 13)}.{n(1900, 2030)} {n(1, 29)}.{n(1, 13)}.{n(1900, 2030)}", []
     yield f"{n(1, 999)}.{n(1000):03d}.{n(1000):03d}", []
     yield f"{n(10**7, 10**12)}", []
+    yield f"{n(100)}.{n(10**7, 10**14)}", []
+    yield f"97{n(8, 10)}-{n(1, 10)}-{n(10, 1000)}-{n(10**4, 10**6)}-{n(10)}", []
+    words = ["".join(draw.choice("abcdefghinorstu") for _ in range(n(2, 8))) for _ in range(3)]
+    yield f"{words[0]} at {words[1]} dot {words[2]}", []
     yield " ".join(str(n(1, 10**4)) for _ in range(n(3, 9))), []
 
 
