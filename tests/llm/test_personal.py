@@ -76,7 +76,7 @@ def test_candidates_overlap_and_cover_what_base_rules_miss():
 
 def test_trees_follow_a_plain_rule_and_thresholds_keep_the_precision():
     draw = np.random.default_rng(5)
-    x = draw.normal(size=(4000, personal.WIDTH))
+    x = draw.normal(size=(4000, 47))  # a number of its own, so that the rows stay the same when features are added
     x[:, : len(personal.KINDS)] = np.eye(len(personal.KINDS))[draw.integers(0, 3, 4000)]
     y = ((x[:, 6] > 0.3) & (x[:, 9] < 1) | (x[:, 12] > 1.2)).astype(float)
     trees = personal.boost(x[:3000], y[:3000])
@@ -106,11 +106,12 @@ def held_out(spark):
 
 
 def test_respelt_data_are_found_and_broken_ones_left(spark, model):
+    """What the model adds is judged; of other numbers, one in ten passes the base rule for cards by chance and must stay."""
     right = wrong = missed = 0
     for text, parts in held_out(spark):
         true = {(personal.KINDS[k], p) for k, p in parts}
-        got = {(personal.KINDS[k], text[a:b]) for a, k, b in sum(personal.found_spans(text, model), [])}
-        right, wrong, missed = right + len(got & true), wrong + len(got - true), missed + len(true - got)
+        base, more = ({(personal.KINDS[k], text[a:b]) for a, k, b in spans} for spans in personal.found_spans(text, model))
+        right, wrong, missed = right + len((base | more) & true), wrong + len(more - true), missed + len(true - base - more)
     assert right > 200 and right / (right + missed) > 0.9 and right / (right + wrong) > 0.95
 
 
